@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a row-count check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension under this many rows is broadcast; above it Spark shuffles both sides.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, n: int) -> bool:
+    """Bounded size probe: reads at most ``n + 1`` rows."""
+    return df.limit(n + 1).count() <= n
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast when the side is proven small; otherwise leave the choice
+    to the planner (sort-merge / shuffled hash join, AQE re-plans at runtime)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
