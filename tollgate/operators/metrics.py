@@ -29,12 +29,16 @@ WIDE_METRICS = ["access_count", "critical_count", "user_agent_count", "cookie_co
                 "route_count", "min_interval_ms", "close_interval_count"]
 
 
-def _window_cols(ts: Column, window: str | None, slide: str | None) -> list[Column]:
+def _with_window(df: DataFrame, ts: Column, window: str | None, slide: str | None) -> DataFrame:
+    """Add ``window_start``/``window_end``. The window struct is produced once
+    (one Expand for sliding windows) and its fields are read from it."""
     if window is None:
-        return [F.lit(None).cast("timestamp").alias("window_start"),
-                F.lit(None).cast("timestamp").alias("window_end")]
+        return df.select("*", F.lit(None).cast("timestamp").alias("window_start"),
+                         F.lit(None).cast("timestamp").alias("window_end"))
     w = F.window(ts, window, slide) if slide and slide != window else F.window(ts, window)
-    return [w.start.alias("window_start"), w.end.alias("window_end")]
+    return (df.select("*", w.alias("_win"))
+              .select("*", F.col("_win.start").alias("window_start"),
+                      F.col("_win.end").alias("window_end")).drop("_win"))
 
 
 def _panes(df: DataFrame, ts_col: str, window: str | None, slide: str | None) -> tuple[DataFrame, bool]:
@@ -44,13 +48,12 @@ def _panes(df: DataFrame, ts_col: str, window: str | None, slide: str | None) ->
     if sliding:
         w = F.window(F.col(ts_col), slide)
         return df.withColumn("_pane", w.start), True
-    return df.select("*", *_window_cols(F.col(ts_col), window, slide)), False
+    return _with_window(df, F.col(ts_col), window, slide), False
 
 
 def _expand(df: DataFrame, window: str, slide: str) -> DataFrame:
     """Pane start -> every sliding window that contains the whole pane."""
-    w = F.window(F.col("_pane"), window, slide)
-    return df.withColumn("window_start", w.start).withColumn("window_end", w.end).drop("_pane")
+    return _with_window(df, F.col("_pane"), window, slide).drop("_pane")
 
 
 def keyed_count(df: DataFrame, key: Column, *, ts_col: str = "ts", window: str | None = None,
@@ -102,7 +105,7 @@ def interval_metrics(hits: DataFrame, key: Column, *, ts_col: str = "ts", window
     per_t = (hits.select(key.alias("key"), t.alias("_t"), F.col(ts_col).alias("_ts"))
                  .groupBy("key", "_t", "_ts").agg(F.count(F.lit(1)).alias("_n")))
     # 2) windows over distinct timestamps (sliding: each timestamp joins its windows)
-    per_t = per_t.select("*", *_window_cols(F.col("_ts"), window, slide)).drop("_ts")
+    per_t = _with_window(per_t, F.col("_ts"), window, slide).drop("_ts")
     w = Window.partitionBy(*WIN, "key").orderBy("_t")
     gaps = per_t.withColumn("_gap", F.col("_t") - F.lag("_t").over(w))
     zero_close = F.lit(1 if 0 < gap_ms else 0)
@@ -193,9 +196,9 @@ def link_counts(df: DataFrame, *, server_col: str = "server_addr", ts_col: str =
                 window: str | None = None) -> DataFrame:
     """Requests per server link; A10: last active-connection count per server
     (latest by time, ties broken by the larger count, so input order is irrelevant)."""
-    p = df.select(F.col(ts_col).alias("ts"), F.col(server_col).alias("server_addr"),
-                  F.col("active_user_num").cast("bigint").alias("active_user_num"),
-                  *_window_cols(F.col(ts_col), window, None))
+    p = _with_window(df.select(F.col(ts_col).alias("ts"), F.col(server_col).alias("server_addr"),
+                               F.col("active_user_num").cast("bigint").alias("active_user_num")),
+                     F.col("ts"), window, None)
     return p.groupBy(*WIN, "server_addr").agg(
         F.count(F.lit(1)).alias("request_count"),
         F.max_by("active_user_num", F.struct("ts", "active_user_num")).alias("active_user_num"))

@@ -91,3 +91,71 @@ CRITICAL = any_match_sql("url", dim.CRITICAL_PAGE_RULES)
 def with_requests(body: str, *extra_ctes: str) -> str:
     ctes = ",\n".join([REQUESTS, *extra_ctes])
     return f"WITH {ctes}\n{body}"
+
+
+def _windowed(select_base: str, window_ms, slide_ms) -> str:
+    """CTE text giving ``win`` = base rows with their window start ``ws`` (ms)."""
+    if window_ms is None:
+        return f"base AS ({select_base}),\nwin AS (SELECT *, CAST(NULL AS BIGINT) AS ws FROM base)"
+    n = window_ms // slide_ms
+    return (f"base AS ({select_base}),\n"
+            f"win AS (SELECT b.*, (b.t // {slide_ms} - r.j) * {slide_ms} AS ws "
+            f"FROM base b, range(0, {n}) r(j))")
+
+
+def _wcols(window_ms) -> str:
+    if window_ms is None:
+        return "CAST(NULL AS VARCHAR) AS window_start, CAST(NULL AS VARCHAR) AS window_end"
+    return (f"strftime(epoch_ms(ws), '%Y-%m-%d %H:%M:%S') AS window_start, "
+            f"strftime(epoch_ms(ws + {window_ms}), '%Y-%m-%d %H:%M:%S') AS window_end")
+
+
+METRICS_BASE = f"""SELECT remote_addr AS ip, epoch_ms(ts) AS t, {CRITICAL} AS crit,
+  coalesce(user_agent, '') AS ua, session_id AS sid,
+  coalesce(dep, '') || '->' || coalesce(arr, '') AS rt FROM requests"""
+
+
+def metrics_ctes(window_ms, slide_ms, gap_ms) -> str:
+    return f"""{_windowed(METRICS_BASE, window_ms, slide_ms)},
+counts AS (
+  SELECT ws, ip, count(*) AS access_count, count(*) FILTER (WHERE crit) AS critical_count,
+         count(DISTINCT ua) AS user_agent_count, count(DISTINCT sid) AS cookie_count,
+         count(DISTINCT rt) AS route_count
+  FROM win GROUP BY ws, ip),
+gaps AS (
+  SELECT ws, ip, t - lag(t) OVER (PARTITION BY ws, ip ORDER BY t) AS gap FROM win WHERE crit),
+g AS (
+  SELECT ws, ip, CASE WHEN count(*) = 1 THEN -1 ELSE min(gap) END AS min_interval_ms,
+         count(*) FILTER (WHERE gap < {gap_ms}) AS close_interval_count
+  FROM gaps GROUP BY ws, ip),
+wide AS (
+  SELECT c.ws, c.ip, access_count, critical_count, user_agent_count, cookie_count, route_count,
+         min_interval_ms, close_interval_count
+  FROM counts c LEFT JOIN g ON c.ip = g.ip AND c.ws IS NOT DISTINCT FROM g.ws)"""
+
+
+def metrics_sql(window_ms, slide_ms, gap_ms) -> str:
+    return with_requests(f"""SELECT {_wcols(window_ms)}, ip, access_count, critical_count,
+  user_agent_count, cookie_count, route_count, min_interval_ms, close_interval_count
+FROM wide""", metrics_ctes(window_ms, slide_ms, gap_ms))
+
+
+METRIC_NAMES = [("access_count", "ip_access"), ("critical_count", "critical_access"),
+                ("user_agent_count", "user_agent_distinct"), ("cookie_count", "cookie_distinct"),
+                ("route_count", "route_distinct"), ("min_interval_ms", "critical_min_interval"),
+                ("close_interval_count", "critical_close_intervals")]
+
+
+def metrics_long_sql(window_ms, slide_ms, gap_ms) -> str:
+    parts = [f"SELECT {_wcols(window_ms)}, '{name}' AS metric, ip AS key, "
+             f"CAST({col} AS BIGINT) AS value FROM wide WHERE {col} IS NOT NULL"
+             for col, name in METRIC_NAMES]
+    return with_requests("\nUNION ALL\n".join(parts), metrics_ctes(window_ms, slide_ms, gap_ms))
+
+
+def ip_block_sql(window_ms, slide_ms) -> str:
+    base = ("SELECT split_part(remote_addr, '.', 1) || '.' || split_part(remote_addr, '.', 2) AS ip_block, "
+            "epoch_ms(ts) AS t FROM requests "
+            "WHERE len(string_split(regexp_replace(remote_addr, '[.]+$', ''), '.')) = 4")
+    return with_requests(f"SELECT {_wcols(window_ms)}, ip_block, count(*) AS access_count "
+                         f"FROM win GROUP BY ws, ip_block", _windowed(base, window_ms, slide_ms))

@@ -49,11 +49,55 @@ ORDER BY access_count DESC, ip LIMIT {TOP_N}"""))
 def top_ip_access(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.ranking import top_n
     from tollgate.functions.text import ip_block
-    m = M.ip_metrics(tagged_requests(spark, base_dir))
-    return top_n(m.select("ip", "access_count", "critical_count", ip_block(F.col("ip")).alias("ip_block")),
+    r = tagged_requests(spark, base_dir)
+    m = r.groupBy(F.col("remote_addr").alias("ip")).agg(
+        F.count(F.lit(1)).alias("access_count"),
+        F.count_if("is_critical").cast("bigint").alias("critical_count"))
+    return top_n(m.withColumn("ip_block", ip_block(F.col("ip"))),
                  [F.desc("access_count"), F.asc("ip")], TOP_N)
 
 
 @register("requests_table", O.with_requests("SELECT * FROM requests"))
 def requests_table(spark: SparkSession, base_dir: str) -> DataFrame:
     return load_requests(spark, base_dir)
+
+
+# ---- step 2: all per-IP metrics in one grouped pass (A1-A8, N1) --------------
+
+HOUR_MS = 3_600_000
+DAY_MS = 86_400_000
+
+
+def _metrics_query(window, slide, gap_ms):
+    def run(spark: SparkSession, base_dir: str) -> DataFrame:
+        m = M.ip_metrics(tagged_requests(spark, base_dir), window=window, slide=slide, gap_ms=gap_ms)
+        return m.select(_fmt("window_start"), _fmt("window_end"), "ip", *M.WIDE_METRICS)
+    return run
+
+
+def _block_query(window, slide):
+    def run(spark: SparkSession, base_dir: str) -> DataFrame:
+        m = M.ip_block_counts(load_requests(spark, base_dir), window=window, slide=slide)
+        return m.select(_fmt("window_start"), _fmt("window_end"), "ip_block", "access_count")
+    return run
+
+
+for _name, _w, _s, _wms, _sms, _gap in [
+        ("ip_metrics_total", None, None, None, None, HOUR_MS),
+        ("ip_metrics_daily", "1 day", None, DAY_MS, DAY_MS, HOUR_MS),
+        ("ip_metrics_hourly", "1 hour", None, HOUR_MS, HOUR_MS, 600_000),
+        ("ip_metrics_sliding_5m_5s", "5 minutes", "5 seconds", 300_000, 5_000, 5_000)]:
+    register(_name, O.metrics_sql(_wms, _sms, _gap))(_metrics_query(_w, _s, _gap))
+
+for _name, _w, _s, _wms, _sms in [
+        ("ip_block_total", None, None, None, None),
+        ("ip_block_daily", "1 day", None, DAY_MS, DAY_MS),
+        ("ip_block_sliding_1h_10m", "1 hour", "10 minutes", HOUR_MS, 600_000)]:
+    register(_name, O.ip_block_sql(_wms, _sms))(_block_query(_w, _s))
+
+
+@register("ip_metrics_long_daily", O.metrics_long_sql(DAY_MS, DAY_MS, HOUR_MS))
+def ip_metrics_long_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    m = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=HOUR_MS)
+    long = M.to_long(m)
+    return long.select(_fmt("window_start"), _fmt("window_end"), "metric", "key", "value")

@@ -31,7 +31,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        b = b.config("spark.driver.memory", os.environ.get("TOLLGATE_DRIVER_MEMORY", "16g"))
     for k, v in {**SCALE_CONF, **REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
