@@ -159,3 +159,113 @@ def ip_block_sql(window_ms, slide_ms) -> str:
             "WHERE len(string_split(regexp_replace(remote_addr, '[.]+$', ''), '.')) = 4")
     return with_requests(f"SELECT {_wcols(window_ms)}, ip_block, count(*) AS access_count "
                          f"FROM win GROUP BY ws, ip_block", _windowed(base, window_ms, slide_ms))
+
+
+# ---- step 3 oracles ----------------------------------------------------------
+from tollgate.functions.redact import ID_CARD_PATTERN, PHONE_PATTERN  # noqa: E402
+from tollgate.operators.tags import DATE_IN_TEXT  # noqa: E402
+
+
+def redact_sql(col: str, pattern: str) -> str:
+    return (f"list_reduce(list_prepend({col}, regexp_extract_all({col}, {sql_str(pattern)})), "
+            f"lambda acc, m: replace(acc, m, upper(md5(m))))")
+
+
+_F = ["time_local", "request", "request_method", "content_type", "request_body", "http_referer",
+      "remote_addr", "user_agent", "time_iso8601", "server_addr", "http_cookie"]
+
+RAW_LINE_INGEST = with_requests("""
+SELECT event_id, p[7] AS remote_addr, p[2] AS request, p[9] AS time_iso8601,
+       TRY_CAST(trim(p[12]) AS BIGINT) AS active_user_num,
+       TRY_CAST(trim(p[12]) AS BIGINT) IS NOT NULL AS accepted
+FROM (SELECT event_id, value, string_split(value, '#CS#') AS p FROM lines)
+WHERE len(string_split(regexp_replace(regexp_replace(value, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'),
+                                      '(#CS#)+$', ''), '#CS#')) >= 12""",
+    f"""lines AS (
+  SELECT event_id,
+    CASE WHEN event_id % 97 = 13 THEN concat_ws('#CS#', {", ".join(_F)})
+         ELSE concat_ws('#CS#', {", ".join(_F)},
+              CASE WHEN event_id % 89 = 7 THEN '' WHEN event_id % 83 = 5 THEN 'n/a'
+                   ELSE CAST(active_user_num AS VARCHAR) END) END AS value
+  FROM requests)""")
+
+
+def _cookie(col: str, key: str) -> str:
+    return (f"coalesce(nullif(regexp_extract({col}, '(?:^|;)\\s*{key}=([^;=]*)', 1), ''), 'NULL')")
+
+
+def _param(col: str, key: str) -> str:
+    return f"regexp_extract({col}, '[?&]{key}=([^&=]*)', 1)"
+
+
+def _classify() -> tuple[str, str]:
+    ft = "CASE " + " ".join(f"WHEN regexp_full_match(url, {sql_str(p)}) THEN '{f}'"
+                             for p, f, _ in dim.CLASSIFY_RULES) + " ELSE 'Other' END"
+    bt = "CASE " + " ".join(f"WHEN regexp_full_match(url, {sql_str(p)}) THEN '{b}'"
+                             for p, _, b in dim.CLASSIFY_RULES) + " ELSE 'Other' END"
+    return ft, bt
+
+
+def _rule_choice(behavior: str) -> str:
+    whens = []
+    for r in reversed(dim.PARSE_RULES):
+        rid, _, _, beh, match, method = r[:6]
+        if beh != behavior:
+            continue
+        whens.append(f"WHEN behavior_type = '{beh}' AND lower(request_method) = '{method.lower()}' "
+                     f"AND regexp_full_match(url, {sql_str(match)}) THEN {rid}")
+    return "CASE " + " ".join(whens) + " END"
+
+
+_FT, _BT = _classify()
+_BLACK = ", ".join(sql_str(ip) for ip in sorted(set(dim.BLACK_IPS)))
+_BOOK_RULE_FLIGHT = "CASE brule " + " ".join(
+    f"WHEN {r[0]} THEN {0 if r[2] == 'National' else 1}" for r in dim.PARSE_RULES if r[3] == "Book") + " END"
+
+PREPROCESSED = with_requests("""
+SELECT event_id, url, flight_type, behavior_type, travel_type, high_freq_ip, session_id, user_id,
+  redacted_cookie,
+  CASE WHEN qrule IS NOT NULL THEN qdep END AS q_dep_city,
+  CASE WHEN qrule IS NOT NULL THEN qarr END AS q_arr_city,
+  CASE WHEN qrule IS NOT NULL THEN qdate END AS q_flight_date,
+  CASE WHEN qrule IS NOT NULL THEN qadult END AS q_adult_num,
+  CASE WHEN qrule IS NOT NULL THEN CASE travel_type WHEN 'OneWay' THEN 0 WHEN 'RoundTrip' THEN 1 ELSE -1 END END
+    AS q_travel_type,
+  CASE WHEN qrule IS NOT NULL THEN CASE flight_type WHEN 'National' THEN 0 WHEN 'International' THEN 1 ELSE -1 END END
+    AS q_flight_type,
+  CASE WHEN brule IS NOT NULL THEN coalesce(json_extract_string(bjson, '$.depcity'), '') END AS b_dep_city,
+  CASE WHEN brule IS NOT NULL THEN coalesce(json_extract_string(bjson, '$.arrcity'), '') END AS b_arr_city,
+  CASE WHEN brule IS NOT NULL THEN coalesce(json_extract_string(bjson, '$.flightdate'), '') END AS b_flight_date,
+  CAST(NULL AS VARCHAR) AS b_contact_phone,
+  CASE WHEN brule IS NOT NULL THEN """ + _BOOK_RULE_FLIGHT + """ END AS b_flight_type,
+  coalesce(nullif(CASE WHEN qrule IS NOT NULL THEN qdep END, ''),
+           nullif(CASE WHEN brule IS NOT NULL THEN json_extract_string(bjson, '$.depcity') END, '')) AS core_dep_city,
+  coalesce(nullif(CASE WHEN qrule IS NOT NULL THEN qarr END, ''),
+           nullif(CASE WHEN brule IS NOT NULL THEN json_extract_string(bjson, '$.arrcity') END, '')) AS core_arr_city,
+  coalesce(nullif(CASE WHEN qrule IS NOT NULL THEN qdate END, ''),
+           nullif(CASE WHEN brule IS NOT NULL THEN json_extract_string(bjson, '$.flightdate') END, '')) AS core_flight_date
+FROM tagged2""",
+    f"""msgs AS (
+  SELECT * EXCLUDE (user_id, flight_type, session_id, step, k, dep, arr),
+         split_part(request, ' ', 2) AS url,
+         {redact_sql(redact_sql("http_cookie", PHONE_PATTERN), ID_CARD_PATTERN)} AS redacted_cookie
+  FROM requests
+  WHERE NOT {any_match_sql("request", dim.URL_FILTER_RULES)}),
+tagged AS (
+  SELECT *, {_FT} AS flight_type, {_BT} AS behavior_type,
+    CASE len(regexp_extract_all(http_referer, {sql_str(DATE_IN_TEXT)}))
+      WHEN 1 THEN 'OneWay' WHEN 2 THEN 'RoundTrip' ELSE 'Unknown' END AS travel_type,
+    remote_addr IN ({_BLACK}) AS high_freq_ip,
+    {_cookie("redacted_cookie", "JSESSIONID")} AS session_id,
+    {_cookie("redacted_cookie", "userId4logCookie")} AS user_id,
+    {_param("url", "c1")} AS qdep, {_param("url", "c2")} AS qarr,
+    {_param("url", "d1")} AS qdate, {_param("url", "at")} AS qadult,
+    regexp_replace(url_decode(regexp_extract(request_body, '(?:^|&)json=([^&=]*)', 1)), '^\\[(.*)\\]$', '\\1') AS bjson
+  FROM msgs),
+tagged2 AS (
+  SELECT *, {_rule_choice("Query")} AS qrule, {_rule_choice("Book")} AS brule FROM tagged)""")
+
+REDACT_DOCUMENTS = f"""
+SELECT doc_id, len(regexp_extract_all(text, {sql_str(PHONE_PATTERN)})) AS phone_matches,
+       {redact_sql("text", PHONE_PATTERN)} AS redacted_text
+FROM documents"""

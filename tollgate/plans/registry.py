@@ -101,3 +101,50 @@ def ip_metrics_long_daily(spark: SparkSession, base_dir: str) -> DataFrame:
     m = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=HOUR_MS)
     long = M.to_long(m)
     return long.select(_fmt("window_start"), _fmt("window_end"), "metric", "key", "value")
+
+
+# ---- step 3: ingest, redact, tag and parse (P1-P13, F1-F6, G1-G3, X1-X4, X7) ----
+
+@register("raw_line_ingest", O.RAW_LINE_INGEST)
+def raw_line_ingest(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.plans.preprocess import ingest_lines
+    from tollgate.sources.requests import raw_lines
+    ok, bad = ingest_lines(raw_lines(load_requests(spark, base_dir)))
+    cols = ["event_id", "remote_addr", "request", "time_iso8601", "active_user_num"]
+    return (ok.select(*cols, F.lit(True).alias("accepted"))
+              .unionByName(bad.select(*cols, F.lit(False).alias("accepted"))))
+
+
+def _preprocessed(spark, base_dir):
+    from tollgate.plans.preprocess import Dimensions, process_messages, requests_as_messages
+    msgs = requests_as_messages(load_requests(spark, base_dir))
+    return process_messages(msgs, Dimensions.defaults(spark))
+
+
+@register("preprocessed_requests", O.PREPROCESSED)
+def preprocessed_requests(spark: SparkSession, base_dir: str) -> DataFrame:
+    p = _preprocessed(spark, base_dir)
+    q, b = F.col("query_data"), F.col("book_data")
+    return p.select(
+        "event_id", "url", "flight_type", "behavior_type", "travel_type", "high_freq_ip",
+        "session_id", "user_id", F.col("http_cookie").alias("redacted_cookie"),
+        q["dep_city"].alias("q_dep_city"), q["arr_city"].alias("q_arr_city"),
+        q["flight_date"].alias("q_flight_date"), q["adult_num"].alias("q_adult_num"),
+        q["travel_type"].alias("q_travel_type"), q["flight_type"].alias("q_flight_type"),
+        F.array_join(b["dep_city"], ",").alias("b_dep_city"),
+        F.array_join(b["arr_city"], ",").alias("b_arr_city"),
+        F.array_join(b["flight_date"], ",").alias("b_flight_date"),
+        b["contact_phone"].alias("b_contact_phone"), b["flight_type"].alias("b_flight_type"),
+        F.col("core_params.dep_city").alias("core_dep_city"),
+        F.col("core_params.arr_city").alias("core_arr_city"),
+        F.col("core_params.flight_date").alias("core_flight_date"))
+
+
+@register("redact_documents", O.REDACT_DOCUMENTS)
+def redact_documents(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.functions.redact import PHONE_PATTERN, redact_phone
+    from tollgate.sources.tables import read_table
+    d = read_table(spark, base_dir, "documents").select("doc_id", "text")
+    n = F.size(F.regexp_extract_all(F.col("text"), F.lit(PHONE_PATTERN), 0))
+    return d.select("doc_id", n.alias("phone_matches"),
+                    redact_phone(F.col("text")).alias("redacted_text"))

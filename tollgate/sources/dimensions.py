@@ -61,3 +61,77 @@ def read_dimension(spark: SparkSession, source: str | dict) -> DataFrame:
     if isinstance(source, dict):
         return spark.read.format("jdbc").options(**source).load()
     return spark.read.parquet(source)
+
+
+# ---- Parse rules (G4 / X1-X10) -------------------------------------------------
+# Columns: rule_id, rule_order, flight_type, behavior_type, request_match,
+# request_method, is_normal_get, is_normal_form, is_application_json, is_text_xml,
+# is_json, is_xml, form_data_field, then the query paths (parameter names for
+# GET/form, JSONPath for JSON, XPath for XML) and the book paths.
+QUERY_PATH_FIELDS = ["q_dep_city", "q_arr_city", "q_flight_date", "q_adult_num",
+                     "q_child_num", "q_infant_num", "q_country", "q_travel_type"]
+BOOK_PATH_FIELDS = ["b_user_id", "b_psg_first_name", "b_psg_name", "b_psg_type", "b_id_type",
+                    "b_id_card", "b_contact_name", "b_contact_phone", "b_agent", "b_dep_city",
+                    "b_arr_city", "b_flight_date", "b_flight_no", "b_cabin"]
+PARSE_RULE_SCHEMA = (
+    "rule_id int, rule_order int, flight_type string, behavior_type string, request_match string, "
+    "request_method string, is_normal_get boolean, is_normal_form boolean, "
+    "is_application_json boolean, is_text_xml boolean, is_json boolean, is_xml boolean, "
+    "form_data_field string, "
+    + ", ".join(f"{c} string" for c in QUERY_PATH_FIELDS + BOOK_PATH_FIELDS))
+
+
+def _rule(rule_id, order, flight, behavior, match, method, *, get=False, form=False,
+          app_json=False, text_xml=False, is_json=False, is_xml=False, field=None,
+          q=None, b=None):
+    q = q or {}
+    b = b or {}
+    return (rule_id, order, flight, behavior, match, method, get, form, app_json, text_xml,
+            is_json, is_xml, field, *[q.get(c) for c in QUERY_PATH_FIELDS],
+            *[b.get(c) for c in BOOK_PATH_FIELDS])
+
+
+_GET_QUERY = {"q_dep_city": "c1", "q_arr_city": "c2", "q_flight_date": "d1",
+              "q_adult_num": "at", "q_child_num": "ct", "q_infant_num": "it"}
+_JSON_BOOK = {"b_user_id": "$.userId", "b_psg_first_name": "$.passengers[*].firstName",
+              "b_psg_name": "$.passengers[*].lastName", "b_psg_type": "$.passengers[*].type",
+              "b_id_type": "$.passengers[*].idType", "b_id_card": "$.passengers[*].idNo",
+              "b_contact_name": "$.contact.name", "b_contact_phone": "$.contact.phone",
+              "b_dep_city": "$.depcity", "b_arr_city": "$.arrcity", "b_flight_date": "$.flightdate",
+              "b_flight_no": "$.flightno", "b_cabin": "$.cabin"}
+_XML_BOOK = {"b_user_id": "//USERID", "b_psg_name": "//PASSENGER/NAME", "b_psg_type": "//PASSENGER/TYPE",
+             "b_id_type": "//PASSENGER/IDTYPE", "b_id_card": "//PASSENGER/IDNO",
+             "b_contact_name": "//CONTACT/NAME", "b_contact_phone": "//CONTACT/PHONE",
+             "b_dep_city": "//SEGMENT/DEPCITY", "b_arr_city": "//SEGMENT/ARRCITY",
+             "b_flight_date": "//SEGMENT/DATE", "b_flight_no": "//SEGMENT/FLIGHTNO",
+             "b_cabin": "//SEGMENT/CABIN"}
+_XML_QUERY = {"q_dep_city": "//DEPCITY", "q_arr_city": "//ARRCITY", "q_flight_date": "//DATE",
+              "q_adult_num": "//ADULT", "q_travel_type": "//TRAVELTYPE"}
+
+# Fixed default parse rules (ours). Rule 1 maps the cities the wrong way round
+# on purpose: rule 5 also matches national queries and, being later, wins.
+PARSE_RULES = [
+    _rule(1, 1, "National", "Query", r".*/query/jaxb/direct/query\.ao.*", "GET", get=True,
+          q={**_GET_QUERY, "q_dep_city": "c2", "q_arr_city": "c1"}),
+    _rule(2, 2, "International", "Query", r".*/query/jaxb/inter/query\.ao.*", "GET", get=True,
+          q=_GET_QUERY),
+    _rule(3, 3, "National", "Book", r".*/book/direct/order\.ao.*", "POST", is_json=True,
+          field="json", b=_JSON_BOOK),
+    _rule(4, 4, "International", "Book", r".*/book/inter/order\.ao.*", "POST", is_json=True,
+          field="json", b=_JSON_BOOK),
+    _rule(5, 5, "National", "Query", r".*/query/.*\.ao.*", "get", get=True, q=_GET_QUERY),
+    _rule(6, 6, "National", "Query", r".*/query/form\.ao.*", "POST", form=True, q=_GET_QUERY),
+    _rule(7, 7, "National", "Query", r".*/query/json\.ao.*", "POST", is_json=True, field="json",
+          q={"q_dep_city": "$.depcity", "q_arr_city": "$.arrcity", "q_flight_date": "$.flightdate",
+             "q_adult_num": "$.adultnum", "q_child_num": "$.childnum", "q_infant_num": "$.infantnum"}),
+    _rule(8, 8, "National", "Query", r".*/query/xml\.ao.*", "POST", text_xml=True, is_xml=True,
+          q=_XML_QUERY),
+    _rule(9, 9, "National", "Book", r".*/book/xml\.ao.*", "POST", text_xml=True, is_xml=True,
+          b=_XML_BOOK),
+    _rule(10, 10, "National", "Book", r".*/book/json\.ao.*", "POST", app_json=True, is_json=True,
+          b=_JSON_BOOK),
+]
+
+
+def parse_rules(spark: SparkSession) -> DataFrame:
+    return _df(spark, PARSE_RULES, PARSE_RULE_SCHEMA)
