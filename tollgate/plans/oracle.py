@@ -269,3 +269,57 @@ REDACT_DOCUMENTS = f"""
 SELECT doc_id, len(regexp_extract_all(text, {sql_str(PHONE_PATTERN)})) AS phone_matches,
        {redact_sql("text", PHONE_PATTERN)} AS redacted_text
 FROM documents"""
+
+
+# ---- step 6 oracles ----------------------------------------------------------
+
+BOOKINGS = """
+bookings AS (
+  SELECT o_orderkey AS order_key, CAST(o_orderdate AS TIMESTAMP) AS book_ts,
+    CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS TIMESTAMP) AS pay_ts,
+    o_orderstatus AS status,
+    '10.' || CAST(o_custkey % 8 AS VARCHAR) AS ip_block,
+    CAST(o_custkey AS VARCHAR) AS buyer_id,
+    coalesce(c_name, '') AS contact_name,
+    upper(md5('139' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 8, '0'))) AS contact_phone,
+    'P' || CAST(o_orderkey % 500 AS VARCHAR) AS passenger
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+bevents AS (
+  SELECT order_key, ip_block, buyer_id, contact_name, contact_phone, passenger, book_ts AS ts, 'book' AS step FROM bookings
+  UNION ALL
+  SELECT order_key, ip_block, buyer_id, contact_name, contact_phone, passenger, pay_ts, 'pay' FROM bookings WHERE status = 'F'
+  UNION ALL
+  SELECT order_key, ip_block, buyer_id, contact_name, contact_phone, passenger, book_ts, 'cancel' FROM bookings WHERE status = 'P'),
+bkeys AS (
+  SELECT ts, step, order_key, k.key_kind, k.key FROM bevents,
+  UNNEST([{'key_kind': 'ip_block', 'key': ip_block}, {'key_kind': 'buyer', 'key': buyer_id},
+          {'key_kind': 'contact_name', 'key': contact_name}, {'key_kind': 'contact_phone', 'key': contact_phone},
+          {'key_kind': 'passenger', 'key': passenger},
+          {'key_kind': 'contact', 'key': contact_name || '|' || contact_phone}]) AS u(k))"""
+
+
+def _wstart(ts: str, window_ms) -> str:
+    if window_ms is None:
+        return "CAST(NULL AS BIGINT)"
+    return f"(epoch_ms({ts}) // {window_ms}) * {window_ms}"
+
+
+def booking_metrics_sql(window_ms) -> str:
+    return f"""WITH {BOOKINGS},
+w AS (SELECT *, {_wstart("ts", window_ms)} AS ws FROM bkeys)
+SELECT {_wcols(window_ms)}, key_kind, key,
+  count(*) FILTER (WHERE step = 'book') AS bookings,
+  count(*) FILTER (WHERE step = 'pay') AS payments,
+  count(*) FILTER (WHERE step = 'cancel') AS cancellations
+FROM w GROUP BY ws, key_kind, key"""
+
+
+def unpaid_sql(window_ms) -> str:
+    cond = "" if window_ms is None else (
+        f" AND epoch_ms(p.ts) >= b.ws AND epoch_ms(p.ts) < b.ws + {window_ms}")
+    return f"""WITH {BOOKINGS},
+b AS (SELECT *, {_wstart("ts", window_ms)} AS ws FROM bkeys WHERE step = 'book'),
+p AS (SELECT DISTINCT order_key, ts FROM bevents WHERE step = 'pay')
+SELECT {_wcols(window_ms)}, key_kind, key, count(*) AS unpaid
+FROM b WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.order_key = b.order_key{cond})
+GROUP BY ws, key_kind, key"""

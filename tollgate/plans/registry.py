@@ -148,3 +148,30 @@ def redact_documents(spark: SparkSession, base_dir: str) -> DataFrame:
     n = F.size(F.regexp_extract_all(F.col("text"), F.lit(PHONE_PATTERN), 0))
     return d.select("doc_id", n.alias("phone_matches"),
                     redact_phone(F.col("text")).alias("redacted_text"))
+
+
+# ---- step 6: booking-side catalogue (bookings, payments, cancellations, unpaid) ----
+
+def _booking_metrics(window):
+    def run(spark: SparkSession, base_dir: str) -> DataFrame:
+        from tollgate.operators.catalogue import booking_metrics
+        from tollgate.sources.bookings import booking_events, bookings
+        m = booking_metrics(booking_events(bookings(spark, base_dir)), window)
+        return m.select(_fmt("window_start"), _fmt("window_end"), "key_kind", "key",
+                        "bookings", "payments", "cancellations")
+    return run
+
+
+def _unpaid(window):
+    def run(spark: SparkSession, base_dir: str) -> DataFrame:
+        from tollgate.operators.catalogue import unpaid_bookings
+        from tollgate.sources.bookings import booking_events, bookings
+        u = unpaid_bookings(booking_events(bookings(spark, base_dir)), window)
+        return u.select(_fmt("window_start"), _fmt("window_end"), "key_kind", "key", "unpaid")
+    return run
+
+
+register("booking_metrics_daily", O.booking_metrics_sql(DAY_MS))(_booking_metrics("1 day"))
+register("booking_metrics_total", O.booking_metrics_sql(None))(_booking_metrics(None))
+register("unpaid_bookings_daily", O.unpaid_sql(DAY_MS))(_unpaid("1 day"))
+register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))

@@ -135,3 +135,34 @@ PARSE_RULES = [
 
 def parse_rules(spark: SparkSession) -> DataFrame:
     return _df(spark, PARSE_RULES, PARSE_RULE_SCHEMA)
+
+
+# ---- Score rules and detection flows (B1-B3, J6, J7) -----------------------------
+# Rule types: 0 real-time, 1 near-real-time (1 h), 2 offline (1 day);
+# crawler type: 0 scraper, 1 seat-hoarding; status 0 = enabled.
+# cmp: '>=' for volume metrics, '<' for minimum-interval metrics.
+SCORE_RULE_SCHEMA = ("rule_id int, flow_id int, rule_name string, metric string, rule_type int, "
+                     "crawler_type int, status int, arg0 double, arg1 double, score int, cmp string")
+SCORE_RULES = [
+    (1, 1, "ip_access", "ip_access", 2, 0, 0, 4.0, None, 3, ">="),
+    (2, 1, "critical_access", "critical_access", 2, 0, 0, 2.0, None, 4, ">="),
+    (3, 1, "user_agent", "user_agent_distinct", 2, 0, 0, 3.0, None, 2, ">="),
+    (4, 1, "critical_min_interval", "critical_min_interval", 2, 0, 0, 3_600_000.0, None, 5, "<"),
+    (5, 1, "critical_close_intervals", "critical_close_intervals", 2, 0, 0, 1.0, 3_600_000.0, 4, ">="),
+    (6, 1, "cookie", "cookie_distinct", 2, 0, 0, 3.0, None, 2, ">="),
+    (7, 1, "route", "route_distinct", 2, 0, 0, 3.0, None, 2, ">="),
+    (8, 1, "ip_block_access", "ip_block_access", 2, 0, 1, 100.0, None, 3, ">="),
+    (9, 1, "bookings_by_buyer", "bookings_by_buyer", 2, 1, 0, 2.0, None, 6, ">="),
+    (10, 1, "unpaid_by_buyer", "unpaid_by_buyer", 2, 1, 0, 2.0, None, 6, ">="),
+    (11, 2, "ip_access_rt", "ip_access", 0, 0, 0, 2.0, None, 5, ">="),
+]
+FLOW_SCHEMA = "flow_id int, flow_name string, status int, crawler_threshold double, occ_threshold double"
+FLOWS = [(1, "default", 0, 8.0, 5.0), (2, "strict", 0, 4.0, 100.0), (3, "retired", 1, 1.0, 1.0)]
+
+
+def score_rules(spark: SparkSession) -> DataFrame:
+    return _df(spark, SCORE_RULES, SCORE_RULE_SCHEMA)
+
+
+def flows(spark: SparkSession) -> DataFrame:
+    return _df(spark, FLOWS, FLOW_SCHEMA)
