@@ -323,3 +323,83 @@ p AS (SELECT DISTINCT order_key, ts FROM bevents WHERE step = 'pay')
 SELECT {_wcols(window_ms)}, key_kind, key, count(*) AS unpaid
 FROM b WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.order_key = b.order_key{cond})
 GROUP BY ws, key_kind, key"""
+
+
+# ---- step 5 oracles ----------------------------------------------------------
+
+def _values(rows, cols: str) -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return sql_str(v)
+        return repr(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    names = ", ".join(c.split()[0] for c in cols.split(", "))
+    return f"(VALUES {body}) AS t({names})"
+
+
+def _scoring_ctes() -> str:
+    gap = int([r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8])
+    ip_long = "\nUNION ALL\n".join(
+        f"SELECT ws, '{name}' AS metric, ip AS key, CAST({col} AS BIGINT) AS value FROM wide "
+        f"WHERE {col} IS NOT NULL" for col, name in METRIC_NAMES)
+    return f"""{metrics_ctes(DAY, DAY, gap)},
+{BOOKINGS.strip()},
+blk AS (
+  SELECT (epoch_ms(ts) // {DAY}) * {DAY} AS ws, 'ip_block_access' AS metric,
+         split_part(remote_addr, '.', 1) || '.' || split_part(remote_addr, '.', 2) AS key,
+         count(*) AS value
+  FROM requests WHERE len(string_split(regexp_replace(remote_addr, '[.]+$', ''), '.')) = 4
+  GROUP BY 1, 3),
+bw AS (SELECT *, (epoch_ms(ts) // {DAY}) * {DAY} AS ws FROM bkeys),
+cat AS (
+  SELECT ws, step_name || '_by_' || key_kind AS metric, key, n AS value FROM (
+    SELECT ws, key_kind, key, CASE step WHEN 'book' THEN 'bookings' WHEN 'pay' THEN 'payments'
+                                       ELSE 'cancellations' END AS step_name, count(*) AS n
+    FROM bw GROUP BY ALL)
+  UNION ALL
+  SELECT ws, 'unpaid_by_' || key_kind, key, count(*) FROM bw b
+  WHERE step = 'book' AND NOT EXISTS (SELECT 1 FROM bevents p WHERE p.step = 'pay'
+        AND p.order_key = b.order_key AND epoch_ms(p.ts) >= b.ws AND epoch_ms(p.ts) < b.ws + {DAY})
+  GROUP BY ws, key_kind, key),
+mlong AS ({ip_long}
+  UNION ALL SELECT * FROM blk UNION ALL SELECT * FROM cat),
+rules AS (SELECT * FROM {_values(dim.SCORE_RULES, dim.SCORE_RULE_SCHEMA)}),
+flows AS (SELECT * FROM {_values(dim.FLOWS, dim.FLOW_SCHEMA)}),
+fr AS (SELECT r.*, f.flow_name FROM rules r JOIN flows f ON r.flow_id = f.flow_id
+       WHERE r.status = 0 AND f.status = 0 AND r.rule_type = 2),
+ev AS (
+  SELECT m.ws, fr.flow_id, fr.flow_name, fr.rule_id, fr.crawler_type, m.key,
+    CASE fr.cmp WHEN '<' THEN m.value >= 0 AND m.value < fr.arg0
+                WHEN '>' THEN m.value > fr.arg0
+                WHEN '<=' THEN m.value >= 0 AND m.value <= fr.arg0
+                ELSE m.value >= fr.arg0 END AS hit, fr.score
+  FROM mlong m JOIN fr ON m.metric = fr.metric),
+fs AS (
+  SELECT ws, flow_id, flow_name, crawler_type, key,
+         CAST(sum(CASE WHEN hit THEN score ELSE 0 END) AS BIGINT) AS score,
+         coalesce(list_sort(list(rule_id) FILTER (WHERE hit)), []) AS hit_rules
+  FROM ev GROUP BY ALL),
+dec AS (
+  SELECT fs.*, epoch_ms(fs.ws + {DAY}) AS wend FROM fs JOIN flows f ON fs.flow_id = f.flow_id
+  WHERE f.status = 0
+    AND fs.score > CASE WHEN fs.crawler_type = 0 THEN f.crawler_threshold ELSE f.occ_threshold END),
+bl AS (
+  SELECT ws + {DAY} + 3600000 AS key_exp_time, key,
+         to_json({{'flow_id': flow_id, 'crawler_type': crawler_type, 'score': score,
+                   'hit_rules': hit_rules}}) AS value
+  FROM dec)"""
+
+
+DAY = 86_400_000
+FLOW_SCORES = with_requests(f"""SELECT {_wcols(DAY)}, flow_id, flow_name, crawler_type, key, score, hit_rules
+FROM fs""", _scoring_ctes())
+BLACKLIST = with_requests("SELECT key_exp_time, key, CAST(value AS VARCHAR) AS value FROM bl", _scoring_ctes())
+RESTORE = with_requests("""
+SELECT key, key_exp_time, CAST(value AS VARCHAR) AS value,
+       key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:00:00') AS ttl_ms
+FROM bl WHERE (key, key_exp_time) IN (SELECT (key, max(key_exp_time)) FROM bl GROUP BY key)
+  AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:00:00') >= 1000""", _scoring_ctes())
+HISTOGRAM = with_requests(f"""SELECT {_wcols(DAY)}, metric, value, count(*) AS key_count
+FROM mlong GROUP BY ws, metric, value""", _scoring_ctes())

@@ -175,3 +175,63 @@ register("booking_metrics_daily", O.booking_metrics_sql(DAY_MS))(_booking_metric
 register("booking_metrics_total", O.booking_metrics_sql(None))(_booking_metrics(None))
 register("unpaid_bookings_daily", O.unpaid_sql(DAY_MS))(_unpaid("1 day"))
 register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))
+
+
+# ---- step 5: scoring and blacklist (B1-B7, J5-J7) -----------------------------
+
+# Fixed value: the reference instant for expiry in the restore query.
+RESTORE_NOW = "2024-01-20 00:00:00"
+
+
+def daily_metrics_long(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Every daily metric in long form: per-IP (A2-A8), per block (A1) and the
+    booking-side catalogue; the close-interval gap comes from the rule's arg1."""
+    from tollgate.operators.catalogue import booking_metrics, catalogue_long, unpaid_bookings
+    from tollgate.sources.bookings import booking_events, bookings
+    gap = [r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8]
+    ipm = M.to_long(M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=int(gap)))
+    blk = M.ip_block_counts(load_requests(spark, base_dir), window="1 day").select(
+        *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
+        F.col("access_count").alias("value"))
+    ev = booking_events(bookings(spark, base_dir))
+    cat = catalogue_long(booking_metrics(ev, "1 day"), unpaid_bookings(ev, "1 day"))
+    return ipm.unionByName(blk).unionByName(cat)
+
+
+def _flow_scores(spark, base_dir):
+    from tollgate.operators.scoring import evaluate_rules, flow_scores
+    ev = evaluate_rules(daily_metrics_long(spark, base_dir), dim.score_rules(spark),
+                        dim.flows(spark), rule_type=2)
+    return flow_scores(ev)
+
+
+@register("flow_scores_daily", O.FLOW_SCORES)
+def flow_scores_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    s = _flow_scores(spark, base_dir)
+    return s.select(_fmt("window_start"), _fmt("window_end"), "flow_id", "flow_name",
+                    "crawler_type", "key", "score", "hit_rules")
+
+
+def _blacklist(spark, base_dir):
+    from tollgate.operators.blacklist import to_blacklist_records
+    from tollgate.operators.scoring import blacklist_decisions
+    return to_blacklist_records(blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark)))
+
+
+@register("blacklist_daily", O.BLACKLIST)
+def blacklist_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    return _blacklist(spark, base_dir)
+
+
+@register("blacklist_restore", O.RESTORE)
+def blacklist_restore(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.blacklist import restore
+    now = F.unix_millis(F.to_timestamp(F.lit(RESTORE_NOW)))
+    return restore(_blacklist(spark, base_dir), now).select("key", "key_exp_time", "value", "ttl_ms")
+
+
+@register("metric_histogram_daily", O.HISTOGRAM)
+def metric_histogram_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.scoring import metric_histogram
+    h = metric_histogram(daily_metrics_long(spark, base_dir))
+    return h.select(_fmt("window_start"), _fmt("window_end"), "metric", "value", "key_count")
