@@ -281,7 +281,8 @@ bookings AS (
     '10.' || CAST(o_custkey % 8 AS VARCHAR) AS ip_block,
     CAST(o_custkey AS VARCHAR) AS buyer_id,
     coalesce(c_name, '') AS contact_name,
-    upper(md5('139' || lpad(CAST(o_custkey % 1000 AS VARCHAR), 8, '0'))) AS contact_phone,
+    upper(md5('139' || lpad(CAST(CASE WHEN o_custkey % 10 = 0 THEN o_custkey % 50 ELSE o_custkey END
+                                AS VARCHAR), 8, '0'))) AS contact_phone,
     'P' || CAST(o_orderkey % 500 AS VARCHAR) AS passenger
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
 bevents AS (
@@ -403,3 +404,103 @@ FROM bl WHERE (key, key_exp_time) IN (SELECT (key, max(key_exp_time)) FROM bl GR
   AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:00:00') >= 1000""", _scoring_ctes())
 HISTOGRAM = with_requests(f"""SELECT {_wcols(DAY)}, metric, value, count(*) AS key_count
 FROM mlong GROUP BY ws, metric, value""", _scoring_ctes())
+
+
+# ---- step 7 oracles ----------------------------------------------------------
+
+def _dash_ctes() -> str:
+    return _scoring_ctes() + f""",
+sc AS (SELECT DISTINCT key FROM dec WHERE crawler_type = 0),
+ho AS (SELECT DISTINCT key FROM dec WHERE crawler_type = 1),
+ag AS (SELECT DISTINCT buyer_id FROM bookings WHERE contact_phone IN (
+         SELECT contact_phone FROM bookings GROUP BY 1 HAVING count(DISTINCT buyer_id) >= 2)),
+creq0 AS (
+  SELECT r.*, CAST(r.ts AS DATE) AS day,
+    r.remote_addr IN (SELECT key FROM sc) AS is_scraper,
+    CAST(r.user_id AS VARCHAR) IN (SELECT key FROM ho) AS is_hoarding,
+    CAST(r.user_id AS VARCHAR) IN (SELECT buyer_id FROM ag) AS is_agent,
+    CASE len(regexp_extract_all(r.http_referer, {sql_str(DATE_IN_TEXT)}))
+      WHEN 1 THEN 'OneWay' WHEN 2 THEN 'RoundTrip' ELSE 'Unknown' END AS travel_type
+  FROM requests r),
+creq AS (
+  SELECT *, CASE WHEN is_scraper THEN 'query' WHEN is_hoarding THEN 'hoarding'
+                 WHEN is_agent THEN 'agent' ELSE 'normal' END AS user_class FROM creq0)"""
+
+
+_FUNNEL = """count(DISTINCT CASE WHEN step = 'query' THEN session_id END) AS query_sessions,
+  count(DISTINCT CASE WHEN step = 'book' THEN session_id END) AS book_sessions,
+  count(DISTINCT CASE WHEN step = 'pay' THEN session_id END) AS pay_sessions"""
+
+
+def _rates(inner: str) -> str:
+    return f"""SELECT *, round(CAST(book_sessions AS DOUBLE) / nullif(query_sessions, 0), 6) AS book_rate,
+  round(CAST(pay_sessions AS DOUBLE) / nullif(query_sessions, 0), 6) AS pay_rate FROM ({inner})"""
+
+
+def _dash(body: str) -> str:
+    return with_requests(body, _dash_ctes())
+
+
+DASH_FUNNEL_DAILY = _dash(_rates(f"SELECT day, flight_type, {_FUNNEL} FROM creq GROUP BY day, flight_type"))
+DASH_FUNNEL_BY_CLASS = _dash(_rates(f"""
+  SELECT day, CASE WHEN GROUPING(user_class) = 1 THEN 'all' ELSE user_class END AS user_class, {_FUNNEL}
+  FROM creq GROUP BY ROLLUP (day, user_class) HAVING day IS NOT NULL"""))
+DASH_FUNNEL_SCOPE = _dash(_rates(f"""
+  SELECT day, 'all' AS scope, {_FUNNEL} FROM creq GROUP BY day
+  UNION ALL
+  SELECT day, 'no_scrapers', {_FUNNEL} FROM creq WHERE NOT is_scraper GROUP BY day"""))
+DASH_SCRAPER_TRAVEL_FREQUENCY = _dash("""
+SELECT day, travel_type, count(*) FILTER (WHERE flight_type = 'National') AS national,
+       count(*) FILTER (WHERE flight_type = 'International') AS international
+FROM creq WHERE is_scraper AND step = 'query' AND travel_type IN ('OneWay', 'RoundTrip')
+GROUP BY day, travel_type""")
+DASH_SCRAPER_ROUTE_RANKING = _dash("""
+SELECT dep, arr, count(*) AS queries FROM creq WHERE is_scraper AND step = 'query'
+GROUP BY dep, arr ORDER BY queries DESC, dep, arr LIMIT 10""")
+DASH_HOARDING_FLIGHT_RANKING = _dash("""
+SELECT dep, arr, flight_no, cabin, flight_date, count(*) AS unpaid_bookings FROM (
+  SELECT user_id, day, dep, arr, 'CZ' || CAST(k % 50 AS VARCHAR) AS flight_no,
+         CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'C' END AS cabin,
+         day + CAST(k % 20 AS INTEGER) AS flight_date
+  FROM creq b WHERE step = 'book' AND NOT EXISTS (
+    SELECT 1 FROM creq p WHERE p.step = 'pay' AND p.user_id = b.user_id AND p.day = b.day))
+GROUP BY ALL ORDER BY unpaid_bookings DESC, dep, arr, flight_no, cabin, flight_date LIMIT 20 OFFSET 0""")
+DASH_LOOK_TO_BOOK = _dash("""
+SELECT *, round(CAST(queries AS DOUBLE) / nullif(bookings, 0), 6) AS look_to_book FROM (
+  SELECT day, CASE WHEN GROUPING(user_class) = 1 THEN 'all' ELSE user_class END AS user_class,
+         count(*) FILTER (WHERE step = 'query') AS queries, count(*) FILTER (WHERE step = 'book') AS bookings
+  FROM creq GROUP BY ROLLUP (day, user_class) HAVING day IS NOT NULL)""")
+DASH_USER_CLASS_COUNTS = _dash("""
+SELECT day, count(DISTINCT CASE WHEN user_class = 'normal' THEN user_id END) AS normal,
+  count(DISTINCT CASE WHEN user_class = 'query' THEN user_id END) AS query,
+  count(DISTINCT CASE WHEN user_class = 'hoarding' THEN user_id END) AS hoarding,
+  count(DISTINCT CASE WHEN user_class = 'agent' THEN user_id END) AS agent
+FROM creq GROUP BY day""")
+DASH_TRAFFIC_SHARE = _dash("""
+SELECT day, count(*) AS total_requests, count(*) FILTER (WHERE is_scraper) AS scraper_requests,
+  round(CAST(count(*) FILTER (WHERE is_scraper) AS DOUBLE) / count(*), 6) AS scraper_share
+FROM creq GROUP BY day""")
+DASH_SCRAPER_DAILY_CUMULATIVE = _dash("""
+SELECT d.day, d.ips, d.scraper_ips,
+  CAST(sum(coalesce(f.n, 0)) OVER (ORDER BY d.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+    AS cumulative_scrapers
+FROM (SELECT day, count(DISTINCT remote_addr) AS ips,
+             count(DISTINCT CASE WHEN is_scraper THEN remote_addr END) AS scraper_ips FROM creq GROUP BY day) d
+LEFT JOIN (SELECT day, count(*) AS n FROM (SELECT remote_addr, min(day) AS day FROM creq WHERE is_scraper
+           GROUP BY remote_addr) GROUP BY day) f ON d.day = f.day""")
+DASH_LINK_TRAFFIC_HOURLY = _dash("""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, server_addr,
+  count(*) AS requests, sum(count(*)) OVER (PARTITION BY date_trunc('hour', ts)) AS total_requests
+FROM creq GROUP BY date_trunc('hour', ts), server_addr""")
+DASH_COLLECTION_STATS = _dash("""
+SELECT server_addr, CAST(arg_max(active_user_num, (ts, active_user_num)) AS BIGINT) AS active_connections,
+  count(*) FILTER (WHERE day = DATE '2024-01-20' - 1) AS rows_day_minus_1,
+  count(*) FILTER (WHERE day = DATE '2024-01-20' - 2) AS rows_day_minus_2,
+  count(*) FILTER (WHERE day = DATE '2024-01-20' - 3) AS rows_day_minus_3
+FROM creq GROUP BY server_addr""")
+DASH_SCRAPER_TRAFFIC_SPINE = _dash("""
+SELECT CAST(s.day AS DATE) AS day, t.scraper_requests FROM (
+  SELECT unnest(generate_series((SELECT min(day) FROM creq WHERE is_scraper),
+                                (SELECT max(day) FROM creq WHERE is_scraper), INTERVAL 1 DAY)) AS day) s
+LEFT JOIN (SELECT day, count(*) AS scraper_requests FROM creq WHERE is_scraper GROUP BY day) t
+  ON CAST(s.day AS DATE) = t.day""")

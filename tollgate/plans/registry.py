@@ -235,3 +235,55 @@ def metric_histogram_daily(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.scoring import metric_histogram
     h = metric_histogram(daily_metrics_long(spark, base_dir))
     return h.select(_fmt("window_start"), _fmt("window_end"), "metric", "value", "key_count")
+
+
+# ---- step 7: dashboards (V1-V16) -----------------------------------------------
+
+AGENT_MIN_BUYERS = 2
+REF_DAY = "2024-01-20"
+
+
+def classified_requests(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Requests with travel type, day, scraper/hoarding/agent flags and user class.
+    Classes come from this data's own blacklist decisions and bookings."""
+    from tollgate.operators.dashboards import agent_buyers, classify_users
+    from tollgate.operators.scoring import blacklist_decisions
+    from tollgate.operators.tags import tag_travel_type
+    from tollgate.sources.bookings import bookings
+    dec = blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark))
+    scr = dec.filter(F.col("crawler_type") == 0).select("key")
+    hoard = dec.filter(F.col("crawler_type") == 1).select("key")
+    agents = agent_buyers(bookings(spark, base_dir), AGENT_MIN_BUYERS)
+    req = tag_travel_type(load_requests(spark, base_dir))
+    return classify_users(req, scr, hoard, agents)
+
+
+def _dash(name, fn_name, *args, select=None):
+    def run(spark: SparkSession, base_dir: str) -> DataFrame:
+        from tollgate.operators import dashboards as D
+        out = getattr(D, fn_name)(classified_requests(spark, base_dir), *args)
+        return out.select(*select) if select else out
+    register(name, getattr(O, "DASH_" + name.upper()))(run)
+
+
+_dash("funnel_daily", "funnel")
+_dash("funnel_by_class", "funnel_by_class")
+_dash("funnel_scope", "funnel_scope")
+_dash("scraper_travel_frequency", "scraper_travel_frequency")
+_dash("scraper_route_ranking", "scraper_route_ranking")
+_dash("hoarding_flight_ranking", "hoarding_flight_ranking")
+_dash("look_to_book", "look_to_book")
+_dash("user_class_counts", "user_class_counts")
+_dash("traffic_share", "traffic_share")
+_dash("scraper_daily_cumulative", "scraper_daily_cumulative")
+_dash("link_traffic_hourly", "link_traffic", "1 hour",
+      select=[_fmt("window_start"), "server_addr", "requests", "total_requests"])
+_dash("collection_stats", "collection_stats", REF_DAY)
+
+
+@register("scraper_traffic_spine", O.DASH_SCRAPER_TRAFFIC_SPINE)
+def scraper_traffic_spine(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.dashboards import date_spine
+    c = classified_requests(spark, base_dir)
+    series = c.filter("is_scraper").groupBy("day").agg(F.count(F.lit(1)).alias("scraper_requests"))
+    return date_spine(series)

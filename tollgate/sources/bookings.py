@@ -4,7 +4,8 @@ One booking per order (buyer = ``o_custkey``, contact = ``c_name``); status F
 adds a payment, P a cancellation, O stays unpaid. Payments land a few days
 after the booking (``o_orderkey % 3`` days) so "booked but not paid within the
 window" is a real anti join. Keys: IP block, buyer, contact name, contact
-phone (hashed), passenger, and contact name & phone together.
+phone (hashed; buyers with custkey % 10 = 0 share a phone with others of
+the same custkey % 50: the agents), passenger, and contact name & phone together.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ def bookings(spark: SparkSession, base_dir: str) -> DataFrame:
                                                      "o_orderdate")
     c = read_table(spark, base_dir, "customer").select("c_custkey", "c_name")
     j = o.join(maybe_broadcast(c), o.o_custkey == c.c_custkey, "left")
-    phone = md5_upper(F.concat(F.lit("139"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 8, "0")))
+    num = F.when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") % 50).otherwise(F.col("o_custkey"))
+    phone = md5_upper(F.concat(F.lit("139"), F.lpad(num.cast("string"), 8, "0")))
     return j.select(
         F.col("o_orderkey").alias("order_key"),
         F.col("o_orderdate").cast("timestamp").alias("book_ts"),

@@ -157,7 +157,7 @@ SCORE_RULES = [
     (11, 2, "ip_access_rt", "ip_access", 0, 0, 0, 2.0, None, 5, ">="),
 ]
 FLOW_SCHEMA = "flow_id int, flow_name string, status int, crawler_threshold double, occ_threshold double"
-FLOWS = [(1, "default", 0, 8.0, 5.0), (2, "strict", 0, 4.0, 100.0), (3, "retired", 1, 1.0, 1.0)]
+FLOWS = [(1, "default", 0, 20.0, 5.0), (2, "strict", 0, 4.0, 100.0), (3, "retired", 1, 1.0, 1.0)]
 
 
 def score_rules(spark: SparkSession) -> DataFrame:
