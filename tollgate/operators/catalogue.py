@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 from tollgate.operators.metrics import WIN, _with_window
 
-KEY_KINDS = {"ip_block": F.col("ip_block"), "buyer": F.col("buyer_id"),
-             "contact_name": F.col("contact_name"), "contact_phone": F.col("contact_phone"),
-             "passenger": F.col("passenger"),
-             "contact": F.concat(F.col("contact_name"), F.lit("|"), F.col("contact_phone"))}
+def key_kinds() -> dict:
+    return {"ip_block": F.col("ip_block"), "buyer": F.col("buyer_id"),
+            "contact_name": F.col("contact_name"), "contact_phone": F.col("contact_phone"),
+            "passenger": F.col("passenger"),
+            "contact": F.concat(F.col("contact_name"), F.lit("|"), F.col("contact_phone"))}
 
 
 def _keyed(events: DataFrame) -> DataFrame:
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("key_kind"), v.alias("key"))
-                                for k, v in KEY_KINDS.items()]))
+                                for k, v in key_kinds().items()]))
     return events.select("ts", "step", "order_key", kinds.alias("_k")).select(
         "ts", "step", "order_key", "_k.key_kind", "_k.key")
 
@@ -46,7 +47,7 @@ def unpaid_bookings(events: DataFrame, window: str | None = "1 day") -> DataFram
         cond += [pays.pay_ts >= books.window_start, pays.pay_ts < books.window_end]
     unpaid = books.join(pays, cond, "left_anti")
     kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("key_kind"), v.alias("key"))
-                                for n, v in KEY_KINDS.items()]))
+                                for n, v in key_kinds().items()]))
     k = unpaid.select(*WIN, kinds.alias("_k")).select(*WIN, "_k.key_kind", "_k.key")
     return k.groupBy(*WIN, "key_kind", "key").agg(F.count(F.lit(1)).alias("unpaid"))
 

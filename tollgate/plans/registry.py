@@ -262,7 +262,7 @@ def _dash(name, fn_name, *args, select=None):
     def run(spark: SparkSession, base_dir: str) -> DataFrame:
         from tollgate.operators import dashboards as D
         out = getattr(D, fn_name)(classified_requests(spark, base_dir), *args)
-        return out.select(*select) if select else out
+        return out.select(*select()) if select else out
     register(name, getattr(O, "DASH_" + name.upper()))(run)
 
 
@@ -277,7 +277,7 @@ _dash("user_class_counts", "user_class_counts")
 _dash("traffic_share", "traffic_share")
 _dash("scraper_daily_cumulative", "scraper_daily_cumulative")
 _dash("link_traffic_hourly", "link_traffic", "1 hour",
-      select=[_fmt("window_start"), "server_addr", "requests", "total_requests"])
+      select=lambda: [_fmt("window_start"), "server_addr", "requests", "total_requests"])
 _dash("collection_stats", "collection_stats", REF_DAY)
 
 
