@@ -3,7 +3,8 @@
 User classes: a request from a scraper-blacklisted IP is ``query``; a buyer
 blacklisted by a seat-hoarding flow is ``hoarding``; a buyer whose contact
 phone is shared by at least ``agent_min_buyers`` buyers is ``agent``; else
-``normal``. Class sets are joined (broadcast only behind a size check).
+``normal``. Class sets are derived from the data and joined plainly; adaptive execution
+turns a join into a broadcast only when the measured side is small.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import maybe_broadcast
 
 CLASSES = ["normal", "query", "hoarding", "agent"]
 
@@ -24,9 +24,9 @@ def agent_buyers(bookings: DataFrame, min_buyers: int = 2) -> DataFrame:
 
 
 def _member(df: DataFrame, col: Column, keys: DataFrame, out: str) -> DataFrame:
+    # derived key set: no probe; AQE broadcasts it at runtime if it is measured small
     k = keys.select(F.col(keys.columns[0]).alias(f"_{out}_k")).distinct() \
             .withColumn(f"_{out}_hit", F.lit(True))
-    k = maybe_broadcast(k)
     return (df.join(k, col == F.col(f"_{out}_k"), "left")
               .withColumn(out, F.coalesce(F.col(f"_{out}_hit"), F.lit(False)))
               .drop(f"_{out}_k", f"_{out}_hit"))

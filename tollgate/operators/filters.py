@@ -11,12 +11,20 @@ from tollgate.functions.text import is_ipv4_shape
 SEP = "#CS#"
 
 
+# Characters String.trim() removes: every char up to and including the space.
+_CTRL = "".join(chr(i) for i in range(0x21))
+
+
 def field_count(value: Column, sep: str = SEP) -> Column:
     """Number of fields after trimming, where trailing empty fields do not count
-    (``String.split`` semantics); control chars and spaces count as whitespace."""
-    trimmed = F.regexp_replace(value, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-    body = F.regexp_replace(trimmed, f"({sep})+$", "")
-    return F.when(F.length(body) == 0, F.lit(1)).otherwise(F.size(F.split(body, sep)))
+    (``String.split`` semantics). Regex-free: trim, split keeping empties, then
+    find the last non-empty field from the end."""
+    t = F.btrim(value, F.lit(_CTRL))
+    parts = F.split(t, sep, -1)
+    from_end = F.array_position(F.transform(F.reverse(parts), lambda x: F.length(x) > 0), True)
+    return (F.when(F.length(t) == 0, F.lit(1))
+             .when(from_end == 0, F.lit(0))
+             .otherwise(F.size(parts) - from_end + 1)).cast("int")
 
 
 def keep_complete_lines(df: DataFrame, value_col: str = "value", min_fields: int = 12) -> DataFrame:

@@ -1,4 +1,14 @@
-"""Join helpers: broadcast only behind a row-count check."""
+"""Join helpers: broadcast only behind a size check.
+
+Two kinds of small side:
+* configuration dimensions (rule tables, black lists): probed with a bounded
+  ``limit(n + 1).count()`` and hinted only when under the cap;
+* sides *derived* from the data (key sets, per-day tables): no probe (a probe
+  would execute the whole upstream plan once more). They are joined plainly and
+  adaptive execution measures the materialised shuffle and converts the join
+  to a broadcast only when the measured size is under
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+"""
 
 from __future__ import annotations
 

@@ -85,31 +85,48 @@ def _strip_brackets(j: Column) -> Column:
 def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", url="url",
                 body="request_body", content_type="content_type", behavior="behavior_type",
                 flight="flight_type", travel="travel_type") -> DataFrame:
-    """``query_data`` struct for query requests, NULL when no rule matched."""
+    """``query_data`` struct for query requests, NULL when no rule matched.
+
+    The chosen rule's document is built once per row (``_qmap`` for GET/form
+    parameters, ``_qtext`` for form-JSON or XML); every field reads from it.
+    """
     rid = choose_rule(rules, "Query", F.col(method), F.col(behavior), F.col(url))
     d = df.withColumn("_qrule", rid)
     rid = F.col("_qrule")
+    ct, b = F.lower(F.col(content_type)), F.coalesce(F.col(body), F.lit(""))
+
+    def fmt(r):
+        rm = (r["request_method"] or "").lower()
+        if rm == "get" and r["is_normal_get"]:
+            return "get"
+        if rm == "post" and r["is_normal_form"]:
+            return "form"
+        if rm == "post" and r["is_json"] and r["form_data_field"]:
+            return "form_json"
+        if rm == "post" and r["is_text_xml"] and r["is_xml"]:
+            return "xml"
+        return None
+
+    fmts = {r["rule_id"]: fmt(r) for r in rules}
     qs = kv_map(F.get(F.split(F.col(url), "[?]"), 1), "&", decode=False)
     form = kv_map(F.col(body), "&", decode=True)
-    xml = _xml_doc(F.col(body))
-    m, ct, b = F.lower(F.col(method)), F.lower(F.col(content_type)), F.coalesce(F.col(body), F.lit(""))
+    qmap = _per_rule(rid, rules, lambda r: {"get": qs, "form": form}.get(fmts[r["rule_id"]]))
+    qtext = _per_rule(rid, rules, lambda r: (
+        F.element_at(form, F.lit(r["form_data_field"])) if fmts[r["rule_id"]] == "form_json" else
+        F.when((ct == "text/xml") & (F.length(b) > 0), _xml_doc(F.col(body)))
+        if fmts[r["rule_id"]] == "xml" else None))
+    d = d.withColumn("_qmap", qmap.cast("map<string,string>")).withColumn("_qtext", qtext.cast("string"))
 
     def field(name):
         def fn(r):
-            p = r[name]
-            if p is None:
+            p, f = r[name], fmts[r["rule_id"]]
+            if p is None or f is None:
                 return None
-            rm = (r["request_method"] or "").lower()
-            if rm == "get" and r["is_normal_get"]:
-                return F.element_at(qs, F.lit(p))
-            if rm == "post" and r["is_normal_form"]:
-                return F.element_at(form, F.lit(p))
-            if rm == "post" and r["is_json"] and r["form_data_field"]:
-                return F.get_json_object(F.element_at(form, F.lit(r["form_data_field"])), p)
-            if rm == "post" and r["is_text_xml"] and r["is_xml"]:
-                return F.when((ct == "text/xml") & (F.length(b) > 0),
-                              F.xpath_string(xml, F.lit(p)))
-            return None
+            if f in ("get", "form"):
+                return F.element_at(F.col("_qmap"), F.lit(p))
+            if f == "form_json":
+                return F.get_json_object(F.col("_qtext"), p)
+            return F.xpath_string(F.col("_qtext"), F.lit(p))
         return F.coalesce(_per_rule(rid, rules, fn), F.lit(""))
 
     parsed_travel = field("q_travel_type").try_cast("int")
@@ -118,8 +135,7 @@ def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", ur
         enum_id(F.col(flight), FLIGHT_IDS).alias("flight_type"),
         *[field(c).alias(c[2:]) for c in QUERY_PATH_FIELDS if c != "q_travel_type"],
         F.coalesce(parsed_travel, enum_id(F.col(travel), TRAVEL_IDS)).alias("travel_type"))
-    _ = m
-    return d.withColumn("query_data", F.when(rid.isNotNull(), q)).drop("_qrule")
+    return d.withColumn("query_data", F.when(rid.isNotNull(), q)).drop("_qrule", "_qmap", "_qtext")
 
 
 def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url="url",
@@ -134,9 +150,7 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
     form = kv_map(F.col(body), "&", decode=True)
     xml = _xml_doc(F.col(body))
 
-    def source(r) -> tuple[str, Column] | None:
-        if ct is None:
-            return None
+    def doc_of(r) -> tuple[str, Column] | None:
         if r["is_text_xml"] and r["is_xml"]:
             return "xml", F.when((ct == "text/xml") & (F.length(b) > 0), xml)
         if r["is_application_json"] and r["is_json"] and not r["is_normal_form"]:
@@ -146,6 +160,14 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
             return "json", F.when(F.length(F.trim(j)) > 0, j)
         return None
 
+    docs = {r["rule_id"]: doc_of(r) for r in rules}
+    # the chosen rule's document, built once per row; fields read from it
+    d = d.withColumn("_bdoc", _per_rule(rid, rules, lambda r: docs[r["rule_id"]][1]
+                                        if docs[r["rule_id"]] else None).cast("string"))
+
+    def source(r) -> tuple[str, Column] | None:
+        return (docs[r["rule_id"]][0], F.col("_bdoc")) if docs[r["rule_id"]] else None
+
     def lst(name, cut: str | None = None):
         def fn(r):
             p, src = r[name], source(r)
@@ -193,7 +215,7 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
         lst("b_flight_date").alias("flight_date"),
         lst("b_flight_no").alias("flight_no"),
         lst("b_cabin").alias("cabin"))
-    return d.withColumn("book_data", F.when(rid.isNotNull(), bk)).drop("_brule")
+    return d.withColumn("book_data", F.when(rid.isNotNull(), bk)).drop("_brule", "_bdoc")
 
 
 def core_params(df: DataFrame) -> DataFrame:

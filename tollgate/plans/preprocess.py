@@ -44,7 +44,8 @@ def process_messages(msgs: DataFrame, dims: Dimensions, bounded_phone: bool = Fa
     """F2, P6/P7, P2-P5, G1-G3, X1-X10, P9 on twelve-column messages."""
     rules = load_rules(dims.parse_rules)
     d = drop_filtered_urls(msgs, dims.url_filter, "request")
-    d = d.withColumn("http_cookie", redact_id_card(redact_phone(F.col("http_cookie"), bounded_phone)))
+    d = d.withColumn("http_cookie", redact_phone(F.col("http_cookie"), bounded_phone))
+    d = d.withColumn("http_cookie", redact_id_card(F.col("http_cookie")))
     d = d.withColumn("url", url_path(F.col("request")))
     cm = cookie_map(F.col("http_cookie"))
     d = d.withColumn("_cookies", cm) \

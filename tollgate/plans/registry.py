@@ -287,3 +287,29 @@ def scraper_traffic_spine(spark: SparkSession, base_dir: str) -> DataFrame:
     c = classified_requests(spark, base_dir)
     series = c.filter("is_scraper").groupBy("day").agg(F.count(F.lit(1)).alias("scraper_requests"))
     return date_spine(series)
+
+
+# ---- step 9: detectors (V18-V21); iterative training -> no SQL twin ---------------
+
+def _predictions(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import decision_tree, feature_frame, kmeans
+    from tollgate.operators.scoring import blacklist_decisions
+    gap = [r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8]
+    wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=int(gap))
+    dec = blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark)) \
+        .filter(F.col("crawler_type") == 0)
+    feats = feature_frame(wide, dec).cache()
+    cols = ["model", "window_start", "ip", "label", "prediction"]
+    return decision_tree(feats).select(*cols).unionByName(kmeans(feats).select(*cols))
+
+
+@register("detector_accuracy_daily")
+def detector_accuracy_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import accuracy_by_date
+    return accuracy_by_date(_predictions(spark, base_dir))
+
+
+@register("detector_fit_rate")
+def detector_fit_rate(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import fit_rate
+    return fit_rate(_predictions(spark, base_dir))
