@@ -141,31 +141,38 @@ def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts
                       route(F.coalesce(F.col(dep_col), F.lit("")),
                             F.coalesce(F.col(arr_col), F.lit(""))).alias("rt"))
     p, sliding = _panes(base, "ts", window, slide)
-    # counts: partial aggregation before the shuffle
-    if sliding:
+    if not sliding:
+        # tumbling / whole input: counts and the three exact distinct counts in ONE
+        # aggregation (Spark's distinct rewrite: Expand, dedup keyed by value,
+        # then per-IP partial counts -- no task ever holds one IP's raw rows)
+        counts = p.groupBy(*WIN, "ip").agg(
+            F.count(F.lit(1)).alias("access_count"),
+            F.count_if("crit").cast("bigint").alias("critical_count"),
+            F.count_distinct("ua").alias("user_agent_count"),
+            F.count_distinct("sid").alias("cookie_count"),
+            F.count_distinct("rt").alias("route_count"))
+        dist = None
+    else:
         counts = (p.groupBy("_pane", "ip").agg(F.count(F.lit(1)).alias("_n"),
                                               F.count_if("crit").alias("_c")))
         counts = _expand(counts, window, slide).groupBy(*WIN, "ip").agg(
             F.sum("_n").cast("bigint").alias("access_count"),
             F.sum("_c").cast("bigint").alias("critical_count"))
-    else:
-        counts = p.groupBy(*WIN, "ip").agg(F.count(F.lit(1)).alias("access_count"),
-                                          F.count_if("crit").cast("bigint").alias("critical_count"))
-    # distinct counts: one long (kind, value) stream, single-distinct two-phase plan
-    kinds = F.expr("stack(3, 'ua', ua, 'sid', sid, 'rt', rt) AS (_kind, _v)")
-    keycols = ["_pane"] if sliding else WIN
-    long = p.select(*keycols, "ip", kinds)
-    if sliding:
-        long = _expand(long.distinct(), window, slide)
-    d = long.groupBy(*WIN, "ip", "_kind").agg(F.count_distinct("_v").alias("_d"))
-    dist = d.groupBy(*WIN, "ip").agg(
-        F.max(F.when(F.col("_kind") == "ua", F.col("_d"))).alias("user_agent_count"),
-        F.max(F.when(F.col("_kind") == "sid", F.col("_d"))).alias("cookie_count"),
-        F.max(F.when(F.col("_kind") == "rt", F.col("_d"))).alias("route_count"))
+        # distinct counts: one long (kind, value) stream, deduplicated per pane
+        # before the window expansion, then a single-distinct two-phase count
+        kinds = F.expr("stack(3, 'ua', ua, 'sid', sid, 'rt', rt) AS (_kind, _v)")
+        long = _expand(p.select("_pane", "ip", kinds).distinct(), window, slide)
+        d = long.groupBy(*WIN, "ip", "_kind").agg(F.count_distinct("_v").alias("_d"))
+        dist = d.groupBy(*WIN, "ip").agg(
+            F.max(F.when(F.col("_kind") == "ua", F.col("_d"))).alias("user_agent_count"),
+            F.max(F.when(F.col("_kind") == "sid", F.col("_d"))).alias("cookie_count"),
+            F.max(F.when(F.col("_kind") == "rt", F.col("_d"))).alias("route_count"))
     gaps = interval_metrics(base.filter("crit"), F.col("ip"), ts_col="ts", window=window,
                             slide=slide, gap_ms=gap_ms).withColumnRenamed("key", "ip")
     keys = ["ip"] if window is None else [*WIN, "ip"]
-    out = counts.join(dist.drop(*WIN) if window is None else dist, keys, "left")
+    out = counts
+    if dist is not None:
+        out = out.join(dist, keys, "left")
     out = out.join(gaps.drop(*WIN) if window is None else gaps, keys, "left")
     return out.select(*WIN, "ip", *WIDE_METRICS)
 
