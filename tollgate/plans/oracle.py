@@ -504,3 +504,11 @@ SELECT CAST(s.day AS DATE) AS day, t.scraper_requests FROM (
                                 (SELECT max(day) FROM creq WHERE is_scraper), INTERVAL 1 DAY)) AS day) s
 LEFT JOIN (SELECT day, count(*) AS scraper_requests FROM creq WHERE is_scraper GROUP BY day) t
   ON CAST(s.day AS DATE) = t.day""")
+
+
+LINK_STATS = with_requests("""
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+       server_addr, count(*) AS request_count,
+       CAST(arg_max(active_user_num, (ts, active_user_num)) AS BIGINT) AS active_user_num
+FROM requests GROUP BY date_trunc('hour', ts), server_addr""")

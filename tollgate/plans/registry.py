@@ -313,3 +313,13 @@ def detector_accuracy_daily(spark: SparkSession, base_dir: str) -> DataFrame:
 def detector_fit_rate(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.detectors import fit_rate
     return fit_rate(_predictions(spark, base_dir))
+
+
+# ---- link statistics (A9, A10) ---------------------------------------------------
+
+@register("link_stats_hourly", O.LINK_STATS)
+def link_stats_hourly(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Requests per server link and its latest active-connection count per hour."""
+    s = M.link_counts(load_requests(spark, base_dir), window="1 hour")
+    return s.select(_fmt("window_start"), _fmt("window_end"), "server_addr", "request_count",
+                    "active_user_num")

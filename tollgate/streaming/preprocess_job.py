@@ -81,3 +81,8 @@ def start_preprocess(lines: DataFrame, out_dir: str, checkpoint: str,
     w = lines.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": PREPROCESS_TRIGGER}))
     return w.start()
+
+
+def live_monitor(monitor: DataFrame, now_ms) -> DataFrame:
+    """IO12 live view: monitor records whose TTL has not run out."""
+    return monitor.filter(F.col("expires_at") > now_ms)
