@@ -56,6 +56,55 @@ def _expand(df: DataFrame, window: str, slide: str) -> DataFrame:
     return _with_window(df, F.col("_pane"), window, slide).drop("_pane")
 
 
+_UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
+            "day": 86_400_000, "week": 7 * 86_400_000}
+
+
+def duration_ms(text: str) -> int:
+    """``'5 minutes'`` -> 300000 (the interval forms used for windows)."""
+    n, unit = text.split()
+    return int(float(n) * _UNIT_MS[unit.lower().rstrip("s")])
+
+
+def sliding_distinct_counts(p: DataFrame, marks: DataFrame, window: str, slide: str,
+                            kinds: list[str]) -> DataFrame:
+    """Exact distinct counts per sliding window without copying values into windows.
+
+    ``p`` holds ``(_pane, ip, <kind columns>)``; ``marks`` the ``(window_start, ip, ...)``
+    rows to answer (extra columns are carried through). Each distinct value
+    occurrence in a pane newly covers a contiguous range of window starts (those not
+    already covered by the value's previous pane); it adds +1 at the range start and
+    -1 after it. Deltas are summed per (ip, start) and a running sum per IP, read at
+    the answer rows, is the distinct count. Ordered partitions hold at most one row
+    per window start of the IP (bounded by time span / slide, not by traffic).
+    """
+    W, P = duration_ms(window), duration_ms(slide)
+    stack = "stack({n}, {args}) AS (_kind, _v)".format(
+        n=len(kinds), args=", ".join(f"'{k}', {k}" for k in kinds))
+    d = p.select(F.unix_millis("_pane").alias("_pm"), "ip", F.expr(stack)).distinct()
+    prev = F.lag("_pm").over(Window.partitionBy("ip", "_kind", "_v").orderBy("_pm"))
+    first_start = F.col("_pm") - F.lit(W - P)
+    start = F.when(prev.isNull(), first_start).otherwise(F.greatest(first_start, prev + F.lit(P)))
+    ev = d.select("ip", "_kind", start.alias("_a"), (F.col("_pm") + F.lit(P)).alias("_b"))
+    deltas = ev.select("ip", "_kind", F.explode(F.array(
+        F.struct(F.col("_a").alias("s"), F.lit(1).alias("dl")),
+        F.struct(F.col("_b").alias("s"), F.lit(-1).alias("dl")))).alias("e")) \
+        .select("ip", "_kind", F.col("e.s").alias("s"), F.col("e.dl").alias("dl"))
+    per_s = deltas.groupBy("ip", "s").agg(
+        *[F.sum(F.when(F.col("_kind") == k, F.col("dl")).otherwise(F.lit(0))).alias(f"_d_{k}") for k in kinds])
+    carry = [c for c in marks.columns if c not in ("window_start", "ip")]
+    m = marks.select("ip", F.unix_millis("window_start").alias("s"), F.lit(1).alias("_mark"), *carry,
+                     *[F.lit(0).cast("bigint").alias(f"_d_{k}") for k in kinds])
+    e = per_s.select("ip", "s", F.lit(0).alias("_mark"),
+                     *[F.lit(None).cast(marks.schema[c].dataType).alias(c) for c in carry],
+                     *[F.col(f"_d_{k}").cast("bigint").alias(f"_d_{k}") for k in kinds])
+    u = m.unionByName(e)
+    w = Window.partitionBy("ip").orderBy("s", "_mark").rowsBetween(Window.unboundedPreceding, 0)
+    r = u.select("ip", "s", "_mark", *carry, *[F.sum(f"_d_{k}").over(w).alias(k) for k in kinds])
+    return r.filter(F.col("_mark") == 1).select(
+        F.timestamp_millis("s").alias("window_start"), "ip", *carry, *[F.col(k).cast("bigint").alias(k) for k in kinds])
+
+
 def keyed_count(df: DataFrame, key: Column, *, ts_col: str = "ts", window: str | None = None,
                 slide: str | None = None, name: str = "value",
                 weight: Column | None = None) -> DataFrame:
@@ -158,15 +207,12 @@ def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts
         counts = _expand(counts, window, slide).groupBy(*WIN, "ip").agg(
             F.sum("_n").cast("bigint").alias("access_count"),
             F.sum("_c").cast("bigint").alias("critical_count"))
-        # distinct counts: one long (kind, value) stream, deduplicated per pane
-        # before the window expansion, then a single-distinct two-phase count
-        kinds = F.expr("stack(3, 'ua', ua, 'sid', sid, 'rt', rt) AS (_kind, _v)")
-        long = _expand(p.select("_pane", "ip", kinds).distinct(), window, slide)
-        d = long.groupBy(*WIN, "ip", "_kind").agg(F.count_distinct("_v").alias("_d"))
-        dist = d.groupBy(*WIN, "ip").agg(
-            F.max(F.when(F.col("_kind") == "ua", F.col("_d"))).alias("user_agent_count"),
-            F.max(F.when(F.col("_kind") == "sid", F.col("_d"))).alias("cookie_count"),
-            F.max(F.when(F.col("_kind") == "rt", F.col("_d"))).alias("route_count"))
+        # distinct counts by range deltas (no copy of values into the 60 windows)
+        counts = sliding_distinct_counts(p.select("_pane", "ip", "ua", "sid", "rt"), counts,
+                                         window, slide, ["ua", "sid", "rt"]) \
+            .withColumnRenamed("ua", "user_agent_count").withColumnRenamed("sid", "cookie_count") \
+            .withColumnRenamed("rt", "route_count")
+        dist = None
     gaps = interval_metrics(base.filter("crit"), F.col("ip"), ts_col="ts", window=window,
                             slide=slide, gap_ms=gap_ms).withColumnRenamed("key", "ip")
     keys = ["ip"] if window is None else [*WIN, "ip"]
