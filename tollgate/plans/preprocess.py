@@ -34,9 +34,15 @@ class Dimensions:
                    dim.black_ips(spark), dim.critical_page_rules(spark))
 
 
+def parse_complete_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """F1 + P1 in one pass: complete lines parsed to columns, flagged by
+    ``is_valid_number`` (False rows belong to the reject output)."""
+    return parse_raw(keep_complete_lines(lines, value_col), value_col)
+
+
 def ingest_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """F1 + P1: complete lines parsed to columns; (accepted, rejected-number) rows."""
-    parsed = parse_raw(keep_complete_lines(lines, value_col), value_col)
+    """F1 + P1: (accepted, rejected-number) rows."""
+    parsed = parse_complete_lines(lines, value_col)
     return parsed.filter("is_valid_number"), parsed.filter(~F.col("is_valid_number"))
 
 

@@ -107,12 +107,11 @@ def ip_metrics_long_daily(spark: SparkSession, base_dir: str) -> DataFrame:
 
 @register("raw_line_ingest", O.RAW_LINE_INGEST)
 def raw_line_ingest(spark: SparkSession, base_dir: str) -> DataFrame:
-    from tollgate.plans.preprocess import ingest_lines
+    from tollgate.plans.preprocess import parse_complete_lines
     from tollgate.sources.requests import raw_lines
-    ok, bad = ingest_lines(raw_lines(load_requests(spark, base_dir)))
-    cols = ["event_id", "remote_addr", "request", "time_iso8601", "active_user_num"]
-    return (ok.select(*cols, F.lit(True).alias("accepted"))
-              .unionByName(bad.select(*cols, F.lit(False).alias("accepted"))))
+    parsed = parse_complete_lines(raw_lines(load_requests(spark, base_dir)))
+    return parsed.select("event_id", "remote_addr", "request", "time_iso8601", "active_user_num",
+                         F.col("is_valid_number").alias("accepted"))
 
 
 def _preprocessed(spark, base_dir):
