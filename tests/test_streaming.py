@@ -94,3 +94,33 @@ def test_preprocess_stream_equals_batch_and_refreshes_dims(spark):
     assert rej.count() == ingest_lines(lines)[1].count()
     mon = spark.read.parquet(os.path.join(out_dir, "monitor"))
     assert mon.count() == 2 and mon.first()["json"].startswith('{"servers_count"')
+
+
+def test_stream_booking_catalogue_equals_batch(spark):
+    from tollgate.operators.catalogue import booking_metrics, unpaid_bookings
+    from tollgate.sources.bookings import booking_events, bookings
+    base = _dir(spark, "stream-book")
+    ev = booking_events(bookings(spark, SF_SMALL))
+    ev.coalesce(1).write.parquet(os.path.join(base, "in", "a"))
+    ev.limit(1).withColumn("ts", F.to_timestamp(F.lit("2030-01-01"))).coalesce(1) \
+      .write.parquet(os.path.join(base, "in", "b"))
+
+    def run(df, name):
+        q = (df.writeStream.format("memory").queryName(name).outputMode("append")
+             .option("checkpointLocation", os.path.join(base, "ck-" + name))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.table(name).filter(F.year("window_start") < 2030)
+
+    def src():
+        return (spark.readStream.format("parquet").schema(ev.schema).option("maxFilesPerTrigger", 1)
+                .load(os.path.join(base, "in", "*")))
+    tag = uuid.uuid4().hex[:6]
+    got_m = run(SM.stream_booking_metrics(src(), window="1 day", watermark="0 seconds"), "bm" + tag)
+    got_u = run(SM.stream_unpaid_bookings(src(), window="1 day", watermark="0 seconds"), "ub" + tag)
+    exp_m = booking_metrics(ev, "1 day")
+    exp_u = unpaid_bookings(ev, "1 day")
+    cm = ["window_start", "key_kind", "key", "bookings", "payments", "cancellations"]
+    assert sorted(map(tuple, got_m.select(*cm).collect())) == sorted(map(tuple, exp_m.select(*cm).collect()))
+    cu = ["window_start", "key_kind", "key", "unpaid"]
+    assert sorted(map(tuple, got_u.select(*cu).collect())) == sorted(map(tuple, exp_u.select(*cu).collect()))
