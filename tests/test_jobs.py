@@ -29,3 +29,15 @@ def test_preprocess_and_rule_metrics_and_restore(spark):
     got = jobs.restore_job(spark, os.path.join(out, "blacklist"), [hour], now)
     assert got.count() > 0 and got.filter(F.col("ttl_ms") < 1000).count() == 0
     assert jobs.restore_job(spark, os.path.join(out, "blacklist"), [hour], now, enabled=False) is None
+
+
+def test_dashboards_job_matches_registered_queries(spark):
+    import __spark_entry__ as E
+    from tollgate.plans.registry import classified_requests
+    out = scratch_path(spark, f"dash-{uuid.uuid4().hex[:8]}")
+    paths = jobs.dashboards_job(spark, classified_requests(spark, SF_SMALL), out,
+                                run_id=f"d{uuid.uuid4().hex[:6]}")
+    got = spark.read.parquet(paths["traffic_share"])
+    exp = E.queries()["traffic_share"](spark, SF_SMALL)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.select(*got.columns).collect()))
+    assert len(paths) == 12

@@ -71,3 +71,31 @@ def restore_job(spark: SparkSession, blacklist_path: str, hours: list[str], now_
         return None
     recs = read_hours(spark, blacklist_path, hours).select("key_exp_time", "key", "value")
     return restore(recs, F.lit(now_ms), live_keys)
+
+
+DASHBOARDS = {
+    "funnel": "funnel", "funnel_by_class": "funnel_by_class", "funnel_scope": "funnel_scope",
+    "scraper_travel_frequency": "scraper_travel_frequency",
+    "scraper_route_ranking": "scraper_route_ranking",
+    "hoarding_flight_ranking": "hoarding_flight_ranking", "look_to_book": "look_to_book",
+    "user_class_counts": "user_class_counts", "traffic_share": "traffic_share",
+    "scraper_daily_cumulative": "scraper_daily_cumulative", "link_traffic": "link_traffic",
+}
+
+
+def dashboards_job(spark: SparkSession, classified: DataFrame, out_dir: str,
+                   run_id: str = "run") -> dict[str, str]:
+    """V1-V16 together: the classified requests (scoring + class joins) are
+    written once under the shared checkpoint folder, and every dashboard table
+    is built from that written table. Returns table name -> output path."""
+    from tollgate.operators import dashboards as D
+    base = _materialise(spark, classified, f"{run_id}-classified")
+    out = {}
+    for name, fn in DASHBOARDS.items():
+        path = os.path.join(out_dir, name)
+        getattr(D, fn)(base).write.mode("overwrite").parquet(path)
+        out[name] = path
+    spine = D.date_spine(base.filter("is_scraper").groupBy("day").agg(F.count(F.lit(1)).alias("scraper_requests")))
+    spine.write.mode("overwrite").parquet(os.path.join(out_dir, "scraper_traffic_spine"))
+    out["scraper_traffic_spine"] = os.path.join(out_dir, "scraper_traffic_spine")
+    return out
