@@ -250,8 +250,12 @@ def classified_requests(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.tags import tag_travel_type
     from tollgate.sources.bookings import bookings
     dec = blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark))
-    scr = dec.filter(F.col("crawler_type") == 0).select("key")
-    hoard = dec.filter(F.col("crawler_type") == 1).select("key")
+    # one per-key verdict table; both key sets read it, so its shuffle is computed once
+    verdicts = dec.groupBy("key").agg(
+        F.max((F.col("crawler_type") == 0).cast("int")).alias("scr"),
+        F.max((F.col("crawler_type") == 1).cast("int")).alias("hoard"))
+    scr = verdicts.filter("scr = 1").select("key")
+    hoard = verdicts.filter("hoard = 1").select("key")
     agents = agent_buyers(bookings(spark, base_dir), AGENT_MIN_BUYERS)
     req = tag_travel_type(load_requests(spark, base_dir))
     return classify_users(req, scr, hoard, agents)
