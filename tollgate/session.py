@@ -25,6 +25,28 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(shuffle_bytes: float, target_partition_bytes: float = 256 * 2**20) -> dict:
+    """Settings for a large cluster, sized from the expected largest shuffle.
+
+    Initial shuffle partitions ~ shuffle bytes / target (AQE coalesces the small
+    ones at runtime and splits skewed ones); input splits of 256 MB; broadcast
+    only for sides measured under 64 MB; a partition is skewed at 5x the median.
+    """
+    parts = max(200, int(shuffle_bytes / target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tollgate", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the required settings applied."""
@@ -54,12 +76,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we create one of our own.
+    Only a local session (tests) without the setting gets a folder of our own;
+    on a cluster a machine-local folder would not survive a lost executor, so
+    the setting is required there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         d = tempfile.mkdtemp(prefix="tollgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
