@@ -122,3 +122,33 @@ def test_book_json_single_passenger(spark):
     b2 = parse_book(_msg(spark, "POST", "/B2C40/book/direct/order.ao",
                          "application/x-www-form-urlencoded", form, behavior="Book"), rules).first()["book_data"]
     assert b2["user_id"] == "u9" and b2["dep_city"] == ["CAN"]
+
+
+def java_kv_model(text, sep, decode):
+    """Python model of the reference's splitting (String.split drops trailing empties)."""
+    from urllib.parse import unquote_plus
+
+    def jsplit(s, d):
+        parts = s.split(d)
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts or ([""] if s == "" else [])
+    out = {}
+    for piece in jsplit(text, sep):
+        kv = jsplit(piece, "=")
+        if len(kv) > 1:
+            v = unquote_plus(kv[1], errors="strict") if decode else kv[1]
+            out[kv[0].strip()] = v
+    return out
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", " a", "JSESSIONID", ""]),
+                          st.sampled_from(["", "=", "=1", "==2", "=x=y", "=%41", "=a+b"])), max_size=6))
+def test_kv_map_matches_java_split_model(spark, pairs):
+    text = ";".join(k + v for k, v in pairs)
+    got = spark.createDataFrame([(text,)], "c string").select(T.kv_map(F.col("c"), ";", True)).first()[0]
+    assert dict(got or {}) == java_kv_model(text, ";", True)

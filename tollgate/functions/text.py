@@ -34,16 +34,20 @@ def decode_value(c: Column) -> Column:
 
 
 def kv_map(text: Column, pair_sep: str, decode: bool) -> Column:
-    """``k=v<sep>k=v`` -> MAP<STRING,STRING>.
+    """``k=v<sep>k=v`` -> MAP<STRING,STRING>, with ``String.split`` semantics.
 
-    A value ends at a second ``=``; pairs without a value are skipped; keys are
-    trimmed; the last occurrence of a key wins (session ``mapKeyDedupPolicy``).
+    A pair is kept when its ``=``-split has a non-empty part after the key
+    (trailing empty parts do not count), and its value is the second part (so
+    ``a==b`` gives ``a -> ''`` and ``a=x=y`` gives ``a -> x``; ``a`` and ``a=``
+    are skipped). Keys are trimmed; the last occurrence of a key wins (session
+    ``mapKeyDedupPolicy``); a value that fails to decode drops its pair.
     """
     pieces = F.split(F.coalesce(text, F.lit("")), pair_sep)
-    entries = F.transform(pieces, lambda p: F.struct(
-        F.trim(F.get(F.split(p, "="), 0)).alias("key"),
-        F.get(F.split(p, "="), 1).alias("raw")))
-    entries = F.filter(entries, lambda e: (F.length(e["raw"]) > 0) & (F.length(e["key"]) > 0))
+    entries = F.transform(pieces, lambda p: F.split(p, "="))
+    entries = F.filter(entries, lambda kv: F.exists(F.slice(kv, 2, F.greatest(F.size(kv), F.lit(1))),
+                                                     lambda x: F.length(x) > 0))
+    entries = F.transform(entries, lambda kv: F.struct(F.trim(F.get(kv, 0)).alias("key"),
+                                                       F.get(kv, 1).alias("raw")))
     if decode:
         entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"),
                                                           decode_value(e["raw"]).alias("value")))
