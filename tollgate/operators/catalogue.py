@@ -14,30 +14,34 @@ from pyspark.sql import functions as F
 
 from tollgate.operators.metrics import WIN, _with_window
 
-def key_kinds() -> dict:
-    return {"ip_block": F.col("ip_block"), "buyer": F.col("buyer_id"),
+def key_kinds(only: set[str] | None = None) -> dict:
+    kinds = {"ip_block": F.col("ip_block"), "buyer": F.col("buyer_id"),
             "contact_name": F.col("contact_name"), "contact_phone": F.col("contact_phone"),
             "passenger": F.col("passenger"),
             "contact": F.concat(F.col("contact_name"), F.lit("|"), F.col("contact_phone"))}
+    return {k: v for k, v in kinds.items() if only is None or k in only}
 
 
-def _keyed(events: DataFrame) -> DataFrame:
+def _keyed(events: DataFrame, only: set[str] | None = None) -> DataFrame:
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("key_kind"), v.alias("key"))
-                                for k, v in key_kinds().items()]))
+                                for k, v in key_kinds(only).items()]))
     return events.select("ts", "step", "order_key", kinds.alias("_k")).select(
         "ts", "step", "order_key", "_k.key_kind", "_k.key")
 
 
-def booking_metrics(events: DataFrame, window: str | None = "1 day") -> DataFrame:
-    """Wide: bookings, payments, cancellations per (window, key_kind, key)."""
-    k = _with_window(_keyed(events), F.col("ts"), window, None)
+def booking_metrics(events: DataFrame, window: str | None = "1 day",
+                    kinds: set[str] | None = None) -> DataFrame:
+    """Wide: bookings, payments, cancellations per (window, key_kind, key);
+    ``kinds`` limits the key kinds computed."""
+    k = _with_window(_keyed(events, kinds), F.col("ts"), window, None)
     return k.groupBy(*WIN, "key_kind", "key").agg(
         F.count_if(F.col("step") == "book").cast("bigint").alias("bookings"),
         F.count_if(F.col("step") == "pay").cast("bigint").alias("payments"),
         F.count_if(F.col("step") == "cancel").cast("bigint").alias("cancellations"))
 
 
-def unpaid_bookings(events: DataFrame, window: str | None = "1 day") -> DataFrame:
+def unpaid_bookings(events: DataFrame, window: str | None = "1 day",
+                    kinds: set[str] | None = None) -> DataFrame:
     """Booked-not-paid: bookings with no payment of the same order inside the
     booking's window (left anti join on the order key + time condition)."""
     books = _with_window(events.filter(F.col("step") == "book"), F.col("ts"), window, None)
@@ -46,19 +50,24 @@ def unpaid_bookings(events: DataFrame, window: str | None = "1 day") -> DataFram
     if window is not None:
         cond += [pays.pay_ts >= books.window_start, pays.pay_ts < books.window_end]
     unpaid = books.join(pays, cond, "left_anti")
-    kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("key_kind"), v.alias("key"))
-                                for n, v in key_kinds().items()]))
-    k = unpaid.select(*WIN, kinds.alias("_k")).select(*WIN, "_k.key_kind", "_k.key")
+    ex = F.explode(F.array(*[F.struct(F.lit(n).alias("key_kind"), v.alias("key"))
+                             for n, v in key_kinds(kinds).items()]))
+    k = unpaid.select(*WIN, ex.alias("_k")).select(*WIN, "_k.key_kind", "_k.key")
     return k.groupBy(*WIN, "key_kind", "key").agg(F.count(F.lit(1)).alias("unpaid"))
 
 
-def catalogue_long(metrics: DataFrame, unpaid: DataFrame) -> DataFrame:
+CATALOGUE_MEASURES = ("bookings", "payments", "cancellations", "unpaid")
+
+
+def catalogue_long(metrics: DataFrame | None, unpaid: DataFrame | None,
+                   measures: tuple[str, ...] = CATALOGUE_MEASURES) -> DataFrame:
     """Long form ``(window, metric, key, value)`` with metric ``<kind>_by_<key_kind>``."""
     parts = [metrics.select(*WIN, F.concat(F.lit(f"{m}_by_"), F.col("key_kind")).alias("metric"),
                             "key", F.col(m).alias("value")).where(F.col(m) > 0)
-             for m in ("bookings", "payments", "cancellations")]
-    parts.append(unpaid.select(*WIN, F.concat(F.lit("unpaid_by_"), F.col("key_kind")).alias("metric"),
-                               "key", F.col("unpaid").cast("bigint").alias("value")))
+             for m in ("bookings", "payments", "cancellations") if m in measures and metrics is not None]
+    if unpaid is not None and "unpaid" in measures:
+        parts.append(unpaid.select(*WIN, F.concat(F.lit("unpaid_by_"), F.col("key_kind")).alias("metric"),
+                                   "key", F.col("unpaid").cast("bigint").alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -235,10 +235,11 @@ METRIC_NAMES = {
 }
 
 
-def to_long(wide: DataFrame, key_col: str = "ip") -> DataFrame:
+def to_long(wide: DataFrame, key_col: str = "ip", only: set[str] | None = None) -> DataFrame:
     """Wide metrics -> ``(window_start, window_end, metric, key, value)``;
-    absent metrics (NULL) produce no row, as in the reference's per-metric maps."""
-    cols = [c for c in METRIC_NAMES if c in wide.columns]
+    absent metrics (NULL) produce no row, as in the reference's per-metric maps.
+    ``only`` keeps the named long metrics (unused aggregates are then pruned)."""
+    cols = [c for c in METRIC_NAMES if c in wide.columns and (only is None or METRIC_NAMES[c] in only)]
     renamed = wide.select(*WIN, F.col(key_col).alias("key"),
                           *[F.col(c).cast("bigint").alias(METRIC_NAMES[c]) for c in cols])
     long = renamed.unpivot([*WIN, "key"], [METRIC_NAMES[c] for c in cols], "metric", "value")

@@ -182,25 +182,58 @@ register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))
 RESTORE_NOW = "2024-01-20 00:00:00"
 
 
-def daily_metrics_long(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Every daily metric in long form: per-IP (A2-A8), per block (A1) and the
-    booking-side catalogue; the close-interval gap comes from the rule's arg1."""
-    from tollgate.operators.catalogue import booking_metrics, catalogue_long, unpaid_bookings
+def daily_metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | None = None) -> DataFrame:
+    """Daily metrics in long form: per-IP (A2-A8), per block (A1) and the
+    booking-side catalogue; the close-interval gap comes from the rule's arg1.
+    ``metrics`` limits the output to the named metrics, and only what they need
+    is computed (Catalyst prunes the unused aggregates and branches)."""
+    from tollgate.operators.catalogue import (CATALOGUE_MEASURES, booking_metrics, catalogue_long,
+                                              unpaid_bookings)
     from tollgate.sources.bookings import booking_events, bookings
+
+    def want(m):
+        return metrics is None or m in metrics
     gap = [r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8]
-    ipm = M.to_long(M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=int(gap)))
-    blk = M.ip_block_counts(load_requests(spark, base_dir), window="1 day").select(
-        *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
-        F.col("access_count").alias("value"))
-    ev = booking_events(bookings(spark, base_dir))
-    cat = catalogue_long(booking_metrics(ev, "1 day"), unpaid_bookings(ev, "1 day"))
-    return ipm.unionByName(blk).unionByName(cat)
+    parts = []
+    ip_names = {v for v in M.METRIC_NAMES.values() if want(v)}
+    if ip_names:
+        wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=int(gap))
+        parts.append(M.to_long(wide, only=ip_names))
+    if want("ip_block_access"):
+        parts.append(M.ip_block_counts(load_requests(spark, base_dir), window="1 day").select(
+            *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
+            F.col("access_count").alias("value")))
+    cat = {(m, k) for m in CATALOGUE_MEASURES for k in ("ip_block", "buyer", "contact_name",
+                                                         "contact_phone", "passenger", "contact")
+           if want(f"{m}_by_{k}")}
+    if cat:
+        ev = booking_events(bookings(spark, base_dir))
+        measures = tuple(sorted({m for m, _ in cat}))
+        kinds = {k for _, k in cat}
+        bm = booking_metrics(ev, "1 day", kinds) if set(measures) - {"unpaid"} else None
+        up = unpaid_bookings(ev, "1 day", kinds) if "unpaid" in measures else None
+        long = catalogue_long(bm, up, measures)
+        if metrics is not None:
+            long = long.where(F.col("metric").isin(sorted(metrics)))
+        parts.append(long)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def rule_metrics(spark: SparkSession, rule_type: int) -> set[str]:
+    """Metric names referenced by enabled rules of active flows (small rule tables)."""
+    from tollgate.functions.match import collect_rules
+    from tollgate.operators.scoring import flow_rules
+    fr = flow_rules(dim.score_rules(spark), dim.flows(spark), rule_type)
+    return {r[0] for r in collect_rules(fr, "metric")}
 
 
 def _flow_scores(spark, base_dir):
     from tollgate.operators.scoring import evaluate_rules, flow_scores
-    ev = evaluate_rules(daily_metrics_long(spark, base_dir), dim.score_rules(spark),
-                        dim.flows(spark), rule_type=2)
+    ev = evaluate_rules(daily_metrics_long(spark, base_dir, rule_metrics(spark, 2)),
+                        dim.score_rules(spark), dim.flows(spark), rule_type=2)
     return flow_scores(ev)
 
 
