@@ -9,6 +9,8 @@ so everything stays in whole-stage codegen with no join and no Python.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +80,39 @@ def json_list(j: Column, path: str) -> Column:
              .when(x.isNotNull(), F.array(x)))
 
 
+# JSONPath steps VARIANT paths accept: .name, ['name'], [index]; plus [*] we expand.
+_SIMPLE_PATH = re.compile(r"^\$(\.[A-Za-z_][A-Za-z0-9_]*|\['[^']*'\]|\[\d+\]|\[\*\])*$")
+
+
+def variant_scalar(v: Column, path: str, raw: Column) -> Column:
+    """JSONPath scalar from a parsed VARIANT (strings unquoted, numbers/objects
+    as JSON text, like ``get_json_object``); other paths read the raw text."""
+    if not _SIMPLE_PATH.match(path) or "[*]" in path:
+        return F.get_json_object(raw, path)
+    return F.try_variant_get(v, path, "string")
+
+
+def variant_list(v: Column, path: str, raw: Column) -> Column:
+    """JSONPath list from a parsed VARIANT: ``[*]`` steps map over arrays,
+    a scalar gives a one-element list, missing values are skipped."""
+    if not _SIMPLE_PATH.match(path):
+        return json_list(raw, path)
+    if "[*]" not in path:
+        return F.coalesce(F.try_variant_get(v, path, "array<string>"),
+                          F.when(F.try_variant_get(v, path, "string").isNotNull(),
+                                 F.array(F.try_variant_get(v, path, "string"))))
+    head, rest = path.split("[*]", 1)
+    arr = F.try_variant_get(v, head, "array<variant>")
+    if "[*]" in rest:
+        inner = F.transform(arr, lambda x: variant_list(x, "$" + rest, F.lit(None).cast("string")))
+        out = F.flatten(inner)
+    else:
+        out = F.transform(arr, lambda x: F.try_variant_get(x, "$" + rest, "string") if rest
+                          else F.try_variant_get(x, "$", "string"))
+    out = F.filter(out, lambda x: x.isNotNull())
+    return F.when(F.size(out) > 0, out)
+
+
 def _strip_brackets(j: Column) -> Column:
     return F.regexp_replace(j, r"^\[(.*)\]$", "$1")
 
@@ -116,6 +151,8 @@ def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", ur
         F.when((ct == "text/xml") & (F.length(b) > 0), _xml_doc(F.col(body)))
         if fmts[r["rule_id"]] == "xml" else None))
     d = d.withColumn("_qmap", qmap.cast("map<string,string>")).withColumn("_qtext", qtext.cast("string"))
+    if any(f == "form_json" for f in fmts.values()):
+        d = d.withColumn("_qvar", F.try_parse_json(F.trim(F.col("_qtext"))))
 
     def field(name):
         def fn(r):
@@ -125,7 +162,7 @@ def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", ur
             if f in ("get", "form"):
                 return F.element_at(F.col("_qmap"), F.lit(p))
             if f == "form_json":
-                return F.get_json_object(F.col("_qtext"), p)
+                return variant_scalar(F.col("_qvar"), p, F.col("_qtext"))
             return F.xpath_string(F.col("_qtext"), F.lit(p))
         return F.coalesce(_per_rule(rid, rules, fn), F.lit(""))
 
@@ -135,7 +172,7 @@ def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", ur
         enum_id(F.col(flight), FLIGHT_IDS).alias("flight_type"),
         *[field(c).alias(c[2:]) for c in QUERY_PATH_FIELDS if c != "q_travel_type"],
         F.coalesce(parsed_travel, enum_id(F.col(travel), TRAVEL_IDS)).alias("travel_type"))
-    return d.withColumn("query_data", F.when(rid.isNotNull(), q)).drop("_qrule", "_qmap", "_qtext")
+    return d.withColumn("query_data", F.when(rid.isNotNull(), q)).drop("_qrule", "_qmap", "_qtext", "_qvar")
 
 
 def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url="url",
@@ -165,6 +202,9 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
     d = d.withColumn("_bdoc", _per_rule(rid, rules, lambda r: docs[r["rule_id"]][1]
                                         if docs[r["rule_id"]] else None).cast("string"))
 
+    # JSON documents are parsed once per row into a VARIANT; fields read from it
+    d = d.withColumn("_bvar", F.try_parse_json(F.trim(F.col("_bdoc"))))
+
     def source(r) -> tuple[str, Column] | None:
         return (docs[r["rule_id"]][0], F.col("_bdoc")) if docs[r["rule_id"]] else None
 
@@ -179,7 +219,7 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
                 tp = p if p.endswith("text()") or "/@" in p else p + "/text()"
                 v = F.xpath(doc, F.lit(tp))
                 return F.transform(v, lambda x: F.substring_index(x, cut, 1)) if cut else v
-            return json_list(doc, p)
+            return variant_list(F.col("_bvar"), p, doc)
         return F.coalesce(_per_rule(rid, rules, fn), F.array().cast("array<string>"))
 
     def scalar(name, cut: str | None = None):
@@ -191,7 +231,7 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
             if kind == "xml":
                 v = F.xpath_string(doc, F.lit(p))
                 return F.substring_index(v, cut, 1) if cut else v
-            return F.get_json_object(doc, p)
+            return variant_scalar(F.col("_bvar"), p, doc)
         return F.coalesce(_per_rule(rid, rules, fn), F.lit(""))
 
     first, last = lst("b_psg_first_name"), lst("b_psg_name", "|")
@@ -215,7 +255,7 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
         lst("b_flight_date").alias("flight_date"),
         lst("b_flight_no").alias("flight_no"),
         lst("b_cabin").alias("cabin"))
-    return d.withColumn("book_data", F.when(rid.isNotNull(), bk)).drop("_brule", "_bdoc")
+    return d.withColumn("book_data", F.when(rid.isNotNull(), bk)).drop("_brule", "_bdoc", "_bvar")
 
 
 def core_params(df: DataFrame) -> DataFrame:
