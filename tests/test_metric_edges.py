@@ -13,8 +13,8 @@ from tollgate.operators.tags import flag_critical
 from tollgate.session import scratch_path
 from tollgate.sources import dimensions as dim
 
-Q = "/B2C40/query/jaxb/direct/query.ao?c1=A"     # matches two critical rules
-V = "/B2C40/modules/main/flightSelect.html"       # not critical
+Q = "/shop/query/jaxb/direct/query.ao?c1=A"     # matches two critical rules
+V = "/shop/modules/main/flightSelect.html"       # not critical
 
 
 def edge_rows(spark):

@@ -78,13 +78,13 @@ def _msg(spark, method, url, ctype, body, behavior="Query", flight="National", t
 
 def test_form_json_query_and_last_rule_wins(spark):
     rules = load_rules(dim.parse_rules(spark))
-    df = parse_query(_msg(spark, "POST", "/B2C40/query/json.ao", "application/x-www-form-urlencoded",
+    df = parse_query(_msg(spark, "POST", "/shop/query/json.ao", "application/x-www-form-urlencoded",
                           SAMPLE_BODY), rules)
     q = df.first()["query_data"]
     assert (q["dep_city"], q["arr_city"], q["flight_date"], q["adult_num"]) == ("CAN", "WUH", "20180220", "1")
     assert q["travel_type"] == 0 and q["flight_type"] == 0 and q["is_empty"] is False
     # rules 1 and 5 both match a national GET query; rule 5 (later) maps c1 -> dep
-    g = parse_query(_msg(spark, "GET", "/B2C40/query/jaxb/direct/query.ao?c1=CAN&c2=WUH&d1=2019-01-01",
+    g = parse_query(_msg(spark, "GET", "/shop/query/jaxb/direct/query.ao?c1=CAN&c2=WUH&d1=2019-01-01",
                          "", ""), rules).first()["query_data"]
     assert (g["dep_city"], g["arr_city"], g["adult_num"]) == ("CAN", "WUH", "")
     none = parse_query(_msg(spark, "GET", "/nothing", "", ""), rules).first()["query_data"]
@@ -98,7 +98,7 @@ def test_book_xml_with_junk_prefix(spark):
            "<IDNO>110105194912310022</IDNO></PASSENGER><CONTACT><NAME>Wang|y</NAME>"
            "<PHONE>13800000000/1</PHONE></CONTACT><SEGMENT><DEPCITY>CAN</DEPCITY><ARRCITY>PEK</ARRCITY>"
            "<DATE>2019-01-01</DATE><FLIGHTNO>CZ1</FLIGHTNO><CABIN>Y</CABIN></SEGMENT></page>")
-    b = parse_book(_msg(spark, "POST", "/B2C40/book/xml.ao", "text/xml", xml, behavior="Book"),
+    b = parse_book(_msg(spark, "POST", "/shop/book/xml.ao", "text/xml", xml, behavior="Book"),
                    rules).first()["book_data"]
     assert b["psg_name"] == ["ZHANG", "LI"] and b["psg_type"] == ["ADT", "CHD"]
     assert b["contact_name"] == "Wang" and b["user_id"] == "u1"
@@ -112,14 +112,14 @@ def test_book_json_single_passenger(spark):
     body = ('{"userId":"u9","passengers":[{"firstName":"San","lastName":"Zhang","type":"ADT",'
             '"idType":"NI","idNo":"110105194912310021"}],"contact":{"name":"Z","phone":""},'
             '"depcity":"CAN","arrcity":"PEK","flightdate":"20190101","flightno":"CZ1","cabin":"Y"}')
-    b = parse_book(_msg(spark, "POST", "/B2C40/book/json.ao", "application/json", body, behavior="Book"),
+    b = parse_book(_msg(spark, "POST", "/shop/book/json.ao", "application/json", body, behavior="Book"),
                    rules).first()["book_data"]
     assert b["psg_name"] == ["SanZhang"] and b["id_type"] == ["NI"]
     assert b["contact_phone"] is None          # empty phone is not hashed
     assert b["flight_no"] == ["CZ1"] and b["flight_type"] == 0
     # form-JSON with one pair of brackets stripped
     form = "json=" + "%5B" + body.replace('"', "%22").replace("{", "%7B").replace("}", "%7D") + "%5D"
-    b2 = parse_book(_msg(spark, "POST", "/B2C40/book/direct/order.ao",
+    b2 = parse_book(_msg(spark, "POST", "/shop/book/direct/order.ao",
                          "application/x-www-form-urlencoded", form, behavior="Book"), rules).first()["book_data"]
     assert b2["user_id"] == "u9" and b2["dep_city"] == ["CAN"]
 

@@ -46,12 +46,12 @@ requests_url AS (
   SELECT *,
     'c1=' || dep || '&c2=' || arr || '&d1=' || d1 AS qs,
     CASE step
-      WHEN 'view' THEN '/B2C40/modules/main/flightSelect.html?k=' || CAST(k AS VARCHAR)
-      WHEN 'query' THEN (CASE WHEN intl THEN '/B2C40/query/jaxb/inter/query.ao?'
-                              ELSE '/B2C40/query/jaxb/direct/query.ao?' END)
+      WHEN 'view' THEN '/shop/modules/main/flightSelect.html?k=' || CAST(k AS VARCHAR)
+      WHEN 'query' THEN (CASE WHEN intl THEN '/shop/query/jaxb/inter/query.ao?'
+                              ELSE '/shop/query/jaxb/direct/query.ao?' END)
                         || 'c1=' || dep || '&c2=' || arr || '&d1=' || d1
-      WHEN 'book' THEN CASE WHEN intl THEN '/B2C40/book/inter/order.ao' ELSE '/B2C40/book/direct/order.ao' END
-      WHEN 'pay' THEN '/B2C40/pay/submit.ao'
+      WHEN 'book' THEN CASE WHEN intl THEN '/shop/book/inter/order.ao' ELSE '/shop/book/direct/order.ao' END
+      WHEN 'pay' THEN '/shop/pay/submit.ao'
       ELSE [{", ".join(sql_str(u) for u in ASSET_URLS)}][k % 4 + 1]
     END AS url
   FROM requests_pre
@@ -75,7 +75,7 @@ requests AS (
                        || '%22%2C%22adultnum%22%3A%22' || CAST(k % 3 + 1 AS VARCHAR) || '%22%7D'
       WHEN 'pay' THEN 'orderNo=' || CAST(event_id AS VARCHAR)
       ELSE '' END AS request_body,
-    {sql_str(HOST + '/B2C40/flightSelect.html?t=S&')} || qs
+    {sql_str(HOST + '/shop/flightSelect.html?t=S&')} || qs
       || CASE WHEN round_trip THEN '&d2=' || d2 ELSE '' END AS http_referer,
     strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS time_iso8601,
     strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000' AS time_local,

@@ -18,8 +18,8 @@ from tollgate.sources.tables import read_table
 
 # Fixed values of the derivation (shared with the SQL twin in plans/oracle.py).
 STEP_OF_EVENT = {"view": "view", "click": "query", "purchase": "book", "signup": "pay"}
-ASSET_URLS = ["/B2C40/dist/images/logo.png", "/B2C40/dist/main.js",
-              "/B2C40/dist/main.css", "/B2C40/dist/images/banner.jpg"]
+ASSET_URLS = ["/shop/dist/images/logo.png", "/shop/dist/main.js",
+              "/shop/dist/main.css", "/shop/dist/images/banner.jpg"]
 FORM_CONTENT_TYPE = "application/x-www-form-urlencoded; charset=UTF-8"
 HOST = "http://www.example.com"
 
@@ -46,13 +46,13 @@ def requests_from_events(events: DataFrame) -> DataFrame:
     d2 = F.date_format(F.date_add(F.to_date(ts), (k % 20 + 3).cast("int")), "yyyy-MM-dd")
     round_trip = (k % 2) == 1
     qs = F.concat(F.lit("c1="), dep, F.lit("&c2="), arr, F.lit("&d1="), d1)
-    url = (F.when(step == "view", F.concat(F.lit("/B2C40/modules/main/flightSelect.html?k="), _s(k)))
+    url = (F.when(step == "view", F.concat(F.lit("/shop/modules/main/flightSelect.html?k="), _s(k)))
            .when(step == "query", F.concat(
-               F.when(intl, F.lit("/B2C40/query/jaxb/inter/query.ao?"))
-                .otherwise(F.lit("/B2C40/query/jaxb/direct/query.ao?")), qs))
-           .when(step == "book", F.when(intl, F.lit("/B2C40/book/inter/order.ao"))
-                 .otherwise(F.lit("/B2C40/book/direct/order.ao")))
-           .when(step == "pay", F.lit("/B2C40/pay/submit.ao"))
+               F.when(intl, F.lit("/shop/query/jaxb/inter/query.ao?"))
+                .otherwise(F.lit("/shop/query/jaxb/direct/query.ao?")), qs))
+           .when(step == "book", F.when(intl, F.lit("/shop/book/inter/order.ao"))
+                 .otherwise(F.lit("/shop/book/direct/order.ao")))
+           .when(step == "pay", F.lit("/shop/pay/submit.ao"))
            .otherwise(F.get(F.array(*map(F.lit, ASSET_URLS)), (k % 4).cast("int"))))
     post = step.isin("book", "pay")
     method = F.when(post, F.lit("POST")).otherwise(F.lit("GET"))
@@ -63,7 +63,7 @@ def requests_from_events(events: DataFrame) -> DataFrame:
                 F.lit("%22%2C%22adultnum%22%3A%22"), _s(k % 3 + 1), F.lit("%22%7D")))
             .when(step == "pay", F.concat(F.lit("orderNo="), _s(ev)))
             .otherwise(F.lit("")))
-    referer = F.concat(F.lit(HOST + "/B2C40/flightSelect.html?t=S&"), qs,
+    referer = F.concat(F.lit(HOST + "/shop/flightSelect.html?t=S&"), qs,
                        F.when(round_trip, F.concat(F.lit("&d2="), d2)).otherwise(F.lit("")))
     ip = (F.when(uid % 50 == 49, F.concat(F.lit("10."), _s(uid % 8), F.lit("."), _s(uid)))
           .otherwise(F.concat(F.lit("10."), _s(uid % 8), F.lit("."), _s(uid % 32), F.lit("."), _s(uid))))

@@ -42,7 +42,7 @@ def monitor_records(msgs: DataFrame, batch_time_ms: int) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("server_addr", "request_count"))).alias("servers_count"),
         F.map_from_entries(F.collect_list(F.struct("server_addr", "active_user_num"))).alias("active_num"),
     )).alias("json"))
-    return doc.select(F.concat(F.lit("CSANTI_MONITOR_LP"), F.lit(str(batch_time_ms))).alias("key"), "json",
+    return doc.select(F.concat(F.lit("monitor:link:"), F.lit(str(batch_time_ms))).alias("key"), "json",
                       (F.lit(batch_time_ms) + F.lit(MONITOR_TTL_S * 1000)).alias("expires_at"))
 
 
