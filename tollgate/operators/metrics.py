@@ -30,15 +30,29 @@ WIDE_METRICS = ["access_count", "critical_count", "user_agent_count", "cookie_co
 
 
 def _with_window(df: DataFrame, ts: Column, window: str | None, slide: str | None) -> DataFrame:
-    """Add ``window_start``/``window_end``. The window struct is produced once
-    (one Expand for sliding windows) and its fields are read from it."""
+    """Add ``window_start``/``window_end`` (epoch-aligned, like ``window()``).
+
+    Tumbling windows use ``window()``. Sliding windows are assigned with plain
+    arithmetic: the window starts containing ``t`` are the slide multiples in
+    ``(t - length, t]``, produced by one ``explode(sequence(...))`` of longs,
+    cheaper than the generic expansion (one projection and filter per window).
+    """
     if window is None:
         return df.select("*", F.lit(None).cast("timestamp").alias("window_start"),
                          F.lit(None).cast("timestamp").alias("window_end"))
-    w = F.window(ts, window, slide) if slide and slide != window else F.window(ts, window)
-    return (df.select("*", w.alias("_win"))
-              .select("*", F.col("_win.start").alias("window_start"),
-                      F.col("_win.end").alias("window_end")).drop("_win"))
+    if not slide or slide == window:
+        w = F.window(ts, window)
+        return (df.select("*", w.alias("_win"))
+                  .select("*", F.col("_win.start").alias("window_start"),
+                          F.col("_win.end").alias("window_end")).drop("_win"))
+    W, P = duration_ms(window), duration_ms(slide)
+    n = -(-W // P)
+    t = F.unix_millis(ts)
+    last = t - F.pmod(t, F.lit(P))
+    starts = F.filter(F.sequence(last - F.lit((n - 1) * P), last, F.lit(P)), lambda s: s + F.lit(W) > t)
+    return (df.select("*", F.explode(starts).alias("_ws"))
+              .withColumn("window_start", F.timestamp_millis("_ws"))
+              .withColumn("window_end", F.timestamp_millis(F.col("_ws") + F.lit(W))).drop("_ws"))
 
 
 def _panes(df: DataFrame, ts_col: str, window: str | None, slide: str | None) -> tuple[DataFrame, bool]:
