@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import rows_of
+from tools.check_oracle import rows_of, type_diffs
 
 from conftest import SF_SMALL
 
@@ -21,6 +21,7 @@ def test_query_matches_oracle(spark, con, name):
     srows = [tuple(r) for r in df.collect()]
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    assert type_diffs(df.schema, rel) == []
     assert rows_of(df.columns, srows) == rows_of(rel.columns, rel.fetchall())
 
 

@@ -490,7 +490,8 @@ LEFT JOIN (SELECT day, count(*) AS n FROM (SELECT remote_addr, min(day) AS day F
            GROUP BY remote_addr) GROUP BY day) f ON d.day = f.day""")
 DASH_LINK_TRAFFIC_HOURLY = _dash("""
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, server_addr,
-  count(*) AS requests, sum(count(*)) OVER (PARTITION BY date_trunc('hour', ts)) AS total_requests
+  count(*) AS requests,
+  CAST(sum(count(*)) OVER (PARTITION BY date_trunc('hour', ts)) AS BIGINT) AS total_requests
 FROM creq GROUP BY date_trunc('hour', ts), server_addr""")
 DASH_COLLECTION_STATS = _dash("""
 SELECT server_addr, CAST(arg_max(active_user_num, (ts, active_user_num)) AS BIGINT) AS active_connections,

@@ -144,7 +144,7 @@ def redact_documents(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.functions.redact import PHONE_PATTERN, redact_phone
     from tollgate.sources.tables import read_table
     d = read_table(spark, base_dir, "documents").select("doc_id", "text")
-    n = F.size(F.regexp_extract_all(F.col("text"), F.lit(PHONE_PATTERN), 0))
+    n = F.size(F.regexp_extract_all(F.col("text"), F.lit(PHONE_PATTERN), 0)).cast("bigint")
     return d.select("doc_id", n.alias("phone_matches"),
                     redact_phone(F.col("text")).alias("redacted_text"))
 
