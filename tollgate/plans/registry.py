@@ -172,6 +172,8 @@ def _unpaid(window):
 
 register("booking_metrics_daily", O.booking_metrics_sql(DAY_MS))(_booking_metrics("1 day"))
 register("booking_metrics_total", O.booking_metrics_sql(None))(_booking_metrics(None))
+register("booking_metrics_hourly", O.booking_metrics_sql(HOUR_MS))(_booking_metrics("1 hour"))
+register("unpaid_bookings_hourly", O.unpaid_sql(HOUR_MS))(_unpaid("1 hour"))
 register("unpaid_bookings_daily", O.unpaid_sql(DAY_MS))(_unpaid("1 day"))
 register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))
 
