@@ -124,3 +124,14 @@ def test_stream_booking_catalogue_equals_batch(spark):
     assert sorted(map(tuple, got_m.select(*cm).collect())) == sorted(map(tuple, exp_m.select(*cm).collect()))
     cu = ["window_start", "key_kind", "key", "unpaid"]
     assert sorted(map(tuple, got_u.select(*cu).collect())) == sorted(map(tuple, exp_u.select(*cu).collect()))
+
+
+def test_console_banner_only_for_non_empty_batches(spark, capsys):
+    from tollgate.streaming.preprocess_job import make_batch_handler
+    base = _dir(spark, "console")
+    lines = raw_lines(tagged_requests(spark, SF_SMALL)).select("value")
+    handler = make_batch_handler(base, Dimensions.defaults, console=True)
+    handler(lines.limit(50), 0)
+    handler(lines.limit(0), 1)
+    out = capsys.readouterr().out
+    assert "batch 0 at" in out and "batch 1 at" not in out

@@ -76,9 +76,11 @@ def make_batch_handler(out_dir: str, dims_loader: Callable[[SparkSession], Dimen
 
 def start_preprocess(lines: DataFrame, out_dir: str, checkpoint: str,
                      dims_loader: Callable[[SparkSession], Dimensions] = Dimensions.defaults,
-                     trigger: dict | None = None, kafka_servers: str | None = None):
-    """Start the job; ``trigger`` defaults to the 3 s processing-time interval."""
-    handler = make_batch_handler(out_dir, dims_loader, kafka_servers)
+                     trigger: dict | None = None, kafka_servers: str | None = None,
+                     console: bool = False):
+    """Start the job; ``trigger`` defaults to the 3 s processing-time interval;
+    ``console`` prints a banner with the batch time and row count (IO13)."""
+    handler = make_batch_handler(out_dir, dims_loader, kafka_servers, console)
     w = lines.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": PREPROCESS_TRIGGER}))
     return w.start()
