@@ -21,9 +21,9 @@ def to_blacklist_records(decisions: DataFrame, ttl_s: int = BLACKLIST_TTL_S,
 
 
 def latest_per_key(records: DataFrame, key: str = "key", exp: str = "key_exp_time") -> DataFrame:
-    """Rows carrying their key's latest expiry (ties all survive, as the
-    self-join on (key, max expiry) keeps them). Implemented as max-per-key
-    (A13, map-side partial) joined back, which never sorts a hot key's rows."""
+    """J5 as the reference's self-join: max expiry per key (A13, map-side
+    partial) joined back; ties all survive. Reads ``records`` twice, so use it on
+    a stored table; ``rank_latest`` is the single-pass form."""
     mx = records.groupBy(key).agg(F.max(F.col(exp).cast("bigint")).alias("_max_exp"))
     return (records.join(mx, [key]).filter(F.col(exp).cast("bigint") == F.col("_max_exp"))
                    .drop("_max_exp"))
@@ -32,8 +32,12 @@ def latest_per_key(records: DataFrame, key: str = "key", exp: str = "key_exp_tim
 def restore(records: DataFrame, now_ms: Column, live_keys: DataFrame | None = None,
             min_left_ms: int = 1000) -> DataFrame:
     """B5/IO17: latest unexpired record per key with at least ``min_left_ms`` to
-    live, only for keys not already live (insert-if-absent)."""
-    r = latest_per_key(records)
+    live, only for keys not already live (insert-if-absent).
+
+    Uses the single-pass ``rank() = 1`` form: records per key are bounded by
+    windows x flows (not by traffic), so the per-key sort is small, and the
+    upstream plan is computed once instead of twice."""
+    r = rank_latest(records)
     r = r.filter(F.col("key_exp_time").cast("bigint") - now_ms >= min_left_ms)
     if live_keys is not None:
         r = r.join(live_keys.select(F.col(live_keys.columns[0]).alias("key")), "key", "left_anti")
@@ -41,7 +45,7 @@ def restore(records: DataFrame, now_ms: Column, live_keys: DataFrame | None = No
 
 
 def rank_latest(records: DataFrame, key: str = "key", exp: str = "key_exp_time") -> DataFrame:
-    """J5 in its window form (``rank() = 1``); fine when keys are not hot."""
+    """J5 in its window form (``rank() = 1``, ties kept): one shuffle on the key."""
     w = Window.partitionBy(key).orderBy(F.col(exp).cast("bigint").desc())
     return records.withColumn("_r", F.rank().over(w)).filter("_r = 1").drop("_r")
 
