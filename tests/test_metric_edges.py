@@ -110,3 +110,13 @@ def test_late_event_dropped_by_watermark(spark):
     write([{**late[0], "ip": "9.9.9.9"}], "c")                          # arrives 12 h late
     ips = run()
     assert "2.2.2.2" in ips and "9.9.9.9" not in ips
+
+
+def test_paging_matches_full_order(spark):
+    from tollgate.operators.ranking import page, top_n
+    df = spark.range(95).select((F.col("id") * 37 % 95).alias("v"), (F.col("id") % 7).alias("g"))
+    order = [F.desc("g"), F.asc("v")]
+    full = [tuple(r) for r in df.orderBy(*order).collect()]
+    assert [tuple(r) for r in page(df, order, 2, 20).collect()] == full[20:40]
+    assert [tuple(r) for r in page(df, order, 5, 20).collect()] == full[80:95]
+    assert [tuple(r) for r in top_n(df, order, 10).collect()] == full[:10]
