@@ -74,3 +74,18 @@ def test_detectors_learn_rule_verdicts(spark):
     acc = E.queries()["detector_accuracy_daily"](spark, "/root/testdata/sf0.01")
     rows = acc.filter(F.col("model") == "supervised").collect()
     assert rows and sum(r.accuracy * r.rows for r in rows) / sum(r.rows for r in rows) > 0.9
+
+
+def test_cluster_conf_sizes_partitions():
+    from tollgate.session import cluster_conf
+    c = cluster_conf(10 * 2**40)                      # a 10 TB shuffle
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960
+    assert c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "40960"
+    assert int(cluster_conf(1)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from tollgate.session import checkpoint_dir
+    # Spark qualifies the path and adds a per-application subfolder under the configured one
+    got = checkpoint_dir(spark).removeprefix("file:")
+    assert got.startswith(spark.conf.get("spark.checkpoint.dir").removeprefix("file:").rstrip("/") + "/")
