@@ -36,13 +36,14 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+def doc_key(doc_id: str = "doc_id", text: str | None = "text") -> list[Column]:
     """Columns that tell rows apart: ``key_id`` (null ids sort first) and ``key_text``.
 
-    Rows equal in both are the same document read twice and get the same result.
+    Rows equal in both are the same document read twice and get the same result. Without
+    ``text``, the column ``key_text`` is there already.
     """
-    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("key_id"),
-            F.xxhash64(F.col(text)).alias("key_text")]
+    key_text = F.col("key_text") if text is None else F.xxhash64(F.col(text).cast("string")).alias("key_text")
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("key_id"), key_text]
 
 
 ship(__name__)
