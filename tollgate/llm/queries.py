@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import simhash, warc
+from tollgate.llm import simhash, substring, warc
 from tollgate.sources.tables import read_table
 
 
@@ -15,6 +15,10 @@ def op1_warc_zip_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_substring_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -22,6 +26,7 @@ def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_zip_archive": op1_warc_zip_archive,
+    "op6_substring_debruijn": op6_substring_debruijn,
     "op7_simhash_covering": op7_simhash_covering,
 }
 
