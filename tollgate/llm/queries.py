@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import simhash, substring, syncmers, warc
+from tollgate.llm import decontaminate, simhash, substring, syncmers, warc
 from tollgate.sources.tables import read_table
 
 
@@ -24,6 +24,10 @@ def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_decontaminate_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.with_next(read_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ QUERIES = {
     "op1_warc_zip_archive": op1_warc_zip_archive,
     "op6_substring_debruijn": op6_substring_debruijn,
     "op7_simhash_covering": op7_simhash_covering,
+    "op9_decontaminate_pieces": op9_decontaminate_pieces,
     "op10_syncmer_fingerprints": op10_syncmer_fingerprints,
 }
 
