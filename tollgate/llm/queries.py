@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import decontaminate, simhash, substring, syncmers, warc
+from tollgate.llm import decontaminate, lines, mixing, simhash, substring, syncmers, warc
 from tollgate.sources.tables import read_table
 
 
@@ -15,6 +15,16 @@ def op1_warc_zip_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_mix_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
+
+
+def op3_line_dedup_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_removed", "longest",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_substring_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -34,6 +44,8 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_zip_archive": op1_warc_zip_archive,
+    "op2_mix_temperature": op2_mix_temperature,
+    "op3_line_dedup_suffix_array": op3_line_dedup_suffix_array,
     "op6_substring_debruijn": op6_substring_debruijn,
     "op7_simhash_covering": op7_simhash_covering,
     "op9_decontaminate_pieces": op9_decontaminate_pieces,
@@ -50,4 +62,57 @@ ORACLE = {
                CASE WHEN k.keeper <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN k.keeper <> p.page_id THEN k.keeper END AS refers_to
         FROM p LEFT JOIN k USING (payload_digest)""",
+    "op2_mix_temperature": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, coalesce('=' || source, 'null') AS s,
+                   len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents),
+        t AS (SELECT s, sum(n_tokens)::BIGINT AS tokens FROM d WHERE n_tokens > 0 GROUP BY s),
+        p AS (SELECT s, tokens, tokens / (SELECT sum(tokens) FROM t) AS p FROM t),
+        ps AS (SELECT list(p ORDER BY s) AS ps, 0.95 * ln(count(*)) AS need FROM p),
+        fit AS (SELECT ps, need,
+                    -list_sum(list_transform(ps, lambda x: x * ln(x))) >= need AS entropy_ok,
+                    list_max(list_transform(ps, lambda x: 1 / x)) / len(ps) <= 4 AS repeats_ok FROM ps),
+        halve(i, lo0, hi0, lo1, hi1) AS (
+            SELECT 0, CASE WHEN entropy_ok THEN 1.0 ELSE 0.0 END::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE,
+                   CASE WHEN repeats_ok THEN 0.0 ELSE 1.0 END::DOUBLE FROM fit
+            UNION ALL
+            SELECT i + 1, CASE WHEN e THEN m0 ELSE lo0 END, CASE WHEN e THEN hi0 ELSE m0 END,
+                   CASE WHEN r THEN lo1 ELSE m1 END, CASE WHEN r THEN m1 ELSE hi1 END
+            FROM (SELECT *, ln(z0) - m0 * list_sum(list_transform(ps, lambda x: pow(x, m0) * ln(x))) / z0 >= need AS e,
+                         list_max(list_transform(ps, lambda x: pow(x, m1) / x)) / z1 <= 4 AS r
+                  FROM (SELECT *, list_sum(list_transform(ps, lambda x: pow(x, m0))) AS z0,
+                               list_sum(list_transform(ps, lambda x: pow(x, m1))) AS z1
+                        FROM (SELECT *, (lo0 + hi0) / 2 AS m0, (lo1 + hi1) / 2 AS m1 FROM halve, fit WHERE i < 40)))),
+        a AS (SELECT greatest(lo0, hi1) AS a FROM halve WHERE i = 40),
+        w AS (SELECT s, tokens, pow(p, a) / sum(pow(p, a)) OVER () AS w, sum(tokens) OVER () AS total FROM p, a),
+        q AS (SELECT s, tokens, floor(w * total)::BIGINT AS quota, ceil(tokens / 1048576)::BIGINT AS blocks FROM w),
+        e AS (SELECT d.doc_id, d.source, d.s, d.n_tokens, q.*,
+                     unnest(range(0, quota // tokens + 1)) AS epoch FROM d JOIN q ON d.s = q.s WHERE n_tokens > 0),
+        h AS (SELECT *, ('0x' || substr(md5('42:' || epoch || ':' || doc_id), 1, 15))::BIGINT AS h FROM e),
+        b AS (SELECT *, h % blocks AS block FROM h),
+        c AS (SELECT *, sum(n_tokens) OVER (PARTITION BY s, epoch ORDER BY block, h, doc_id) - n_tokens AS before FROM b)
+        SELECT doc_id, source, n_tokens, epoch, block,
+               (epoch + block / blocks) / (quota / tokens) AS turn
+        FROM c WHERE epoch * tokens + before < quota""",
+    "op3_line_dedup_suffix_array": """
+        WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+        x AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM d),
+        c AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM x),
+        r AS (SELECT a.doc_id, a.pos, min(b.pos) - a.pos + 1 AS q
+              FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos AND a.pos + 59
+                               AND b.upto - a.upto + length(a.line) + 1 >= 60
+              GROUP BY a.doc_id, a.pos),
+        run AS (SELECT r.doc_id, r.pos, r.q, array_to_string(l[r.pos + 1 : r.pos + r.q], chr(10)) AS t
+                FROM r JOIN d ON r.doc_id = d.doc_id),
+        later AS (SELECT doc_id, pos, q FROM (
+                      SELECT *, row_number() OVER (PARTITION BY q, t ORDER BY doc_id, pos) AS k FROM run) WHERE k > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + q)) AS pos FROM later),
+        stretch AS (SELECT doc_id, count(*) AS n FROM (
+                        SELECT doc_id, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS g FROM gone) GROUP BY doc_id, g),
+        longest AS (SELECT doc_id, max(n) AS longest FROM stretch GROUP BY doc_id)
+        SELECT x.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed, coalesce(max(s.longest), 0) AS longest,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY x.pos) FILTER (g.pos IS NULL), '')) AS kept_sha256
+        FROM x LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.pos = x.pos
+        LEFT JOIN longest s ON s.doc_id = x.doc_id
+        GROUP BY x.doc_id""",
 }
