@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import decontaminate, lines, mixing, simhash, substring, syncmers, warc
+from tollgate.llm import decontaminate, langid, lines, mixing, simhash, substring, syncmers, warc
 from tollgate.sources.tables import read_table
 
 
@@ -25,6 +25,18 @@ def op3_line_dedup_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def crc_of_id(parts: int):
+    """crc32 of the id as text modulo ``parts``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op4_language_id_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.learn(docs, crc_of_id(4) != 2)
+    rows = docs.select("doc_id", F.coalesce(crc_of_id(4) == 2, F.lit(False)).alias("held_out"), "text")
+    return langid.predict(rows, model, ["doc_id", "held_out"])
+
+
 def op6_substring_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +58,7 @@ QUERIES = {
     "op1_warc_zip_archive": op1_warc_zip_archive,
     "op2_mix_temperature": op2_mix_temperature,
     "op3_line_dedup_suffix_array": op3_line_dedup_suffix_array,
+    "op4_language_id_ecoc": op4_language_id_ecoc,
     "op6_substring_debruijn": op6_substring_debruijn,
     "op7_simhash_covering": op7_simhash_covering,
     "op9_decontaminate_pieces": op9_decontaminate_pieces,
