@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import decontaminate, langid, lines, mixing, simhash, substring, syncmers, warc
+from tollgate.llm import decontaminate, langid, lines, mixing, quality, simhash, substring, syncmers, warc
 from tollgate.sources.tables import read_table
 
 
@@ -37,6 +37,11 @@ def op4_language_id_ecoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model, ["doc_id", "held_out"])
 
 
+def op5_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_substring_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_mix_temperature": op2_mix_temperature,
     "op3_line_dedup_suffix_array": op3_line_dedup_suffix_array,
     "op4_language_id_ecoc": op4_language_id_ecoc,
+    "op5_quality_cotraining": op5_quality_cotraining,
     "op6_substring_debruijn": op6_substring_debruijn,
     "op7_simhash_covering": op7_simhash_covering,
     "op9_decontaminate_pieces": op9_decontaminate_pieces,
