@@ -39,9 +39,10 @@ ROUNDS = 3
 CERTAIN = 0.98             # calibrated probability from which a pseudo-label is exchanged
 EXCHANGE = 300             # pseudo-labels of each kind per view and round
 FEATURES = 1 << 18
-KEEP_FROM = 0.5            # score from which a document is kept
+KEEP_FROM = 0.4            # score from which a document is kept
 MIN_ROWS = 4               # training documents a feature must be in
 MIN_Z = 3.0                # standard deviations its share must differ by
+RIDGE = 0.05
 
 _UPPER = bytes(range(65, 91))
 _PLAIN = bytes([*range(48, 58), *range(65, 91), *range(97, 123), 32, 10, *range(128, 256)])
@@ -130,10 +131,10 @@ def fit(rows: list[np.ndarray], clean: np.ndarray) -> View:
     flat, of = flat[use[flat]], of[use[flat]]
     view, y = View(), clean.astype(float)
     w, square, bias, bias_square = np.zeros(FEATURES), np.full(FEATURES, 1e-8), 0.0, 1e-8
-    for _ in range(150):                                   # Adagrad on the whole set
+    for _ in range(300):                                   # Adagrad on the whole set
         z = np.bincount(of, w[flat], len(rows)) + bias
         err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        grad = np.bincount(flat, err[of], FEATURES) + 0.3 * w
+        grad = np.bincount(flat, err[of], FEATURES) + RIDGE * w
         square += grad ** 2
         bias_square += err.sum() ** 2
         w -= 0.3 * grad / np.sqrt(square)
