@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import decontaminate, langid, lines, mixing, quality, simhash, substring, syncmers, warc
+from tollgate.llm import brown, decontaminate, langid, lines, mixing, quality, simhash, substring, syncmers, warc
 from tollgate.sources.tables import read_table
 
 
@@ -51,6 +51,12 @@ def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_lm_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(crc_of_id(10) == 0, F.lit(False)))
+    model, vocabulary = brown.learn(docs.filter(crc_of_id(10) != 0))
+    return brown.score(docs, model, vocabulary, "held_out")
+
+
 def op9_decontaminate_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -67,6 +73,7 @@ QUERIES = {
     "op5_quality_cotraining": op5_quality_cotraining,
     "op6_substring_debruijn": op6_substring_debruijn,
     "op7_simhash_covering": op7_simhash_covering,
+    "op8_lm_brown_classes": op8_lm_brown_classes,
     "op9_decontaminate_pieces": op9_decontaminate_pieces,
     "op10_syncmer_fingerprints": op10_syncmer_fingerprints,
 }
