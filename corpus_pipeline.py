@@ -1,13 +1,49 @@
-"""Training-corpus pipeline over ``documents``: each stage reads what its predecessor kept."""
+"""Training-corpus pipeline over ``documents``: each stage reads what its predecessor kept.
+
+1. quality classifier: documents that it rejects (low quality, toxic) go;
+2. line dedup: later copies of repeated line runs go, documents keep their other lines;
+3. SimHash near-dedup: of each component of near-equal documents the one with the smallest id stays;
+4. benchmark decontamination: documents that contain a test item within its edit budget go;
+5. mixing: what is left is drawn to the target weights; a document comes once per epoch, with
+   ``n_tokens``, ``epoch``, ``block`` and ``turn`` (read the mix in the order of ``turn``).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tollgate.llm import decontaminate, lines, mixing, quality, simhash
 from tollgate.llm.common import write_table
 from tollgate.sources.tables import read_table
 
-STAGES: list = []
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_clean(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.without_repeats(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+]
 
 # A trained classifier decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
