@@ -108,7 +108,7 @@ def repeated_paths(documents: DataFrame) -> DataFrame:
 
 
 def _windows_of(window: int):
-    """Rows (key, w1, w2, start) of the windows of all paths that are sources."""
+    """Rows (key, w1, w2, starts) of the different windows of all paths that are sources."""
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -118,10 +118,15 @@ def _windows_of(window: int):
                 words = word_hashes(batch.column(2)[i].as_py())
                 at = np.unique(np.concatenate([np.arange(p["start"], p["start"] + p["windows"]) for p in todo]))
                 w1, w2 = (mix(Runs(words, b).hash(at, at + window)).view(np.int64) for b in BASES)
-                n = len(at)
+                order = np.lexsort((w2, w1))               # a window that recurs in the document is one row
+                w1, w2, at = w1[order], w2[order], at[order]
+                first = np.flatnonzero(np.concatenate(([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))))
+                n, ends = len(first), np.append(first, len(at)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, batch.column(k)[i].as_py(), np.int64)) for k in (0, 1)]
-                    + [pa.array(w1), pa.array(w2), pa.array(at.astype(np.int32))], [*KEY, "w1", "w2", "start"])
+                    + [pa.array(w1[first]), pa.array(w2[first]),
+                       pa.ListArray.from_arrays(pa.array(ends), pa.array(at.astype(np.int32)))],
+                    [*KEY, "w1", "w2", "starts"])
 
     return run
 
@@ -129,11 +134,11 @@ def _windows_of(window: int):
 def repeated_windows(candidates: DataFrame, window: int = WINDOW) -> DataFrame:
     """(key, starts): windows at sources of branching paths that also start in a smaller document."""
     rows = candidates.select(*KEY, F.col("text").cast("binary"), "paths")
-    each = write_table(rows.mapInArrow(_windows_of(window), "key_id long, key_text long, w1 long, w2 long, start int"),
+    each = write_table(rows.mapInArrow(_windows_of(window), "key_id long, key_text long, w1 long, w2 long, starts array<int>"),
                        "windows")
     first = each.groupBy("w1", "w2").agg(F.min("key_id").alias("lo"), F.max("key_id").alias("hi")).filter("lo < hi")
     return (each.join(first, ["w1", "w2"]).filter("lo < key_id")
-            .groupBy(*KEY).agg(F.collect_list("start").alias("starts")))
+            .groupBy(*KEY).agg(F.flatten(F.collect_list("starts")).alias("starts")))
 
 
 def covered(n_words: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
