@@ -32,7 +32,7 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor costs the reread of a file, not the plan above it.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
