@@ -32,9 +32,18 @@ def test_hourly_parquet_roundtrip(spark):
     df = spark.createDataFrame([("a", "2024-01-01 10:05:00"), ("b", "2024-01-01 11:00:00"),
                                 ("c", "2024-01-01 12:00:00")], "key string, t string")
     df = df.withColumn("t", F.to_timestamp("t"))
-    B.append_hourly(df, path, F.col("t"))
-    got = B.read_hours(spark, path, ["2024-01-01 10", "2024-01-01 11", "2024-01-02 00"])
-    assert sorted(r.key for r in got.collect()) == ["a", "b"]
+    B.write_hourly(df, path, F.col("t"), "run1")
+    hours = ["2024-01-01 10", "2024-01-01 11", "2024-01-02 00"]
+    assert sorted(r.key for r in B.read_hours(spark, path, hours).collect()) == ["a", "b"]
+    B.write_hourly(df, path, F.col("t"), "run1")            # a rerun replaces its own records
+    assert sorted(r.key for r in B.read_hours(spark, path, hours).collect()) == ["a", "b"]
+    B.write_hourly(df, path, F.col("t"), "run2")            # another run adds to them
+    assert sorted(r.key for r in B.read_hours(spark, path, hours).collect()) == ["a", "a", "b", "b"]
+
+
+def test_hours_to_restore_are_those_of_writing():
+    now = 1_704_067_800_000                                  # 2024-01-01 00:10 UTC
+    assert B.hours_to_restore(now) == ["2024-01-01 00", "2023-12-31 23"]
 
 
 def test_flows_join_and_nesting(spark):

@@ -1,9 +1,5 @@
 """Record codec round trip, XML travel type, rule caps, approx streaming path, detectors."""
 
-import os
-import uuid
-
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -35,38 +31,37 @@ def test_record_line_round_trip(spark):
 def test_xml_travel_type(spark):
     df = spark.createDataFrame([("<page><SEGTYPE>S</SEGTYPE></page>",), ("<page><SEGTYPE>R</SEGTYPE></page>",),
                                 ("<page/>",)], "x string")
-    assert [r[0] for r in df.select(xml_travel_type(F.col("x"))).collect()] == ["OneWay", "RoundTrip", None]
+    assert [r[0] for r in df.select(xml_travel_type(F.col("x"))).collect()] == ["OneWay", "RoundTrip", "Unknown"]
 
 
-def test_rule_cap_and_chunked_alternation(spark):
+def test_many_rules_inline_and_joined(spark, monkeypatch):
     rules = spark.createDataFrame([(f"/p{i}/.*",) for i in range(600)], "v string")
     pats = MT.rule_patterns(rules, "v")
     df = spark.createDataFrame([("/p599/x",), ("/q/x",)], "u string")
     got = [r[0] for r in df.select(MT.any_full_match(F.col("u"), pats)).collect()]
     assert got == [True, False]
-    with pytest.raises(MT.TooManyRules):
-        MT.collect_rules(rules, "v", limit=10)
-
-
-def test_stream_metrics_approx_sketches(spark):
-    from tollgate.streaming import metrics_job as SM
-    base = scratch_path(spark, f"approx-{uuid.uuid4().hex[:8]}")
-    p = SM.prepare(tagged_requests(spark, SF_SMALL))
-    p.coalesce(1).write.parquet(os.path.join(base, "in", "a"))
-    p.limit(1).withColumn("ts", F.to_timestamp(F.lit("2030-01-01"))).coalesce(1) \
-        .write.parquet(os.path.join(base, "in", "b"))
-    src = (spark.readStream.format("parquet").schema(p.schema).option("maxFilesPerTrigger", 1)
-           .load(os.path.join(base, "in", "*")))
-    out = SM.stream_ip_metrics(src, window="1 day", slide="1 day", watermark="0 seconds", approx=True)
-    name = "ap_" + uuid.uuid4().hex[:8]
-    q = (out.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    from tollgate.operators.metrics import ip_metrics
-    exact = {(r.window_start, r.ip): r.cookie_count for r in
-             ip_metrics(tagged_requests(spark, SF_SMALL), window="1 day").collect()}
-    got = spark.table(name).collect()
-    assert got and all(abs(r.cookie_count - exact[(r.window_start, r.ip)]) <= 1 for r in got)
+    inline = MT.flag_any_match(df, "u", rules, "v", "hit").orderBy("u").collect()
+    monkeypatch.setattr(MT, "INLINE_RULES", 10)
+    assert MT.flag_any_match(df, "u", rules, "v", "hit").orderBy("u").collect() == inline
+
+
+def test_patterns_keep_their_meaning_beside_others(spark):
+    """Back references and group names belong to one pattern, whatever rules stand before it."""
+    rules = spark.createDataFrame([("/(?<n>a)x/",), (r"/c/(d)\\1/",), ("/(?<n>b)y/",)], "v string")
+    df = spark.createDataFrame([("/c/dd/",), ("/c/d/",), ("/by/",)], "u string")
+    got = {r.u: r.hit for r in MT.flag_any_match(df, "u", rules, "v", "hit").collect()}
+    assert got == {"/c/dd/": True, "/c/d/": False, "/by/": True}
+
+
+def test_a_thousand_request_classes(spark, monkeypatch):
+    from tollgate.operators.tags import tag_request_type
+    rules = spark.createDataFrame([(i, f"/p{i}(/.*)?", f"F{i}", "Query") for i in range(1500)],
+                                  "priority int, expression string, flight_type string, behavior_type string")
+    df = spark.createDataFrame([("/p1499/x",), ("/p0",), ("/q",), (None,)], "url string")
+    want = {"/p1499/x": "F1499", "/p0": "F0", "/q": "Other", None: "Other"}
+    assert {r.url: r.flight_type for r in tag_request_type(df, rules).collect()} == want
+    monkeypatch.setattr(MT, "INLINE_RULES", 100)
+    assert {r.url: r.flight_type for r in tag_request_type(df, rules).collect()} == want
 
 
 def test_detectors_learn_rule_verdicts(spark):

@@ -20,15 +20,19 @@ def test_preprocess_and_rule_metrics_and_restore(spark):
     rec = spark.read.parquet(os.path.join(out, "records"))
     assert {r.behavior_type for r in rec.select("behavior_type").distinct().collect()} == {"Query", "Book"}
     bl = jobs.rule_metrics_job(spark, req, booking_events(bookings(spark, SF_SMALL)), dim.score_rules(spark),
-                               dim.flows(spark), dim.critical_page_rules(spark), out, gap_ms=3_600_000,
-                               run_id=f"t{uuid.uuid4().hex[:6]}")
+                               dim.flows(spark), dim.critical_page_rules(spark), out, run_id="daily")
     assert bl.count() > 0 and {"y", "m", "d", "h"} <= set(bl.columns)
-    first = bl.select(F.min(F.timestamp_millis("key_exp_time"))).first()[0]
-    hour = first.strftime("%Y-%m-%d %H")
-    now = int(first.timestamp() * 1000) - 10_000
-    got = jobs.restore_job(spark, os.path.join(out, "blacklist"), [hour], now)
-    assert got.count() > 0 and got.filter(F.col("ttl_ms") < 1000).count() == 0
-    assert jobs.restore_job(spark, os.path.join(out, "blacklist"), [hour], now, enabled=False) is None
+    # ten minutes after the first decision: written this hour, and still to live for fifty minutes
+    now = bl.agg(F.min("key_exp_time")).first()[0] - 50 * 60_000
+    path, n = os.path.join(out, "blacklist"), bl.count()
+    got = jobs.restore_job(spark, path, now)
+    assert got.count() > 0 and {r.ttl_ms for r in got.collect()} == {50 * 60_000}
+    assert jobs.restore_job(spark, path, now, enabled=False) is None
+    restored = sorted(r.key for r in got.collect())
+    again = jobs.rule_metrics_job(spark, req, booking_events(bookings(spark, SF_SMALL)), dim.score_rules(spark),
+                                  dim.flows(spark), dim.critical_page_rules(spark), out, run_id="daily")
+    assert again.count() == n                                # the rerun replaced its records
+    assert sorted(r.key for r in jobs.restore_job(spark, path, now).collect()) == restored
 
 
 def test_dashboards_job_matches_registered_queries(spark):

@@ -150,5 +150,5 @@ from hypothesis import given, settings, strategies as st  # noqa: E402
                           st.sampled_from(["", "=", "=1", "==2", "=x=y", "=%41", "=a+b"])), max_size=6))
 def test_kv_map_matches_java_split_model(spark, pairs):
     text = ";".join(k + v for k, v in pairs)
-    got = spark.createDataFrame([(text,)], "c string").select(T.kv_map(F.col("c"), ";", True)).first()[0]
+    got = spark.createDataFrame([(text,)], "c string").select(T.cookie_map(F.col("c"))).first()[0]
     assert dict(got or {}) == java_kv_model(text, ";", True)

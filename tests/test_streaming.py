@@ -3,6 +3,7 @@
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -13,7 +14,7 @@ from tollgate.session import scratch_path
 from tollgate.sources import dimensions as dim
 from tollgate.sources.requests import raw_lines
 from tollgate.streaming import metrics_job as SM
-from tollgate.streaming.monitor import batch_summary, progress_frame
+from tollgate.streaming.monitor import ProgressTable, batch_summary, mean_latency_by_tier, progress_frame
 from tollgate.streaming.preprocess_job import start_preprocess
 
 
@@ -21,7 +22,8 @@ def _dir(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def test_stream_metrics_equal_batch(spark):
+@pytest.mark.parametrize("window, slide", [("1 hour", "10 minutes"), ("1 hour", "25 minutes"), ("1 day", "1 day")])
+def test_stream_metrics_equal_batch(spark, window, slide):
     base = _dir(spark, "stream-metrics")
     req = tagged_requests(spark, SF_SMALL)
     prepared = SM.prepare(req)
@@ -32,20 +34,17 @@ def test_stream_metrics_equal_batch(spark):
     sentinel.coalesce(1).write.parquet(os.path.join(base, "in", "b"))
     src = (spark.readStream.format("parquet").schema(prepared.schema).option("maxFilesPerTrigger", 1)
            .load(os.path.join(base, "in", "*")))
-    out = SM.stream_ip_metrics(src, window="1 hour", slide="10 minutes", watermark="0 seconds",
-                               gap_ms=600_000)
+    out = SM.stream_ip_metrics(src, window=window, slide=slide, watermark="0 seconds", gap_ms=600_000)
     name = "sm_" + uuid.uuid4().hex[:8]
     q = (out.writeStream.format("memory").queryName(name).outputMode("append")
          .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     got = spark.table(name).filter(F.col("ip") != "sentinel")
-    exp = M.ip_metrics(req, window="1 hour", slide="10 minutes", gap_ms=600_000)
+    exp = M.ip_metrics(req, window=window, slide=slide, gap_ms=600_000)
     cols = ["window_start", "ip", *M.WIDE_METRICS]
     g = sorted(tuple(r) for r in got.select(*cols).collect())
     e = sorted(tuple(r) for r in exp.select(*cols).collect())
     assert len(g) == len(e) and g == e
-    prog = progress_frame(spark, q)
-    assert batch_summary(prog).first()["rows"] >= req.count()
 
 
 def _lines_to_text(df, path):
@@ -135,3 +134,83 @@ def test_console_banner_only_for_non_empty_batches(spark, capsys):
     handler(lines.limit(0), 1)
     out = capsys.readouterr().out
     assert "batch 0 at" in out and "batch 1 at" not in out
+
+
+def test_both_jobs_on_files_equal_the_batch_plan(spark):
+    """Raw lines -> records -> metrics -> blacklist, and the blacklist back as black IPs."""
+    from tollgate.functions.codec import to_record_line
+    from tollgate.operators.blacklist import to_blacklist_records
+    from tollgate.operators.scoring import blacklist_decisions, evaluate_rules, flow_scores, rule_gaps
+    from tollgate.operators.tags import flag_critical
+    from tollgate.plans.preprocess import ingest_lines
+    base = _dir(spark, "both-jobs")
+    lines = raw_lines(tagged_requests(spark, SF_SMALL)).select("value")
+    _lines_to_text(lines, os.path.join(base, "in", "1"))
+    dims = Dimensions.defaults(spark)
+    src = spark.readStream.format("text").load(os.path.join(base, "in", "*"))
+    start_preprocess(src, os.path.join(base, "pre"), os.path.join(base, "ck1"), trigger={"availableNow": True}).awaitTermination()
+    rec = spark.read.parquet(os.path.join(base, "pre", "records"))
+    rec.select(to_record_line(rec).alias("value")).coalesce(1).write.text(os.path.join(base, "rec", "1"))
+    # a far-future record in a batch of its own closes every window
+    rec.limit(1).withColumn("time_iso8601", F.lit("2030-01-01T00:00:00+00:00")).transform(
+        lambda d: d.select(to_record_line(d).alias("value"))).coalesce(1).write.text(os.path.join(base, "rec", "2"))
+
+    def loader(s):
+        low = [(1, 1, "access", "ip_access", 2, 0, 0, 2.0, None, 5, ">="), (2, 1, "close", "critical_close_intervals", 2, 0, 0, 1.0, 3.6e6, 4, ">="),
+               (3, 1, "wide", "critical_close_intervals", 2, 0, 0, 1.0, 3.6e7, 2, ">="), (4, 1, "block", "ip_block_access", 2, 0, 0, 4.0, None, 7, ">=")]
+        return SM.Rules(dim.critical_page_rules(s), s.createDataFrame(low, dim.SCORE_RULE_SCHEMA),
+                        s.createDataFrame([(1, "default", 0, 6.0, 5.0)], dim.FLOW_SCHEMA))
+    source = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(os.path.join(base, "rec", "*"))
+    out = os.path.join(base, "metrics-out")
+    for _ in range(2):                                      # the second start finds nothing new
+        queries = SM.start_metrics(source, out, os.path.join(base, "ck2"), loader, window="1 day", slide="1 day", rule_type=2,
+                                   watermark="0 seconds", trigger={"availableNow": True}, max_files_per_trigger=1)
+        for q in queries:
+            q.awaitTermination()
+    got = spark.read.parquet(os.path.join(out, "blacklist"))
+
+    ok, _ = ingest_lines(lines)
+    plain = structured(process_messages(ok, dims)).filter(F.col("behavior_type") != "Other")
+    r = flag_critical(plain, dim.critical_page_rules(spark), "request").withColumn("ts", F.to_timestamp("time_iso8601"))
+    rules, flows = loader(spark).score_rules, loader(spark).flows
+    wide = M.ip_metrics(r, window="1 day", gap_ms=rule_gaps(rules, flows, 2), ua_col="http_user_agent",
+                        dep_col="dep_city", arr_col="arr_city")
+    blocks = M.ip_block_counts(r, window="1 day").select(*M.WIN, F.lit("ip_block_access").alias("metric"),
+                                                         F.col("ip_block").alias("key"), F.col("access_count").alias("value"))
+    long = M.to_long(wide).unionByName(blocks, allowMissingColumns=True)
+    exp = to_blacklist_records(blacklist_decisions(flow_scores(evaluate_rules(long, rules, flows, 2)), flows))
+    cols = ["key_exp_time", "key", "value"]
+    e = sorted(map(tuple, exp.select(*cols).collect()))
+    assert e and sorted(map(tuple, got.select(*cols).collect())) == e
+
+    now = e[0][0] - 50 * 60_000
+    black = SM.blacklisted_ips(spark, os.path.join(out, "blacklist"), now)
+    want = {k for x, k, _ in e if x - 3_600_000 <= now < x}
+    assert {r.ip_name for r in black.collect()} == want
+    dims.black_ips = black
+    tagged = process_messages(ok, dims)
+    assert {r.remote_addr for r in tagged.filter("high_freq_ip").select("remote_addr").distinct().collect()} <= want
+
+
+def test_progress_history_keeps_every_batch(spark):
+    """More batches than the engine remembers (100 by default; 5 here)."""
+    base = _dir(spark, "progress")
+    for i in range(8):
+        spark.range(3).coalesce(1).write.parquet(os.path.join(base, "in", str(i)))
+    listener = ProgressTable(spark, os.path.join(base, "history"), {"tiny": "real_time"})
+    spark.streams.addListener(listener)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        src = (spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "*")))
+        q = (src.writeStream.format("noop").queryName("tiny").option("checkpointLocation", os.path.join(base, "ck"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        assert len(q.recentProgress) <= 5
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(listener)
+    prog = progress_frame(spark, os.path.join(base, "history"))
+    assert batch_summary(prog).first()["rows"] == 24
+    assert prog.filter("num_input_rows > 0").count() == 8
+    assert [r.tier for r in mean_latency_by_tier(prog).collect()] == ["real_time"]

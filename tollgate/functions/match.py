@@ -1,10 +1,12 @@
-"""Regex rule matching as native expressions.
+"""Regex rule matching.
 
-Rule tables are configuration (tens to hundreds of patterns). They are read
-with a row cap; within the cap each pattern becomes a *literal* regex inside a
-single expression, so Spark compiles it once per task and the match stays in
-whole-stage codegen (a pattern held in a column would be recompiled per row).
-Beyond the cap callers use the relational form (a theta join on ``rlike``).
+Rule tables are configuration (tens to thousands of patterns). Up to ``INLINE_RULES`` rows each
+pattern becomes a *literal* regex of its own in one flat ``coalesce``: Spark compiles it once per
+task, evaluation stops at the first hit, and neither depth nor the meaning of a pattern
+(back references, group names) depends on how many rules there are.
+
+A larger table stays a table: the distinct texts are joined to the rules on ``rlike`` (the rules
+are a stated query set) and the best rule of each text is joined back. Results are the same.
 """
 
 from __future__ import annotations
@@ -12,12 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_INLINE_RULES = 100_000   # rules read to the driver at most
-PATTERNS_PER_REGEX = 256     # alternation size of one compiled regex
-
-
-class TooManyRules(ValueError):
-    pass
+INLINE_RULES = 2_000   # rules compiled into an expression; more are joined as a table
 
 
 def full_pattern(pattern: str) -> str:
@@ -33,36 +30,51 @@ def full_match(c: Column, pattern: str) -> Column:
 
 
 def any_full_match(c: Column, patterns: list[str]) -> Column:
-    """True when ``c`` fully matches at least one pattern (False for no patterns)."""
-    if not patterns:
-        return F.lit(False)
-    out = None
-    for i in range(0, len(patterns), PATTERNS_PER_REGEX):
-        chunk = patterns[i:i + PATTERNS_PER_REGEX]
-        m = c.rlike(full_pattern("|".join(f"(?:{p})" for p in chunk)))
-        out = m if out is None else (out | m)
-    return out
+    """True when ``c`` fully matches at least one pattern (False for no patterns, or a null text)."""
+    return F.coalesce(*[F.when(full_match(c, p), F.lit(True)) for p in patterns], F.lit(False))
 
 
 def first_match_value(c: Column, cases: list[tuple[str, Column]], default: Column) -> Column:
-    """Value of the first (pattern, value) whose pattern fully matches ``c``."""
-    out = default
-    for pattern, value in reversed(cases):
-        out = F.when(full_match(c, pattern), value).otherwise(out)
-    return out
+    """Value of the first (pattern, value) whose pattern fully matches ``c``; values are not null."""
+    return F.coalesce(*[F.when(full_match(c, p), v) for p, v in cases], default)
 
 
-def collect_rules(df: DataFrame, *cols: str, order_by: str | None = None,
-                  limit: int = MAX_INLINE_RULES) -> list[tuple]:
-    """Read a small rule table to the driver, refusing tables over ``limit`` rows."""
+def collect_rules(df: DataFrame, *cols: str, order_by: str | None = None) -> list[tuple]:
+    """Rows of a rule table on the driver (configuration; see ``fits_inline`` for large ones)."""
     sel = df.select(*cols, *([order_by] if order_by and order_by not in cols else []))
     if order_by:
         sel = sel.orderBy(order_by)
-    rows = sel.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise TooManyRules(f"rule table has more than {limit} rows; use the join form")
-    return [tuple(r[c] for c in cols) for r in rows]
+    return [tuple(r[c] for c in cols) for r in sel.collect()]
+
+
+def fits_inline(rules: DataFrame, limit: int | None = None) -> bool:
+    """Whether the rule table is small enough to be compiled into an expression."""
+    limit = INLINE_RULES if limit is None else limit
+    return rules.limit(limit + 1).count() <= limit
 
 
-def rule_patterns(df: DataFrame, col: str, limit: int = MAX_INLINE_RULES) -> list[str]:
-    return [r[0] for r in collect_rules(df, col, limit=limit) if r[0] is not None]
+def rule_patterns(df: DataFrame, col: str) -> list[str]:
+    return [r[0] for r in collect_rules(df, col) if r[0] is not None]
+
+
+def match_by_join(df: DataFrame, text_col: str, rules: DataFrame, pattern_col: str, best: Column,
+                  out: str) -> DataFrame:
+    """``df`` with ``out`` = the aggregate ``best`` over the rules each text matches, null if none.
+
+    One row per different text meets the rules, so repeated texts cost nothing; ``best`` is a
+    map-side aggregate (``min_by``, ``max_by``, ``count``), so no list of matches is built.
+    """
+    texts = df.select(F.col(text_col).alias("_text")).where(F.col("_text").isNotNull()).distinct()
+    pats = rules.where(F.col(pattern_col).isNotNull()).withColumn(
+        "_pattern", F.concat(F.lit("^(?:"), F.col(pattern_col), F.lit(")\\z")))
+    hits = (texts.join(pats, F.expr("_text rlike _pattern"))
+            .groupBy("_text").agg(best.alias(out)))
+    return df.join(hits, df[text_col] == hits["_text"], "left").drop("_text")
+
+
+def flag_any_match(df: DataFrame, text_col: str, rules: DataFrame, pattern_col: str, out: str) -> DataFrame:
+    """``df`` with the boolean ``out``: the text fully matches at least one rule."""
+    if fits_inline(rules):
+        return df.withColumn(out, any_full_match(F.col(text_col), rule_patterns(rules, pattern_col)))
+    joined = match_by_join(df, text_col, rules.select(pattern_col), pattern_col, F.count(F.lit(1)), out)
+    return joined.withColumn(out, F.col(out).isNotNull())

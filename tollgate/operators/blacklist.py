@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,14 +13,14 @@ BLACKLIST_TTL_S = 3600
 
 
 def to_blacklist_records(decisions: DataFrame, ttl_s: int = BLACKLIST_TTL_S,
-                         issued_at: Column | None = None) -> DataFrame:
+                         issued_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``(key_exp_time, key, value)``; expiry = issue time + TTL in epoch ms.
     The issue time defaults to the end of the metric window (deterministic)."""
     t = issued_at if issued_at is not None else F.unix_millis(F.col("window_end"))
     return decisions.select(
         (t + F.lit(ttl_s * 1000)).cast("bigint").alias("key_exp_time"),
         F.col("key"),
-        F.to_json(F.struct("flow_id", "crawler_type", "score", "hit_rules")).alias("value"))
+        F.to_json(F.struct("flow_id", "crawler_type", "score", "hit_rules")).alias("value"), *keep)
 
 
 def latest_per_key(records: DataFrame, key: str = "key", exp: str = "key_exp_time") -> DataFrame:
@@ -52,19 +55,33 @@ def rank_latest(records: DataFrame, key: str = "key", exp: str = "key_exp_time")
 
 # ---- hour-partitioned parquet (IO14-IO16) --------------------------------------
 
-def with_hour_parts(df: DataFrame, ts: Column) -> DataFrame:
-    return (df.withColumn("y", F.date_format(ts, "yyyy")).withColumn("m", F.date_format(ts, "MM"))
-              .withColumn("d", F.date_format(ts, "dd")).withColumn("h", F.date_format(ts, "HH")))
+HOUR_PARTS = ["y", "m", "d", "h"]
+
 
+def write_hourly(df: DataFrame, path: str, written_at: Column, run_id: str) -> None:
+    """IO14/IO15: write below ``path/y=/m=/d=/h=/run_id=`` by the hour of *writing*.
 
-def append_hourly(df: DataFrame, path: str, ts: Column) -> None:
-    """IO14/IO15: append to ``path/y=/m=/d=/h=`` parquet."""
-    with_hour_parts(df, ts).write.mode("append").partitionBy("y", "m", "d", "h").parquet(path)
+    ``written_at`` is the run's logical time: a retried run has the same one and the same id, and
+    replaces its own files instead of adding them again.
+    """
+    formats = zip(HOUR_PARTS, ("yyyy", "MM", "dd", "HH"))
+    (df.withColumns({c: F.date_format(written_at, f).cast("int") for c, f in formats})
+       .withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_PARTS, "run_id").parquet(path))
 
 
 def read_hours(spark: SparkSession, path: str, hours: list[str]) -> DataFrame:
-    """IO16: read only the given hours (``yyyy-MM-dd HH``); the filter on the
-    partition columns prunes directories, missing hours are simply empty."""
-    df = spark.read.parquet(path)
-    key = F.format_string("%04d-%02d-%02d %02d", *[F.col(c).cast("int") for c in ("y", "m", "d", "h")])
-    return df.filter(key.isin(hours))
+    """IO16: the records written in the given hours (``yyyy-MM-dd HH``); literal predicates on the
+    partition columns prune directories, missing hours are simply empty."""
+    wanted = F.lit(False)
+    for hour in hours:
+        y, m, d = hour[:10].split("-")
+        wanted = wanted | ((F.col("y") == int(y)) & (F.col("m") == int(m)) & (F.col("d") == int(d))
+                           & (F.col("h") == int(hour[11:13])))
+    return spark.read.parquet(path).filter(wanted)
+
+
+def hours_to_restore(now_ms: int) -> list[str]:
+    """The current and the previous hour (UTC), those of which records may still live."""
+    at = datetime.fromtimestamp(now_ms / 1000, UTC)
+    return [(at - timedelta(hours=k)).strftime("%Y-%m-%d %H") for k in (0, 1)]

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.functions.match import any_full_match, rule_patterns
-from tollgate.functions.text import is_ipv4_shape
+from tollgate.functions.match import flag_any_match
 
 SEP = "#CS#"
 
@@ -39,29 +38,13 @@ def keep_complete_lines(df: DataFrame, value_col: str = "value", min_fields: int
 
 def drop_filtered_urls(df: DataFrame, rules: DataFrame, request_col: str = "request") -> DataFrame:
     """drop rows whose request line fully matches any URL-filter rule."""
-    pats = rule_patterns(rules, rules.columns[0])
-    return df.filter(~any_full_match(F.coalesce(F.col(request_col), F.lit("")), pats))
+    d = df.withColumn("_line", F.coalesce(F.col(request_col), F.lit("")))
+    return flag_any_match(d, "_line", rules, rules.columns[0], "_filtered").filter(~F.col("_filtered")).drop("_line", "_filtered")
 
 
-def keep_critical(df: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
-    """keep rows whose URL fully matches any critical-page rule."""
-    pats = rule_patterns(rules, rules.columns[0])
-    return df.filter(any_full_match(F.col(url_col), pats))
-
-
-def keep_ipv4(df: DataFrame, ip_col: str = "remote_addr") -> DataFrame:
-    """keep rows whose IP has exactly four dot-separated parts."""
-    return df.filter(is_ipv4_shape(F.col(ip_col)))
-
-
-def by_behavior(df: DataFrame, behavior: str, col: str = "behavior_type") -> DataFrame:
+def by_behavior(df: DataFrame, *behaviors: str, col: str = "behavior_type") -> DataFrame:
     """behaviour equality (routing)."""
-    return df.filter(F.col(col) == behavior)
-
-
-def ci_equals(a: Column, b: Column) -> Column:
-    """case-insensitive equality."""
-    return F.lower(a) == F.lower(b)
+    return df.filter(F.col(col).isin(*behaviors))
 
 
 def unexpired(df: DataFrame, now_ms: Column, exp_col: str = "key_exp_time",

@@ -12,12 +12,15 @@ built so that no task ever holds one key's raw rows:
   key is.
 
 Sliding windows (5 min sliding 5 s = 60 windows per row) are not expanded per
-raw row: rows are first aggregated into slide-sized panes, then each pane is
-assigned to the windows containing it.
+raw row: rows are first aggregated into panes as wide as the greatest common
+divisor of window and slide, so that each pane lies whole in every window it
+touches, then each pane is assigned to the windows containing it.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,12 +59,12 @@ def _with_window(df: DataFrame, ts: Column, window: str | None, slide: str | Non
 
 
 def _panes(df: DataFrame, ts_col: str, window: str | None, slide: str | None) -> tuple[DataFrame, bool]:
-    """Assign each row its pane: the window itself when tumbling, a slide-wide
-    tumbling pane when sliding (returned flag says panes need expanding)."""
+    """Assign each row its pane: the window itself when tumbling, a tumbling pane of
+    ``pane_ms`` when sliding (returned flag says panes need expanding)."""
     sliding = bool(window and slide and slide != window)
     if sliding:
-        w = F.window(F.col(ts_col), slide)
-        return df.withColumn("_pane", w.start), True
+        t = F.unix_millis(F.col(ts_col))
+        return df.withColumn("_pane", F.timestamp_millis(t - F.pmod(t, F.lit(pane_ms(window, slide))))), True
     return _with_window(df, F.col(ts_col), window, slide), False
 
 
@@ -80,6 +83,10 @@ def duration_ms(text: str) -> int:
     return int(float(n) * _UNIT_MS[unit.lower().rstrip("s")])
 
 
+def pane_ms(window: str, slide: str) -> int:
+    return gcd(duration_ms(window), duration_ms(slide))
+
+
 def sliding_distinct_counts(p: DataFrame, marks: DataFrame, window: str, slide: str,
                             kinds: list[str]) -> DataFrame:
     """Exact distinct counts per sliding window without copying values into windows.
@@ -92,14 +99,16 @@ def sliding_distinct_counts(p: DataFrame, marks: DataFrame, window: str, slide:
     the answer rows, is the distinct count. Ordered partitions hold at most one row
     per window start of the IP (bounded by time span / slide, not by traffic).
     """
-    W, P = duration_ms(window), duration_ms(slide)
+    W, S, P = duration_ms(window), duration_ms(slide), pane_ms(window, slide)
     stack = "stack({n}, {args}) AS (_kind, _v)".format(
         n=len(kinds), args=", ".join(f"'{k}', {k}" for k in kinds))
     d = p.select(F.unix_millis("_pane").alias("_pm"), "ip", F.expr(stack)).distinct()
     prev = F.lag("_pm").over(Window.partitionBy("ip", "_kind", "_v").orderBy("_pm"))
-    first_start = F.col("_pm") - F.lit(W - P)
-    start = F.when(prev.isNull(), first_start).otherwise(F.greatest(first_start, prev + F.lit(P)))
-    ev = d.select("ip", "_kind", start.alias("_a"), (F.col("_pm") + F.lit(P)).alias("_b"))
+    # window starts are multiples of S; those that hold pane pm run from pm + P - W to pm
+    after = lambda t: t - F.pmod(t, F.lit(S)) + F.lit(S)  # noqa: E731  first start later than t
+    first_start = after(F.col("_pm") + F.lit(P - W - 1))
+    start = F.when(prev.isNull(), first_start).otherwise(F.greatest(first_start, after(prev)))
+    ev = d.select("ip", "_kind", start.alias("_a"), after(F.col("_pm")).alias("_b")).filter("_a < _b")
     deltas = ev.select("ip", "_kind", F.explode(F.array(
         F.struct(F.col("_a").alias("s"), F.lit(1).alias("dl")),
         F.struct(F.col("_b").alias("s"), F.lit(-1).alias("dl")))).alias("e")) \
@@ -136,17 +145,6 @@ def keyed_count(df: DataFrame, key: Column, *, ts_col: str = "ts", window: str |
     return p.groupBy(*WIN, "key").agg(F.sum("_w").cast("bigint").alias(name))
 
 
-def keyed_distinct(df: DataFrame, key: Column, value: Column, *, ts_col: str = "ts",
-                   window: str | None = None, slide: str | None = None,
-                   name: str = "value") -> DataFrame:
-    """Exact distinct count of ``value`` per key and window."""
-    base = df.select(F.col(ts_col), key.alias("key"), value.alias("_v"))
-    p, sliding = _panes(base, ts_col, window, slide)
-    if sliding:
-        p = _expand(p.select("_pane", "key", "_v").distinct(), window, slide)
-    return p.groupBy(*WIN, "key").agg(F.count_distinct("_v").alias(name))
-
-
 def ip_block_counts(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts",
                     window: str | None = None, slide: str | None = None) -> DataFrame:
     """A1: accesses per /16 block, four-part IPs only."""
@@ -156,9 +154,11 @@ def ip_block_counts(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str
 
 
 def interval_metrics(hits: DataFrame, key: Column, *, ts_col: str = "ts", window: str | None = None,
-                     slide: str | None = None, gap_ms: int = 5000) -> DataFrame:
+                     slide: str | None = None, gap_ms: int | list[int] = 5000) -> DataFrame:
     """A6/A7 over the given hit rows (already filtered to critical pages).
 
+    A list of gaps gives one column ``close_interval_count_<gap>`` each.
+
     ``min_interval_ms``: smallest gap between consecutive hits, -1 for a single hit.
     ``close_interval_count``: number of consecutive gaps ``< gap_ms``.
     Keys without hits do not appear.
@@ -171,24 +171,24 @@ def interval_metrics(hits: DataFrame, key: Column, *, ts_col: str = "ts", window
     per_t = _with_window(per_t, F.col("_ts"), window, slide).drop("_ts")
     w = Window.partitionBy(*WIN, "key").orderBy("_t")
     gaps = per_t.withColumn("_gap", F.col("_t") - F.lag("_t").over(w))
-    zero_close = F.lit(1 if 0 < gap_ms else 0)
+    wanted = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
     agg = gaps.groupBy(*WIN, "key").agg(
         F.sum("_n").alias("_hits"),
         F.max("_n").alias("_max_n"),
         F.min("_gap").alias("_min_gap"),
-        (F.sum((F.col("_n") - 1) * zero_close)
-         + F.count_if(F.col("_gap") < gap_ms)).cast("bigint").alias("close_interval_count"))
+        *[(F.sum((F.col("_n") - 1) * F.lit(1 if 0 < g else 0))
+           + F.count_if(F.col("_gap") < g)).cast("bigint").alias(c) for c, g in wanted.items()])
     min_iv = (F.when(F.col("_hits") == 1, F.lit(-1))
                .when(F.col("_max_n") > 1, F.lit(0))
                .otherwise(F.col("_min_gap"))).cast("bigint")
-    return agg.select(*WIN, "key", min_iv.alias("min_interval_ms"), "close_interval_count")
+    return agg.select(*WIN, "key", min_iv.alias("min_interval_ms"), *wanted)
 
 
 def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts",
                critical_col: str = "is_critical", ua_col: str = "user_agent",
                session_col: str = "session_id", dep_col: str = "dep", arr_col: str = "arr",
                window: str | None = None, slide: str | None = None,
-               gap_ms: int = 5000) -> DataFrame:
+               gap_ms: int | list[int] = 5000) -> DataFrame:
     """A2-A8 per (window, IP), wide: one row per IP seen in the window.
 
     access_count (A2), critical_count (A3, 0 when none), user_agent_count (A4,
@@ -214,7 +214,6 @@ def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts
             F.count_distinct("ua").alias("user_agent_count"),
             F.count_distinct("sid").alias("cookie_count"),
             F.count_distinct("rt").alias("route_count"))
-        dist = None
     else:
         counts = (p.groupBy("_pane", "ip").agg(F.count(F.lit(1)).alias("_n"),
                                               F.count_if("crit").alias("_c")))
@@ -226,15 +225,12 @@ def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts
                                          window, slide, ["ua", "sid", "rt"]) \
             .withColumnRenamed("ua", "user_agent_count").withColumnRenamed("sid", "cookie_count") \
             .withColumnRenamed("rt", "route_count")
-        dist = None
     gaps = interval_metrics(base.filter("crit"), F.col("ip"), ts_col="ts", window=window,
                             slide=slide, gap_ms=gap_ms).withColumnRenamed("key", "ip")
     keys = ["ip"] if window is None else [*WIN, "ip"]
-    out = counts
-    if dist is not None:
-        out = out.join(dist, keys, "left")
-    out = out.join(gaps.drop(*WIN) if window is None else gaps, keys, "left")
-    return out.select(*WIN, "ip", *WIDE_METRICS)
+    out = counts.join(gaps.drop(*WIN) if window is None else gaps, keys, "left")
+    close = [c for c in gaps.columns if c.startswith("close_interval_count")]
+    return out.select(*WIN, "ip", *[c for c in WIDE_METRICS if c != "close_interval_count"], *close)
 
 
 # Metric names in the long form, matched by score rules (B1).
@@ -250,14 +246,19 @@ METRIC_NAMES = {
 
 
 def to_long(wide: DataFrame, key_col: str = "ip", only: set[str] | None = None) -> DataFrame:
-    """Wide metrics -> ``(window_start, window_end, metric, key, value)``;
-    absent metrics (NULL) produce no row, as in the reference's per-metric maps.
-    ``only`` keeps the named long metrics (unused aggregates are then pruned)."""
-    cols = [c for c in METRIC_NAMES if c in wide.columns and (only is None or METRIC_NAMES[c] in only)]
-    renamed = wide.select(*WIN, F.col(key_col).alias("key"),
-                          *[F.col(c).cast("bigint").alias(METRIC_NAMES[c]) for c in cols])
-    long = renamed.unpivot([*WIN, "key"], [METRIC_NAMES[c] for c in cols], "metric", "value")
-    return long.where(F.col("value").isNotNull())
+    """Wide metrics -> ``(window_start, window_end, metric, key, value, arg1)``;
+    absent metrics (NULL) produce no row. ``only`` keeps the named long metrics (unused
+    aggregates are then pruned). ``arg1`` is the gap of a close-interval count made for a
+    list of gaps, else NULL."""
+    names = {}
+    for c in wide.columns:
+        plain, _, gap = (c, "", "") if c in METRIC_NAMES else c.rpartition("_")
+        if plain in METRIC_NAMES and (only is None or METRIC_NAMES[plain] in only):
+            names[c] = f"{METRIC_NAMES[plain]}@{gap}"
+    renamed = wide.select(*WIN, F.col(key_col).alias("key"), *[F.col(c).cast("bigint").alias(n) for c, n in names.items()])
+    long = renamed.unpivot([*WIN, "key"], list(names.values()), "_name", "value").where(F.col("value").isNotNull())
+    return long.select(*WIN, F.substring_index("_name", "@", 1).alias("metric"), "key", "value",
+                       F.substring_index("_name", "@", -1).try_cast("double").alias("arg1"))
 
 
 def link_counts(df: DataFrame, *, server_col: str = "server_addr", ts_col: str = "ts",
@@ -271,7 +272,3 @@ def link_counts(df: DataFrame, *, server_col: str = "server_addr", ts_col: str =
         F.count(F.lit(1)).alias("request_count"),
         F.max_by("active_user_num", F.struct("ts", "active_user_num")).alias("active_user_num"))
 
-
-def max_per_key(df: DataFrame, key_col: str, value_col: str) -> DataFrame:
-    """Numeric max per key (text expiry cast to BIGINT first)."""
-    return df.groupBy(key_col).agg(F.max(F.col(value_col).cast("bigint")).alias(f"max_{value_col}"))

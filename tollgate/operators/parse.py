@@ -1,10 +1,13 @@
 """Request parsing as one nested-column job.
 
-The parse-rule table is configuration (read with a row cap). Each rule
-becomes literal expressions: the choice of rule is a ``CASE`` in rule order
-where the *last* matching rule wins, and every extracted field is a ``CASE``
-over the chosen rule id. XPath needs literal paths, JSONPath gets them too,
-so everything stays in whole-stage codegen with no join and no Python.
+The parse-rule table is configuration. Each rule becomes literal expressions: the choice of
+rule is a flat ``coalesce`` from the last rule to the first (the *last* matching rule wins), and
+every extracted field is one over the chosen rule id; rules with the same path share a branch.
+XPath needs literal paths, JSONPath gets them too, so there is no join and no Python.
+
+Which document a rule reads depends on its flags and on the request's content type; a rule
+none of whose formats fits gives empty fields. XML that does not parse gives a NULL struct and
+sets ``parse_failed``, so such rows can be routed to the rejects.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tollgate.functions.match import collect_rules, full_match
 from tollgate.functions.redact import hash_each, md5_nonempty
-from tollgate.functions.text import kv_map
+from tollgate.functions.text import form_map, kv_map, xml_doc, xml_path
 from tollgate.sources.dimensions import BOOK_PATH_FIELDS, QUERY_PATH_FIELDS
 
 # Enum ids of the record (flight, behaviour, travel types).
@@ -43,30 +46,25 @@ def choose_rule(rules: list[dict], behavior: str, method: Column, behavior_col:
                 url: Column) -> Column:
     """Id of the last rule (in rule order) whose method matches case-insensitively,
     whose behaviour equals the request's, and whose pattern fully matches the URL."""
-    out = F.lit(None).cast("int")
-    for r in rules:  # later rules override earlier ones
+    hits = []
+    for r in reversed(rules):  # later rules override earlier ones
         if r["behavior_type"] != behavior or r["request_match"] is None:
             continue
         cond = ((F.lower(method) == F.lit((r["request_method"] or "").lower()))
                 & (behavior_col == F.lit(behavior))
                 & full_match(F.coalesce(url, F.lit("")), r["request_match"]))
-        out = F.when(cond, F.lit(r["rule_id"])).otherwise(out)
-    return out
+        hits.append(F.when(cond, F.lit(r["rule_id"])))
+    return F.coalesce(*hits, F.lit(None).cast("int"))
 
 
-def _per_rule(rule_id: Column, rules: list[dict], fn, default: Column | None = None) -> Column:
-    out = default if default is not None else F.lit(None)
+def _per_rule(rule_id: Column, rules: list[dict], key, fn) -> list[Column]:
+    """One branch per different ``key(rule)``: the value ``fn(key)`` for the rules that have it."""
+    ids: dict = {}
     for r in rules:
-        v = fn(r)
-        if v is not None:
-            out = F.when(rule_id == F.lit(r["rule_id"]), v).otherwise(out)
-    return out
-
-
-def _xml_doc(body: Column) -> Column:
-    """XML text from its ``<page>`` root on (junk before it is ignored)."""
-    return F.when(F.instr(body, "<page>") > 0,
-                  F.concat(F.lit("<page>"), F.substring_index(body, "<page>", -1))).otherwise(body)
+        k = key(r)
+        if k is not None:
+            ids.setdefault(k, []).append(r["rule_id"])
+    return [F.when(rule_id.isin(v), fn(k)) for k, v in ids.items()]
 
 
 def json_list(j: Column, path: str) -> Column:
@@ -79,7 +77,7 @@ def json_list(j: Column, path: str) -> Column:
 
 
 def _strip_brackets(j: Column) -> Column:
-    return F.regexp_replace(j, r"^\[(.*)\]$", "$1")
+    return F.regexp_replace(j, r"(?s)^\[(.*)\]\z", "$1")
 
 
 def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", url="url",
@@ -87,118 +85,119 @@ def parse_query(df: DataFrame, rules: list[dict], *, method="request_method", ur
                 flight="flight_type", travel="travel_type") -> DataFrame:
     """``query_data`` struct for query requests, NULL when no rule matched.
 
-    The chosen rule's document is built once per row (``_qmap`` for GET/form
-    parameters, ``_qtext`` for form-JSON or XML); every field reads from it.
+    The chosen rule's document is built once per row (``_map`` for GET/form
+    parameters, ``_json`` for JSON, ``_xml`` for XML); every field reads from it.
+    ``is_empty`` is true when nothing was extracted.
     """
-    rid = choose_rule(rules, "Query", F.col(method), F.col(behavior), F.col(url))
-    d = df.withColumn("_qrule", rid)
-    rid = F.col("_qrule")
-    ct, b = F.lower(F.col(content_type)), F.coalesce(F.col(body), F.lit(""))
-
-    def fmt(r):
-        rm = (r["request_method"] or "").lower()
-        if rm == "get" and r["is_normal_get"]:
-            return "get"
-        if rm == "post" and r["is_normal_form"]:
-            return "form"
-        if rm == "post" and r["is_json"] and r["form_data_field"]:
-            return "form_json"
-        if rm == "post" and r["is_text_xml"] and r["is_xml"]:
-            return "xml"
-        return None
-
-    fmts = {r["rule_id"]: fmt(r) for r in rules}
-    qs = kv_map(F.get(F.split(F.col(url), "[?]"), 1), "&", decode=False)
-    form = kv_map(F.col(body), "&", decode=True)
-    qmap = _per_rule(rid, rules, lambda r: {"get": qs, "form": form}.get(fmts[r["rule_id"]]))
-    qtext = _per_rule(rid, rules, lambda r: (
-        F.element_at(form, F.lit(r["form_data_field"])) if fmts[r["rule_id"]] == "form_json" else
-        F.when((ct == "text/xml") & (F.length(b) > 0), _xml_doc(F.col(body)))
-        if fmts[r["rule_id"]] == "xml" else None))
-    d = d.withColumn("_qmap", qmap.cast("map<string,string>")).withColumn("_qtext", qtext.cast("string"))
+    rules = [r for r in rules if r["behavior_type"] == "Query"]
+    d = df.withColumn("_rule", choose_rule(rules, "Query", F.col(method), F.col(behavior), F.col(url)))
+    rid, ct, b = F.col("_rule"), F.lower(F.col(content_type)), F.col(body)
+    full = F.length(F.coalesce(b, F.lit(""))) > 0
+
+    def of(test) -> list[int]:
+        return [r["rule_id"] for r in rules if test((r["request_method"] or "").lower(), r)]
+    # Fixed order of the formats; the first whose flags (and content type) fit is read.
+    get = of(lambda m, r: m == "get" and r["is_normal_get"])
+    form = of(lambda m, r: m == "post" and r["is_normal_form"])
+    form_json = {r["rule_id"]: r["form_data_field"] for r in rules
+                 if r["rule_id"] in of(lambda m, r: m == "post" and not r["is_normal_form"] and r["is_json"])
+                 and r["form_data_field"]}
+    xml = of(lambda m, r: m == "post" and not r["is_normal_form"] and r["is_text_xml"] and r["is_xml"]
+             and r["rule_id"] not in form_json)
+    body_json = of(lambda m, r: m == "post" and not r["is_normal_form"] and r["is_application_json"] and r["is_json"]
+                   and r["rule_id"] not in form_json)
+
+    d = (d.withColumn("_map", F.when(rid.isin(get), kv_map(F.get(F.split(F.col(url), "[?]"), 1), "&"))
+                      .when(rid.isin([*form, *form_json]), form_map(b)))
+         .withColumn("_is_xml", F.coalesce(rid.isin(xml) & (ct == "text/xml") & full, F.lit(False)))
+         .withColumn("_xml", F.when(F.col("_is_xml"), xml_doc(b)))
+         .withColumn("_json", F.coalesce(
+             *_per_rule(rid, rules, lambda r: form_json.get(r["rule_id"]),
+                        lambda f: F.element_at(F.col("_map"), F.lit(f))),
+             F.when(rid.isin(body_json) & (ct == "application/json") & full, b), F.lit(None).cast("string"))))
 
     def field(name):
-        def fn(r):
-            p, f = r[name], fmts[r["rule_id"]]
-            if p is None or f is None:
-                return None
-            if f in ("get", "form"):
-                return F.element_at(F.col("_qmap"), F.lit(p))
-            if f == "form_json":
-                return F.get_json_object(F.col("_qtext"), p)
-            return F.xpath_string(F.col("_qtext"), F.lit(p))
-        return F.coalesce(_per_rule(rid, rules, fn), F.lit(""))
-
-    parsed_travel = field("q_travel_type").try_cast("int")
+        def path_of(ids):
+            return lambda r: r[name] if r["rule_id"] in ids else None
+        return F.coalesce(
+            *_per_rule(rid, rules, path_of([*get, *form]), lambda p: F.element_at(F.col("_map"), F.lit(p))),
+            *_per_rule(rid, rules, path_of([*form_json, *body_json]), lambda p: F.get_json_object(F.col("_json"), p)),
+            *_per_rule(rid, rules, path_of(xml), lambda p: F.nullif(
+                F.xpath_string(F.col("_xml"), F.lit(xml_path(p))), F.lit(""))),
+            F.lit(""))
+
+    d = d.withColumn("_fields", F.struct(*[field(c).alias(c[2:]) for c in QUERY_PATH_FIELDS]))
+    names = [c[2:] for c in QUERY_PATH_FIELDS]
+    f = {n: F.col("_fields")[n] for n in names}
     q = F.struct(
-        F.lit(False).alias("is_empty"),
+        F.greatest(*[F.length(v) for v in f.values()]).eqNullSafe(0).alias("is_empty"),
         enum_id(F.col(flight), FLIGHT_IDS).alias("flight_type"),
-        *[field(c).alias(c[2:]) for c in QUERY_PATH_FIELDS if c != "q_travel_type"],
-        F.coalesce(parsed_travel, enum_id(F.col(travel), TRAVEL_IDS)).alias("travel_type"))
-    return d.withColumn("query_data", F.when(rid.isNotNull(), q)).drop("_qrule", "_qmap", "_qtext")
+        *[f[n].alias(n) for n in names if n != "travel_type"],
+        F.coalesce(f["travel_type"].try_cast("int"), enum_id(F.col(travel), TRAVEL_IDS)).alias("travel_type"))
+    failed = F.col("_is_xml") & F.col("_xml").isNull()
+    return (d.withColumn("query_data", F.when(rid.isNotNull() & ~failed, q)).withColumn("_failed", failed)
+            .transform(_note_failed).drop("_rule", "_map", "_json", "_xml", "_is_xml", "_fields", "_failed"))
+
+
+def _note_failed(d: DataFrame) -> DataFrame:
+    before = F.col("parse_failed") if "parse_failed" in d.columns else F.lit(False)
+    return d.withColumn("parse_failed", before | F.col("_failed"))
 
 
 def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url="url",
                body="request_body", content_type="content_type", behavior="behavior_type",
                travel="travel_type") -> DataFrame:
     """``book_data`` struct for booking requests, NULL when no rule matched.
-    Contact phone and id cards are MD5-hashed (P8); empty phone stays NULL."""
-    rid = choose_rule(rules, "Book", F.col(method), F.col(behavior), F.col(url))
-    d = df.withColumn("_brule", rid)
-    rid = F.col("_brule")
-    ct, b = F.lower(F.col(content_type)), F.coalesce(F.col(body), F.lit(""))
-    form = kv_map(F.col(body), "&", decode=True)
-    xml = _xml_doc(F.col(body))
-
-    def doc_of(r) -> tuple[str, Column] | None:
-        if r["is_text_xml"] and r["is_xml"]:
-            return "xml", F.when((ct == "text/xml") & (F.length(b) > 0), xml)
-        if r["is_application_json"] and r["is_json"] and not r["is_normal_form"]:
-            return "json", F.when((ct == "application/json") & (F.length(b) > 0), b)
-        if r["is_json"] and not r["is_normal_form"] and r["form_data_field"]:
-            j = _strip_brackets(F.element_at(form, F.lit(r["form_data_field"])))
-            return "json", F.when(F.length(F.trim(j)) > 0, j)
-        return None
-
-    docs = {r["rule_id"]: doc_of(r) for r in rules}
-    # the chosen rule's document, built once per row; fields read from it
-    d = d.withColumn("_bdoc", _per_rule(rid, rules, lambda r: docs[r["rule_id"]][1]
-                                        if docs[r["rule_id"]] else None).cast("string"))
-
-    def source(r) -> tuple[str, Column] | None:
-        return (docs[r["rule_id"]][0], F.col("_bdoc")) if docs[r["rule_id"]] else None
+    Contact phone and id cards are MD5-hashed (P8); empty phone stays NULL.
+
+    The formats are tried in a fixed order (XML, JSON body, JSON in a form field); one whose
+    flags or content type do not fit falls through to the next.
+    """
+    rules = [r for r in rules if r["behavior_type"] == "Book"]
+    d = df.withColumn("_rule", choose_rule(rules, "Book", F.col(method), F.col(behavior), F.col(url)))
+    rid, ct, b = F.col("_rule"), F.lower(F.col(content_type)), F.col(body)
+    full = F.length(F.coalesce(b, F.lit(""))) > 0
+    xml = [r["rule_id"] for r in rules if r["is_text_xml"] and r["is_xml"]]
+    body_json = [r["rule_id"] for r in rules if r["is_application_json"] and r["is_json"] and not r["is_normal_form"]]
+    form_json = {r["rule_id"]: r["form_data_field"] for r in rules
+                 if r["is_json"] and not r["is_normal_form"] and not r["is_application_json"] and r["form_data_field"]}
+
+    inner = _strip_brackets(F.coalesce(*_per_rule(rid, rules, lambda r: form_json.get(r["rule_id"]),
+                                                  lambda f: F.element_at(form_map(b), F.lit(f))),
+                                       F.lit(None).cast("string")))
+    d = (d.withColumn("_is_xml", F.coalesce(rid.isin(xml) & (ct == "text/xml") & full, F.lit(False)))
+         .withColumn("_xml", F.when(F.col("_is_xml"), xml_doc(b)))
+         .withColumn("_inner", F.when(rid.isin(list(form_json)), inner))
+         .withColumn("_json", F.when(~F.col("_is_xml"), F.coalesce(
+             F.when(rid.isin(body_json) & (ct == "application/json") & full, b),
+             F.when(F.length(F.trim(F.col("_inner"))) > 0, F.col("_inner"))))))
+
+    def branches(name, of_xml, of_json):
+        return [*_per_rule(rid, rules, lambda r: r[name] if r["rule_id"] in xml else None,
+                           lambda p: F.when(F.col("_xml").isNotNull(), of_xml(p))),
+                *_per_rule(rid, rules, lambda r: r[name], lambda p: F.when(F.col("_json").isNotNull(), of_json(p)))]
 
     def lst(name, cut: str | None = None):
-        def fn(r):
-            p, src = r[name], source(r)
-            if p is None or src is None:
-                return None
-            kind, doc = src
-            if kind == "xml":
-                # Spark's xpath() lists text nodes: address the element's text
-                tp = p if p.endswith("text()") or "/@" in p else p + "/text()"
-                v = F.xpath(doc, F.lit(tp))
-                return F.transform(v, lambda x: F.substring_index(x, cut, 1)) if cut else v
-            return json_list(doc, p)
-        return F.coalesce(_per_rule(rid, rules, fn), F.array().cast("array<string>"))
+        def of_xml(p):
+            # Spark's xpath() lists text nodes: address the element's text
+            tp = xml_path(p if p.endswith("text()") or "/@" in p else p + "/text()")
+            v = F.xpath(F.col("_xml"), F.lit(tp))
+            return F.transform(v, lambda x: F.substring_index(x, cut, 1)) if cut else v
+        return F.coalesce(*branches(name, of_xml, lambda p: json_list(F.col("_json"), p)),
+                          F.array().cast("array<string>"))
 
     def scalar(name, cut: str | None = None):
-        def fn(r):
-            p, src = r[name], source(r)
-            if p is None or src is None:
-                return None
-            kind, doc = src
-            if kind == "xml":
-                v = F.xpath_string(doc, F.lit(p))
-                return F.substring_index(v, cut, 1) if cut else v
-            return F.get_json_object(doc, p)
-        return F.coalesce(_per_rule(rid, rules, fn), F.lit(""))
+        def of_xml(p):
+            v = F.xpath_string(F.col("_xml"), F.lit(xml_path(p)))
+            return F.substring_index(v, cut, 1) if cut else v
+        return F.coalesce(*branches(name, of_xml, lambda p: F.get_json_object(F.col("_json"), p)), F.lit(""))
 
     first, last = lst("b_psg_first_name"), lst("b_psg_name", "|")
     names = F.when(F.size(first) > 0,
                    F.zip_with(first, last, lambda a, z: F.concat(a, F.coalesce(z, F.lit("")))))\
              .otherwise(last)
-    rule_flight = _per_rule(rid, rules, lambda r: F.lit(FLIGHT_IDS.get(r["flight_type"], -1)))
+    rule_flight = F.coalesce(*_per_rule(rid, rules, lambda r: FLIGHT_IDS.get(r["flight_type"], -1), F.lit),
+                             F.lit(None).cast("int"))
     bk = F.struct(
         rule_flight.alias("flight_type"),
         enum_id(F.col(travel), TRAVEL_IDS).alias("travel_type"),
@@ -215,7 +214,9 @@ def parse_book(df: DataFrame, rules: list[dict], *, method="request_method", url
         lst("b_flight_date").alias("flight_date"),
         lst("b_flight_no").alias("flight_no"),
         lst("b_cabin").alias("cabin"))
-    return d.withColumn("book_data", F.when(rid.isNotNull(), bk)).drop("_brule", "_bdoc")
+    failed = F.col("_is_xml") & F.col("_xml").isNull()
+    return (d.withColumn("book_data", F.when(rid.isNotNull() & ~failed, bk)).withColumn("_failed", failed)
+            .transform(_note_failed).drop("_rule", "_xml", "_is_xml", "_inner", "_json", "_failed"))
 
 
 def core_params(df: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Rule evaluation, flow scores and blacklist decisions.
 
 Metrics arrive long-form ``(window_start, window_end, metric, key, value)``.
-Rules are a small dimension joined on the metric name (broadcast behind a
-size check); all per-key work is grouped aggregation, so nothing is collected.
+Rules are a small dimension joined on the metric name (whether it is broadcast is left to the
+planner's size estimate); all per-key work is grouped aggregation, so nothing is collected.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.operators.joins import maybe_broadcast
-
 WIN = ["window_start", "window_end"]
 
 
@@ -20,6 +18,21 @@ def active_flows(flows: DataFrame, status: int = 0) -> DataFrame:
     return flows.filter(F.col("status") == status)
 
 
+def flows_with_strategy(flows: DataFrame, strategies: DataFrame, status: int = 0) -> DataFrame:
+    """J6 from the tables: flows of a status joined to their strategy (thresholds) on the flow id.
+    A flow without a strategy has no thresholds and is left out."""
+    return active_flows(flows, status).select("flow_id", "flow_name", "status").join(
+        strategies.select("flow_id", "crawler_threshold", "occ_threshold"), "flow_id")
+
+
+def rules_with_maintenance(rules: DataFrame, maintenance: DataFrame) -> DataFrame:
+    """J7 from the tables: a flow's rules joined on the rule name to the maintenance table that
+    says which metric a rule reads and how it compares. Rules unknown there are left out."""
+    return rules.join(maintenance.select("rule_name", "metric", "cmp"), "rule_name").select(
+        "rule_id", "flow_id", "rule_name", "metric", "rule_type", "crawler_type", "status", "arg0", "arg1",
+        "score", "cmp")
+
+
 def flow_rules(rules: DataFrame, flows: DataFrame, rule_type: int | None = None,
                crawler_type: int | None = None) -> DataFrame:
     """Enabled rules joined to their active flow, optionally one tier / crawler type;
@@ -50,11 +63,16 @@ def hit(value, arg0, cmp) -> F.Column:
 
 def evaluate_rules(metrics_long: DataFrame, rules: DataFrame, flows: DataFrame,
                    rule_type: int | None = None) -> DataFrame:
-    """B1: one row per (window, flow, rule, key) with the rule's score when it hits, else 0."""
-    fr = maybe_broadcast(flow_rules(rules, flows, rule_type)
-                         .select("flow_id", "flow_name", "rule_id", "metric", "crawler_type",
-                                 "arg0", "cmp", "score"))
-    j = metrics_long.join(fr, "metric")
+    """B1: one row per (window, flow, rule, key) with the rule's score when it hits, else 0.
+
+    A metric made for an argument (the gap of a close-interval count, column ``arg1``) only meets
+    the rules with that ``arg1``."""
+    fr = flow_rules(rules, flows, rule_type).select(
+        "flow_id", "flow_name", "rule_id", F.col("metric").alias("_metric"), "crawler_type", "arg0",
+        F.col("arg1").alias("_arg1"), "cmp", "score")
+    m = metrics_long if "arg1" in metrics_long.columns else metrics_long.withColumn("arg1", F.lit(None).cast("double"))
+    j = m.join(fr, (F.col("metric") == F.col("_metric"))
+               & (F.col("arg1").isNull() | (F.col("arg1") == F.col("_arg1"))))
     h = hit(F.col("value"), F.col("arg0"), F.col("cmp"))
     return j.select(*WIN, "flow_id", "flow_name", "rule_id", "crawler_type", "metric", "key", "value",
                     h.alias("hit"), F.when(h, F.col("score")).otherwise(F.lit(0)).alias("rule_score"))
@@ -70,13 +88,19 @@ def flow_scores(evaluated: DataFrame) -> DataFrame:
 def blacklist_decisions(scores: DataFrame, flows: DataFrame) -> DataFrame:
     """Keys whose score is strictly above the flow's threshold (scraper and
     seat-hoarding thresholds are separate)."""
-    f = maybe_broadcast(active_flows(flows).select("flow_id", "crawler_threshold", "occ_threshold"))
+    f = active_flows(flows).select("flow_id", "crawler_threshold", "occ_threshold")
     j = scores.join(f, "flow_id")
     limit = F.when(F.col("crawler_type") == 0, F.col("crawler_threshold")).otherwise(F.col("occ_threshold"))
     return (j.withColumn("threshold", limit).filter(F.col("score") > F.col("threshold"))
              .drop("crawler_threshold", "occ_threshold"))
 
 
+def rule_gaps(rules: DataFrame, flows: DataFrame, rule_type: int) -> list[int]:
+    """The different ``arg1`` of a tier's enabled close-interval rules (a small rule table)."""
+    fr = flow_rules(rules, flows, rule_type).filter((F.col("metric") == "critical_close_intervals") & F.col("arg1").isNotNull())
+    return sorted(int(r[0]) for r in fr.select("arg1").distinct().collect())
+
+
 def metric_histogram(metrics_long: DataFrame) -> DataFrame:
     """Per window and metric, number of keys at each metric value."""
     return (metrics_long.groupBy(*WIN, "metric", "value")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.functions.match import any_full_match, collect_rules, first_match_value, rule_patterns
-from tollgate.operators.joins import maybe_broadcast
+from tollgate.functions.text import xml_doc
+from tollgate.functions.match import collect_rules, first_match_value, fits_inline, flag_any_match, match_by_join
 
 OTHER = "Other"
 # Fixed value: an ISO calendar date inside a referer.
@@ -15,8 +15,7 @@ DATE_IN_TEXT = r"(\d{4})-(0\d{1}|1[0-2])-(0\d{1}|[12]\d{1}|3[01])"
 
 def flag_critical(df: DataFrame, rules: DataFrame, url_col: str = "url",
                   out: str = "is_critical") -> DataFrame:
-    pats = rule_patterns(rules, rules.columns[0])
-    return df.withColumn(out, F.coalesce(any_full_match(F.col(url_col), pats), F.lit(False)))
+    return flag_any_match(df, url_col, rules, rules.columns[0], out)
 
 
 def request_type(url: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -28,12 +27,16 @@ def request_type(url: Column, rules: list[tuple[str, str, str]]) -> Column:
 
 
 def tag_request_type(df: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
-    rows = collect_rules(rules, "expression", "flight_type", "behavior_type", order_by="priority")
-    t = request_type(F.col(url_col), rows)
-    return (df.withColumn("_rt", t)
-              .withColumn("flight_type", F.col("_rt.flight_type"))
-              .withColumn("behavior_type", F.col("_rt.behavior_type"))
-              .drop("_rt"))
+    if fits_inline(rules):
+        rows = collect_rules(rules, "expression", "flight_type", "behavior_type", order_by="priority")
+        d = df.withColumn("_rt", request_type(F.col(url_col), rows))
+    else:
+        d = df.withColumn("_url", F.coalesce(F.col(url_col), F.lit("")))
+        best = F.min_by(F.struct("flight_type", "behavior_type"), "priority")
+        d = match_by_join(d, "_url", rules, "expression", best, "_rt").drop("_url")
+    return (d.withColumn("flight_type", F.coalesce(F.col("_rt.flight_type"), F.lit(OTHER)))
+             .withColumn("behavior_type", F.coalesce(F.col("_rt.behavior_type"), F.lit(OTHER)))
+             .drop("_rt"))
 
 
 def travel_type(referer: Column) -> Column:
@@ -53,13 +56,12 @@ def tag_black_ip(df: DataFrame, black: DataFrame, ip_col: str = "remote_addr",
     bcol = black_col or black.columns[0]
     bl = (black.select(F.col(bcol).alias("_black_ip")).where(F.col("_black_ip").isNotNull())
                .distinct().withColumn("_hit", F.lit(True)))
-    bl = maybe_broadcast(bl)
     return (df.join(bl, df[ip_col] == bl["_black_ip"], "left")
               .withColumn(out, F.coalesce(F.col("_hit"), F.lit(False)))
               .drop("_black_ip", "_hit"))
 
 
 def xml_travel_type(xml: Column) -> Column:
-    """``//SEGTYPE`` S -> OneWay, R -> RoundTrip (else NULL)."""
-    seg = F.xpath_string(xml, F.lit("//SEGTYPE"))
-    return F.when(seg == "S", F.lit("OneWay")).when(seg == "R", F.lit("RoundTrip"))
+    """``//SEGTYPE`` S -> OneWay, R -> RoundTrip, anything else (also XML that does not parse) -> Unknown."""
+    seg = F.xpath_string(xml_doc(xml), F.lit("//SEGTYPE"))
+    return F.when(seg == "S", F.lit("OneWay")).when(seg == "R", F.lit("RoundTrip")).otherwise(F.lit("Unknown"))

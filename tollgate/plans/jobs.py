@@ -8,22 +8,24 @@ recomputes from the last written table, not from the raw log.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.operators import metrics as M
-from tollgate.operators.blacklist import append_hourly, read_hours, restore, to_blacklist_records
+from tollgate.operators.blacklist import hours_to_restore, read_hours, restore, to_blacklist_records, write_hourly
 from tollgate.operators.catalogue import booking_metrics, catalogue_long, unpaid_bookings
-from tollgate.operators.scoring import blacklist_decisions, evaluate_rules, flow_scores
+from tollgate.operators.scoring import blacklist_decisions, evaluate_rules, flow_scores, rule_gaps
 from tollgate.operators.tags import flag_critical
-from tollgate.plans.preprocess import Dimensions, ingest_lines, process_messages, structured
+from tollgate.operators.filters import by_behavior
+from tollgate.plans.preprocess import Dimensions, parse_complete_lines, process_messages, structured
 from tollgate.session import scratch_path
 
 
 def _materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")   # two runs never share a table
+    df.write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -31,21 +33,27 @@ def preprocess_job(spark: SparkSession, lines: DataFrame, out_dir: str,
                    dims: Dimensions | None = None) -> None:
     """3.1 in batch: raw lines -> routed structured records (by behaviour) + rejects."""
     dims = dims or Dimensions.defaults(spark)
-    ok, bad = ingest_lines(lines)
-    rec = structured(process_messages(ok, dims))
-    rec.filter(F.col("behavior_type").isin("Query", "Book")).write.mode("overwrite") \
-       .partitionBy("behavior_type").parquet(os.path.join(out_dir, "records"))
-    bad.select("value").write.mode("overwrite").parquet(os.path.join(out_dir, "rejects"))
+    parsed = _materialise(spark, parse_complete_lines(lines), "complete-lines")
+    done = _materialise(spark, process_messages(parsed.filter("is_valid_number"), dims), "processed")
+    by_behavior(structured(done), "Query", "Book").write.mode("overwrite") \
+        .partitionBy("behavior_type").parquet(os.path.join(out_dir, "records"))
+    rejects = parsed.filter(~F.col("is_valid_number")).select("value").unionByName(
+        done.filter("parse_failed").select("value"))
+    rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects"))
 
 
 def rule_metrics_job(spark: SparkSession, requests: DataFrame, booking_events: DataFrame | None,
                      rules: DataFrame, flows: DataFrame, critical_pages: DataFrame, out_dir: str,
-                     *, window: str = "1 day", rule_type: int = 2, gap_ms: int = 5000,
-                     run_id: str = "run") -> DataFrame:
+                     *, window: str = "1 day", rule_type: int = 2, run_id: str = "run",
+                     written_at: str | None = None) -> DataFrame:
     """3.2: all metrics in long form (written once), scored, decisions written as
-    hour-partitioned blacklist records. Returns the written blacklist."""
+    hour-partitioned blacklist records. Returns the written blacklist.
+
+    ``written_at`` (UTC time) is the run's logical time, by default the end of each record's
+    window; a rerun with the same id replaces its records."""
     req = flag_critical(requests, critical_pages)
-    parts = [M.to_long(M.ip_metrics(req, window=window, gap_ms=gap_ms)),
+    gaps = rule_gaps(rules, flows, rule_type)
+    parts = [M.to_long(M.ip_metrics(req, window=window, gap_ms=gaps)),
              M.ip_block_counts(requests, window=window).select(
                  *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
                  F.col("access_count").alias("value"))]
@@ -54,22 +62,22 @@ def rule_metrics_job(spark: SparkSession, requests: DataFrame, booking_events: D
                                     unpaid_bookings(booking_events, window)))
     long = parts[0]
     for p in parts[1:]:
-        long = long.unionByName(p)
+        long = long.unionByName(p, allowMissingColumns=True)
     long = _materialise(spark, long, f"{run_id}-metrics-long")          # lineage cut
     scores = flow_scores(evaluate_rules(long, rules, flows, rule_type))
-    bl = to_blacklist_records(blacklist_decisions(scores, flows))
-    append_hourly(bl.withColumn("_t", F.timestamp_millis("key_exp_time")),
-                  os.path.join(out_dir, "blacklist"), F.col("_t"))
+    bl = to_blacklist_records(blacklist_decisions(scores, flows), keep=["window_end"])
+    at = F.to_timestamp(F.lit(written_at)) if written_at else F.col("window_end")
+    write_hourly(bl.withColumn("_at", at).drop("window_end"), os.path.join(out_dir, "blacklist"), F.col("_at"), run_id)
     return spark.read.parquet(os.path.join(out_dir, "blacklist"))
 
 
-def restore_job(spark: SparkSession, blacklist_path: str, hours: list[str], now_ms: int,
+def restore_job(spark: SparkSession, blacklist_path: str, now_ms: int,
                 live_keys: DataFrame | None = None, enabled: bool = True) -> DataFrame | None:
-    """3.3: latest unexpired record per key from the given hours (partition
-    pruning), only for keys not already live. ``enabled`` is the guard flag."""
+    """3.3: latest unexpired record per key of those written in the current and previous hour
+    (partition pruning), only for keys not already live. ``enabled`` is the guard flag."""
     if not enabled:
         return None
-    recs = read_hours(spark, blacklist_path, hours).select("key_exp_time", "key", "value")
+    recs = read_hours(spark, blacklist_path, hours_to_restore(now_ms)).select("key_exp_time", "key", "value")
     return restore(recs, F.lit(now_ms), live_keys)
 
 

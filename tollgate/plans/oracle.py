@@ -97,10 +97,10 @@ def _windowed(select_base: str, window_ms, slide_ms) -> str:
     """CTE text giving ``win`` = base rows with their window start ``ws`` (ms)."""
     if window_ms is None:
         return f"base AS ({select_base}),\nwin AS (SELECT *, CAST(NULL AS BIGINT) AS ws FROM base)"
-    n = window_ms // slide_ms
+    n = -(-window_ms // slide_ms)
     return (f"base AS ({select_base}),\n"
             f"win AS (SELECT b.*, (b.t // {slide_ms} - r.j) * {slide_ms} AS ws "
-            f"FROM base b, range(0, {n}) r(j))")
+            f"FROM base b, range(0, {n}) r(j) WHERE (b.t // {slide_ms} - r.j) * {slide_ms} + {window_ms} > b.t)")
 
 
 def _wcols(window_ms) -> str:
@@ -265,6 +265,46 @@ tagged AS (
 tagged2 AS (
   SELECT *, {_rule_choice("Query")} AS qrule, {_rule_choice("Book")} AS brule FROM tagged)""")
 
+def _md5_up(e: str) -> str:
+    return f"upper(md5({e}))"
+
+
+# Every field of the message formats, computed from the values they were made of.
+_Q = "v IN (0, 1, 2, 3, 4)"
+_B = "v IN (5, 6, 7)"
+PREPROCESSED_FORMATS = with_requests(f"""
+SELECT event_id, CASE WHEN v IN (0, 1, 2, 3, 4, 8) THEN 'Query' ELSE 'Book' END AS behavior_type, v IN (8, 9) AS parse_failed,
+  'S%41 A' AS session_id,
+  epoch_ms(ts) - CASE WHEN event_id % 4 IN (1, 3) THEN 28800000 ELSE 0 END + CASE WHEN event_id % 4 = 1 THEN 123 ELSE 0 END AS time_ms,
+  CASE WHEN {_Q} THEN false END AS q_is_empty,
+  CASE WHEN v = 0 THEN dep WHEN {_Q} THEN city END AS q_dep_city, CASE WHEN {_Q} THEN arr END AS q_arr_city,
+  CASE WHEN {_Q} THEN d END AS q_flight_date, CASE WHEN {_Q} THEN n END AS q_adult_num,
+  CASE WHEN v = 1 THEN 'u00e9 x' WHEN {_Q} THEN '' END AS q_child_num,
+  CASE WHEN v = 3 THEN 1 WHEN {_Q} THEN CASE len(regexp_extract_all(http_referer, {sql_str(DATE_IN_TEXT)}))
+    WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE -1 END END AS q_travel_type,
+  CASE WHEN {_B} THEN 'U' || event_id END AS b_user_id, CASE WHEN {_B} THEN 'N' || n END AS b_contact_name,
+  CASE WHEN {_B} THEN {_md5_up("'138' || lpad(CAST(event_id % 1000 AS VARCHAR), 8, '0')")} END AS b_contact_phone,
+  CASE WHEN v = 6 THEN array_to_string(list_transform(people, lambda i: 'L' || n), ',')
+       WHEN {_B} THEN array_to_string(list_transform(people, lambda i: 'F' || i || 'L' || n), ',') END AS b_psg_name,
+  CASE WHEN {_B} THEN array_to_string(list_transform(people, lambda i: 'ADT'), ',') END AS b_psg_type,
+  CASE WHEN {_B} THEN array_to_string(list_transform(people, lambda i: 'NI'), ',') END AS b_id_type,
+  CASE WHEN {_B} THEN array_to_string(list_transform(people, lambda i: {_md5_up("'ID' || i")}), ',') END AS b_id_card,
+  CASE WHEN {_B} THEN city END AS b_dep_city, CASE WHEN {_B} THEN arr END AS b_arr_city, CASE WHEN {_B} THEN d END AS b_flight_date,
+  CASE WHEN {_B} THEN 'CZ' || n END AS b_flight_no, CASE WHEN {_B} THEN 'Y' END AS b_cabin,
+  CASE WHEN v = 0 THEN dep WHEN v < 8 THEN city END AS core_dep_city
+FROM (SELECT *, event_id % 10 AS v, CAST(k % 3 + 1 AS VARCHAR) AS n, dep || 'é广' AS city, strftime(ts, '%Y-%m-%d') AS d,
+             range(1, k % 3 + 2) AS people FROM requests)""")
+
+
+def rule_match_many_sql(n: int) -> str:
+    """Session S<user>-<x> fully matches rule i if i is the user or the user without the last digit."""
+    return with_requests(f"""
+SELECT event_id, session_id, CASE WHEN hit IS NULL THEN 'Other' ELSE 'F' || (hit % 7) END AS flight_type,
+       CASE WHEN hit IS NULL THEN 'Other' ELSE 'B' || hit END AS behavior_type
+FROM (SELECT event_id, session_id, CASE WHEN user_id >= 10 AND user_id // 10 < {n} THEN user_id // 10
+                                        WHEN user_id < {n} THEN user_id END AS hit FROM requests)""")
+
+
 REDACT_DOCUMENTS = f"""
 SELECT doc_id, len(regexp_extract_all(text, {sql_str(PHONE_PATTERN)})) AS phone_matches,
        {redact_sql("text", PHONE_PATTERN)} AS redacted_text
@@ -275,8 +315,10 @@ FROM documents"""
 
 BOOKINGS = """
 bookings AS (
-  SELECT o_orderkey AS order_key, CAST(o_orderdate AS TIMESTAMP) AS book_ts,
-    CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS TIMESTAMP) AS pay_ts,
+  SELECT o_orderkey AS order_key, 
+    CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_seconds((o_orderkey * 7919) % 86400) AS book_ts,
+    CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+      + to_seconds((o_orderkey * 7919) % 86400 + (o_orderkey % 3) * 86400 + (o_orderkey % 5) * 1200) AS pay_ts,
     o_orderstatus AS status,
     '10.' || CAST(o_custkey % 8 AS VARCHAR) AS ip_block,
     CAST(o_custkey AS VARCHAR) AS buyer_id,
@@ -340,12 +382,14 @@ def _values(rows, cols: str) -> str:
     return f"(VALUES {body}) AS t({names})"
 
 
-def _scoring_ctes() -> str:
-    gap = int([r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8])
+def _scoring_ctes(window_ms: int = 86_400_000, rule_type: int = 2) -> str:
+    DAY = window_ms
     ip_long = "\nUNION ALL\n".join(
-        f"SELECT ws, '{name}' AS metric, ip AS key, CAST({col} AS BIGINT) AS value FROM wide "
-        f"WHERE {col} IS NOT NULL" for col, name in METRIC_NAMES)
-    return f"""{metrics_ctes(DAY, DAY, gap)},
+        [f"SELECT ws, '{name}' AS metric, ip AS key, CAST({col} AS BIGINT) AS value, CAST(NULL AS DOUBLE) AS arg1 "
+         f"FROM wide WHERE {col} IS NOT NULL" for col, name in METRIC_NAMES if col != "close_interval_count"]
+        + [f"SELECT ws, 'critical_close_intervals', ip, count(*) FILTER (WHERE gap < {g}), CAST({g} AS DOUBLE) "
+           f"FROM gaps GROUP BY ws, ip" for g in dim.close_gaps(rule_type)])
+    return f"""{metrics_ctes(DAY, DAY, 0)},
 {BOOKINGS.strip()},
 blk AS (
   SELECT (epoch_ms(ts) // {DAY}) * {DAY} AS ws, 'ip_block_access' AS metric,
@@ -365,18 +409,18 @@ cat AS (
         AND p.order_key = b.order_key AND epoch_ms(p.ts) >= b.ws AND epoch_ms(p.ts) < b.ws + {DAY})
   GROUP BY ws, key_kind, key),
 mlong AS ({ip_long}
-  UNION ALL SELECT * FROM blk UNION ALL SELECT * FROM cat),
+  UNION ALL SELECT *, NULL FROM blk UNION ALL SELECT *, NULL FROM cat),
 rules AS (SELECT * FROM {_values(dim.SCORE_RULES, dim.SCORE_RULE_SCHEMA)}),
 flows AS (SELECT * FROM {_values(dim.FLOWS, dim.FLOW_SCHEMA)}),
 fr AS (SELECT r.*, f.flow_name FROM rules r JOIN flows f ON r.flow_id = f.flow_id
-       WHERE r.status = 0 AND f.status = 0 AND r.rule_type = 2),
+       WHERE r.status = 0 AND f.status = 0 AND r.rule_type = {rule_type}),
 ev AS (
   SELECT m.ws, fr.flow_id, fr.flow_name, fr.rule_id, fr.crawler_type, m.key,
     CASE fr.cmp WHEN '<' THEN m.value >= 0 AND m.value < fr.arg0
                 WHEN '>' THEN m.value > fr.arg0
                 WHEN '<=' THEN m.value >= 0 AND m.value <= fr.arg0
                 ELSE m.value >= fr.arg0 END AS hit, fr.score
-  FROM mlong m JOIN fr ON m.metric = fr.metric),
+  FROM mlong m JOIN fr ON m.metric = fr.metric AND (m.arg1 IS NULL OR m.arg1 = fr.arg1)),
 fs AS (
   SELECT ws, flow_id, flow_name, crawler_type, key,
          CAST(sum(CASE WHEN hit THEN score ELSE 0 END) AS BIGINT) AS score,
@@ -402,6 +446,18 @@ SELECT key, key_exp_time, CAST(value AS VARCHAR) AS value,
        key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:00:00') AS ttl_ms
 FROM bl WHERE (key, key_exp_time) IN (SELECT (key, max(key_exp_time)) FROM bl GROUP BY key)
   AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:00:00') >= 1000""", _scoring_ctes())
+# Keys that are live already, for the restore from storage.
+LIVE_PREFIX = "10.1."
+RESTORE_HOURS = with_requests(f"""
+SELECT key, key_exp_time, CAST(value AS VARCHAR) AS value,
+       key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:10:00') AS ttl_ms
+FROM (SELECT *, max(key_exp_time) OVER (PARTITION BY key) AS latest FROM (
+        SELECT *, key_exp_time - 3600000 AS written FROM bl)
+      WHERE written >= epoch_ms(TIMESTAMP '2024-01-19 23:00:00') AND written < epoch_ms(TIMESTAMP '2024-01-20 01:00:00'))
+WHERE key_exp_time = latest AND key NOT LIKE '{LIVE_PREFIX}%'
+  AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:10:00') >= 1000""", _scoring_ctes())
+FLOW_SCORES_TIER = {t: with_requests(f"""SELECT {_wcols(w)}, flow_id, flow_name, crawler_type, key, score, hit_rules
+FROM fs""", _scoring_ctes(w, t)) for t, w in ((0, 300_000), (1, 3_600_000))}
 HISTOGRAM = with_requests(f"""SELECT {_wcols(DAY)}, metric, value, count(*) AS key_count
 FROM mlong GROUP BY ws, metric, value""", _scoring_ctes())
 

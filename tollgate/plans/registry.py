@@ -12,6 +12,7 @@ from tollgate.plans import oracle as O
 from tollgate.sources import dimensions as dim
 from tollgate.sources.requests import load_requests
 from tollgate.operators import metrics as M
+from tollgate.operators.scoring import rule_gaps
 from tollgate.operators.tags import flag_critical
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,7 +87,8 @@ for _name, _w, _s, _wms, _sms, _gap in [
         ("ip_metrics_total", None, None, None, None, HOUR_MS),
         ("ip_metrics_daily", "1 day", None, DAY_MS, DAY_MS, HOUR_MS),
         ("ip_metrics_hourly", "1 hour", None, HOUR_MS, HOUR_MS, 600_000),
-        ("ip_metrics_sliding_5m_5s", "5 minutes", "5 seconds", 300_000, 5_000, 5_000)]:
+        ("ip_metrics_sliding_5m_5s", "5 minutes", "5 seconds", 300_000, 5_000, 5_000),
+        ("ip_metrics_sliding_5m_2m", "5 minutes", "2 minutes", 300_000, 120_000, 60_000)]:
     register(_name, O.metrics_sql(_wms, _sms, _gap))(_metrics_query(_w, _s, _gap))
 
 for _name, _w, _s, _wms, _sms in [
@@ -139,6 +141,39 @@ def preprocessed_requests(spark: SparkSession, base_dir: str) -> DataFrame:
         F.col("core_params.flight_date").alias("core_flight_date"))
 
 
+@register("preprocessed_formats", O.PREPROCESSED_FORMATS)
+def preprocessed_formats(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Every query and booking format, with rows that do not parse among good ones."""
+    from tollgate.functions.text import iso_to_millis
+    from tollgate.plans.preprocess import Dimensions, process_messages
+    from tollgate.sources.requests import request_formats
+    p = process_messages(request_formats(load_requests(spark, base_dir)), Dimensions.defaults(spark))
+    q, b = F.col("query_data"), F.col("book_data")
+    return p.select(
+        "event_id", "behavior_type", "parse_failed", "session_id", iso_to_millis(F.col("time_iso8601")).alias("time_ms"),
+        *[q[c].alias(f"q_{c}") for c in ("is_empty", "dep_city", "arr_city", "flight_date", "adult_num", "child_num", "travel_type")],
+        *[b[c].alias(f"b_{c}") for c in ("user_id", "contact_name", "contact_phone")],
+        *[F.array_join(b[c], ",").alias(f"b_{c}") for c in ("psg_name", "psg_type", "id_type", "id_card", "dep_city", "arr_city",
+                                                            "flight_date", "flight_no", "cabin")],
+        F.col("core_params.dep_city").alias("core_dep_city"))
+
+
+MANY_RULES = 5_000
+
+
+@register("rule_match_many", O.rule_match_many_sql(MANY_RULES))
+def rule_match_many(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Thousands of overlapping rules against every request's session (G1 beyond the inline size)."""
+    from tollgate.operators.tags import tag_request_type
+    i = F.col("id")
+    rules = spark.range(MANY_RULES).select(
+        i.alias("priority"), F.concat(F.lit("S"), i.cast("string"), F.lit("[0-9]?-([0-4])")).alias("expression"),
+        F.concat(F.lit("F"), (i % 7).cast("string")).alias("flight_type"),
+        F.concat(F.lit("B"), i.cast("string")).alias("behavior_type"))
+    r = load_requests(spark, base_dir).select("event_id", "session_id")
+    return tag_request_type(r, rules, "session_id")
+
+
 @register("redact_documents", O.REDACT_DOCUMENTS)
 def redact_documents(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.functions.redact import PHONE_PATTERN, redact_phone
@@ -184,9 +219,10 @@ register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))
 RESTORE_NOW = "2024-01-20 00:00:00"
 
 
-def daily_metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | None = None) -> DataFrame:
-    """Daily metrics in long form: per-IP (A2-A8), per block (A1) and the
-    booking-side catalogue; the close-interval gap comes from the rule's arg1.
+def metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | None = None,
+                 window: str = "1 day", rule_type: int = 2) -> DataFrame:
+    """Metrics of one tier in long form: per-IP (A2-A8), per block (A1) and the
+    booking-side catalogue; close intervals are counted by the gaps (arg1) of the tier's rules.
     ``metrics`` limits the output to the named metrics, and only what they need
     is computed (Catalyst prunes the unused aggregates and branches)."""
     from tollgate.operators.catalogue import (CATALOGUE_MEASURES, booking_metrics, catalogue_long,
@@ -195,14 +231,14 @@ def daily_metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | N
 
     def want(m):
         return metrics is None or m in metrics
-    gap = [r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8]
+    gaps = rule_gaps(dim.score_rules(spark), dim.flows(spark), rule_type)
     parts = []
     ip_names = {v for v in M.METRIC_NAMES.values() if want(v)}
     if ip_names:
-        wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=int(gap))
+        wide = M.ip_metrics(tagged_requests(spark, base_dir), window=window, gap_ms=gaps)
         parts.append(M.to_long(wide, only=ip_names))
     if want("ip_block_access"):
-        parts.append(M.ip_block_counts(load_requests(spark, base_dir), window="1 day").select(
+        parts.append(M.ip_block_counts(load_requests(spark, base_dir), window=window).select(
             *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
             F.col("access_count").alias("value")))
     cat = {(m, k) for m in CATALOGUE_MEASURES for k in ("ip_block", "buyer", "contact_name",
@@ -212,44 +248,53 @@ def daily_metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | N
         ev = booking_events(bookings(spark, base_dir))
         measures = tuple(sorted({m for m, _ in cat}))
         kinds = {k for _, k in cat}
-        bm = booking_metrics(ev, "1 day", kinds) if set(measures) - {"unpaid"} else None
-        up = unpaid_bookings(ev, "1 day", kinds) if "unpaid" in measures else None
+        bm = booking_metrics(ev, window, kinds) if set(measures) - {"unpaid"} else None
+        up = unpaid_bookings(ev, window, kinds) if "unpaid" in measures else None
         long = catalogue_long(bm, up, measures)
         if metrics is not None:
             long = long.where(F.col("metric").isin(sorted(metrics)))
         parts.append(long)
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
-def rule_metrics(spark: SparkSession, rule_type: int) -> set[str]:
+def rule_metrics(spark: SparkSession, rule_type: int, crawler_type: int | None = None) -> set[str]:
     """Metric names referenced by enabled rules of active flows (small rule tables)."""
     from tollgate.functions.match import collect_rules
     from tollgate.operators.scoring import flow_rules
-    fr = flow_rules(dim.score_rules(spark), dim.flows(spark), rule_type)
-    return {r[0] for r in collect_rules(fr, "metric")}
+    fr = flow_rules(dim.score_rules(spark), dim.flows(spark), rule_type, crawler_type)
+    return {r[0] for r in collect_rules(fr.select("metric").distinct(), "metric")}
 
 
-def _flow_scores(spark, base_dir):
+def _flow_scores(spark, base_dir, window="1 day", rule_type=2, crawler_type=None):
+    """Scores of one tier. With a crawler type only its rules, and only the metrics they name, run."""
     from tollgate.operators.scoring import evaluate_rules, flow_scores
-    ev = evaluate_rules(daily_metrics_long(spark, base_dir, rule_metrics(spark, 2)),
-                        dim.score_rules(spark), dim.flows(spark), rule_type=2)
-    return flow_scores(ev)
+    rules = dim.score_rules(spark)
+    if crawler_type is not None:
+        rules = rules.filter(F.col("crawler_type") == crawler_type)
+    long = metrics_long(spark, base_dir, rule_metrics(spark, rule_type, crawler_type), window, rule_type)
+    return flow_scores(evaluate_rules(long, rules, dim.flows(spark), rule_type=rule_type))
+
+
+def _scores_query(window, rule_type):
+    def run(spark: SparkSession, base_dir: str) -> DataFrame:
+        s = _flow_scores(spark, base_dir, window, rule_type)
+        return s.select(_fmt("window_start"), _fmt("window_end"), "flow_id", "flow_name",
+                        "crawler_type", "key", "score", "hit_rules")
+    return run
 
 
-@register("flow_scores_daily", O.FLOW_SCORES)
-def flow_scores_daily(spark: SparkSession, base_dir: str) -> DataFrame:
-    s = _flow_scores(spark, base_dir)
-    return s.select(_fmt("window_start"), _fmt("window_end"), "flow_id", "flow_name",
-                    "crawler_type", "key", "score", "hit_rules")
+register("flow_scores_daily", O.FLOW_SCORES)(_scores_query("1 day", 2))
+register("flow_scores_hourly", O.FLOW_SCORES_TIER[1])(_scores_query("1 hour", 1))
+register("flow_scores_5m", O.FLOW_SCORES_TIER[0])(_scores_query("5 minutes", 0))
 
 
-def _blacklist(spark, base_dir):
+def _blacklist(spark, base_dir, keep=()):
     from tollgate.operators.blacklist import to_blacklist_records
     from tollgate.operators.scoring import blacklist_decisions
-    return to_blacklist_records(blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark)))
+    return to_blacklist_records(blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark)), keep=keep)
 
 
 @register("blacklist_daily", O.BLACKLIST)
@@ -264,10 +309,27 @@ def blacklist_restore(spark: SparkSession, base_dir: str) -> DataFrame:
     return restore(_blacklist(spark, base_dir), now).select("key", "key_exp_time", "value", "ttl_ms")
 
 
+@register("blacklist_restore_hours", O.RESTORE_HOURS)
+def blacklist_restore_hours(spark: SparkSession, base_dir: str) -> DataFrame:
+    """IO14-IO17 through storage: records written by the hour of writing, current and previous hour
+    read back, live keys left out."""
+    import uuid
+
+    from tollgate.operators.blacklist import hours_to_restore, read_hours, restore, write_hourly
+    from tollgate.session import scratch_path
+    path = scratch_path(spark, f"blacklist-{uuid.uuid4().hex}")
+    records = _blacklist(spark, base_dir, keep=["window_end"])
+    write_hourly(records.withColumnRenamed("window_end", "_at"), path, F.col("_at"), "daily")
+    now_ms = 1_705_709_400_000                            # 2024-01-20 00:10:00 UTC
+    live = load_requests(spark, base_dir).select("remote_addr").filter(F.col("remote_addr").startswith(O.LIVE_PREFIX)).distinct()
+    written = read_hours(spark, path, hours_to_restore(now_ms))
+    return restore(written, F.lit(now_ms), live).select("key", "key_exp_time", "value", "ttl_ms")
+
+
 @register("metric_histogram_daily", O.HISTOGRAM)
 def metric_histogram_daily(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.scoring import metric_histogram
-    h = metric_histogram(daily_metrics_long(spark, base_dir))
+    h = metric_histogram(metrics_long(spark, base_dir))
     return h.select(_fmt("window_start"), _fmt("window_end"), "metric", "value", "key_count")
 
 

@@ -2,7 +2,7 @@
 
 One booking per order (buyer = ``o_custkey``, contact = ``c_name``); status F
 adds a payment, P a cancellation, O stays unpaid. Payments land a few days
-after the booking (``o_orderkey % 3`` days) so "booked but not paid within the
+after the booking (``o_orderkey % 3`` days and up to 80 minutes) so "booked but not paid within the
 window" is a real anti join. Keys: IP block, buyer, contact name, contact
 phone (hashed; buyers with custkey % 10 = 0 share a phone with others of
 the same custkey % 50: the agents), passenger, and contact name & phone together.
@@ -25,11 +25,13 @@ def bookings(spark: SparkSession, base_dir: str) -> DataFrame:
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
     num = F.when(F.col("o_custkey") % 10 == 0, F.col("o_custkey") % 50).otherwise(F.col("o_custkey"))
     phone = md5_upper(F.concat(F.lit("139"), F.lpad(num.cast("string"), 8, "0")))
+    day = F.unix_seconds(F.col("o_orderdate").cast("date").cast("timestamp"))
+    second = (F.col("o_orderkey") * 7919) % 86_400       # spreads the bookings over the day
     return j.select(
         F.col("o_orderkey").alias("order_key"),
-        F.col("o_orderdate").cast("timestamp").alias("book_ts"),
-        F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 3).cast("int"))
-         .cast("timestamp").alias("pay_ts"),
+        F.timestamp_seconds(day + second).alias("book_ts"),
+        F.timestamp_seconds(day + second + (F.col("o_orderkey") % 3) * 86_400
+                            + (F.col("o_orderkey") % 5) * 1_200).alias("pay_ts"),
         F.col("o_orderstatus").alias("status"),
         F.concat(F.lit("10."), (F.col("o_custkey") % 8).cast("string")).alias("ip_block"),
         F.col("o_custkey").cast("string").alias("buyer_id"),

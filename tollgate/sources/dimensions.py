@@ -3,7 +3,8 @@ parse rules, score rules and detection flows.
 
 Deployments read these from their own tables (``read_dimension``: parquet path
 or JDBC options). The defaults below are our own fixture rows, shaped like the
-reference's rule tables, so every registered query can run out of the box.
+reference's rule tables (their URL paths are those of its sample log), so every registered
+query can run out of the box.
 They are configuration, not data: a few rows that never grow with the log.
 """
 
@@ -24,6 +25,8 @@ CLASSIFY_RULES = [
     (r".*/book/direct/order\.ao.*", "National", "Book"),
     (r".*/query/jaxb/inter/query\.ao.*", "International", "Query"),
     (r".*/book/inter/order\.ao.*", "International", "Book"),
+    (r".*/query/(form|json|xml|body)\.ao.*", "National", "Query"),
+    (r".*/book/(json|xml)\.ao.*", "National", "Book"),
 ]
 # Critical pages (a URL matching two rules counts once).
 CRITICAL_PAGE_RULES = [
@@ -130,6 +133,9 @@ PARSE_RULES = [
           b=_XML_BOOK),
     _rule(10, 10, "National", "Book", r".*/book/json\.ao.*", "POST", app_json=True, is_json=True,
           b=_JSON_BOOK),
+    _rule(11, 11, "National", "Query", r".*/query/body\.ao.*", "POST", app_json=True, is_json=True,
+          q={"q_dep_city": "$.depcity", "q_arr_city": "$.arrcity", "q_flight_date": "$.flightdate",
+             "q_adult_num": "$.adultnum"}),
 ]
 
 
@@ -155,7 +161,24 @@ SCORE_RULES = [
     (9, 1, "bookings_by_buyer", "bookings_by_buyer", 2, 1, 0, 2.0, None, 6, ">="),
     (10, 1, "unpaid_by_buyer", "unpaid_by_buyer", 2, 1, 0, 2.0, None, 6, ">="),
     (11, 2, "ip_access_rt", "ip_access", 0, 0, 0, 2.0, None, 5, ">="),
+    (12, 1, "critical_access_rt", "critical_access", 0, 0, 0, 1.0, None, 2, ">="),
+    (13, 1, "critical_close_rt", "critical_close_intervals", 0, 0, 0, 1.0, 5_000.0, 6, ">="),
+    (14, 1, "critical_close_rt_wide", "critical_close_intervals", 0, 0, 0, 1.0, 120_000.0, 3, ">="),
+    (15, 1, "ip_block_access_rt", "ip_block_access", 0, 0, 0, 3.0, None, 2, ">="),
+    (16, 1, "ip_access_near", "ip_access", 1, 0, 0, 2.0, None, 3, ">="),
+    (17, 1, "critical_close_near", "critical_close_intervals", 1, 0, 0, 1.0, 300_000.0, 5, ">="),
+    (18, 1, "critical_close_near_wide", "critical_close_intervals", 1, 0, 0, 1.0, 1_800_000.0, 2, ">="),
+    (19, 1, "critical_min_interval_near", "critical_min_interval", 1, 0, 0, 600_000.0, None, 4, "<"),
+    (20, 1, "bookings_by_buyer_near", "bookings_by_buyer", 1, 1, 0, 1.0, None, 3, ">="),
+    (21, 1, "unpaid_by_contact_phone_near", "unpaid_by_contact_phone", 1, 1, 0, 1.0, None, 4, ">="),
 ]
+
+
+def close_gaps(rule_type: int) -> list[int]:
+    """The gaps that the default rules of a tier count close intervals by."""
+    return sorted({int(r[8]) for r in SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == rule_type})
+
+
 FLOW_SCHEMA = "flow_id int, flow_name string, status int, crawler_threshold double, occ_threshold double"
 FLOWS = [(1, "default", 0, 20.0, 5.0), (2, "strict", 0, 4.0, 100.0), (3, "retired", 1, 1.0, 1.0)]
 

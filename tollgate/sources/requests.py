@@ -119,3 +119,59 @@ def raw_lines(requests: DataFrame) -> DataFrame:
     short = F.concat_ws(SEP, *fields[:-1])
     return requests.select(ev.alias("event_id"),
                            F.when(ev % 97 == 13, short).otherwise(full).alias("value"))
+
+
+def request_formats(requests: DataFrame) -> DataFrame:
+    """Twelve-column messages in all request formats, one per request, by ``event_id % 10``.
+
+    Queries: 0 GET, 1 form, 2 JSON in a form field, 3 XML, 4 JSON body; bookings: 5 JSON in a form
+    field (in brackets, over two lines), 6 XML, 7 JSON body; 8 and 9 are a query and a booking in
+    XML that does not parse. City names are not ASCII, times come with and without fraction
+    and offset, cookies hold an escape sequence that must be decoded once only.
+    """
+    ev, k = F.col("event_id"), F.col("k")
+    v, n = ev % 10, _s(k % 3 + 1)
+    city, arr = F.concat(F.col("dep"), F.lit("é广")), F.col("arr")
+    date = F.date_format(F.col("ts"), "yyyy-MM-dd")
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    cities = text('"depcity":"', city, '","arrcity":"', arr, '","flightdate":"', date, '"')
+    query_json = text("{", cities, ',"adultnum":"', n, '"}')
+    phone = F.concat(F.lit("138"), F.lpad(_s(ev % 1000), 8, "0"))
+    people = F.sequence(F.lit(1), (k % 3 + 1).cast("int"))
+    person_json = F.array_join(F.transform(people, lambda i: text(
+        '{"firstName":"F', _s(i), '","lastName":"L', n, '","type":"ADT","idType":"NI","idNo":"ID', _s(i), '"}')), ",")
+    book_json = text('{"userId":"U', _s(ev), '","passengers":[', person_json, '],\n"contact":{"name":"N', n,
+                     '","phone":"', phone, '"},', cities, ',"flightno":"CZ', n, '","cabin":"Y"}')
+    person_xml = F.array_join(F.transform(people, lambda i: text(
+        "<PASSENGER><NAME>L", n, "|x</NAME><TYPE>ADT</TYPE><IDTYPE>NI</IDTYPE><IDNO>ID", _s(i), "</IDNO></PASSENGER>")), "")
+    query_xml = text("junk<page><DEPCITY>", city, "</DEPCITY><ARRCITY>", arr, "</ARRCITY><DATE>", date,
+                     "</DATE><ADULT>", n, "</ADULT><TRAVELTYPE>1</TRAVELTYPE></page><page><ADULT>9</ADULT></page>")
+    book_xml = text("<page><USERID>U", _s(ev), "</USERID>", person_xml, "<CONTACT><NAME>N", n, "|y</NAME><PHONE>", phone,
+                    "/1</PHONE></CONTACT><SEGMENT><DEPCITY>", city, "</DEPCITY><ARRCITY>", arr, "</ARRCITY><DATE>", date,
+                    "</DATE><FLIGHTNO>CZ", n, "</FLIGHTNO><CABIN>Y</CABIN></SEGMENT></page>")
+    params = text("c2=", arr, "&d1=", date, "&at=", n)
+    kinds = [("GET", text("/shop/query/jaxb/direct/query.ao?c1=", F.col("dep"), "&", params), "text/html", F.lit("")),
+             ("POST", F.lit("/shop/query/form.ao"), FORM_CONTENT_TYPE,
+              text("c1=", F.url_encode(city), "&", params, "&ct=u00e9+x")),
+             ("POST", F.lit("/shop/query/json.ao"), FORM_CONTENT_TYPE, text("json=", F.url_encode(query_json))),
+             ("POST", F.lit("/shop/query/xml.ao"), "text/xml", query_xml),
+             ("POST", F.lit("/shop/query/body.ao"), "application/json", query_json),
+             ("POST", F.lit("/shop/book/direct/order.ao"), FORM_CONTENT_TYPE,
+              text("json=", F.url_encode(text("[", book_json, "]")))),
+             ("POST", F.lit("/shop/book/xml.ao"), "text/xml", book_xml),
+             ("POST", F.lit("/shop/book/json.ao"), "application/json", book_json),
+             ("POST", F.lit("/shop/query/xml.ao"), "text/xml", F.lit("<page><DEPCITY>CAN</page>")),
+             ("POST", F.lit("/shop/book/xml.ao"), "text/xml", text(book_xml, "&broken;"))]
+
+    def pick(i):
+        return F.coalesce(*[F.when(v == j, kind[i] if not isinstance(kind[i], str) else F.lit(kind[i]))
+                            for j, kind in enumerate(kinds)])
+    at = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    time = F.concat(at, F.get(F.array(*map(F.lit, ["+00:00", ".123+08:00", "", "+0800"])), (ev % 4).cast("int")))
+    return requests.select(
+        "event_id", "time_local", text(pick(0), " ", pick(1), " HTTP/1.1").alias("request"), pick(0).alias("request_method"),
+        pick(2).alias("content_type"), pick(3).alias("request_body"), "http_referer", "remote_addr",
+        F.col("user_agent").alias("http_user_agent"), time.alias("time_iso8601"), "server_addr",
+        F.lit("JSESSIONID=%u0053%2541 %41; a=1").alias("http_cookie"), "active_user_num")

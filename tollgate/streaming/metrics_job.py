@@ -1,23 +1,33 @@
-"""Streaming per-IP metrics (W1-W4, A2-A8) with bounded state.
-
-Stage 1 aggregates each slide-wide pane per IP; stage 2 re-windows the panes
-(``window(window_time(pane), length, slide)``), so a row is not copied into
-all 60 windows of a 5 min / 5 s sliding window. Event time with a watermark:
-rows later than the watermark are dropped (documented late-data rule).
-
-State per (pane, IP) is bounded: gap metrics keep the sorted *distinct
-seconds* of critical hits (at most pane-length of them) plus a count of
-same-second repeats (each a 0 ms gap). Distinct counts are exact sets by
-default (``count_distinct`` is refused on streams); ``approx=True`` keeps
-HyperLogLog sketches instead so state stays small for cookie-rotating bots.
+"""Streaming metrics job (W1-W4, A1-A8, B1-B4): record lines -> metrics -> scores -> blacklist.
+
+Every metric of a window is computed by one chain of three aggregates whose state rows never
+grow: a row is first reduced to ``(pane, key, kind, value)`` with a count, panes (as wide as the
+greatest common divisor of window and slide) are then put into their windows, and the values
+of each window and key are counted. A value that rotates (cookies of a bot) makes more
+state rows, spread by value, instead of a longer one. Only the distinct *seconds* of critical
+hits are listed, at most one per second of the window.
+
+Event time with a watermark: rows later than the watermark are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.functions.text import route
+from tollgate.functions.codec import from_record_line
+from tollgate.functions.text import ip_block, is_ipv4_shape, iso_to_ts, route
+from tollgate.operators.blacklist import hours_to_restore, rank_latest, read_hours, to_blacklist_records, write_hourly
+from tollgate.operators.filters import unexpired
+from tollgate.operators.metrics import METRIC_NAMES, pane_ms, to_long
+from tollgate.operators.scoring import blacklist_decisions, evaluate_rules, flow_scores, rule_gaps
+from tollgate.operators.tags import flag_critical
+from tollgate.streaming.sources import METRICS_TRIGGER
 
 
 def prepare(records: DataFrame, *, ts_col="ts", ip_col="remote_addr", critical_col="is_critical",
@@ -29,58 +39,138 @@ def prepare(records: DataFrame, *, ts_col="ts", ip_col="remote_addr", critical_c
         route(F.coalesce(F.col(dep_col), F.lit("")), F.coalesce(F.col(arr_col), F.lit(""))).alias("rt"))
 
 
-def _gaps(secs, zero, hits, gap_ms: int):
-    n = F.size(secs)
-    gaps = F.zip_with(F.slice(secs, 2, n), F.slice(secs, 1, n - 1), lambda a, b: a - b)
-    min_iv = (F.when(hits == 0, F.lit(None))
-               .when(hits == 1, F.lit(-1))
-               .when(zero > 0, F.lit(0))
-               .otherwise(F.array_min(gaps))).cast("bigint")
-    close = F.when(hits == 0, F.lit(None)).otherwise(
-        (zero * F.lit(1 if gap_ms > 0 else 0)) + F.size(F.filter(gaps, lambda g: g < gap_ms))).cast("bigint")
-    return min_iv, close
-
-
-def stream_ip_metrics(p: DataFrame, *, window: str = "5 minutes", slide: str = "5 seconds",
-                      watermark: str = "1 minute", gap_ms: int = 5000, approx: bool = False) -> DataFrame:
-    """Input: ``prepare``d rows. Output (append mode): one row per closed window and IP."""
-    p = p.withWatermark("ts", watermark)
-    t = F.unix_millis("ts")
-    if approx:
-        sets = [F.hll_sketch_agg(c).alias(f"{c}_set") for c in ("ua", "sid", "rt")]
-    else:
-        sets = [F.collect_set(c).alias(f"{c}_set") for c in ("ua", "sid", "rt")]
-    s1 = p.groupBy(F.window("ts", slide).alias("pane"), "ip").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("crit").alias("nc"), *sets,
-        F.array_sort(F.collect_set(F.when(F.col("crit"), t))).alias("secs"))
-    s1 = s1.withColumn("zero", F.col("nc") - F.size("secs"))
-    if approx:
-        merged = [F.hll_sketch_estimate(F.hll_union_agg(f"{c}_set")).alias(c)
-                  for c in ("ua", "sid", "rt")]
-    else:
-        merged = [F.size(F.array_distinct(F.flatten(F.collect_list(f"{c}_set")))).alias(c)
-                  for c in ("ua", "sid", "rt")]
-    w2 = F.window(F.window_time("pane"), window, slide)
-    s2 = s1.groupBy(w2.alias("w"), "ip").agg(
-        F.sum("n").cast("bigint").alias("access_count"), F.sum("nc").cast("bigint").alias("critical_count"),
-        *merged, F.array_sort(F.flatten(F.collect_list("secs"))).alias("secs"),
-        F.sum("zero").cast("bigint").alias("zero"))
-    min_iv, close = _gaps(F.col("secs"), F.col("zero"), F.col("critical_count"), gap_ms)
-    return s2.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "ip",
-                     "access_count", "critical_count",
-                     F.col("ua").cast("bigint").alias("user_agent_count"),
-                     F.col("sid").cast("bigint").alias("cookie_count"),
-                     F.col("rt").cast("bigint").alias("route_count"),
-                     min_iv.alias("min_interval_ms"), close.alias("close_interval_count"))
-
-
-def stream_tumbling_counts(p: DataFrame, key: str, *, window: str = "5 seconds",
-                           watermark: str = "1 minute") -> DataFrame:
-    """Per-batch-sized tumbling counts per key (e.g. the reference's 5 s batches)."""
-    return (p.withWatermark("ts", watermark).groupBy(F.window("ts", window).alias("w"), key)
-             .agg(F.count(F.lit(1)).alias("access_count"))
-             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
-                     "access_count"))
+def stream_key_metrics(p: DataFrame, *, window: str = "5 minutes", slide: str = "5 seconds",
+                       watermark: str = "1 minute", gap_ms: int | list[int] = 5000) -> DataFrame:
+    """Input: ``prepare``d rows. Output (append mode): one row per closed window and key.
+
+    ``scope`` is ``ip`` (all metrics) or ``block`` (A1: accesses of a /16 block, in access_count).
+    """
+    pane = f"{pane_ms(window, slide)} milliseconds"
+    ip, second = F.col("ip"), F.when(F.col("crit"), F.unix_millis("ts").cast("string")).otherwise("")
+    items = [(F.lit("ip"), ip, F.lit("hit"), second), (F.lit("ip"), ip, F.lit("ua"), F.col("ua")),
+             (F.lit("ip"), ip, F.lit("sid"), F.col("sid")), (F.lit("ip"), ip, F.lit("rt"), F.col("rt")),
+             (F.lit("block"), F.when(is_ipv4_shape(ip), ip_block(ip)), F.lit("hit"), F.lit(""))]
+    each = F.filter(F.array(*[F.struct(*[c.alias(n) for c, n in zip(i, ("scope", "key", "kind", "value"))]) for i in items]),
+                    lambda x: x["key"].isNotNull() & x["value"].isNotNull())
+    rows = p.withWatermark("ts", watermark).select("ts", F.explode(each).alias("x")).select("ts", "x.*")
+    by = ["scope", "key", "kind", "value"]
+    panes = rows.groupBy(F.window("ts", pane).alias("pane"), *by).agg(F.count(F.lit(1)).alias("n"))
+    values = panes.groupBy(F.window(F.window_time("pane"), window, slide).alias("w"), *by).agg(F.sum("n").alias("n"))
+    hit = F.col("kind") == "hit"
+    critical = hit & (F.col("value") != "")
+    found = values.groupBy("w", "scope", "key").agg(
+        F.sum(F.when(hit, F.col("n"))).cast("bigint").alias("access_count"),
+        F.coalesce(F.sum(F.when(critical, F.col("n"))), F.lit(0)).cast("bigint").alias("critical_count"),
+        *[F.count_if(F.col("kind") == k).cast("bigint").alias(c) for k, c in
+          (("ua", "user_agent_count"), ("sid", "cookie_count"), ("rt", "route_count"))],
+        F.array_sort(F.collect_list(F.when(critical, F.struct(F.col("value").cast("bigint").alias("t"), F.col("n"))))).alias("hits"))
+    hits = F.col("hits")
+    times = F.transform(hits, lambda h: h["t"])
+    gaps = F.zip_with(F.slice(times, 2, F.size(times)), F.slice(times, 1, F.greatest(F.size(times) - 1, F.lit(0))), lambda a, b: a - b)
+    repeats = F.col("critical_count") - F.size(hits)
+    min_iv = (F.when(F.col("critical_count") == 1, F.lit(-1)).when(repeats > 0, F.lit(0))
+              .when(F.col("critical_count") > 0, F.array_min(gaps))).cast("bigint")
+    wanted = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
+
+    def closer_than(g: int):
+        return repeats * F.lit(int(g > 0)) + F.size(F.filter(gaps, lambda x: x < g))
+    close = [F.when(F.col("critical_count") > 0, closer_than(g)).cast("bigint").alias(c) for c, g in wanted.items()]
+    return found.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "scope", "key",
+                        "access_count", "critical_count", "user_agent_count", "cookie_count", "route_count",
+                        min_iv.alias("min_interval_ms"), *close)
+
+
+def stream_ip_metrics(p: DataFrame, **how) -> DataFrame:
+    """The per-IP rows of ``stream_key_metrics``, wide, like ``metrics.ip_metrics``."""
+    m = stream_key_metrics(p, **how).filter("scope = 'ip'").drop("scope")
+    return m.withColumnRenamed("key", "ip")
+
+
+def metrics_to_long(m: DataFrame) -> DataFrame:
+    """Closed windows (a table or batch of ``stream_key_metrics``) as long metrics, A1 included."""
+    ips = to_long(m.filter("scope = 'ip'"), "key")
+    blocks = m.filter("scope = 'block'").select("window_start", "window_end", F.lit("ip_block_access").alias("metric"), "key",
+                                                F.col("access_count").alias("value"), F.lit(None).cast("double").alias("arg1"))
+    return ips.unionByName(blocks)
+
+
+# ---- the job ------------------------------------------------------------------------------
+
+@dataclass
+class Rules:
+    """What the job reads anew in every batch."""
+
+    critical_pages: DataFrame
+    score_rules: DataFrame
+    flows: DataFrame
+
+
+def _prepare_batch(path: str, loader: Callable[[SparkSession], Rules]):
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        part = f"{path}/batch_group={batch_id // 10_000}/batch_id={batch_id}"
+        try:                                              # a committed batch that is run again adds nothing
+            spark.read.parquet(part)
+            return
+        except AnalysisException:
+            pass
+        rec = from_record_line(batch).withColumn("ts", iso_to_ts(F.col("time_iso8601")))
+        rec = flag_critical(rec, loader(spark).critical_pages, "request")
+        rows = prepare(rec, ua_col="http_user_agent", dep_col="dep_city", arr_col="arr_city").filter("ts is not null")
+        (rows.withColumn("batch_group", F.lit(batch_id // 10_000)).withColumn("batch_id", F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_group", "batch_id").parquet(path))
+    return handle
+
+
+def _score_batch(out_dir: str, loader: Callable[[SparkSession], Rules], rule_type: int):
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rules = loader(batch.sparkSession)
+        batch = batch.persist()                           # closed windows: read for the table and for the scores
+        try:
+            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(os.path.join(out_dir, "metrics")))
+            scores = flow_scores(evaluate_rules(metrics_to_long(batch), rules.score_rules, rules.flows, rule_type))
+            records = to_blacklist_records(blacklist_decisions(scores, rules.flows), keep=["window_end"])
+            write_hourly(records, os.path.join(out_dir, "blacklist"), F.col("window_end"), f"stream-{batch_id}")
+        finally:
+            batch.unpersist()
+    return handle
+
+
+def start_metrics(lines: DataFrame, out_dir: str, checkpoint: str, loader: Callable[[SparkSession], Rules], *,
+                  window: str = "5 minutes", slide: str = "5 seconds", watermark: str = "1 minute",
+                  rule_type: int = 0, trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """Start the job on record lines; returns its two queries.
+
+    The first flags critical pages with the rules of the batch and writes the rows; the second
+    aggregates the written rows and scores each closed window with the rules of its batch. The
+    gaps that close intervals are counted by are those of the rules at the start.
+    """
+    spark = lines.sparkSession
+    rows_dir = os.path.join(out_dir, "rows")
+    trigger = trigger or {"processingTime": METRICS_TRIGGER}
+    first = (lines.writeStream.foreachBatch(_prepare_batch(rows_dir, loader))
+             .option("checkpointLocation", os.path.join(checkpoint, "rows")).trigger(**trigger).start())
+    schema = "ts timestamp, ip string, crit boolean, ua string, sid string, rt string, batch_group int, batch_id int"
+    source = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        source = source.option("maxFilesPerTrigger", max_files_per_trigger)
+    if trigger.get("availableNow"):
+        first.awaitTermination()
+    rules = loader(spark)
+    metrics = stream_key_metrics(source.parquet(rows_dir), window=window, slide=slide, watermark=watermark,
+                                 gap_ms=rule_gaps(rules.score_rules, rules.flows, rule_type))
+    second = (metrics.writeStream.outputMode("append").foreachBatch(_score_batch(out_dir, loader, rule_type))
+              .option("checkpointLocation", os.path.join(checkpoint, "scores")).trigger(**trigger).start())
+    return first, second
+
+
+def blacklisted_ips(spark: SparkSession, path: str, now_ms: int) -> DataFrame:
+    """The keys whose latest record, of those written in the current and previous hour, still
+    lives; given to the pre-process job as (more) black IPs, it tags their requests."""
+    records = rank_latest(read_hours(spark, path, hours_to_restore(now_ms)))
+    return unexpired(records, F.lit(now_ms)).select(F.col("key").alias("ip_name")).distinct()
 
 
 def stream_booking_metrics(events: DataFrame, *, window: str = "1 hour",

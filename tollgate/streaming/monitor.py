@@ -1,27 +1,50 @@
 """Query progress as data (IO19, A11, V17).
 
-Reads ``StreamingQuery.recentProgress`` (kept by the engine, bounded by
-``spark.sql.streaming.numRecentProgressUpdates``) — no HTTP to the UI.
+The engine keeps the progress of the last batches only. ``ProgressTable`` is a listener that
+appends one row per batch to a table as it ends, so totals and monthly means cover all of them;
+there is no HTTP to the UI.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+
+PROGRESS = ("query string, run string, batch_id long, timestamp string, num_input_rows long, duration_ms long, tier string")
+
+
+class ProgressTable(StreamingQueryListener):
+    """Appends every batch of the queries named in ``tiers`` (query name -> tier) to ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str, tiers: dict[str, str]):
+        self.spark, self.path, self.tiers = spark, path, tiers
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        if p.get("name") in self.tiers:
+            row = (p["name"], str(p["runId"]), int(p["batchId"]), p["timestamp"], int(p.get("numInputRows", 0)),
+                   int((p.get("durationMs") or {}).get("triggerExecution", 0)), self.tiers[p["name"]])
+            self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
-def progress_frame(spark: SparkSession, query, tier: str = "real_time") -> DataFrame:
-    """One row per micro-batch: rows, duration and rows per ms (0 when duration 0)."""
-    rows = []
-    for p in query.recentProgress:
-        d = p.get("durationMs", {}) or {}
-        rows.append((int(p["batchId"]), p["timestamp"], int(p.get("numInputRows", 0)),
-                     int(d.get("triggerExecution", 0)), tier))
-    df = spark.createDataFrame(rows, "batch_id long, timestamp string, num_input_rows long, "
-                                     "duration_ms long, tier string")
-    return df.withColumn("rows_per_ms", F.when(F.col("duration_ms") > 0,
-                                               F.col("num_input_rows") / F.col("duration_ms"))
-                                        .otherwise(F.lit(0.0)))
+def progress_frame(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch of the stored history: rows, duration and rows per ms (0 when duration 0).
+    A batch reported twice (a listener retried) counts once."""
+    df = spark.read.schema(PROGRESS).parquet(path).dropDuplicates(["query", "run", "batch_id", "timestamp"])
+    return df.withColumn("rows_per_ms", F.when(F.col("duration_ms") > 0, F.col("num_input_rows") / F.col("duration_ms"))
+                         .otherwise(F.lit(0.0)))
 
 
 def batch_summary(progress: DataFrame) -> DataFrame:

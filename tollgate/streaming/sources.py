@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.operators.metrics import duration_ms
+
 # Ingest cap and micro-batch intervals of the two jobs.
 MAX_RECORDS_PER_PARTITION_PER_S = 10_000
 PREPROCESS_TRIGGER = "3 seconds"
@@ -13,15 +15,19 @@ METRICS_TRIGGER = "5 seconds"
 
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, *, starting_offsets: str = "latest",
-                max_offsets_per_trigger: int | None = None, partitions: int = 1) -> DataFrame:
-    """IO1/IO2/IO5: raw lines from Kafka (value only). Resume comes from the
-    query's ``checkpointLocation``; ``startingOffsets`` applies to a fresh query."""
-    cap = max_offsets_per_trigger or MAX_RECORDS_PER_PARTITION_PER_S * partitions * 3
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-            .option("maxOffsetsPerTrigger", str(cap))
-            .load().select(F.col("value").cast("string").alias("value")))
+                trigger: str = PREPROCESS_TRIGGER, partitions: int | None = None) -> DataFrame:
+    """IO1/IO2/IO5: lines from Kafka (value only). Resume comes from the query's
+    ``checkpointLocation``; ``startingOffsets`` applies to a fresh query.
+
+    With the topic's number of ``partitions`` a batch takes at most the rate cap times the
+    trigger's length; without it there is no cap, so a wide topic never falls behind."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+         .option("startingOffsets", starting_offsets))
+    if partitions:
+        seconds = duration_ms(trigger) / 1000
+        r = r.option("maxOffsetsPerTrigger", str(int(MAX_RECORDS_PER_PARTITION_PER_S * partitions * seconds)))
+    return r.load().select(F.col("value").cast("string").alias("value"))
 
 
 def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
