@@ -149,5 +149,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken = ((F.col("epoch") < F.col("mix_plan.epochs")) | (F.col("block") < F.col("mix_plan.end_block"))
              | ((F.col("block") == F.col("mix_plan.end_block")) & (place <= F.col("mix_plan.end_place"))))
     turn = ((F.col("epoch") + F.col("block") / F.col("mix_plan.blocks"))
-            / (F.col("mix_plan.quota") / F.col("mix_plan.tokens")))
-    return rows.filter(taken).select("row.*", "n_tokens", "epoch", "block", turn.alias("turn"))
+            / (F.col("mix_plan.quota") / F.col("mix_plan.tokens")))       # blocks differ a little in size
+    return rows.filter(taken).select("row.*", "n_tokens", "epoch", "block", F.least(turn, F.lit(1.0)).alias("turn"))

@@ -118,7 +118,7 @@ ORACLE = {
         b AS (SELECT *, h % blocks AS block FROM h),
         c AS (SELECT *, sum(n_tokens) OVER (PARTITION BY s, epoch ORDER BY block, h, doc_id) - n_tokens AS before FROM b)
         SELECT doc_id, source, n_tokens, epoch, block,
-               (epoch + block / blocks) / (quota / tokens) AS turn
+               least((epoch + block / blocks) / (quota / tokens), 1.0) AS turn
         FROM c WHERE epoch * tokens + before < quota""",
     "op3_line_dedup_suffix_array": """
         WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),

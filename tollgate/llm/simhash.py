@@ -117,9 +117,9 @@ def _block_forest(max_bits: int):
         place = np.searchsorted(members, homes)
         for fp, me in zip(homes, place):
             near = np.flatnonzero(np.bitwise_count((members ^ fp).view(np.uint64)) <= max_bits)
-            for other in np.unique(label[near]):
+            for other, at in zip(*np.unique(label[near], return_index=True)):
                 if other != label[me]:
-                    links.append((members[other], members[me]))
+                    links.append((members[near[at]], members[me]))
                     label[label == other] = label[me]
         return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
