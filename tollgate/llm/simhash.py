@@ -137,8 +137,10 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, home_limit: int = HOME_
     patterns = anchor_patterns(max_bits // 2)
     anchors = F.concat(*[_anchors(F.col("fp"), h, patterns) for h in (0, 1)])
     homes_of = F.array(*[F.element_at(_anchors(F.col("fp"), h, patterns), 1) for h in (0, 1)])
-    members = fps.select("fp", F.explode(anchors).alias("anchor"))
-    homes = fps.select("fp", F.explode(homes_of).alias("anchor"))
+    # The planner's size estimate does not know that a fingerprint becomes 34 rows here, so a
+    # broadcast of this side would not be checked by its real size: it is always shuffled.
+    members = fps.select("fp", F.explode(anchors).alias("anchor")).hint("merge")
+    homes = fps.select("fp", F.explode(homes_of).alias("anchor")).hint("merge")
     sized = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
 
     few = homes.join(sized.filter(F.col("n") <= home_limit).select("anchor"), "anchor")
