@@ -144,7 +144,7 @@ def learn(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     rows = docs.filter(training & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)).alias("draw"))
-    table = count_trigrams(rows.select("lang", "text")).toPandas()
+    table = count_trigrams(rows.select("lang", "text")).toArrow().to_pandas()
     languages = sorted(table["lang"].unique())
     counts = np.zeros((len(languages), BUCKETS + 1))
     counts[[languages.index(x) for x in table["lang"]], table["bucket"]] = table["n"]
@@ -162,7 +162,7 @@ def learn(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value, pa.list_(pa.float64()))], ["lang", "value"])
 
     drawn = rows.filter(F.col("draw") < int((1 << 20) * min(1.0, sample_rows / max(1, n_docs)))).select("lang", "text")
-    sample = drawn.mapInArrow(measured, "lang string, value array<double>").limit(2 * sample_rows).toPandas()
+    sample = drawn.mapInArrow(measured, "lang string, value array<double>").limit(2 * sample_rows).toArrow().to_pandas()
     signs = code[[languages.index(x) for x in sample["lang"]]] if len(sample) else np.zeros((0, code.shape[1]))
     values = np.stack(sample["value"]) if len(sample) and code.shape[1] else np.zeros((0, code.shape[1]))
     fits = np.array([calibrate(values[:, b], signs[:, b]) for b in range(code.shape[1])]).reshape(-1, 3)

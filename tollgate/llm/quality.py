@@ -15,7 +15,8 @@ a model is at most ``FEATURES`` numbers a view. Everything is scored.
 
 Defined results: a null or empty text has no words and is scored by its ratios and metadata;
 null source or language is a value of its own; a label row is "reject" if quality is 0 or
-toxic is 1, "clean" if quality is 1, else it is no label; if an id has several, one "reject" decides; without
+toxic is 1, "clean" if quality is 1, else it is no label; if an id has several, one "reject" decides (of
+rows that share an id the least text is read for fitting); without
 labels of both kinds every document scores 1 and is kept; repeated rows get the same score;
 other columns pass through.
 """
@@ -120,15 +121,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
 
 def fit(rows: list[np.ndarray], clean: np.ndarray) -> View:
     """Logistic regression over the features that differ significantly between both kinds."""
-    flat = np.concatenate(rows)
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     n1, n0 = clean.sum(), (~clean).sum()
-    c1 = np.bincount(flat[clean[of]], minlength=FEATURES)
-    c0 = np.bincount(flat[~clean[of]], minlength=FEATURES)
+    c1, c0 = np.zeros(FEATURES, np.int32), np.zeros(FEATURES, np.int32)
+    for row, kind in zip(rows, clean):                     # features of a row are distinct
+        (c1 if kind else c0)[row] += 1
     share = (c1 + c0) / len(rows)
     deviation = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
     use = (c1 + c0 >= MIN_ROWS) & (np.abs(c1 / n1 - c0 / n0) >= MIN_Z * deviation)
-    flat, of = flat[use[flat]], of[use[flat]]
+    rows = [r[use[r]] for r in rows]
+    flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     view, y = View(), clean.astype(float)
     w, square, bias, bias_square = np.zeros(FEATURES), np.full(FEATURES, 1e-8), 0.0, 1e-8
     for _ in range(300):                                   # Adagrad on the whole set
@@ -191,6 +192,12 @@ def co_train(text: list[np.ndarray], metadata: list[np.ndarray], clean: np.ndarr
     return Model(*fitted, logistic(logits, clean[back].astype(float), ridge=0.1))
 
 
+def lists_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as views of its values."""
+    return [v for chunk in column.chunks
+            for v in np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1])]
+
+
 def labels_of(labels: DataFrame) -> DataFrame:
     """(doc_id, clean) with one row per labelled id."""
     reject = (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
@@ -225,14 +232,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 ["doc_id", "clean", "text", "metadata"])
 
     got = (_rows(docs, id_col, text_col, source_col, lang_col).join(F.broadcast(drawn), "doc_id")
-           .select("doc_id", "clean", "text", "source", "lang", "size")
-           .mapInArrow(read, "doc_id long, clean int, text array<int>, metadata array<int>").toPandas())
-    got = got.drop_duplicates("doc_id").sort_values("doc_id")
-    got["draw"] = [zlib.crc32(str(i).encode()) for i in got["doc_id"]]
-    got = got.sort_values(["draw", "doc_id"])
-    own, free = got[got["clean"] >= 0], got[got["clean"] < 0]
-    return co_train(list(own["text"]), list(own["metadata"]), (own["clean"] == 1).to_numpy(),
-                    list(free["text"]), list(free["metadata"]), rounds)
+           .groupBy("doc_id", "clean").agg(F.min(F.struct("text", "source", "lang", "size")).alias("r"))   # ids may repeat
+           .select("doc_id", "clean", "r.*")
+           .mapInArrow(read, "doc_id long, clean int, text array<int>, metadata array<int>").toArrow())
+    text, metadata = (lists_of(got.column(c)) for c in ("text", "metadata"))
+    order = sorted((zlib.crc32(str(i).encode()), i, k) for k, i in enumerate(got.column("doc_id").to_pylist()))
+    clean = got.column("clean").to_numpy()
+    own, free = ([k for *_, k in order if (clean[k] >= 0) == labelled] for labelled in (True, False))
+    return co_train([text[k] for k in own], [metadata[k] for k in own], clean[own] == 1,
+                    [text[k] for k in free], [metadata[k] for k in free], rounds)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
