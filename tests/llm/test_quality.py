@@ -28,17 +28,17 @@ def test_views_exchange_pseudo_labels():
     rng = np.random.default_rng(5)
 
     def doc(clean):
-        words = rng.choice(40, 4) + (0 if clean else 40)
+        words = rng.choice(200, 4) + (0 if clean else 200)
         return (np.unique([zlib.crc32(f"w{w}".encode()) % quality.FEATURES for w in words]).astype(np.int32),
                 np.array([7 if clean else 9], np.int32))
-    kinds = rng.random(120) < 0.5
+    kinds = rng.random(200) < 0.5
     text, meta = map(list, zip(*[doc(k) for k in kinds]))
-    free_kinds = rng.random(800) < 0.5
+    free_kinds = rng.random(1600) < 0.5
     free_text, free_meta = map(list, zip(*[doc(k) for k in free_kinds]))
     alone = quality.co_train(text, meta, kinds, free_text, free_meta, rounds=0)
     taught = quality.co_train(text, meta, kinds, free_text, free_meta, rounds=3)
     hits = [np.mean([(m.text.raw(t) > 0) == k for t, k in zip(free_text, free_kinds)]) for m in (alone, taught)]
-    assert hits[1] > hits[0]
+    assert hits[1] > hits[0] + 0.1, hits
 
 
 def test_edges(spark, make_docs):
