@@ -28,12 +28,12 @@ def test_views_exchange_pseudo_labels():
     rng = np.random.default_rng(5)
 
     def doc(clean):
-        words = rng.choice(200, 4) + (0 if clean else 200)
+        words = rng.choice(600, 4) + (0 if clean else 600)
         return (np.unique([zlib.crc32(f"w{w}".encode()) % quality.FEATURES for w in words]).astype(np.int32),
                 np.array([7 if clean else 9], np.int32))
-    kinds = rng.random(200) < 0.5
+    kinds = rng.random(600) < 0.5
     text, meta = map(list, zip(*[doc(k) for k in kinds]))
-    free_kinds = rng.random(1600) < 0.5
+    free_kinds = rng.random(3000) < 0.5
     free_text, free_meta = map(list, zip(*[doc(k) for k in free_kinds]))
     alone = quality.co_train(text, meta, kinds, free_text, free_meta, rounds=0)
     taught = quality.co_train(text, meta, kinds, free_text, free_meta, rounds=3)
