@@ -44,4 +44,4 @@ def test_dashboards_job_matches_registered_queries(spark):
     got = spark.read.parquet(paths["traffic_share"])
     exp = E.queries()["traffic_share"](spark, SF_SMALL)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.select(*got.columns).collect()))
-    assert len(paths) == 12
+    assert len(paths) == 13

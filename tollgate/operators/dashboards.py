@@ -32,15 +32,21 @@ def _member(df: DataFrame, col: Column, keys: DataFrame, out: str) -> DataFrame:
               .drop(f"_{out}_k", f"_{out}_hit"))
 
 
-def classify_users(req: DataFrame, scraper_ips: DataFrame, hoarding_keys: DataFrame,
-                   agents: DataFrame) -> DataFrame:
-    buyer = F.col("user_id").cast("string")
-    d = _member(req, F.col("remote_addr"), scraper_ips, "is_scraper")
-    d = _member(d, buyer, hoarding_keys, "is_hoarding")
-    d = _member(d, buyer, agents, "is_agent")
-    cls = (F.when(F.col("is_scraper"), F.lit("query")).when(F.col("is_hoarding"), F.lit("hoarding"))
-            .when(F.col("is_agent"), F.lit("agent")).otherwise(F.lit("normal")))
-    return d.withColumn("user_class", cls).withColumn("day", F.to_date("ts"))
+def classify_users(req: DataFrame, scraper_ips: DataFrame | None = None, hoarding_keys: DataFrame | None = None,
+                   agents: DataFrame | None = None) -> DataFrame:
+    """Adds ``day`` and the flag of each key set given; with all three also ``user_class``.
+
+    A dashboard names the sets it reads, so that the others are never computed.
+    """
+    buyer, d = F.col("user_id").cast("string"), req
+    for keys, col, out in ((scraper_ips, F.col("remote_addr"), "is_scraper"), (hoarding_keys, buyer, "is_hoarding"),
+                           (agents, buyer, "is_agent")):
+        if keys is not None:
+            d = _member(d, col, keys, out)
+    if {"is_scraper", "is_hoarding", "is_agent"} <= set(d.columns):
+        d = d.withColumn("user_class", F.when(F.col("is_scraper"), F.lit("query")).when(F.col("is_hoarding"), F.lit("hoarding"))
+                         .when(F.col("is_agent"), F.lit("agent")).otherwise(F.lit("normal")))
+    return d.withColumn("day", F.to_date("ts"))
 
 
 def _funnel_aggs() -> list[Column]:
@@ -69,11 +75,19 @@ def funnel_by_class(req: DataFrame) -> DataFrame:
 
 
 def funnel_scope(req: DataFrame) -> DataFrame:
-    """V3: the funnel with and without scraper traffic."""
-    with_all = req.groupBy("day").agg(*_funnel_aggs()).withColumn("scope", F.lit("all"))
-    clean = req.filter(~F.col("is_scraper")).groupBy("day").agg(*_funnel_aggs()) \
-               .withColumn("scope", F.lit("no_scrapers"))
-    return _rates(with_all.unionByName(clean))
+    """V3: the funnel with and without scraper traffic, in one aggregate."""
+    steps = ("query", "book", "pay")
+
+    def sessions(step, cond=None):
+        c = F.col("step") == step
+        return F.count_distinct(F.when(c if cond is None else c & cond, F.col("session_id")))
+    clean = ~F.col("is_scraper")
+    d = req.groupBy("day").agg(*[sessions(x).alias(f"all_{x}") for x in steps], F.count_if(clean).alias("_clean"),
+                               *[sessions(x, clean).alias(f"clean_{x}") for x in steps])
+    rows = F.array(*[F.struct(F.lit(scope).alias("scope"), *[F.col(f"{p}_{x}").alias(f"{x}_sessions") for x in steps])
+                     for scope, p in (("all", "all"), ("no_scrapers", "clean"))])
+    return _rates(d.select("day", "_clean", F.explode(rows).alias("r")).filter("r.scope = 'all' or _clean > 0")
+                  .select("day", "r.*"))
 
 
 def scraper_travel_frequency(req: DataFrame) -> DataFrame:
@@ -85,27 +99,27 @@ def scraper_travel_frequency(req: DataFrame) -> DataFrame:
                   F.count_if(F.col("flight_type") == "International").cast("bigint").alias("international")))
 
 
-def scraper_route_ranking(req: DataFrame, n: int = 10) -> DataFrame:
-    """V6: routes most queried by scrapers (top-k report)."""
-    r = (req.filter(F.col("is_scraper") & (F.col("step") == "query"))
+def between(req: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Days from ``start`` to ``end``, both included; open where None."""
+    d = req if start is None else req.filter(F.col("day") >= F.lit(start).cast("date"))
+    return d if end is None else d.filter(F.col("day") <= F.lit(end).cast("date"))
+
+
+def scraper_route_ranking(req: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """V6: all routes queried by scrapers in a range of days, with their counts; the caller orders
+    and pages (``ranking.page``)."""
+    return (between(req, start, end).filter(F.col("is_scraper") & (F.col("step") == "query"))
             .groupBy("dep", "arr").agg(F.count(F.lit(1)).alias("queries")))
-    return r.orderBy(F.desc("queries"), "dep", "arr").limit(n)
 
 
-def hoarding_flight_ranking(req: DataFrame, page_no: int = 1, rows: int = 20) -> DataFrame:
-    """V7: unpaid booking requests by (dep, arr, flight, cabin, date), paged.
+def hoarding_flight_ranking(req: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """V7: unpaid booking requests by (dep, arr, flight, cabin, date) in a range of days.
     A booking is unpaid when its user has no payment request the same day."""
-    books = req.filter(F.col("step") == "book").select(
-        "user_id", "day", "dep", "arr",
-        F.concat(F.lit("CZ"), (F.col("k") % 50).cast("string")).alias("flight_no"),
-        F.when(F.col("k") % 2 == 0, F.lit("Y")).otherwise(F.lit("C")).alias("cabin"),
-        F.date_add(F.col("day"), (F.col("k") % 20).cast("int")).alias("flight_date"))
-    pays = req.filter(F.col("step") == "pay").select("user_id", "day").distinct()
-    unpaid = books.join(pays, ["user_id", "day"], "left_anti")
-    r = unpaid.groupBy("dep", "arr", "flight_no", "cabin", "flight_date").agg(
-        F.count(F.lit(1)).alias("unpaid_bookings"))
-    return (r.orderBy(F.desc("unpaid_bookings"), "dep", "arr", "flight_no", "cabin", "flight_date")
-             .offset((page_no - 1) * rows).limit(rows))
+    d = between(req, start, end)
+    keys = ["dep", "arr", "flight_no", "cabin", "flight_date"]
+    books = d.filter(F.col("step") == "book").select("user_id", "day", *keys)
+    pays = d.filter(F.col("step") == "pay").select("user_id", "day").distinct()
+    return books.join(pays, ["user_id", "day"], "left_anti").groupBy(*keys).agg(F.count(F.lit(1)).alias("unpaid_bookings"))
 
 
 def look_to_book(req: DataFrame) -> DataFrame:
@@ -125,6 +139,17 @@ def user_class_counts(req: DataFrame) -> DataFrame:
                .agg(F.count_distinct("user_id")).na.fill(0, CLASSES))
 
 
+def customer_type_daily(req: DataFrame) -> DataFrame:
+    """Distinct users per day and customer type (0 all, 1 normal, 2 agents); each type has a
+    row for every day between the first and the last, NULL where nobody came."""
+    agent = F.col("is_agent")
+    n = req.groupBy("day").agg(F.count_distinct("user_id").alias("0"),
+                               F.count_distinct(F.when(~agent, F.col("user_id"))).alias("1"),
+                               F.count_distinct(F.when(agent, F.col("user_id"))).alias("2"))
+    rows = date_spine(n).unpivot(["day"], ["0", "1", "2"], "customer_type", "users")
+    return rows.select("day", F.col("customer_type").cast("int").alias("customer_type"), F.nullif("users", F.lit(0)).alias("users"))
+
+
 def traffic_share(req: DataFrame) -> DataFrame:
     """Total and scraper requests per day and the scraper share."""
     t = req.groupBy("day").agg(F.count(F.lit(1)).alias("total_requests"),
@@ -143,17 +168,18 @@ def date_spine(series: DataFrame, day_col: str = "day") -> DataFrame:
 
 
 def scraper_daily_cumulative(req: DataFrame) -> DataFrame:
-    """Distinct IPs today, distinct scraper IPs today, cumulative scrapers
-    (first-seen day per IP, then a running sum over the per-day table)."""
-    daily = req.groupBy("day").agg(
-        F.count_distinct("remote_addr").alias("ips"),
-        F.count_distinct(F.when(F.col("is_scraper"), F.col("remote_addr"))).alias("scraper_ips"))
-    first = (req.filter("is_scraper").groupBy("remote_addr").agg(F.min("day").alias("day"))
-                .groupBy("day").agg(F.count(F.lit(1)).alias("_new")))
+    """Distinct IPs today, distinct scraper IPs today, cumulative scrapers.
+
+    One pass: requests are reduced to one row per IP and day, an IP's first day as a scraper is a
+    window over its days, and all three counts come from that table."""
+    ips = req.groupBy("remote_addr", "day").agg(F.max("is_scraper").alias("scr"))
+    first = F.min(F.when(F.col("scr"), F.col("day"))).over(Window.partitionBy("remote_addr"))
+    daily = ips.withColumn("first", first).groupBy("day").agg(
+        F.count(F.lit(1)).alias("ips"), F.count_if("scr").cast("bigint").alias("scraper_ips"),
+        F.count_if(F.col("day") == F.col("first")).alias("_new"))
     # one row per day: the ordered window runs on the small per-day table only
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    out = daily.join(first, "day", "left").withColumn("_new", F.coalesce(F.col("_new"), F.lit(0)))
-    return out.withColumn("cumulative_scrapers", F.sum("_new").over(w).cast("bigint")).drop("_new")
+    return daily.withColumn("cumulative_scrapers", F.sum("_new").over(w).cast("bigint")).drop("_new")
 
 
 def link_traffic(req: DataFrame, window: str = "1 hour") -> DataFrame:

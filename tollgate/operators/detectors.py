@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,30 +27,45 @@ def feature_frame(wide_metrics: DataFrame, verdicts: DataFrame) -> DataFrame:
     return f.fillna(-1, subset=["min_interval_ms"]).fillna(0, subset=FEATURES)
 
 
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
+def split_rows(features: DataFrame, held_out: float = 0.3) -> tuple[DataFrame, DataFrame]:
+    """(training, held-out) rows, by a hash of the IP: all windows of one IP are on the same side."""
+    draw = F.pmod(F.xxhash64("ip"), F.lit(1000)) < int(1000 * held_out)
+    return features.filter(~draw), features.filter(draw)
+
+
+def _features_of() -> list:
+    """Metrics as one vector, scaled to unit deviation (a gap in ms would drown the counts)."""
+    return [VectorAssembler(inputCols=FEATURES, outputCol="raw_features", handleInvalid="keep"),
+            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)]
 
 
 def decision_tree(features: DataFrame, criterion: str = "info_gain", max_depth: int = 5,
-                  min_instances: int = 1, seed: int = 7) -> DataFrame:
-    """Supervised detector; returns predictions for every row."""
+                  min_instances: int = 1, held_out: float = 0.3, seed: int = 7) -> DataFrame:
+    """Supervised detector, fitted on the training rows; predictions for the held-out rows."""
+    train, test = split_rows(features, held_out)
     dt = DecisionTreeClassifier(labelCol="label", featuresCol="features", impurity=IMPURITY[criterion],
                                 maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed)
-    model = Pipeline(stages=[_assembler(), dt]).fit(features)
-    return model.transform(features).withColumn("model", F.lit("supervised"))
+    model = Pipeline(stages=[*_features_of(), dt]).fit(train)
+    return model.transform(test).withColumn("model", F.lit("supervised"))
 
 
-def kmeans(features: DataFrame, k: int = 2, max_iter: int = 20, seed: int = 7) -> DataFrame:
-    """Unsupervised detector. The cluster whose members have the highest
-    mean access count is read as the bot cluster (prediction 1)."""
+def kmeans(features: DataFrame, k: int = 2, max_iter: int = 20, held_out: float = 0.3, seed: int = 7) -> DataFrame:
+    """Unsupervised detector, fitted on the training rows; the cluster whose training members
+    have the highest mean access count is read as the bot cluster (prediction 1). Predictions are
+    for the held-out rows."""
+    train, test = split_rows(features, held_out)
     km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cluster")
-    model = Pipeline(stages=[_assembler(), km]).fit(features)
-    out = model.transform(features)
-    bot = (out.groupBy("cluster").agg(F.avg("access_count").alias("_m"))
-              .orderBy(F.desc("_m"), "cluster").limit(1).withColumn("_bot", F.lit(1.0)))
-    return (out.join(F.broadcast(bot.select("cluster", "_bot")), "cluster", "left")
-               .withColumn("prediction", F.coalesce(F.col("_bot"), F.lit(0.0)))
-               .drop("_bot").withColumn("model", F.lit("unsupervised")))
+    model = Pipeline(stages=[*_features_of(), km]).fit(train)
+    bot = (model.transform(train).groupBy("cluster").agg(F.avg("access_count").alias("m"))
+           .orderBy(F.desc("m"), "cluster").first()["cluster"])     # k rows at most
+    return (model.transform(test).withColumn("prediction", (F.col("cluster") == bot).cast("double"))
+            .withColumn("model", F.lit("unsupervised")))
+
+
+def threshold_rule(features: DataFrame, metric: str, at_least: float) -> DataFrame:
+    """The simplest detector: one metric against a threshold, for every row."""
+    return (features.withColumn("prediction", (F.col(metric) >= at_least).cast("double"))
+            .withColumn("model", F.lit("threshold")))
 
 
 def accuracy_by_date(predictions: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from tollgate.plans.preprocess import Dimensions, parse_complete_lines, process_
 from tollgate.session import scratch_path
 
 
-def _materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")   # two runs never share a table
     df.write.parquet(path)
     return spark.read.parquet(path)
@@ -33,8 +33,8 @@ def preprocess_job(spark: SparkSession, lines: DataFrame, out_dir: str,
                    dims: Dimensions | None = None) -> None:
     """3.1 in batch: raw lines -> routed structured records (by behaviour) + rejects."""
     dims = dims or Dimensions.defaults(spark)
-    parsed = _materialise(spark, parse_complete_lines(lines), "complete-lines")
-    done = _materialise(spark, process_messages(parsed.filter("is_valid_number"), dims), "processed")
+    parsed = materialise(spark, parse_complete_lines(lines), "complete-lines")
+    done = materialise(spark, process_messages(parsed.filter("is_valid_number"), dims), "processed")
     by_behavior(structured(done), "Query", "Book").write.mode("overwrite") \
         .partitionBy("behavior_type").parquet(os.path.join(out_dir, "records"))
     rejects = parsed.filter(~F.col("is_valid_number")).select("value").unionByName(
@@ -63,7 +63,7 @@ def rule_metrics_job(spark: SparkSession, requests: DataFrame, booking_events: D
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p, allowMissingColumns=True)
-    long = _materialise(spark, long, f"{run_id}-metrics-long")          # lineage cut
+    long = materialise(spark, long, f"{run_id}-metrics-long")          # lineage cut
     scores = flow_scores(evaluate_rules(long, rules, flows, rule_type))
     bl = to_blacklist_records(blacklist_decisions(scores, flows), keep=["window_end"])
     at = F.to_timestamp(F.lit(written_at)) if written_at else F.col("window_end")
@@ -86,7 +86,7 @@ DASHBOARDS = {
     "scraper_travel_frequency": "scraper_travel_frequency",
     "scraper_route_ranking": "scraper_route_ranking",
     "hoarding_flight_ranking": "hoarding_flight_ranking", "look_to_book": "look_to_book",
-    "user_class_counts": "user_class_counts", "traffic_share": "traffic_share",
+    "user_class_counts": "user_class_counts", "customer_type_daily": "customer_type_daily", "traffic_share": "traffic_share",
     "scraper_daily_cumulative": "scraper_daily_cumulative", "link_traffic": "link_traffic",
 }
 
@@ -97,7 +97,7 @@ def dashboards_job(spark: SparkSession, classified: DataFrame, out_dir: str,
     written once under the shared checkpoint folder, and every dashboard table
     is built from that written table. Returns table name -> output path."""
     from tollgate.operators import dashboards as D
-    base = _materialise(spark, classified, f"{run_id}-classified")
+    base = materialise(spark, classified, f"{run_id}-classified")
     out = {}
     for name, fn in DASHBOARDS.items():
         path = os.path.join(out_dir, name)

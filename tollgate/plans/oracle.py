@@ -81,7 +81,9 @@ requests AS (
     strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000' AS time_local,
     'JSESSIONID=' || session_id || '; userId4logCookie=138' || lpad(CAST(user_id AS VARCHAR), 8, '0')
       || '; lv=' || CAST(epoch_ms(ts) AS VARCHAR) AS http_cookie,
-    (event_id * 7) % 50 AS active_user_num
+    (event_id * 7) % 50 AS active_user_num,
+    'CZ' || CAST(k % 50 AS VARCHAR) AS flight_no, CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'C' END AS cabin,
+    CAST(ts AS DATE) + CAST(k % 20 AS INTEGER) AS flight_date
   FROM requests_url
 )"""
 
@@ -511,16 +513,17 @@ SELECT day, travel_type, count(*) FILTER (WHERE flight_type = 'National') AS nat
 FROM creq WHERE is_scraper AND step = 'query' AND travel_type IN ('OneWay', 'RoundTrip')
 GROUP BY day, travel_type""")
 DASH_SCRAPER_ROUTE_RANKING = _dash("""
-SELECT dep, arr, count(*) AS queries FROM creq WHERE is_scraper AND step = 'query'
-GROUP BY dep, arr ORDER BY queries DESC, dep, arr LIMIT 10""")
+SELECT dep, arr, count(*) AS queries FROM creq WHERE is_scraper AND step = 'query' GROUP BY dep, arr""")
 DASH_HOARDING_FLIGHT_RANKING = _dash("""
-SELECT dep, arr, flight_no, cabin, flight_date, count(*) AS unpaid_bookings FROM (
-  SELECT user_id, day, dep, arr, 'CZ' || CAST(k % 50 AS VARCHAR) AS flight_no,
-         CASE WHEN k % 2 = 0 THEN 'Y' ELSE 'C' END AS cabin,
-         day + CAST(k % 20 AS INTEGER) AS flight_date
-  FROM creq b WHERE step = 'book' AND NOT EXISTS (
-    SELECT 1 FROM creq p WHERE p.step = 'pay' AND p.user_id = b.user_id AND p.day = b.day))
-GROUP BY ALL ORDER BY unpaid_bookings DESC, dep, arr, flight_no, cabin, flight_date LIMIT 20 OFFSET 0""")
+SELECT dep, arr, flight_no, cabin, flight_date, count(*) AS unpaid_bookings FROM creq b
+WHERE step = 'book' AND NOT EXISTS (SELECT 1 FROM creq p WHERE p.step = 'pay' AND p.user_id = b.user_id AND p.day = b.day)
+GROUP BY ALL""")
+DASH_CUSTOMER_TYPE_DAILY = _dash("""
+SELECT CAST(s.day AS DATE) AS day, CAST(t.customer_type AS INTEGER) AS customer_type, nullif(n.users, 0) AS users
+FROM (SELECT unnest(generate_series((SELECT min(day) FROM creq), (SELECT max(day) FROM creq), INTERVAL 1 DAY)) AS day) s
+CROSS JOIN (VALUES (0), (1), (2)) t(customer_type)
+LEFT JOIN (SELECT day, c, count(DISTINCT user_id) FILTER (c = 0 OR is_agent = (c = 2)) AS users
+           FROM creq, (VALUES (0), (1), (2)) v(c) GROUP BY day, c) n ON n.day = CAST(s.day AS DATE) AND n.c = t.customer_type""")
 DASH_LOOK_TO_BOOK = _dash("""
 SELECT *, round(CAST(queries AS DOUBLE) / nullif(bookings, 0), 6) AS look_to_book FROM (
   SELECT day, CASE WHEN GROUPING(user_class) = 1 THEN 'all' ELSE user_class END AS user_class,
@@ -569,3 +572,24 @@ SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
        server_addr, count(*) AS request_count,
        CAST(arg_max(active_user_num, (ts, active_user_num)) AS BIGINT) AS active_user_num
 FROM requests GROUP BY date_trunc('hour', ts), server_addr""")
+
+
+# ---- step 9 oracles: the accuracy tables over a threshold rule ---------------------------
+
+def _threshold_rows(at_least: int) -> str:
+    return with_requests(f"""
+SELECT w.ws, w.ip, CASE WHEN w.critical_count >= {at_least} THEN 1.0 ELSE 0.0 END AS prediction,
+       CASE WHEN EXISTS (SELECT 1 FROM dec d WHERE d.crawler_type = 0 AND d.ws = w.ws AND d.key = w.ip) THEN 1.0 ELSE 0.0 END AS label
+FROM wide w""", _scoring_ctes())
+
+
+def threshold_accuracy_sql(at_least: int) -> str:
+    return f"""SELECT 'threshold' AS model, CAST(epoch_ms(ws) AS DATE) AS day,
+  round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS rows
+FROM ({_threshold_rows(at_least)}) GROUP BY ws"""
+
+
+def threshold_fit_sql(at_least: int) -> str:
+    return f"""SELECT 'threshold' AS model, ip,
+  round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS fit_rate, count(*) AS windows
+FROM ({_threshold_rows(at_least)}) GROUP BY ip"""

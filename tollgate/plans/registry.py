@@ -339,43 +339,45 @@ AGENT_MIN_BUYERS = 2
 REF_DAY = "2024-01-20"
 
 
-def classified_requests(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Requests with travel type, day, scraper/hoarding/agent flags and user class.
-    Classes come from this data's own blacklist decisions and bookings."""
+def classified_requests(spark: SparkSession, base_dir: str, sets: str = "scraper hoarding agent") -> DataFrame:
+    """Requests with travel type, day and the flags of the named key sets (and the user class, if all).
+
+    Classes come from this data's own blacklist decisions and bookings. Rules are filtered by
+    crawler type before scoring: scrapers are found without any booking, hoarders without the log.
+    """
     from tollgate.operators.dashboards import agent_buyers, classify_users
     from tollgate.operators.scoring import blacklist_decisions
     from tollgate.operators.tags import tag_travel_type
     from tollgate.sources.bookings import bookings
-    dec = blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark))
-    # one per-key verdict table; both key sets read it, so its shuffle is computed once
-    verdicts = dec.groupBy("key").agg(
-        F.max((F.col("crawler_type") == 0).cast("int")).alias("scr"),
-        F.max((F.col("crawler_type") == 1).cast("int")).alias("hoard"))
-    scr = verdicts.filter("scr = 1").select("key")
-    hoard = verdicts.filter("hoard = 1").select("key")
-    agents = agent_buyers(bookings(spark, base_dir), AGENT_MIN_BUYERS)
+
+    def blacklisted(crawler_type):
+        scores = _flow_scores(spark, base_dir, crawler_type=crawler_type)
+        return blacklist_decisions(scores, dim.flows(spark)).select("key")
     req = tag_travel_type(load_requests(spark, base_dir))
-    return classify_users(req, scr, hoard, agents)
+    return classify_users(req, blacklisted(0) if "scraper" in sets else None, blacklisted(1) if "hoarding" in sets else None,
+                          agent_buyers(bookings(spark, base_dir), AGENT_MIN_BUYERS) if "agent" in sets else None)
 
 
-def _dash(name, fn_name, *args, select=None):
+def _dash(name, fn_name, *args, sets="", select=None):
     def run(spark: SparkSession, base_dir: str) -> DataFrame:
         from tollgate.operators import dashboards as D
-        out = getattr(D, fn_name)(classified_requests(spark, base_dir), *args)
+        out = getattr(D, fn_name)(classified_requests(spark, base_dir, sets), *args)
         return out.select(*select()) if select else out
     register(name, getattr(O, "DASH_" + name.upper()))(run)
 
 
+_ALL = "scraper hoarding agent"
 _dash("funnel_daily", "funnel")
-_dash("funnel_by_class", "funnel_by_class")
-_dash("funnel_scope", "funnel_scope")
-_dash("scraper_travel_frequency", "scraper_travel_frequency")
-_dash("scraper_route_ranking", "scraper_route_ranking")
+_dash("funnel_by_class", "funnel_by_class", sets=_ALL)
+_dash("funnel_scope", "funnel_scope", sets="scraper")
+_dash("scraper_travel_frequency", "scraper_travel_frequency", sets="scraper")
+_dash("scraper_route_ranking", "scraper_route_ranking", sets="scraper")
 _dash("hoarding_flight_ranking", "hoarding_flight_ranking")
-_dash("look_to_book", "look_to_book")
-_dash("user_class_counts", "user_class_counts")
-_dash("traffic_share", "traffic_share")
-_dash("scraper_daily_cumulative", "scraper_daily_cumulative")
+_dash("look_to_book", "look_to_book", sets=_ALL)
+_dash("user_class_counts", "user_class_counts", sets=_ALL)
+_dash("customer_type_daily", "customer_type_daily", sets="agent")
+_dash("traffic_share", "traffic_share", sets="scraper")
+_dash("scraper_daily_cumulative", "scraper_daily_cumulative", sets="scraper")
 _dash("link_traffic_hourly", "link_traffic", "1 hour",
       select=lambda: [_fmt("window_start"), "server_addr", "requests", "total_requests"])
 _dash("collection_stats", "collection_stats", REF_DAY)
@@ -384,27 +386,36 @@ _dash("collection_stats", "collection_stats", REF_DAY)
 @register("scraper_traffic_spine", O.DASH_SCRAPER_TRAFFIC_SPINE)
 def scraper_traffic_spine(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.dashboards import date_spine
-    c = classified_requests(spark, base_dir)
+    c = classified_requests(spark, base_dir, "scraper")
     series = c.filter("is_scraper").groupBy("day").agg(F.count(F.lit(1)).alias("scraper_requests"))
     return date_spine(series)
 
 
-# ---- step 9: detectors (V18-V21); iterative training -> no SQL twin ---------------
+# ---- step 9: detectors (V18-V21) ---------------------------------------------------
+# Trained models have no SQL twin; the accuracy tables do, over a threshold rule as the predictor.
 
-def _predictions(spark: SparkSession, base_dir: str) -> DataFrame:
-    from tollgate.operators.detectors import decision_tree, feature_frame, kmeans
+def _features(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Daily metric vectors with the rule verdict, written once: both models read them many times."""
+    from tollgate.operators.detectors import feature_frame
     from tollgate.operators.scoring import blacklist_decisions
-    gap = [r for r in dim.SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == 2][0][8]
-    wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=int(gap))
-    dec = blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark)) \
-        .filter(F.col("crawler_type") == 0)
-    feats = feature_frame(wide, dec).cache()
+    from tollgate.plans.jobs import materialise
+    gaps = rule_gaps(dim.score_rules(spark), dim.flows(spark), 2)
+    wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=gaps)
+    wide = wide.withColumnRenamed(f"close_interval_count_{gaps[0]}", "close_interval_count")
+    dec = blacklist_decisions(_flow_scores(spark, base_dir, crawler_type=0), dim.flows(spark))
+    return materialise(spark, feature_frame(wide, dec), "detector-features")
+
+
+def _predictions(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import decision_tree, kmeans
+    feats = _features(spark, base_dir)
     cols = ["model", "window_start", "ip", "label", "prediction"]
     return decision_tree(feats).select(*cols).unionByName(kmeans(feats).select(*cols))
 
 
 @register("detector_accuracy_daily")
 def detector_accuracy_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Accuracy of the trained models on rows kept back from training."""
     from tollgate.operators.detectors import accuracy_by_date
     return accuracy_by_date(_predictions(spark, base_dir))
 
@@ -415,6 +426,26 @@ def detector_fit_rate(spark: SparkSession, base_dir: str) -> DataFrame:
     return fit_rate(_predictions(spark, base_dir))
 
 
+def _threshold_predictions(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import threshold_rule
+    return threshold_rule(_features(spark, base_dir), "critical_count", THRESHOLD)
+
+
+THRESHOLD = 2
+
+
+@register("threshold_accuracy_daily", O.threshold_accuracy_sql(THRESHOLD))
+def threshold_accuracy_daily(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import accuracy_by_date
+    return accuracy_by_date(_threshold_predictions(spark, base_dir))
+
+
+@register("threshold_fit_rate", O.threshold_fit_sql(THRESHOLD))
+def threshold_fit_rate(spark: SparkSession, base_dir: str) -> DataFrame:
+    from tollgate.operators.detectors import fit_rate
+    return fit_rate(_threshold_predictions(spark, base_dir))
+
+
 # ---- link statistics (A9, A10) ---------------------------------------------------
 
 @register("link_stats_hourly", O.LINK_STATS)

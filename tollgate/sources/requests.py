@@ -89,6 +89,9 @@ def requests_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.date_format(ts, "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0000")).alias("time_local"),
         cookie.alias("http_cookie"),
         ((ev * 7) % 50).alias("active_user_num"),
+        F.concat(F.lit("CZ"), _s(k % 50)).alias("flight_no"),
+        F.when(k % 2 == 0, F.lit("Y")).otherwise(F.lit("C")).alias("cabin"),
+        F.date_add(F.to_date(ts), (k % 20).cast("int")).alias("flight_date"),
     )
 
 
