@@ -47,7 +47,7 @@ def test_many_rules_inline_and_joined(spark, monkeypatch):
 
 def test_patterns_keep_their_meaning_beside_others(spark):
     """Back references and group names belong to one pattern, whatever rules stand before it."""
-    rules = spark.createDataFrame([("/(?<n>a)x/",), (r"/c/(d)\\1/",), ("/(?<n>b)y/",)], "v string")
+    rules = spark.createDataFrame([("/(?<n>a)x/",), (r"/c/(d)\1/",), ("/(?<n>b)y/",)], "v string")
     df = spark.createDataFrame([("/c/dd/",), ("/c/d/",), ("/by/",)], "u string")
     got = {r.u: r.hit for r in MT.flag_any_match(df, "u", rules, "v", "hit").collect()}
     assert got == {"/c/dd/": True, "/c/d/": False, "/by/": True}

@@ -449,15 +449,15 @@ SELECT key, key_exp_time, CAST(value AS VARCHAR) AS value,
 FROM bl WHERE (key, key_exp_time) IN (SELECT (key, max(key_exp_time)) FROM bl GROUP BY key)
   AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:00:00') >= 1000""", _scoring_ctes())
 # Keys that are live already, for the restore from storage.
-LIVE_PREFIX = "10.1."
+LIVE_PREFIX = "10.4."
 RESTORE_HOURS = with_requests(f"""
 SELECT key, key_exp_time, CAST(value AS VARCHAR) AS value,
-       key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:10:00') AS ttl_ms
+       key_exp_time - epoch_ms(TIMESTAMP '2024-01-24 00:10:00') AS ttl_ms
 FROM (SELECT *, max(key_exp_time) OVER (PARTITION BY key) AS latest FROM (
         SELECT *, key_exp_time - 3600000 AS written FROM bl)
-      WHERE written >= epoch_ms(TIMESTAMP '2024-01-19 23:00:00') AND written < epoch_ms(TIMESTAMP '2024-01-20 01:00:00'))
+      WHERE written >= epoch_ms(TIMESTAMP '2024-01-23 23:00:00') AND written < epoch_ms(TIMESTAMP '2024-01-24 01:00:00'))
 WHERE key_exp_time = latest AND key NOT LIKE '{LIVE_PREFIX}%'
-  AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-20 00:10:00') >= 1000""", _scoring_ctes())
+  AND key_exp_time - epoch_ms(TIMESTAMP '2024-01-24 00:10:00') >= 1000""", _scoring_ctes())
 FLOW_SCORES_TIER = {t: with_requests(f"""SELECT {_wcols(w)}, flow_id, flow_name, crawler_type, key, score, hit_rules
 FROM fs""", _scoring_ctes(w, t)) for t, w in ((0, 300_000), (1, 3_600_000))}
 HISTOGRAM = with_requests(f"""SELECT {_wcols(DAY)}, metric, value, count(*) AS key_count

@@ -320,7 +320,7 @@ def blacklist_restore_hours(spark: SparkSession, base_dir: str) -> DataFrame:
     path = scratch_path(spark, f"blacklist-{uuid.uuid4().hex}")
     records = _blacklist(spark, base_dir, keep=["window_end"])
     write_hourly(records.withColumnRenamed("window_end", "_at"), path, F.col("_at"), "daily")
-    now_ms = 1_705_709_400_000                            # 2024-01-20 00:10:00 UTC
+    now_ms = 1_706_055_000_000                            # 2024-01-24 00:10:00 UTC
     live = load_requests(spark, base_dir).select("remote_addr").filter(F.col("remote_addr").startswith(O.LIVE_PREFIX)).distinct()
     written = read_hours(spark, path, hours_to_restore(now_ms))
     return restore(written, F.lit(now_ms), live).select("key", "key_exp_time", "value", "ttl_ms")

@@ -11,6 +11,7 @@ They are configuration, not data: a few rows that never grow with the log.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # ---- Fixed default rule rows -------------------------------------------------
 # URL filter: the whole request line (``METHOD url HTTP/x``) must match.
@@ -39,7 +40,10 @@ BLACK_IPS = ["10.1.17.17", "10.2.10.42", "10.4.4.4", "10.2.10.42"]
 
 
 def _df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """Fixture rows as literals: the planner knows how small they are, so joins broadcast them."""
+    kinds = [f.split(" ", 1) for f in schema.split(", ")]
+    each = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, kinds)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*each)))
 
 
 def url_filter_rules(spark: SparkSession) -> DataFrame:
