@@ -1,8 +1,9 @@
 """Line deduplication by a suffix array over line ids, with DataFrame functions only.
 
-A *run* is the shortest stretch of lines from some line on that has at least ``MIN_CHARS``
-characters, line ends included. Of all copies of a run the first (smallest id, then place)
-stays; the lines of later copies go. Unions of deleted runs are the maximal repeated ones.
+Of all copies of a stretch of lines with at least ``MIN_CHARS`` characters (line ends included)
+the first (smallest id, then place) stays; the lines of later copies go. Every such stretch is a
+union of *runs*, the shortest stretches of that size that begin or end at some line, so only
+runs are compared, and the unions of deleted runs are the maximal repeated stretches.
 
 Equal runs lie next to each other in the suffix array of the line sequences, as an interval
 whose longest common prefix is at least the run's length. Suffixes are ranked by prefix
@@ -49,45 +50,58 @@ def _ranked(rows: DataFrame, by: list[str], name: str) -> DataFrame:
 
 
 def _by_document(suffixes: DataFrame) -> DataFrame:
-    """One row per document with its suffixes in order: array ``s`` of (pos, rank, chars, q)."""
-    return suffixes.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("pos", "rank", "chars", "q"))).alias("s"))
+    """One row per document with its suffixes in order: array ``s`` of (pos, rank, chars, qs)."""
+    return suffixes.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("pos", "rank", "chars", "qs"))).alias("s"))
 
 
-def _ahead(steps, place):
+def _run_lengths(documents: DataFrame, min_chars: int) -> DataFrame:
+    """Fills ``qs``: lengths of the runs that begin at each line, as far as neighbouring lines
+    are repeated. A line has at least one character, so a run has at most ``min_chars`` lines."""
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars"))
+
+    def needed(x, lines, step):
+        some = F.aggregate(lines, zero, lambda acc, y: F.when(
+            (acc["chars"] < min_chars) & (y["pos"] == x["pos"] + acc["n"] * step),
+            F.struct((acc["n"] + 1).alias("n"), (acc["chars"] + y["chars"]).alias("chars"))).otherwise(acc))
+        return F.when(some["chars"] >= min_chars, some["n"])
+
+    def both(x, i):
+        back = F.greatest(i + 2 - min_chars, F.lit(1))
+        return F.struct(x["pos"].alias("pos"), x["rank"].alias("rank"), x["chars"].alias("chars"),
+                        needed(x, F.slice("s", i + 1, min_chars), 1).alias("ahead"),
+                        needed(x, F.reverse(F.slice("s", back, i + 2 - back)), -1).alias("back"))
+
+    def begin_here(x, i):
+        ends = F.transform(F.slice("s", i + 1, min_chars), lambda y, k: F.when(
+            (y["back"] == k + 1) & (y["pos"] == x["pos"] + k), k + 1))
+        return F.struct(x["pos"].alias("pos"), x["rank"].alias("rank"), x["chars"].alias("chars"),
+                        F.array_distinct(F.array_compact(F.concat(F.array(x["ahead"]), ends))).alias("qs"))
+
+    return documents.withColumn("s", F.transform("s", both)).withColumn("s", F.transform("s", begin_here))
+
+
+def _rank_ahead(x, i, steps):
     """Rank of the suffix ``steps`` lines further, null if that one is not repeated."""
-    def of(x, i):
-        there = F.get(F.col("s"), i + steps(x))
-        return F.when(there["pos"] == x["pos"] + steps(x), there["rank"])
-    return of(*place)
+    there = F.get(F.col("s"), i + steps)
+    return F.when(there["pos"] == x["pos"] + steps, there["rank"])
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """(key, pos, q): later copies of runs, as first line and number of lines."""
     lines = write_table(line_table(docs, id_col, text_col), "lines")
     suffixes = lines.join(_ranked(lines, ["a", "b"], "line-ranks"), ["a", "b"]).select(
-        *KEY, "pos", "rank", "chars", F.lit(0).alias("q"))
-
-    def length_of_run(x, i):
-        """Lines needed from here on, as far as neighbouring lines are repeated; else null."""
-        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars"))
-        some = F.aggregate(
-            F.slice(F.col("s"), i + 1, min_chars), zero,
-            lambda acc, y: F.when((acc["chars"] < min_chars) & (y["pos"] == x["pos"] + acc["n"]),
-                                  F.struct((acc["n"] + 1).alias("n"), (acc["chars"] + y["chars"]).alias("chars"))).otherwise(acc))
-        return F.when(some["chars"] >= min_chars, some["n"])
+        *KEY, "pos", "rank", "chars", F.array().cast("array<int>").alias("qs"))
 
-    with_length = F.transform("s", lambda x, i: F.struct(x["pos"].alias("pos"), x["rank"].alias("rank"),
-                                                         x["chars"].alias("chars"), length_of_run(x, i).alias("q")))
-    documents = write_table(_by_document(suffixes).select(*KEY, with_length.alias("s")), "suffixes")
-    longest = documents.agg(F.max(F.array_max(F.transform("s", lambda x: F.coalesce(x["q"], F.lit(0)))))).first()[0] or 0
+    documents = write_table(_run_lengths(_by_document(suffixes), min_chars), "suffixes")
+    longest = documents.agg(F.max(F.array_max(F.flatten(F.transform("s", lambda x: x["qs"]))))).first()[0] or 0
 
     found, h = None, 1
     while h <= longest:
-        runs = F.transform("s", lambda x, i: F.struct(
-            x["pos"].alias("pos"), x["q"].alias("q"), x["rank"].alias("r1"),
-            _ahead(lambda y: y["q"] - h, (x, i)).alias("r2")))
-        named = (documents.select(*KEY, F.explode(F.filter(runs, lambda r: (r["q"] >= h) & (r["q"] < 2 * h) & r["r2"].isNotNull())).alias("r"))
-                 .select(*KEY, "r.*"))
+        runs = F.flatten(F.transform("s", lambda x, i: F.transform(
+            F.filter(x["qs"], lambda q: (q >= h) & (q < 2 * h)),
+            lambda q: F.struct(x["pos"].alias("pos"), q.alias("q"), x["rank"].alias("r1"),
+                               _rank_ahead(x, i, q - h).alias("r2")))))
+        named = documents.select(*KEY, F.explode(runs).alias("r")).select(*KEY, "r.*").filter("r2 is not null")
         here = F.struct(*KEY, "pos")
         firsts = named.groupBy("q", "r1", "r2").agg(F.min(here).alias("first"), F.max(here).alias("last")) \
             .filter("first < last").select("q", "r1", "r2", "first")
@@ -95,12 +109,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         found = later if found is None else found.union(later)
         if 2 * h <= longest:
             pairs = F.transform("s", lambda x, i: F.struct(
-                x["pos"].alias("pos"), x["rank"].alias("r1"), _ahead(lambda _: F.lit(h), (x, i)).alias("r2"),
-                x["chars"].alias("chars"), x["q"].alias("q")))
+                x["pos"].alias("pos"), x["rank"].alias("r1"), _rank_ahead(x, i, F.lit(h)).alias("r2"),
+                x["chars"].alias("chars"), x["qs"].alias("qs")))
             longer = write_table(documents.select(*KEY, F.explode(F.filter(pairs, lambda p: p["r2"].isNotNull())).alias("p"))
                                  .select(*KEY, "p.*"), "pairs")
             ranked = longer.join(_ranked(longer, ["r1", "r2"], "pair-ranks"), ["r1", "r2"])
-            documents = write_table(_by_document(ranked.select(*KEY, "pos", "rank", "chars", "q")), "suffixes")
+            documents = write_table(_by_document(ranked.select(*KEY, "pos", "rank", "chars", "qs")), "suffixes")
         h *= 2
     if found is None:
         return lines.select(*KEY, "pos", F.lit(1).alias("q")).limit(0)

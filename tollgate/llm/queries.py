@@ -127,6 +127,11 @@ ORACLE = {
         r AS (SELECT a.doc_id, a.pos, min(b.pos) - a.pos + 1 AS q
               FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos AND a.pos + 59
                                AND b.upto - a.upto + length(a.line) + 1 >= 60
+              GROUP BY a.doc_id, a.pos
+              UNION
+              SELECT a.doc_id, max(b.pos) AS pos, a.pos - max(b.pos) + 1 AS q
+              FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos - 59 AND a.pos
+                               AND a.upto - b.upto + length(b.line) + 1 >= 60
               GROUP BY a.doc_id, a.pos),
         run AS (SELECT r.doc_id, r.pos, r.q, array_to_string(l[r.pos + 1 : r.pos + r.q], chr(10)) AS t
                 FROM r JOIN d ON r.doc_id = d.doc_id),
