@@ -10,22 +10,20 @@ from tollgate.llm import lines
 
 
 def brute(rows, min_chars):
-    """id -> lines that stay; rows are (id, text) with different ids."""
-    seen, gone = {}, {}
+    """id -> lines that stay: a line goes if a stretch of enough characters around it also begins earlier."""
+    first, gone = {}, {}
     docs = sorted(((i, t.split("\n")) for i, t in rows if t is not None), key=lambda r: (r[0] is not None, r[0] or 0))
     for i, ls in docs:
         for p in range(len(ls)):
-            q, chars = 0, 0
-            while chars < min_chars and p + q < len(ls):
-                chars += len(ls[p + q]) + 1
-                q += 1
-            if chars >= min_chars:
-                run = tuple(ls[p:p + q])
-                if run in seen:
-                    gone.setdefault(i, set()).update(range(p, p + q))
-                else:
-                    seen[run] = (i, p)
-    return {i: [x for k, x in enumerate(ls) if k not in gone.get(i, ())] for i, ls in docs}
+            chars, end = 0, -1
+            for e in range(p, len(ls)):
+                chars += len(ls[e]) + 1
+                if chars >= min_chars:
+                    if first.setdefault(hash(tuple(ls[p:e + 1])), (i, p)) == (i, p):
+                        continue
+                    end = e
+            gone.setdefault(i, set()).update(range(p, end + 1))
+    return {i: [x for k, x in enumerate(ls) if k not in gone[i]] for i, ls in docs}
 
 
 def check(make_docs, rows, min_chars):
