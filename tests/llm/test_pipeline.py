@@ -72,7 +72,8 @@ def test_pipeline_on_odd_tables(spark, make_docs, tmp_path):
         got = write_table(stage(spark, got, str(tmp_path)), "odd")
         if name != P.STAGES[-1][0]:
             assert got.columns == docs.columns
-    assert sorted(((r.doc_id, r.row) for r in got.collect()), key=repr) == [(4, None), (None, "z")]
+    # the small source is repeated up to its limit, the empty texts have left the mix
+    assert {(r.doc_id, r.row) for r in got.collect()} == {(4, None), (None, "z")}
     empty = docs.limit(0)
     for _, stage in P.STAGES:
         empty = write_table(stage(spark, empty, str(tmp_path)), "none")
