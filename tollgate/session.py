@@ -84,7 +84,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):     # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
         d = tempfile.mkdtemp(prefix="tollgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
