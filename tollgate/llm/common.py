@@ -36,6 +36,16 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt_anew(per_key: DataFrame) -> DataFrame:
+    """An aggregate per key, to be joined to the rows it was made of, in partitions of its own.
+
+    Joined as it is, it would keep the aggregate's partitioning, and adaptive execution cannot split
+    a hot key of the other side where one side of the join is not a plain shuffle. The
+    aggregate has one row per key, so dealing it out once more is cheap.
+    """
+    return per_key.hint("rebalance")
+
+
 def doc_key(doc_id: str = "doc_id", text: str | None = "text") -> list[Column]:
     """Columns that tell rows apart: ``key_id`` (null ids sort first) and ``key_text``.
 

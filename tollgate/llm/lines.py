@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import doc_key, write_table
+from tollgate.llm.common import dealt_anew, doc_key, write_table
 
 MIN_CHARS = 60
 KEY = ["key_id", "key_text"]
@@ -105,7 +105,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         here = F.struct(*KEY, "pos")
         firsts = named.groupBy("q", "r1", "r2").agg(F.min(here).alias("first"), F.max(here).alias("last")) \
             .filter("first < last").select("q", "r1", "r2", "first")
-        later = named.join(firsts, ["q", "r1", "r2"]).filter(F.col("first") < here).select(*KEY, "pos", "q")
+        later = named.join(dealt_anew(firsts), ["q", "r1", "r2"]).filter(F.col("first") < here).select(*KEY, "pos", "q")
         found = later if found is None else found.union(later)
         if 2 * h <= longest:
             pairs = F.transform("s", lambda x, i: F.struct(
