@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import write_table
+from tollgate.llm.common import dealt_anew, write_table
 
 
 def _towards_least(edges: DataFrame) -> DataFrame:
     """Per edge (u, v): the least of u and all its v, as column ``m``."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(least, "u").withColumn("m", F.least("u", "m"))
+    return edges.join(dealt_anew(least), "u").withColumn("m", F.least("u", "m"))
 
 
 def _round(edges: DataFrame) -> DataFrame:

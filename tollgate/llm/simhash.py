@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import doc_key, ship, write_table
+from tollgate.llm.common import dealt_anew, doc_key, ship, write_table
 from tollgate.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -143,7 +143,7 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, home_limit: int = HOME_
     homes = fps.select("fp", F.explode(homes_of).alias("anchor")).hint("merge")
     sized = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
 
-    few = homes.join(sized.filter(F.col("n") <= home_limit).select("anchor"), "anchor")
+    few = homes.join(dealt_anew(sized.filter(F.col("n") <= home_limit).select("anchor")), "anchor")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     pairs = (members.select("anchor", F.col("fp").alias("a"))
              .join(few.select("anchor", F.col("fp").alias("b")), "anchor")
