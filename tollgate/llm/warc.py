@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ship
+from tollgate.llm.common import dealt_anew, ship
 
 REVISIT_MIN_BYTES = 1000      # smaller payloads are repeated, not referred to
 ROLL_BYTES = 256 << 20        # a package is closed and a new one begun beyond this size
@@ -62,7 +62,7 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, payload: Column) -
                .agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("n"))
                .filter("n > 1 and keeper is not null").select("digest", "keeper"))
     refers = F.when(~F.col("id").eqNullSafe(F.col("keeper")), F.col("keeper"))
-    return (recs.join(keepers, F.col("payload_digest") == F.col("digest"), "left")
+    return (recs.join(dealt_anew(keepers), F.col("payload_digest") == F.col("digest"), "left")
             .withColumn("refers_to", refers)
             .withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
             .select("id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"))
