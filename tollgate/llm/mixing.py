@@ -112,10 +112,10 @@ def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, targe
             .withColumn("h", deal(F.col("doc_id"), F.col("epochs")))
             .withColumn("block", F.pmod("h", "blocks")))
     by_block = Window.partitionBy("mix_source").orderBy("block")
-    ends = (last.groupBy("mix_source", "block", "rest").agg(F.sum("n_tokens").alias("n"))
+    ends = write_table(last.groupBy("mix_source", "block", "rest").agg(F.sum("n_tokens").alias("n"))
             .withColumn("upto", F.sum("n").over(by_block))
             .filter("upto - n < rest and upto >= rest")
-            .select("mix_source", F.col("block").alias("end_block"), (F.col("rest") - F.col("upto") + F.col("n")).alias("room")))
+            .select("mix_source", F.col("block").alias("end_block"), (F.col("rest") - F.col("upto") + F.col("n")).alias("room")), "mix-ends")
     place = F.struct("h", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key_id"), "key_text")
     in_block = Window.partitionBy("mix_source").orderBy("place")
     stop = (last.join(ends, "mix_source").filter("block = end_block").withColumn("place", place)
