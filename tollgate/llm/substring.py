@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import dealt_anew, doc_key, ship, write_table
+from tollgate.llm.common import doc_key, ship, write_table
 from tollgate.llm.rolling import BASES, Runs, mix, sliding_min, word_hashes
 
 WINDOW = 50
@@ -97,9 +97,9 @@ def repeated_paths(documents: DataFrame) -> DataFrame:
               .agg(F.min("key_id").alias("lo"), F.max("key_id").alias("hi"),
                    F.min("content").alias("c0"), F.max("content").alias("c1"))
               .filter("lo < hi").select("anchor", (F.col("c0") < F.col("c1")).alias("branch")))
-    recur = write_table(paths.join(dealt_anew(shared), "anchor"), "paths")
+    recur = write_table(paths.join(shared, "anchor"), "paths")
     nodes = recur.groupBy("anchor", "content").agg(F.min(F.struct("key_id", "start")).alias("source"))
-    found = (recur.join(dealt_anew(nodes), ["anchor", "content"])
+    found = (recur.join(nodes, ["anchor", "content"])
              .withColumn("whole", F.col("source.key_id") < F.col("key_id"))
              .filter("whole or branch")
              .select(*KEY, "start", "windows", "whole", F.col("source.key_id").alias("source_id"),
@@ -136,8 +136,8 @@ def repeated_windows(candidates: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = candidates.select(*KEY, F.col("text").cast("binary"), "paths")
     each = write_table(rows.mapInArrow(_windows_of(window), "key_id long, key_text long, w1 long, w2 long, starts array<int>"),
                        "windows")
-    first = each.groupBy("w1", "w2").agg(F.min("key_id").alias("lo"), F.max("key_id").alias("hi")).filter("lo < hi")
-    return (each.join(dealt_anew(first), ["w1", "w2"]).filter("lo < key_id")
+    first = each.groupBy("w1", "w2").agg(F.min("key_id").alias("lo"), F.max("key_id").alias("hi")).filter("lo < hi").select("w1", "w2", "lo")
+    return (each.join(first, ["w1", "w2"]).filter("lo < key_id")
             .groupBy(*KEY).agg(F.flatten(F.collect_list("starts")).alias("starts")))
 
 
