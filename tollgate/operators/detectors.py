@@ -2,12 +2,15 @@
 
 Features are the per-IP metric vector of a window; the label is the rule
 verdict (blacklisted by a scraper flow in that window). Training and scoring
-run on pyspark.ml, distributed like any other job. Gain ratio has no built-in
+run on pyspark.ml, distributed like any other job. Every row is predicted, by a
+model fitted on the other folds of IPs. Gain ratio has no built-in
 impurity: ``entropy`` (information gain) is used for it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.clustering import KMeans
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 
 FEATURES = ["access_count", "critical_count", "user_agent_count", "cookie_count", "route_count",
             "min_interval_ms", "close_interval_count"]
+FOLDS = 3
 IMPURITY = {"info_gain": "entropy", "gain_ratio": "entropy", "gini": "gini"}
 
 
@@ -27,10 +31,25 @@ def feature_frame(wide_metrics: DataFrame, verdicts: DataFrame) -> DataFrame:
     return f.fillna(-1, subset=["min_interval_ms"]).fillna(0, subset=FEATURES)
 
 
-def split_rows(features: DataFrame, held_out: float = 0.3) -> tuple[DataFrame, DataFrame]:
-    """(training, held-out) rows, by a hash of the IP: all windows of one IP are on the same side."""
-    draw = F.pmod(F.xxhash64("ip"), F.lit(1000)) < int(1000 * held_out)
-    return features.filter(~draw), features.filter(draw)
+def folds_of(features: DataFrame, folds: int) -> list[tuple[DataFrame, DataFrame | None]]:
+    """(rows, training rows) per fold, by a hash of the IP: all windows of one IP are in one fold.
+
+    The training rows are those of all other folds, None if there are none.
+    """
+    fold = F.pmod(F.xxhash64("ip"), F.lit(folds))
+    filled = {r.fold for r in features.select(fold.alias("fold")).distinct().collect()}   # folds numbers at most
+    return [(features.filter(fold == k), features.filter(fold != k) if filled - {k} else None) for k in range(folds)]
+
+
+def cross_fit(features: DataFrame, folds: int, predict, model: str) -> DataFrame:
+    """Every row with the prediction of ``predict(training rows, rows)``, fitted without its IP.
+
+    Rows stay without a prediction if there are no rows of other folds to learn from.
+    """
+    done = [predict(train, rows) if train is not None else rows.withColumn("prediction", F.lit(None).cast("double"))
+            for rows, train in folds_of(features, folds)]
+    columns = [*features.columns, "prediction"]
+    return reduce(DataFrame.unionByName, [d.select(columns) for d in done]).withColumn("model", F.lit(model))
 
 
 def _features_of() -> list:
@@ -40,26 +59,27 @@ def _features_of() -> list:
 
 
 def decision_tree(features: DataFrame, criterion: str = "info_gain", max_depth: int = 5,
-                  min_instances: int = 1, held_out: float = 0.3, seed: int = 7) -> DataFrame:
-    """Supervised detector, fitted on the training rows; predictions for the held-out rows."""
-    train, test = split_rows(features, held_out)
-    dt = DecisionTreeClassifier(labelCol="label", featuresCol="features", impurity=IMPURITY[criterion],
-                                maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed)
-    model = Pipeline(stages=[*_features_of(), dt]).fit(train)
-    return model.transform(test).withColumn("model", F.lit("supervised"))
-
-
-def kmeans(features: DataFrame, k: int = 2, max_iter: int = 20, held_out: float = 0.3, seed: int = 7) -> DataFrame:
-    """Unsupervised detector, fitted on the training rows; the cluster whose training members
-    have the highest mean access count is read as the bot cluster (prediction 1). Predictions are
-    for the held-out rows."""
-    train, test = split_rows(features, held_out)
-    km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cluster")
-    model = Pipeline(stages=[*_features_of(), km]).fit(train)
-    bot = (model.transform(train).groupBy("cluster").agg(F.avg("access_count").alias("m"))
-           .orderBy(F.desc("m"), "cluster").first()["cluster"])     # k rows at most
-    return (model.transform(test).withColumn("prediction", (F.col("cluster") == bot).cast("double"))
-            .withColumn("model", F.lit("unsupervised")))
+                  min_instances: int = 1, folds: int = FOLDS, seed: int = 7) -> DataFrame:
+    """Supervised detector; each fold is predicted by the tree fitted on the others."""
+    def predict(train, rows):
+        dt = DecisionTreeClassifier(labelCol="label", featuresCol="features", impurity=IMPURITY[criterion],
+                                    maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed)
+        return Pipeline(stages=[*_features_of(), dt]).fit(train).transform(rows)
+
+    return cross_fit(features, folds, predict, "supervised")
+
+
+def kmeans(features: DataFrame, k: int = 2, max_iter: int = 20, folds: int = FOLDS, seed: int = 7) -> DataFrame:
+    """Unsupervised detector; each fold is predicted by the clusters of the others. The cluster
+    whose training members have the highest mean access count is read as the bot cluster (prediction 1)."""
+    def predict(train, rows):
+        km = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cluster")
+        model = Pipeline(stages=[*_features_of(), km]).fit(train)
+        bot = (model.transform(train).groupBy("cluster").agg(F.avg("access_count").alias("m"))
+               .orderBy(F.desc("m"), "cluster").first()["cluster"])     # k rows at most
+        return model.transform(rows).withColumn("prediction", (F.col("cluster") == bot).cast("double"))
+
+    return cross_fit(features, folds, predict, "unsupervised")
 
 
 def threshold_rule(features: DataFrame, metric: str, at_least: float) -> DataFrame:

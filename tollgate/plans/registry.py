@@ -415,7 +415,7 @@ def _predictions(spark: SparkSession, base_dir: str) -> DataFrame:
 
 @register("detector_accuracy_daily")
 def detector_accuracy_daily(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Accuracy of the trained models on rows kept back from training."""
+    """Accuracy of the trained models on all rows, each predicted without its IP in training."""
     from tollgate.operators.detectors import accuracy_by_date
     return accuracy_by_date(_predictions(spark, base_dir))
 
