@@ -74,3 +74,30 @@ def test_edges(make_docs):
     assert [r.near_next for r in twice] == [1.0, 1.0] and len({r.fingerprint for r in twice}) == 1
     odd = make_docs([(1, "a", "en", "s", 5, "x")], ", part long, edge string")
     assert S.with_next(odd).first().n_chars == 1
+
+
+def test_likeness_of_texts_with_something_inserted():
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(6000))
+    new = "".join(rng.choice("ijklmnop ") for _ in range(900))
+    of = lambda t: S.sketch(*S.anchors(t.encode()))
+    for changed in (new[:80] + text, new + text, text[:3000] + new + text[3000:], text[500:],
+                    new[:300] + text[:2000] + new[300:600] + text[2000:4000] + new[600:] + text[4000:]):
+        for pair in ((text, changed), (changed, text)):
+            assert S.likeness(*map(of, pair)) == pytest.approx(min(map(len, pair)) / max(map(len, pair)), abs=0.15)
+
+
+def test_places_beyond_a_megabyte_and_texts_without_syncmers():
+    rng = random.Random(12)
+    hashes = np.array([rng.getrandbits(64) for _ in range(64)], np.uint64)
+    places = np.arange(64) * 3_000_000
+    slots = S.sketch(places, hashes)
+    assert np.array_equal(S.slots_of(S.digits(slots)), slots)
+    full = slots != S.EMPTY
+    assert sorted(set((slots[full] & np.uint64(0xFFFFFFFF)).tolist())) == sorted(set((slots[full] & np.uint64(0xFFFFFFFF)).tolist()) & set((places // S.UNIT).tolist()))
+    assert S.likeness(slots, S.sketch(places[::-1], hashes)) < 0.2
+    without = [t for t in ("".join(rng.choice("abcdef") for _ in range(rng.randint(16, 22))) for _ in range(400)) if not definition(t.encode())]
+    assert len(without) > 5
+    for t in without:
+        one = S.sketch(*S.anchors(t.encode()))
+        assert (one != S.EMPTY).sum() == 1 and S.likeness(one, one) == 1 and S.likeness(one, S.sketch(*S.anchors(b""))) == 0

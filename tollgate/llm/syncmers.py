@@ -6,12 +6,14 @@ an edit moves no anchors outside the edited bytes: the anchors of an edited text
 kept part, plus those of the new part and the seam.
 
 The fingerprint keeps, for each of ``SLOTS`` ranges of anchor hashes, the least anchor: 16 bits of
-its hash and its place in units of 16 bytes, as 8 hexadecimal digits (``ffffffff`` for a range
+its hash and its place in units of 16 bytes, as 12 hexadecimal digits (``ffffffffffff`` for a range
 without an anchor). The likeness of two fingerprints is the share of text they have in common as
-estimated from the slots whose anchors agree in hash and, up to ``DRIFT`` units, in place.
+estimated from the slots whose anchors agree in hash and belong together: what is inserted or cut
+out moves all that follows by the same offset, so an anchor counts if it has not moved or if
+another one has moved as far, both up to ``DRIFT`` units.
 
 Defined results: null and empty texts have no anchors and are alike to each other only
-(likeness 1, else 0); a text shorter than an anchor is its own anchor; equal texts have equal
+(likeness 1, else 0); any other text without a closed syncmer is its own anchor; equal texts have equal
 fingerprints; in the order of documents null ids come first, equal ids are ordered by their
 texts' hashes, and a single document is its own next one; other columns are ignored.
 """
@@ -33,19 +35,16 @@ K, S = 16, 8              # S-mers are read as 64-bit numbers, two of which make
 SLOTS = 64
 UNIT = 16
 DRIFT = 4
-EMPTY = 0xFFFFFFFF
+EMPTY = 0xFFFFFFFFFFFF
 
 EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
 
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def syncmers(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of the closed syncmers of ``data``."""
     if len(data) < K:
-        if not data:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        whole = np.frombuffer(data.ljust(K, b"\0"), "<u8")
-        return np.zeros(1, np.int64), mix(mix(whole[:1]) + whole[1:] + np.uint64(len(data)))
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     inner = np.ndarray(len(data) - S + 1, "<u8", data, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
     inner ^= inner >> np.uint64(32)
     width = K - S + 1
@@ -57,21 +56,34 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, mix(mix(inner[at]) + inner[at + width - 1])
 
 
+def or_whole(data: bytes, places: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of ``data``: its closed syncmers or, without any, the whole text."""
+    if len(places) or not data:
+        return places, hashes
+    whole = np.frombuffer(hashlib.blake2b(data, digest_size=8).digest(), "<u8")
+    return np.zeros(1, np.int64), whole.astype(np.uint64)
+
+
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the anchors of ``data``."""
+    return or_whole(data, *syncmers(data))
+
+
 def sketch(places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The slots as 32-bit numbers: hash above, place below."""
-    slots = np.full(SLOTS, EMPTY, np.uint32)
+    """The slots as 48-bit numbers: hash above, place below (32 bits: a text has at most 2 GB)."""
+    slots = np.full(SLOTS, EMPTY, np.uint64)
     if len(hashes):
         order = np.argsort(hashes, kind="stable")
         ranked = hashes[order]
         slot = (ranked >> np.uint64(64 - 6)).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(slot[1:] != slot[:-1]) + 1))
-        place = np.minimum(places[order[first]] // UNIT, 0xFFFE).astype(np.uint32)
-        slots[slot[first]] = (ranked[first] & np.uint64(0xFFFF)).astype(np.uint32) << np.uint32(16) | place
+        place = (places[order[first]] // UNIT).astype(np.uint64)
+        slots[slot[first]] = (ranked[first] & np.uint64(0xFFFF)) << np.uint64(32) | place
     return slots
 
 
 def digits(slots: np.ndarray) -> str:
-    return slots.astype(">u4").tobytes().hex()
+    return slots.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -80,13 +92,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     union = int((has_a | has_b).sum())
     if not union:
         return 1.0
-    apart = np.abs((a & np.uint32(0xFFFF)).astype(np.int64) - (b & np.uint32(0xFFFF)).astype(np.int64))
-    same = int((has_a & has_b & (a >> np.uint32(16) == b >> np.uint32(16)) & (apart <= DRIFT)).sum())
+    equal = has_a & has_b & (a >> np.uint64(32) == b >> np.uint64(32))
+    place = np.uint64(0xFFFFFFFF)
+    moved = np.sort((a[equal] & place).astype(np.int64) - (b[equal] & place).astype(np.int64))
+    close = np.diff(moved) <= DRIFT
+    together = (np.abs(moved) <= DRIFT) | np.append(close, False) | np.append(False, close)
+    same = int(together[:len(moved)].sum())
     return 2 * same / (union + same)
 
 
 def slots_of(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint32)
+    own = np.frombuffer(bytes.fromhex(fingerprint), np.uint8).reshape(-1, 6)
+    return np.pad(own, ((0, 0), (2, 0))).view(">u8")[:, 0].astype(np.uint64)
 
 
 def edited(text: str, following: str) -> tuple[str, int]:
@@ -102,8 +119,8 @@ class Document:
     def __init__(self, doc_id, text: str | None):
         self.doc_id, self.text = doc_id, text or ""
         self.data = self.text.encode()
-        self.places, self.hashes = anchors(self.data)
-        self.slots = sketch(self.places, self.hashes)
+        self.places, self.hashes = syncmers(self.data)
+        self.slots = sketch(*or_whole(self.data, self.places, self.hashes))
 
     def edited_slots(self, new: str, kept: int) -> tuple[bytes, np.ndarray]:
         """Bytes and slots of the edited text; anchors of the kept part are not computed again."""
@@ -112,11 +129,9 @@ class Document:
         if n < K:
             return data, sketch(*anchors(data))
         own = self.places <= n - K
-        places, hashes = anchors(data[n - K + 1:])
-        if len(data) - n + K - 1 < K:
-            places, hashes = places[:0], hashes[:0]
-        return data, sketch(np.concatenate((self.places[own], places + n - K + 1)),
-                            np.concatenate((self.hashes[own], hashes)))
+        places, hashes = syncmers(data[n - K + 1:])
+        return data, sketch(*or_whole(data, np.concatenate((self.places[own], places + n - K + 1)),
+                                      np.concatenate((self.hashes[own], hashes))))
 
     def compare(self, following: Document) -> dict:
         new, kept = edited(self.text, following.text)
