@@ -79,3 +79,27 @@ def test_edges(spark, make_docs):
     assert D.find_items(make_docs([]), bench).count() == 0 and D.drop_contaminated(make_docs([]), bench).count() == 0
     odd = make_docs([(1, "fine", "en", "s", 3, "t")], ", item_id long, distance string")
     assert D.drop_contaminated(odd, bench).collect() == odd.collect()
+
+
+def test_a_tenth_of_the_characters_may_be_edited(spark, make_docs):
+    """The expected budget is fixed here: n // 10 edits, also for short items and those of 24 to 400 characters."""
+    rng = random.Random(17)
+    letter = lambda: rng.choice("abcdefghij klmno")
+    items = [D.normal("x" + "".join(letter() for _ in range(n)) + "x") for n in (20, 24, 30, 45, 81, 120, 240, 394)]
+    rows = []
+    for item in items:
+        n = len(item)
+        for edits in (n // 10 - 1, n // 10, n // 10 + 3):
+            for spread in (False, True):                    # anywhere, or at even distances
+                own = list(item)
+                places = [int((e + 0.5) * n / edits) for e in range(edits)] if spread and edits else rng.sample(range(n), edits)
+                for at in places:
+                    own[at] = "#" if own[at] != " " else "%"
+                rows.append("own words " + "".join(own) + " and more of them" + item[:n // 2])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(i, k, d) for i, t in enumerate(rows) for k, item in enumerate(items)
+            if (d := distance_in(item, D.normal(t))) <= len(item) // 10}
+    got = {(r.doc_id, r.item_id, r.distance) for r in D.find_items(make_docs(rows), bench).collect()}
+    assert got == want
+    assert {(k, d) for _, k, d in got} >= {(k, len(item) // 10) for k, item in enumerate(items)}
+    assert [D.budget(n) for n in range(5000)] == [n // 10 for n in range(5000)]

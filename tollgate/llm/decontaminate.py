@@ -1,10 +1,13 @@
 """Benchmark decontamination: occurrences of test items within an edit budget.
 
 Texts and items are compared in lower case with white space runs as single spaces. An item of n
-characters may be changed by ``min(ERROR_RATE * n, n / MIN_PIECE - 1)`` edits. Cut into one
-piece more than that, at least one piece stays intact in any such occurrence, so all pieces of
+characters may be changed by ``ERROR_RATE * n`` edits (rounded down), whatever its length. Cut into
+one piece more than that (of 6 to 10 characters), at least one piece stays intact in any such occurrence, so all pieces of
 all items are searched exactly (one automaton over the whole text), and around each hit Myers'
-bit-parallel distance decides. No occurrence within the budget can be missed.
+bit-parallel distance decides. No occurrence within the budget can be missed. Short pieces hit
+often by chance, so the pieces of an item are halved into a binary tree: if j neighbouring pieces hold
+at most j - 1 edits, so does one of the halves, with its own number of pieces. From some intact piece up
+all nodes are thus within their budgets, and a hit ends at the first node that is not.
 
 Items are a stated query set: they are taken in blocks of ``BLOCK_CHARS`` characters, each block
 goes to the tasks and passes over all documents, so memory does not depend on their number.
@@ -17,6 +20,7 @@ are reported each; an empty benchmark leaves all documents; other columns pass t
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -26,7 +30,6 @@ from pyspark.sql import functions as F
 from tollgate.llm.common import ship
 
 ERROR_RATE = 0.1
-MIN_PIECE = 12
 MIN_ITEM = 20
 BLOCK_CHARS = 4 << 20
 
@@ -35,8 +38,8 @@ def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def budget(n: int, error_rate: float = ERROR_RATE, min_piece: int = MIN_PIECE) -> int:
-    return max(0, min(int(error_rate * n), n // min_piece - 1))
+def budget(n: int, error_rate: float = ERROR_RATE) -> int:
+    return int(error_rate * n)
 
 
 def letters(pattern: str) -> dict[str, int]:
@@ -71,17 +74,28 @@ def least_distance(places: dict[str, int], m: int, text: str, limit: int) -> tup
     return best, end
 
 
+def nodes_above(piece: int, pieces: int) -> list[tuple[int, int]]:
+    """The nodes (first, last + 1 piece) over a piece, the smallest first; without the root."""
+    lo, hi, path = 0, pieces, []
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if piece < mid else (mid, hi)
+        path.append((lo, hi))
+    return path[-2::-1]
+
+
 class ItemIndex:
     """Automaton over the pieces of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_piece: int):
+    def __init__(self, items: list[tuple[int, str]], error_rate: float):
         self.items, pieces = [], defaultdict(list)
+        self.letters, self.nodes_above = lru_cache(1 << 14)(letters), lru_cache(1 << 14)(nodes_above)
         for item_id, text in items:
             n, k = len(text), len(self.items)
-            edits = budget(n, error_rate, min_piece)
+            edits = budget(n, error_rate)
             for j in range(edits + 1):
                 at = j * n // (edits + 1)
-                pieces[text[at:(j + 1) * n // (edits + 1)]].append((k, at))
+                pieces[text[at:(j + 1) * n // (edits + 1)]].append((k, at, j))
             self.items.append((item_id, text, edits, letters(text)))
         self.automaton = ahocorasick.Automaton()
         for piece, where in pieces.items():
@@ -89,15 +103,28 @@ class ItemIndex:
         if self.items:
             self.automaton.make_automaton()
 
+    def may_begin(self, k: int, piece: int, text: str, start: int) -> bool:
+        """Whether the nodes over an intact piece are within their budgets, the item beginning about ``start``."""
+        _, item, edits, _ = self.items[k]
+        n = len(item)
+        for lo, hi in self.nodes_above(piece, edits + 1):
+            a, b, most = lo * n // (edits + 1), hi * n // (edits + 1), hi - lo - 1
+            around = text[max(0, start + a - most):max(0, start + b + most)]
+            if least_distance(self.letters(item[a:b]), b - a, around, most)[0] > most:
+                return False
+        return True
+
     def find(self, text: str):
         """(item id, distance, end in the normal text) for every item that occurs in ``text``."""
         if not self.items or not text:
             return
         near = defaultdict(list)                          # item -> where an occurrence would lie
         for last, (size, where) in self.automaton.iter(text):
-            for k, at in where:
+            for k, at, piece in where:
                 _, item, edits, _ = self.items[k]
                 start = last + 1 - size - at
+                if not self.may_begin(k, piece, text, start):
+                    continue
                 near[k].append((max(0, start - edits), min(len(text), start + len(item) + edits)))
         for k, spans in near.items():
             item_id, item, edits, places = self.items[k]
@@ -133,7 +160,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: i
 
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id: str = "item_id", item_text: str = "text", error_rate: float = ERROR_RATE,
-               min_piece: int = MIN_PIECE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, end) for every item that occurs in a document.
 
     ``distance`` is the least number of edits; ``end`` is where the first such occurrence ends
@@ -143,7 +170,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     def search(items):
         def run(batches):
-            index = ItemIndex(items, error_rate, min_piece)
+            index = ItemIndex(items, error_rate)
             for batch in batches:
                 rows = [(doc, *hit) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1))
                         if text.is_valid for hit in index.find(normal(text.as_py()))]
@@ -160,14 +187,14 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                      item_text: str = "text", error_rate: float = ERROR_RATE, min_piece: int = MIN_PIECE,
+                      item_text: str = "text", error_rate: float = ERROR_RATE,
                       block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that contain no item, as they came; without a shuffle."""
     place = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def keep(items):
         def run(batches):
-            index = ItemIndex(items, error_rate, min_piece)
+            index = ItemIndex(items, error_rate)
             for batch in batches:
                 clean = [not text.is_valid or next(index.find(normal(text.as_py())), None) is None
                          for text in batch.column(place)]
