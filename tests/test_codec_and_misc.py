@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from tollgate.functions import match as MT
 from tollgate.functions.codec import RECORD_FIELDS, from_record_line, to_record_line
 from tollgate.operators.tags import xml_travel_type

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from tollgate.plans import jobs
 from tollgate.session import scratch_path
 from tollgate.sources import dimensions as dim

@@ -51,7 +51,7 @@ def test_metric_edge_rows(spark):
 
 
 def test_metrics_invariant_under_reorder(spark):
-    from conftest import SF_SMALL
+    from table_dirs import SF_SMALL
     from tollgate.plans.registry import tagged_requests
     r = tagged_requests(spark, SF_SMALL)
     shuffled = r.repartition(7, F.rand(3)).sortWithinPartitions(F.rand(5))

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from tools.check_oracle import rows_of, type_diffs
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 
 NAMES = sorted(E.oracle_sql())
 

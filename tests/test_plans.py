@@ -6,7 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from tollgate.plans.registry import QUERIES
 
 

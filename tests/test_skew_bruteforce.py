@@ -3,7 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from tollgate.operators import metrics as M
 from tollgate.plans.registry import tagged_requests
 

@@ -6,7 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from tollgate.operators import metrics as M
 from tollgate.plans.preprocess import Dimensions, process_messages, requests_as_messages, structured
 from tollgate.plans.registry import tagged_requests
