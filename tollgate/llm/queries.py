@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import new_path
-from tollgate.llm import brown, decontaminate, langid, lines, mixing, quality, simhash, substring, syncmers, warc
+from tollgate.llm import (brown, decontaminate, fim, langid, lines, manifest, mixing, quality, simhash, substring, syncmers,
+                          token_counts, warc)
 from tollgate.sources.tables import read_table
 
 
@@ -65,6 +66,31 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.with_next(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fim_chunk_memo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(read_table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(crc_of_id(2) == 0, F.regexp_replace("text", "\n", ""))
+    rows = manifest.build(read_table(spark, sf_dir, "documents"), tampered)
+    folded = F.element_at("version", -1)
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("way")), 256).alias("proof_sha256"),
+                       folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+TOKENIZER = "byte_bpe_50k.json"
+TOKEN_LIMIT = 1024
+
+
+def op13_token_counts_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    tokenizer = token_counts.compiled(public_tokenizers.path(TOKENIZER))
+    counted = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES = {
     "op1_warc_zip_archive": op1_warc_zip_archive,
     "op2_mix_temperature": op2_mix_temperature,
@@ -76,6 +102,9 @@ QUERIES = {
     "op8_lm_brown_classes": op8_lm_brown_classes,
     "op9_decontaminate_pieces": op9_decontaminate_pieces,
     "op10_syncmer_fingerprints": op10_syncmer_fingerprints,
+    "op11_fim_chunk_memo": op11_fim_chunk_memo,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_counts_fst": op13_token_counts_fst,
 }
 
 ORACLE = {
@@ -146,4 +175,58 @@ ORACLE = {
         FROM x LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.pos = x.pos
         LEFT JOIN longest s ON s.doc_id = x.doc_id
         GROUP BY x.doc_id""",
+    "op11_fim_chunk_memo": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                          sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+        h AS (SELECT *, ('0x' || substr(s, 1, 8))::BIGINT AS h1, ('0x' || substr(s, 9, 8))::BIGINT AS h2,
+                     ('0x' || substr(s, 17, 8))::BIGINT AS h3, ('0x' || substr(s, 25, 8))::BIGINT AS h4 FROM d),
+        c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                               OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+                                ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a)
+                      END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM c""",
+    "op12_merkle_manifest": """
+        WITH RECURSIVE f AS (
+            SELECT doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   text, replace(text, chr(10), '') AS altered,
+                   xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                                   lambda crc, b: list_reduce([xor(crc, b)] || range(8),
+                                       lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+                       4294967295) % 2 AS odd FROM documents),
+        d AS (SELECT doc_id, source, odd, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                     sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS other FROM f),
+        p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM d),
+        up(source, k, l) AS (
+            SELECT source, 0, list(leaf ORDER BY pos) FROM p GROUP BY source
+            UNION ALL
+            SELECT source, k + 1, list_transform(range((len(l) + 2) // 3), lambda i: sha256(array_to_string(l[3 * i + 1 : 3 * i + 3], '')))
+            FROM up WHERE len(l) > 1),
+        s AS (SELECT source, l[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM up WHERE len(l) = 1),
+        top(k, l) AS (
+            SELECT 0, list(subroot ORDER BY pos) FROM s
+            UNION ALL
+            SELECT k + 1, list_transform(range((len(l) + 2) // 3), lambda i: sha256(array_to_string(l[3 * i + 1 : 3 * i + 3], '')))
+            FROM top WHERE len(l) > 1),
+        way AS (
+            SELECT p.doc_id, p.source, k, p.pos // pow(3, k)::BIGINT AS x, l FROM p JOIN up ON p.source IS NOT DISTINCT FROM up.source
+            WHERE len(l) > 1
+            UNION ALL
+            SELECT p.doc_id, p.source, 1000 + k, s.pos // pow(3, k)::BIGINT, l
+            FROM p JOIN s ON p.source IS NOT DISTINCT FROM s.source, top WHERE len(l) > 1),
+        beside AS (SELECT doc_id, k, array_to_string(l[x - x % 3 + 1 : x], '') AS a, array_to_string(l[x + 2 : x - x % 3 + 3], '') AS b FROM way),
+        steps AS (SELECT doc_id, string_agg(a || b, '' ORDER BY k) AS proof, list(a || '|' || b ORDER BY k) AS steps FROM beside GROUP BY doc_id),
+        r AS (SELECT p.doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+                     list_reduce([CASE WHEN odd = 0 THEN other ELSE leaf END] || coalesce(steps, []),
+                                 lambda acc, t: sha256(split_part(t, '|', 1) || acc || split_part(t, '|', 2))) AS folded_root
+              FROM p JOIN s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN steps ON p.doc_id = steps.doc_id)
+        SELECT *, folded_root = root AS verified FROM r""",
 }
