@@ -6,25 +6,23 @@ built so that no task ever holds one key's raw rows:
 * counts are partial-aggregated map-side (HashAggregate partial/final);
 * distinct counts use Spark's two-phase distinct plan (dedup on
   ``(key, value)`` first, spread by value, then per-key partial counts);
-* gap metrics first collapse hits to ``(key, timestamp, hits)`` map-side, so
-  the ordered per-key window only sees distinct timestamps, bounded by the
-  window length at the log's 1 s resolution (86 400 per day) however hot the
-  key is.
-
-Sliding windows (5 min sliding 5 s = 60 windows per row) are not expanded per
-raw row: rows are first aggregated into panes as wide as the greatest common
-divisor of window and slide, so that each pane lies whole in every window it
-touches, then each pane is assigned to the windows containing it.
+* gap metrics first collapse hits to ``(key, timestamp, hits)`` map-side; gaps are
+  taken in chunks of a day (86 400 rows at the log's 1 s resolution however hot
+  the key is), and longer windows merge the chunks' partials in order.
+
+Sliding windows are in ``sliding.py``: running partials of window-long blocks, no
+copies of rows per window. Counts by other keys (``keyed_count``) are aggregated into
+panes as wide as the greatest common divisor of window and slide, so that each pane lies
+whole in every window it touches, then each pane is assigned to the windows containing it.
 """
 
 from __future__ import annotations
 
-from math import gcd
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.functions.text import ip_block, is_ipv4_shape, route
+from tollgate.operators.sliding import duration_ms, pane_ms, sliding_metrics
 
 WIN = ["window_start", "window_end"]
 
@@ -73,61 +71,6 @@ def _expand(df: DataFrame, window: str, slide: str) -> DataFrame:
     return _with_window(df, F.col("_pane"), window, slide).drop("_pane")
 
 
-_UNIT_MS = {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000,
-            "day": 86_400_000, "week": 7 * 86_400_000}
-
-
-def duration_ms(text: str) -> int:
-    """``'5 minutes'`` -> 300000 (the interval forms used for windows)."""
-    n, unit = text.split()
-    return int(float(n) * _UNIT_MS[unit.lower().rstrip("s")])
-
-
-def pane_ms(window: str, slide: str) -> int:
-    return gcd(duration_ms(window), duration_ms(slide))
-
-
-def sliding_distinct_counts(p: DataFrame, marks: DataFrame, window: str, slide: str,
-                            kinds: list[str]) -> DataFrame:
-    """Exact distinct counts per sliding window without copying values into windows.
-
-    ``p`` holds ``(_pane, ip, <kind columns>)``; ``marks`` the ``(window_start, ip, ...)``
-    rows to answer (extra columns are carried through). Each distinct value
-    occurrence in a pane newly covers a contiguous range of window starts (those not
-    already covered by the value's previous pane); it adds +1 at the range start and
-    -1 after it. Deltas are summed per (ip, start) and a running sum per IP, read at
-    the answer rows, is the distinct count. Ordered partitions hold at most one row
-    per window start of the IP (bounded by time span / slide, not by traffic).
-    """
-    W, S, P = duration_ms(window), duration_ms(slide), pane_ms(window, slide)
-    stack = "stack({n}, {args}) AS (_kind, _v)".format(
-        n=len(kinds), args=", ".join(f"'{k}', {k}" for k in kinds))
-    d = p.select(F.unix_millis("_pane").alias("_pm"), "ip", F.expr(stack)).distinct()
-    prev = F.lag("_pm").over(Window.partitionBy("ip", "_kind", "_v").orderBy("_pm"))
-    # window starts are multiples of S; those that hold pane pm run from pm + P - W to pm
-    after = lambda t: t - F.pmod(t, F.lit(S)) + F.lit(S)  # noqa: E731  first start later than t
-    first_start = after(F.col("_pm") + F.lit(P - W - 1))
-    start = F.when(prev.isNull(), first_start).otherwise(F.greatest(first_start, after(prev)))
-    ev = d.select("ip", "_kind", start.alias("_a"), after(F.col("_pm")).alias("_b")).filter("_a < _b")
-    deltas = ev.select("ip", "_kind", F.explode(F.array(
-        F.struct(F.col("_a").alias("s"), F.lit(1).alias("dl")),
-        F.struct(F.col("_b").alias("s"), F.lit(-1).alias("dl")))).alias("e")) \
-        .select("ip", "_kind", F.col("e.s").alias("s"), F.col("e.dl").alias("dl"))
-    per_s = deltas.groupBy("ip", "s").agg(
-        *[F.sum(F.when(F.col("_kind") == k, F.col("dl")).otherwise(F.lit(0))).alias(f"_d_{k}") for k in kinds])
-    carry = [c for c in marks.columns if c not in ("window_start", "ip")]
-    m = marks.select("ip", F.unix_millis("window_start").alias("s"), F.lit(1).alias("_mark"), *carry,
-                     *[F.lit(0).cast("bigint").alias(f"_d_{k}") for k in kinds])
-    e = per_s.select("ip", "s", F.lit(0).alias("_mark"),
-                     *[F.lit(None).cast(marks.schema[c].dataType).alias(c) for c in carry],
-                     *[F.col(f"_d_{k}").cast("bigint").alias(f"_d_{k}") for k in kinds])
-    u = m.unionByName(e)
-    w = Window.partitionBy("ip").orderBy("s", "_mark").rowsBetween(Window.unboundedPreceding, 0)
-    r = u.select("ip", "s", "_mark", *carry, *[F.sum(f"_d_{k}").over(w).alias(k) for k in kinds])
-    return r.filter(F.col("_mark") == 1).select(
-        F.timestamp_millis("s").alias("window_start"), "ip", *carry, *[F.col(k).cast("bigint").alias(k) for k in kinds])
-
-
 def keyed_count(df: DataFrame, key: Column, *, ts_col: str = "ts", window: str | None = None,
                 slide: str | None = None, name: str = "value",
                 weight: Column | None = None) -> DataFrame:
@@ -153,35 +96,47 @@ def ip_block_counts(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str
                        name="access_count").withColumnRenamed("key", "ip_block")
 
 
+CHUNK_MS = 86_400_000          # gaps are ordered within chunks of a day
+
+
 def interval_metrics(hits: DataFrame, key: Column, *, ts_col: str = "ts", window: str | None = None,
-                     slide: str | None = None, gap_ms: int | list[int] = 5000) -> DataFrame:
-    """A6/A7 over the given hit rows (already filtered to critical pages).
+                     gap_ms: int | list[int] = 5000) -> DataFrame:
+    """A6/A7 over the given hit rows (already filtered to critical pages), tumbling or whole input.
 
     A list of gaps gives one column ``close_interval_count_<gap>`` each.
 
     ``min_interval_ms``: smallest gap between consecutive hits, -1 for a single hit.
     ``close_interval_count``: number of consecutive gaps ``< gap_ms``.
     Keys without hits do not appear.
+
+    Gaps are taken within chunks of a day, so a task orders one key's times of one day at most. Over longer
+    windows the chunks' partials are merged in order: their first and last times alone give the gaps between them.
     """
     t = F.unix_millis(F.col(ts_col))
+    wanted = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
     # 1) collapse equal timestamps map-side: (key, t, hits)
-    per_t = (hits.select(key.alias("key"), t.alias("_t"), F.col(ts_col).alias("_ts"))
-                 .groupBy("key", "_t", "_ts").agg(F.count(F.lit(1)).alias("_n")))
-    # 2) windows over distinct timestamps (sliding: each timestamp joins its windows)
-    per_t = _with_window(per_t, F.col("_ts"), window, slide).drop("_ts")
-    w = Window.partitionBy(*WIN, "key").orderBy("_t")
+    per_t = (_with_window(hits.select(F.col(ts_col).alias("_ts"), key.alias("key"), t.alias("_t")), F.col("_ts"), window, None)
+             .groupBy(*WIN, "key", F.floor(F.col("_t") / CHUNK_MS).alias("_chunk"), "_t").agg(F.count(F.lit(1)).alias("_n")))
+    # 2) one partial per chunk
+    w = Window.partitionBy(*WIN, "key", "_chunk").orderBy("_t")
     gaps = per_t.withColumn("_gap", F.col("_t") - F.lag("_t").over(w))
-    wanted = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
-    agg = gaps.groupBy(*WIN, "key").agg(
-        F.sum("_n").alias("_hits"),
-        F.max("_n").alias("_max_n"),
-        F.min("_gap").alias("_min_gap"),
+    parts = gaps.groupBy(*WIN, "key", "_chunk").agg(
+        F.sum("_n").alias("_hits"), F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+        F.min(F.least(F.when(F.col("_n") > 1, F.lit(0)), F.col("_gap"))).alias("_least"),
         *[(F.sum((F.col("_n") - 1) * F.lit(1 if 0 < g else 0))
            + F.count_if(F.col("_gap") < g)).cast("bigint").alias(c) for c, g in wanted.items()])
-    min_iv = (F.when(F.col("_hits") == 1, F.lit(-1))
-               .when(F.col("_max_n") > 1, F.lit(0))
-               .otherwise(F.col("_min_gap"))).cast("bigint")
-    return agg.select(*WIN, "key", min_iv.alias("min_interval_ms"), *wanted)
+    # 3) merged in the order of chunks; a key has one entry per chunk of the window
+    agg = parts.groupBy(*WIN, "key").agg(
+        F.sum("_hits").alias("_hits"), F.min("_least").alias("_least"), *[F.sum(c).alias(c) for c in wanted],
+        F.sort_array(F.collect_list(F.struct("_chunk", "_first", "_last"))).alias("_ends"))
+    agg = agg.withColumn("_between", F.transform(F.slice("_ends", F.lit(2), F.size("_ends")),
+                                                 lambda x, i: x["_first"] - F.element_at("_ends", i + 1)["_last"]))
+    min_iv = F.when(F.col("_hits") == 1, F.lit(-1)).otherwise(F.least("_least", F.array_min("_between")))
+
+    def closer_than(g: int) -> Column:
+        return F.size(F.filter("_between", lambda x: x < g))
+    return agg.select(*WIN, "key", min_iv.cast("bigint").alias("min_interval_ms"),
+                      *[(F.col(c) + closer_than(g)).cast("bigint").alias(c) for c, g in wanted.items()])
 
 
 def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts",
@@ -203,30 +158,20 @@ def ip_metrics(req: DataFrame, *, ip_col: str = "remote_addr", ts_col: str = "ts
                       F.col(session_col).alias("sid"),
                       route(F.coalesce(F.col(dep_col), F.lit("")),
                             F.coalesce(F.col(arr_col), F.lit(""))).alias("rt"))
-    p, sliding = _panes(base, "ts", window, slide)
-    if not sliding:
-        # tumbling / whole input: counts and the three exact distinct counts in ONE
-        # aggregation (Spark's distinct rewrite: Expand, dedup keyed by value,
-        # then per-IP partial counts -- no task ever holds one IP's raw rows)
-        counts = p.groupBy(*WIN, "ip").agg(
-            F.count(F.lit(1)).alias("access_count"),
-            F.count_if("crit").cast("bigint").alias("critical_count"),
-            F.count_distinct("ua").alias("user_agent_count"),
-            F.count_distinct("sid").alias("cookie_count"),
-            F.count_distinct("rt").alias("route_count"))
-    else:
-        counts = (p.groupBy("_pane", "ip").agg(F.count(F.lit(1)).alias("_n"),
-                                              F.count_if("crit").alias("_c")))
-        counts = _expand(counts, window, slide).groupBy(*WIN, "ip").agg(
-            F.sum("_n").cast("bigint").alias("access_count"),
-            F.sum("_c").cast("bigint").alias("critical_count"))
-        # distinct counts by range deltas (no copy of values into the 60 windows)
-        counts = sliding_distinct_counts(p.select("_pane", "ip", "ua", "sid", "rt"), counts,
-                                         window, slide, ["ua", "sid", "rt"]) \
-            .withColumnRenamed("ua", "user_agent_count").withColumnRenamed("sid", "cookie_count") \
-            .withColumnRenamed("rt", "route_count")
+    if window and slide and slide != window:
+        gaps = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
+        return sliding_metrics(base, window, slide, gaps)
+    # tumbling / whole input: counts and the three exact distinct counts in ONE
+    # aggregation (Spark's distinct rewrite: Expand, dedup keyed by value,
+    # then per-IP partial counts -- no task ever holds one IP's raw rows)
+    counts = _with_window(base, F.col("ts"), window, None).groupBy(*WIN, "ip").agg(
+        F.count(F.lit(1)).alias("access_count"),
+        F.count_if("crit").cast("bigint").alias("critical_count"),
+        F.count_distinct("ua").alias("user_agent_count"),
+        F.count_distinct("sid").alias("cookie_count"),
+        F.count_distinct("rt").alias("route_count"))
     gaps = interval_metrics(base.filter("crit"), F.col("ip"), ts_col="ts", window=window,
-                            slide=slide, gap_ms=gap_ms).withColumnRenamed("key", "ip")
+                            gap_ms=gap_ms).withColumnRenamed("key", "ip")
     keys = ["ip"] if window is None else [*WIN, "ip"]
     out = counts.join(gaps.drop(*WIN) if window is None else gaps, keys, "left")
     close = [c for c in gaps.columns if c.startswith("close_interval_count")]
