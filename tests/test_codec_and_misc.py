@@ -36,7 +36,7 @@ def test_xml_travel_type(spark):
 
 def test_many_rules_inline_and_joined(spark, monkeypatch):
     rules = spark.createDataFrame([(f"/p{i}/.*",) for i in range(600)], "v string")
-    pats = MT.rule_patterns(rules, "v")
+    pats = [f"/p{i}/.*" for i in range(600)]
     df = spark.createDataFrame([("/p599/x",), ("/q/x",)], "u string")
     got = [r[0] for r in df.select(MT.any_full_match(F.col("u"), pats)).collect()]
     assert got == [True, False]

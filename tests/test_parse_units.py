@@ -6,7 +6,7 @@ from tollgate.functions import redact as R
 from tollgate.functions import text as T
 from tollgate.operators import tags
 from tollgate.operators.filters import field_count
-from tollgate.operators.parse import load_rules, parse_book, parse_query
+from tollgate.operators.parse import ParseRules, parse_book, parse_query
 from tollgate.sources import dimensions as dim
 
 
@@ -77,7 +77,7 @@ def _msg(spark, method, url, ctype, body, behavior="Query", flight="National", t
 
 
 def test_form_json_query_and_last_rule_wins(spark):
-    rules = load_rules(dim.parse_rules(spark))
+    rules = ParseRules(dim.parse_rules(spark))
     df = parse_query(_msg(spark, "POST", "/shop/query/json.ao", "application/x-www-form-urlencoded",
                           SAMPLE_BODY), rules)
     q = df.first()["query_data"]
@@ -92,7 +92,7 @@ def test_form_json_query_and_last_rule_wins(spark):
 
 
 def test_book_xml_with_junk_prefix(spark):
-    rules = load_rules(dim.parse_rules(spark))
+    rules = ParseRules(dim.parse_rules(spark))
     xml = ("garbage<page><USERID>u1</USERID><PASSENGER><NAME>ZHANG|X</NAME><TYPE>ADT</TYPE>"
            "<IDNO>110105194912310021</IDNO></PASSENGER><PASSENGER><NAME>LI</NAME><TYPE>CHD</TYPE>"
            "<IDNO>110105194912310022</IDNO></PASSENGER><CONTACT><NAME>Wang|y</NAME>"
@@ -108,7 +108,7 @@ def test_book_xml_with_junk_prefix(spark):
 
 
 def test_book_json_single_passenger(spark):
-    rules = load_rules(dim.parse_rules(spark))
+    rules = ParseRules(dim.parse_rules(spark))
     body = ('{"userId":"u9","passengers":[{"firstName":"San","lastName":"Zhang","type":"ADT",'
             '"idType":"NI","idNo":"110105194912310021"}],"contact":{"name":"Z","phone":""},'
             '"depcity":"CAN","arrcity":"PEK","flightdate":"20190101","flightno":"CZ1","cabin":"Y"}')

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.text import xml_doc
-from tollgate.functions.match import collect_rules, first_match_value, fits_inline, flag_any_match, match_by_join
+from tollgate.functions.match import first_match_value, flag_any_match, inline_rules, match_by_index
 
 OTHER = "Other"
 # Fixed value: an ISO calendar date inside a referer.
@@ -27,13 +27,13 @@ def request_type(url: Column, rules: list[tuple[str, str, str]]) -> Column:
 
 
 def tag_request_type(df: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
-    if fits_inline(rules):
-        rows = collect_rules(rules, "expression", "flight_type", "behavior_type", order_by="priority")
+    rows = inline_rules(rules, "expression", "flight_type", "behavior_type", order_by="priority")
+    if rows is not None:
         d = df.withColumn("_rt", request_type(F.col(url_col), rows))
     else:
         d = df.withColumn("_url", F.coalesce(F.col(url_col), F.lit("")))
         best = F.min_by(F.struct("flight_type", "behavior_type"), "priority")
-        d = match_by_join(d, "_url", rules, "expression", best, "_rt").drop("_url")
+        d = match_by_index(d, "_url", rules, "expression", best, "_rt").drop("_url")
     return (d.withColumn("flight_type", F.coalesce(F.col("_rt.flight_type"), F.lit(OTHER)))
              .withColumn("behavior_type", F.coalesce(F.col("_rt.behavior_type"), F.lit(OTHER)))
              .drop("_rt"))
