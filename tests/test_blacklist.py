@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from tollgate.operators import blacklist as B
-from tollgate.operators.scoring import flow_rules, nested_flows
+from tollgate.operators.scoring import nested_flows
 from tollgate.session import scratch_path
 from tollgate.sources import dimensions as dim
 
@@ -47,8 +47,8 @@ def test_hours_to_restore_are_those_of_writing():
 
 
 def test_flows_join_and_nesting(spark):
-    fr = flow_rules(dim.score_rules(spark), dim.flows(spark))
-    assert 8 not in {r.rule_id for r in fr.collect()}           # disabled rule
-    nested = {r.flow_id: r for r in nested_flows(dim.score_rules(spark), dim.flows(spark)).collect()}
-    assert set(nested) == {1, 2}                                 # flow 3 retired
+    nested = {r.flow_id: r for r in nested_flows(dim.flows(spark), dim.strategies(spark), dim.score_rules(spark),
+                                                 dim.maintenance(spark)).collect()}
+    assert set(nested) == {1, 2}                                 # flow 3 retired, 4 without strategy
     assert [x.rule_id for x in nested[2].rules] == [11]
+    assert 8 not in {x.rule_id for x in nested[1].rules}         # disabled rule

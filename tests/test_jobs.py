@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from table_dirs import SF_SMALL
+from tollgate.operators.scoring import RuleBook
 from tollgate.plans import jobs
 from tollgate.session import scratch_path
 from tollgate.sources import dimensions as dim
@@ -19,8 +20,8 @@ def test_preprocess_and_rule_metrics_and_restore(spark):
     jobs.preprocess_job(spark, raw_lines(req), out)
     rec = spark.read.parquet(os.path.join(out, "records"))
     assert {r.behavior_type for r in rec.select("behavior_type").distinct().collect()} == {"Query", "Book"}
-    bl = jobs.rule_metrics_job(spark, req, booking_events(bookings(spark, SF_SMALL)), dim.score_rules(spark),
-                               dim.flows(spark), dim.critical_page_rules(spark), out, run_id="daily")
+    bl = jobs.rule_metrics_job(spark, req, booking_events(bookings(spark, SF_SMALL)), RuleBook.defaults(spark),
+                               dim.critical_page_rules(spark), out, run_id="daily")
     assert bl.count() > 0 and {"y", "m", "d", "h"} <= set(bl.columns)
     # ten minutes after the first decision: written this hour, and still to live for fifty minutes
     now = bl.agg(F.min("key_exp_time")).first()[0] - 50 * 60_000
@@ -29,8 +30,8 @@ def test_preprocess_and_rule_metrics_and_restore(spark):
     assert got.count() > 0 and {r.ttl_ms for r in got.collect()} == {50 * 60_000}
     assert jobs.restore_job(spark, path, now, enabled=False) is None
     restored = sorted(r.key for r in got.collect())
-    again = jobs.rule_metrics_job(spark, req, booking_events(bookings(spark, SF_SMALL)), dim.score_rules(spark),
-                                  dim.flows(spark), dim.critical_page_rules(spark), out, run_id="daily")
+    again = jobs.rule_metrics_job(spark, req, booking_events(bookings(spark, SF_SMALL)), RuleBook.defaults(spark),
+                                  dim.critical_page_rules(spark), out, run_id="daily")
     assert again.count() == n                                # the rerun replaced its records
     assert sorted(r.key for r in jobs.restore_job(spark, path, now).collect()) == restored
 

@@ -32,17 +32,24 @@ def _member(df: DataFrame, col: Column, keys: DataFrame, out: str) -> DataFrame:
               .drop(f"_{out}_k", f"_{out}_hit"))
 
 
-def classify_users(req: DataFrame, scraper_ips: DataFrame | None = None, hoarding_keys: DataFrame | None = None,
+def classify_users(req: DataFrame, blacklisted: DataFrame | None = None, crawler_types: set[int] = frozenset(),
                    agents: DataFrame | None = None) -> DataFrame:
-    """Adds ``day`` and the flag of each key set given; with all three also ``user_class``.
+    """Adds ``day`` and the flags ``is_scraper`` (IPs blacklisted with crawler type 0), ``is_hoarding`` (buyers, type 1)
+    and ``is_agent`` as far as asked for; with all three also ``user_class``.
 
-    A dashboard names the sets it reads, so that the others are never computed.
+    A dashboard names the sets it reads, so that the others are never computed. Both kinds of blacklisted
+    keys are one table, a bit per crawler type, so that the scoring plan below both joins is the same and runs once.
     """
     buyer, d = F.col("user_id").cast("string"), req
-    for keys, col, out in ((scraper_ips, F.col("remote_addr"), "is_scraper"), (hoarding_keys, buyer, "is_hoarding"),
-                           (agents, buyer, "is_agent")):
-        if keys is not None:
-            d = _member(d, col, keys, out)
+    if crawler_types:
+        black = blacklisted.groupBy("key").agg(F.bit_or(F.when(F.col("crawler_type") == 0, F.lit(1)).otherwise(F.lit(2))).alias("kinds"))
+        for kind, col, out in ((0, F.col("remote_addr"), "is_scraper"), (1, buyer, "is_hoarding")):
+            if kind in crawler_types:
+                k = black.select(F.col("key").alias("_key"), F.col("kinds").alias("_kinds"))
+                has = F.coalesce(F.col("_kinds").bitwiseAND(kind + 1) > 0, F.lit(False))
+                d = d.join(k, col == F.col("_key"), "left").withColumn(out, has).drop("_key", "_kinds")
+    if agents is not None:
+        d = _member(d, buyer, agents, "is_agent")
     if {"is_scraper", "is_hoarding", "is_agent"} <= set(d.columns):
         d = d.withColumn("user_class", F.when(F.col("is_scraper"), F.lit("query")).when(F.col("is_hoarding"), F.lit("hoarding"))
                          .when(F.col("is_agent"), F.lit("agent")).otherwise(F.lit("normal")))
@@ -66,12 +73,41 @@ def funnel(req: DataFrame) -> DataFrame:
     return _rates(req.groupBy("day", "flight_type").agg(*_funnel_aggs()))
 
 
+STEPS = ("query", "book", "pay")
+
+
+def _seen(user_class: str, step: str | None = None) -> int:
+    """The bit of a class among a key's requests of a day, or of a class at a step."""
+    return 1 << (CLASSES.index(user_class) * (len(STEPS) + 1) + (0 if step is None else 1 + STEPS.index(step)))
+
+
+def _per_key(req: DataFrame, key: str) -> DataFrame:
+    """(day, key, seen): the classes and steps of each key and day, a bit each, by one map-side aggregate."""
+    bits = F.lit(0)
+    for c in CLASSES:
+        own = [F.when(F.col("step") == s, F.lit(_seen(c, s))).otherwise(F.lit(0)) for s in STEPS]
+        bits = F.when(F.col("user_class") == c, F.lit(_seen(c)).bitwiseOR(own[0]).bitwiseOR(own[1]).bitwiseOR(own[2])).otherwise(bits)
+    return req.where("day IS NOT NULL").groupBy("day", F.col(key).alias("key")).agg(F.bit_or(bits).alias("seen"))
+
+
+def _has(bits: int) -> Column:
+    return F.col("seen").bitwiseAND(bits) > 0
+
+
 def funnel_by_class(req: DataFrame) -> DataFrame:
-    """V2: the funnel per user class plus an ``all`` row per day (one rollup)."""
-    r = req.rollup("day", "user_class").agg(*_funnel_aggs(), F.grouping("user_class").alias("_g"))
-    r = r.filter(F.col("day").isNotNull()).withColumn(
-        "user_class", F.when(F.col("_g") == 1, F.lit("all")).otherwise(F.col("user_class"))).drop("_g")
-    return _rates(r)
+    """V2: the funnel per user class plus an ``all`` row per day.
+
+    Requests are reduced to one row per session and day, then every count is a plain one: rows are
+    multiplied neither by classes nor by distinct counts."""
+    scopes = {c: [c] for c in CLASSES} | {"all": CLASSES}
+    session = F.col("key").isNotNull()
+    counts = [F.count_if(_has(sum(_seen(c) for c in own))).alias(f"{name}_here") for name, own in scopes.items()]
+    counts += [F.count_if(session & _has(sum(_seen(c, s) for c in own))).alias(f"{name}_{s}")
+               for name, own in scopes.items() for s in STEPS]
+    rows = F.array(*[F.struct(F.lit(name).alias("user_class"), F.col(f"{name}_here").alias("_here"),
+                              *[F.col(f"{name}_{s}").alias(f"{s}_sessions") for s in STEPS]) for name in scopes])
+    per_day = _per_key(req, "session_id").groupBy("day").agg(*counts)
+    return _rates(per_day.select("day", F.inline(rows)).where("_here > 0").drop("_here"))
 
 
 def funnel_scope(req: DataFrame) -> DataFrame:
@@ -134,9 +170,9 @@ def look_to_book(req: DataFrame) -> DataFrame:
 
 
 def user_class_counts(req: DataFrame) -> DataFrame:
-    """Distinct users per day in each class (pivot with fixed values)."""
-    return (req.groupBy("day").pivot("user_class", CLASSES)
-               .agg(F.count_distinct("user_id")).na.fill(0, CLASSES))
+    """Distinct users per day in each class, from one row per user and day."""
+    return _per_key(req, "user_id").groupBy("day").agg(
+        *[F.count_if(F.col("key").isNotNull() & _has(_seen(c))).cast("bigint").alias(c) for c in CLASSES])
 
 
 def customer_type_daily(req: DataFrame) -> DataFrame:

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from tollgate.operators import metrics as M
 from tollgate.operators.blacklist import hours_to_restore, read_hours, restore, to_blacklist_records, write_hourly
 from tollgate.operators.catalogue import booking_metrics, catalogue_long, unpaid_bookings
-from tollgate.operators.scoring import blacklist_decisions, evaluate_rules, flow_scores, rule_gaps
+from tollgate.operators.scoring import RuleBook, blacklist_decisions, evaluate_rules, flow_scores
 from tollgate.operators.tags import flag_critical
 from tollgate.operators.filters import by_behavior
 from tollgate.plans.preprocess import Dimensions, parse_complete_lines, process_messages, structured
 from tollgate.session import scratch_path
+from tollgate.streaming.keyed_table import KeyedTable
 
 
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -43,7 +44,7 @@ def preprocess_job(spark: SparkSession, lines: DataFrame, out_dir: str,
 
 
 def rule_metrics_job(spark: SparkSession, requests: DataFrame, booking_events: DataFrame | None,
-                     rules: DataFrame, flows: DataFrame, critical_pages: DataFrame, out_dir: str,
+                     book: RuleBook, critical_pages: DataFrame, out_dir: str,
                      *, window: str = "1 day", rule_type: int = 2, run_id: str = "run",
                      written_at: str | None = None) -> DataFrame:
     """3.2: all metrics in long form (written once), scored, decisions written as
@@ -52,8 +53,7 @@ def rule_metrics_job(spark: SparkSession, requests: DataFrame, booking_events: D
     ``written_at`` (UTC time) is the run's logical time, by default the end of each record's
     window; a rerun with the same id replaces its records."""
     req = flag_critical(requests, critical_pages)
-    gaps = rule_gaps(rules, flows, rule_type)
-    parts = [M.to_long(M.ip_metrics(req, window=window, gap_ms=gaps)),
+    parts = [M.to_long(M.ip_metrics(req, window=window, gap_ms=book.gaps(rule_type))),
              M.ip_block_counts(requests, window=window).select(
                  *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
                  F.col("access_count").alias("value"))]
@@ -64,8 +64,8 @@ def rule_metrics_job(spark: SparkSession, requests: DataFrame, booking_events: D
     for p in parts[1:]:
         long = long.unionByName(p, allowMissingColumns=True)
     long = materialise(spark, long, f"{run_id}-metrics-long")          # lineage cut
-    scores = flow_scores(evaluate_rules(long, rules, flows, rule_type))
-    bl = to_blacklist_records(blacklist_decisions(scores, flows), keep=["window_end"])
+    scores = flow_scores(evaluate_rules(long, book, rule_type))
+    bl = to_blacklist_records(blacklist_decisions(scores), keep=["window_end"])
     at = F.to_timestamp(F.lit(written_at)) if written_at else F.col("window_end")
     write_hourly(bl.withColumn("_at", at).drop("window_end"), os.path.join(out_dir, "blacklist"), F.col("_at"), run_id)
     return spark.read.parquet(os.path.join(out_dir, "blacklist"))
@@ -81,6 +81,14 @@ def restore_job(spark: SparkSession, blacklist_path: str, now_ms: int,
     return restore(recs, F.lit(now_ms), live_keys)
 
 
+def restore_into(spark: SparkSession, store: KeyedTable, blacklist_path: str, now_ms: int, run_id: str) -> None:
+    """3.3 with IO17: the restored records are inserted into the live store where their key is not live; expired
+    ones go from it."""
+    found = restore_job(spark, blacklist_path, now_ms).select("key", "value", F.col("key_exp_time").alias("expires_at"))
+    store.insert_absent(found, run_id, now_ms)
+    store.compact(now_ms)
+
+
 DASHBOARDS = {
     "funnel": "funnel", "funnel_by_class": "funnel_by_class", "funnel_scope": "funnel_scope",
     "scraper_travel_frequency": "scraper_travel_frequency",

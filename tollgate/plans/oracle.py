@@ -412,8 +412,10 @@ cat AS (
   GROUP BY ws, key_kind, key),
 mlong AS ({ip_long}
   UNION ALL SELECT *, NULL FROM blk UNION ALL SELECT *, NULL FROM cat),
-rules AS (SELECT * FROM {_values(dim.SCORE_RULES, dim.SCORE_RULE_SCHEMA)}),
-flows AS (SELECT * FROM {_values(dim.FLOWS, dim.FLOW_SCHEMA)}),
+rules AS (SELECT r.*, m.metric, m.cmp FROM (SELECT * FROM {_values(dim.SCORE_RULES, dim.SCORE_RULE_SCHEMA)}) r
+          JOIN (SELECT * FROM {_values(dim.MAINTENANCE, dim.MAINTENANCE_SCHEMA)}) m ON r.rule_name = m.rule_name),
+flows AS (SELECT f.*, s.crawler_threshold, s.occ_threshold FROM (SELECT * FROM {_values(dim.FLOWS, dim.FLOW_SCHEMA)}) f
+          JOIN (SELECT * FROM {_values(dim.STRATEGIES, dim.STRATEGY_SCHEMA)}) s ON f.flow_id = s.flow_id),
 fr AS (SELECT r.*, f.flow_name FROM rules r JOIN flows f ON r.flow_id = f.flow_id
        WHERE r.status = 0 AND f.status = 0 AND r.rule_type = {rule_type}),
 ev AS (

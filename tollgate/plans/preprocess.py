@@ -15,9 +15,10 @@ from tollgate.functions.redact import redact_id_card, redact_phone
 from tollgate.functions.text import (SESSION_COOKIE_KEY, USER_COOKIE_KEY, cookie_map,
                                      cookie_value, url_path)
 from tollgate.operators.filters import drop_filtered_urls, keep_complete_lines
-from tollgate.operators.parse import core_params, load_rules, parse_book, parse_query
+from tollgate.operators.parse import ParseRules, core_params, parse_book, parse_query
 from tollgate.operators.tags import tag_black_ip, tag_request_type, tag_travel_type
 from tollgate.sources import dimensions as dim
+from tollgate.sources import rule_tables
 
 
 @dataclass
@@ -33,6 +34,13 @@ class Dimensions:
         return cls(dim.url_filter_rules(spark), dim.classify_rules(spark), dim.parse_rules(spark),
                    dim.black_ips(spark), dim.critical_page_rules(spark))
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, source: str | dict) -> "Dimensions":
+        """The rule tables of a deployment: a folder of parquet tables, or JDBC options."""
+        opened = rule_tables.open_tables(spark, source)
+        return cls(rule_tables.url_filter_rules(opened), rule_tables.classify_rules(opened), rule_tables.parse_rules(opened),
+                   rule_tables.black_ips(opened), rule_tables.critical_page_rules(opened))
+
 
 def parse_complete_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """F1 + P1 in one pass: complete lines parsed to columns, flagged by
@@ -48,7 +56,7 @@ def ingest_lines(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame,
 
 def process_messages(msgs: DataFrame, dims: Dimensions, bounded_phone: bool = False) -> DataFrame:
     """F2, P6/P7, P2-P5, G1-G3, X1-X10, P9 on twelve-column messages."""
-    rules = load_rules(dims.parse_rules)
+    rules = ParseRules(dims.parse_rules)
     d = drop_filtered_urls(msgs, dims.url_filter, "request")
     d = d.withColumn("http_cookie", redact_phone(F.col("http_cookie"), bounded_phone))
     d = d.withColumn("http_cookie", redact_id_card(F.col("http_cookie")))

@@ -12,7 +12,7 @@ from tollgate.plans import oracle as O
 from tollgate.sources import dimensions as dim
 from tollgate.sources.requests import load_requests
 from tollgate.operators import metrics as M
-from tollgate.operators.scoring import rule_gaps
+from tollgate.operators.scoring import RuleBook, blacklist_decisions, evaluate_rules, flow_scores
 from tollgate.operators.tags import flag_critical
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,10 +219,10 @@ register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))
 RESTORE_NOW = "2024-01-20 00:00:00"
 
 
-def metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | None = None,
-                 window: str = "1 day", rule_type: int = 2) -> DataFrame:
+def metrics_long(spark: SparkSession, base_dir: str, gaps: list[int], metrics: set[str] | None = None,
+                 window: str = "1 day") -> DataFrame:
     """Metrics of one tier in long form: per-IP (A2-A8), per block (A1) and the
-    booking-side catalogue; close intervals are counted by the gaps (arg1) of the tier's rules.
+    booking-side catalogue; close intervals are counted by ``gaps`` (the arg1 of the tier's rules).
     ``metrics`` limits the output to the named metrics, and only what they need
     is computed (Catalyst prunes the unused aggregates and branches)."""
     from tollgate.operators.catalogue import (CATALOGUE_MEASURES, booking_metrics, catalogue_long,
@@ -231,7 +231,6 @@ def metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | None =
 
     def want(m):
         return metrics is None or m in metrics
-    gaps = rule_gaps(dim.score_rules(spark), dim.flows(spark), rule_type)
     parts = []
     ip_names = {v for v in M.METRIC_NAMES.values() if want(v)}
     if ip_names:
@@ -260,22 +259,11 @@ def metrics_long(spark: SparkSession, base_dir: str, metrics: set[str] | None =
     return out
 
 
-def rule_metrics(spark: SparkSession, rule_type: int, crawler_type: int | None = None) -> set[str]:
-    """Metric names referenced by enabled rules of active flows (small rule tables)."""
-    from tollgate.functions.match import collect_rules
-    from tollgate.operators.scoring import flow_rules
-    fr = flow_rules(dim.score_rules(spark), dim.flows(spark), rule_type, crawler_type)
-    return {r[0] for r in collect_rules(fr.select("metric").distinct(), "metric")}
-
-
 def _flow_scores(spark, base_dir, window="1 day", rule_type=2, crawler_type=None):
     """Scores of one tier. With a crawler type only its rules, and only the metrics they name, run."""
-    from tollgate.operators.scoring import evaluate_rules, flow_scores
-    rules = dim.score_rules(spark)
-    if crawler_type is not None:
-        rules = rules.filter(F.col("crawler_type") == crawler_type)
-    long = metrics_long(spark, base_dir, rule_metrics(spark, rule_type, crawler_type), window, rule_type)
-    return flow_scores(evaluate_rules(long, rules, dim.flows(spark), rule_type=rule_type))
+    book = RuleBook.defaults(spark)
+    long = metrics_long(spark, base_dir, book.gaps(rule_type), book.metrics(rule_type, crawler_type), window)
+    return flow_scores(evaluate_rules(long, book, rule_type, crawler_type))
 
 
 def _scores_query(window, rule_type):
@@ -293,8 +281,7 @@ register("flow_scores_5m", O.FLOW_SCORES_TIER[0])(_scores_query("5 minutes", 0))
 
 def _blacklist(spark, base_dir, keep=()):
     from tollgate.operators.blacklist import to_blacklist_records
-    from tollgate.operators.scoring import blacklist_decisions
-    return to_blacklist_records(blacklist_decisions(_flow_scores(spark, base_dir), dim.flows(spark)), keep=keep)
+    return to_blacklist_records(blacklist_decisions(_flow_scores(spark, base_dir)), keep=keep)
 
 
 @register("blacklist_daily", O.BLACKLIST)
@@ -329,7 +316,7 @@ def blacklist_restore_hours(spark: SparkSession, base_dir: str) -> DataFrame:
 @register("metric_histogram_daily", O.HISTOGRAM)
 def metric_histogram_daily(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.scoring import metric_histogram
-    h = metric_histogram(metrics_long(spark, base_dir))
+    h = metric_histogram(metrics_long(spark, base_dir, RuleBook.defaults(spark).gaps(2)))
     return h.select(_fmt("window_start"), _fmt("window_end"), "metric", "value", "key_count")
 
 
@@ -342,19 +329,19 @@ REF_DAY = "2024-01-20"
 def classified_requests(spark: SparkSession, base_dir: str, sets: str = "scraper hoarding agent") -> DataFrame:
     """Requests with travel type, day and the flags of the named key sets (and the user class, if all).
 
-    Classes come from this data's own blacklist decisions and bookings. Rules are filtered by
-    crawler type before scoring: scrapers are found without any booking, hoarders without the log.
+    Classes come from this data's own blacklist decisions and bookings. Scrapers alone are found without
+    any booking, hoarders without the log; both together are scored in one plan.
     """
     from tollgate.operators.dashboards import agent_buyers, classify_users
-    from tollgate.operators.scoring import blacklist_decisions
     from tollgate.operators.tags import tag_travel_type
     from tollgate.sources.bookings import bookings
-
-    def blacklisted(crawler_type):
-        scores = _flow_scores(spark, base_dir, crawler_type=crawler_type)
-        return blacklist_decisions(scores, dim.flows(spark)).select("key")
+    wanted = [k for k, name in enumerate(("scraper", "hoarding")) if name in sets]
+    black = None
+    if wanted:
+        scores = _flow_scores(spark, base_dir, crawler_type=wanted[0] if len(wanted) == 1 else None)
+        black = blacklist_decisions(scores)
     req = tag_travel_type(load_requests(spark, base_dir))
-    return classify_users(req, blacklisted(0) if "scraper" in sets else None, blacklisted(1) if "hoarding" in sets else None,
+    return classify_users(req, black, {0, 1} & set(wanted),
                           agent_buyers(bookings(spark, base_dir), AGENT_MIN_BUYERS) if "agent" in sets else None)
 
 
@@ -397,12 +384,11 @@ def scraper_traffic_spine(spark: SparkSession, base_dir: str) -> DataFrame:
 def _features(spark: SparkSession, base_dir: str) -> DataFrame:
     """Daily metric vectors with the rule verdict, written once: both models read them many times."""
     from tollgate.operators.detectors import feature_frame
-    from tollgate.operators.scoring import blacklist_decisions
     from tollgate.plans.jobs import materialise
-    gaps = rule_gaps(dim.score_rules(spark), dim.flows(spark), 2)
+    gaps = RuleBook.defaults(spark).gaps(2)
     wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=gaps)
     wide = wide.withColumnRenamed(f"close_interval_count_{gaps[0]}", "close_interval_count")
-    dec = blacklist_decisions(_flow_scores(spark, base_dir, crawler_type=0), dim.flows(spark))
+    dec = blacklist_decisions(_flow_scores(spark, base_dir, crawler_type=0))
     return materialise(spark, feature_frame(wide, dec), "detector-features")
 
 

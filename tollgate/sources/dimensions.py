@@ -1,10 +1,9 @@
 """Rule dimensions: URL filter, request classes, critical pages, black IPs,
 parse rules, score rules and detection flows.
 
-Deployments read these from their own tables (``read_dimension``: parquet path
-or JDBC options). The defaults below are our own fixture rows, shaped like the
-reference's rule tables (their URL paths are those of its sample log), so every registered
-query can run out of the box.
+Deployments read these from their own tables (``rule_tables.py``). The defaults below are our own
+fixture rows, shaped like the reference's rule tables (their URL paths are those of its sample log),
+so every registered query can run out of the box.
 They are configuration, not data: a few rows that never grow with the log.
 """
 
@@ -39,35 +38,38 @@ CRITICAL_PAGE_RULES = [
 BLACK_IPS = ["10.1.17.17", "10.2.10.42", "10.4.4.4", "10.2.10.42"]
 
 
-def _df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """Fixture rows as literals: the planner knows how small they are, so joins broadcast them."""
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def values(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """Rows as a table of values: the planner knows how small it is, and reads it without a job."""
     kinds = [f.split(" ", 1) for f in schema.split(", ")]
-    each = [F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(r, kinds)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*each)))
+    body = ", ".join("(" + ", ".join(map(_literal, r)) + ")" for r in rows)
+    cast = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in kinds)
+    names = ", ".join(name for name, _ in kinds)
+    return spark.sql(f"SELECT {cast} FROM VALUES {body} AS t({names})")
 
 
 def url_filter_rules(spark: SparkSession) -> DataFrame:
-    return _df(spark, [(r,) for r in URL_FILTER_RULES], "value string")
+    return values(spark, [(r,) for r in URL_FILTER_RULES], "value string")
 
 
 def classify_rules(spark: SparkSession) -> DataFrame:
-    return _df(spark, [(i, p, f, b) for i, (p, f, b) in enumerate(CLASSIFY_RULES)],
+    return values(spark, [(i, p, f, b) for i, (p, f, b) in enumerate(CLASSIFY_RULES)],
                "priority int, expression string, flight_type string, behavior_type string")
 
 
 def critical_page_rules(spark: SparkSession) -> DataFrame:
-    return _df(spark, [(r,) for r in CRITICAL_PAGE_RULES], "expression string")
+    return values(spark, [(r,) for r in CRITICAL_PAGE_RULES], "expression string")
 
 
 def black_ips(spark: SparkSession) -> DataFrame:
-    return _df(spark, [(ip,) for ip in BLACK_IPS], "ip_name string")
-
-
-def read_dimension(spark: SparkSession, source: str | dict) -> DataFrame:
-    """Read a rule table: a parquet path, or a dict of JDBC options."""
-    if isinstance(source, dict):
-        return spark.read.format("jdbc").options(**source).load()
-    return spark.read.parquet(source)
+    return values(spark, [(ip,) for ip in BLACK_IPS], "ip_name string")
 
 
 # ---- Parse rules (G4 / X1-X10) -------------------------------------------------
@@ -144,52 +146,75 @@ PARSE_RULES = [
 
 
 def parse_rules(spark: SparkSession) -> DataFrame:
-    return _df(spark, PARSE_RULES, PARSE_RULE_SCHEMA)
+    return values(spark, PARSE_RULES, PARSE_RULE_SCHEMA)
 
 
 # ---- Score rules and detection flows (B1-B3, J6, J7) -----------------------------
+# Four tables: flows, their strategies (thresholds), their rules, and the maintenance table that says
+# which metric a rule of a name reads and how it compares ('>=' for volumes, '<' for least intervals).
 # Rule types: 0 real-time, 1 near-real-time (1 h), 2 offline (1 day);
 # crawler type: 0 scraper, 1 seat-hoarding; status 0 = enabled.
-# cmp: '>=' for volume metrics, '<' for minimum-interval metrics.
-SCORE_RULE_SCHEMA = ("rule_id int, flow_id int, rule_name string, metric string, rule_type int, "
-                     "crawler_type int, status int, arg0 double, arg1 double, score int, cmp string")
+FLOW_SCHEMA = "flow_id int, flow_name string, status int"
+FLOWS = [(1, "default", 0), (2, "strict", 0), (3, "retired", 1), (4, "without strategy", 0)]
+
+STRATEGY_SCHEMA = "flow_id int, crawler_threshold double, occ_threshold double"
+STRATEGIES = [(1, 20.0, 5.0), (2, 4.0, 100.0), (3, 1.0, 1.0), (9, 1.0, 1.0)]
+
+SCORE_RULE_SCHEMA = ("rule_id int, flow_id int, rule_name string, rule_type int, "
+                     "crawler_type int, status int, arg0 double, arg1 double, score int")
 SCORE_RULES = [
-    (1, 1, "ip_access", "ip_access", 2, 0, 0, 4.0, None, 3, ">="),
-    (2, 1, "critical_access", "critical_access", 2, 0, 0, 2.0, None, 4, ">="),
-    (3, 1, "user_agent", "user_agent_distinct", 2, 0, 0, 3.0, None, 2, ">="),
-    (4, 1, "critical_min_interval", "critical_min_interval", 2, 0, 0, 3_600_000.0, None, 5, "<"),
-    (5, 1, "critical_close_intervals", "critical_close_intervals", 2, 0, 0, 1.0, 3_600_000.0, 4, ">="),
-    (6, 1, "cookie", "cookie_distinct", 2, 0, 0, 3.0, None, 2, ">="),
-    (7, 1, "route", "route_distinct", 2, 0, 0, 3.0, None, 2, ">="),
-    (8, 1, "ip_block_access", "ip_block_access", 2, 0, 1, 100.0, None, 3, ">="),
-    (9, 1, "bookings_by_buyer", "bookings_by_buyer", 2, 1, 0, 2.0, None, 6, ">="),
-    (10, 1, "unpaid_by_buyer", "unpaid_by_buyer", 2, 1, 0, 2.0, None, 6, ">="),
-    (11, 2, "ip_access_rt", "ip_access", 0, 0, 0, 2.0, None, 5, ">="),
-    (12, 1, "critical_access_rt", "critical_access", 0, 0, 0, 1.0, None, 2, ">="),
-    (13, 1, "critical_close_rt", "critical_close_intervals", 0, 0, 0, 1.0, 5_000.0, 6, ">="),
-    (14, 1, "critical_close_rt_wide", "critical_close_intervals", 0, 0, 0, 1.0, 120_000.0, 3, ">="),
-    (15, 1, "ip_block_access_rt", "ip_block_access", 0, 0, 0, 3.0, None, 2, ">="),
-    (16, 1, "ip_access_near", "ip_access", 1, 0, 0, 2.0, None, 3, ">="),
-    (17, 1, "critical_close_near", "critical_close_intervals", 1, 0, 0, 1.0, 300_000.0, 5, ">="),
-    (18, 1, "critical_close_near_wide", "critical_close_intervals", 1, 0, 0, 1.0, 1_800_000.0, 2, ">="),
-    (19, 1, "critical_min_interval_near", "critical_min_interval", 1, 0, 0, 600_000.0, None, 4, "<"),
-    (20, 1, "bookings_by_buyer_near", "bookings_by_buyer", 1, 1, 0, 1.0, None, 3, ">="),
-    (21, 1, "unpaid_by_contact_phone_near", "unpaid_by_contact_phone", 1, 1, 0, 1.0, None, 4, ">="),
+    (1, 1, "ip_access", 2, 0, 0, 4.0, None, 3),
+    (2, 1, "critical_access", 2, 0, 0, 2.0, None, 4),
+    (3, 1, "user_agent", 2, 0, 0, 3.0, None, 2),
+    (4, 1, "critical_min_interval", 2, 0, 0, 3_600_000.0, None, 5),
+    (5, 1, "critical_close_intervals", 2, 0, 0, 1.0, 3_600_000.0, 4),
+    (6, 1, "cookie", 2, 0, 0, 3.0, None, 2),
+    (7, 1, "route", 2, 0, 0, 3.0, None, 2),
+    (8, 1, "ip_block_access", 2, 0, 1, 100.0, None, 3),
+    (9, 1, "bookings_by_buyer", 2, 1, 0, 2.0, None, 6),
+    (10, 1, "unpaid_by_buyer", 2, 1, 0, 2.0, None, 6),
+    (11, 2, "ip_access", 0, 0, 0, 2.0, None, 5),
+    (12, 1, "critical_access", 0, 0, 0, 1.0, None, 2),
+    (13, 1, "critical_close_intervals", 0, 0, 0, 1.0, 5_000.0, 6),
+    (14, 1, "critical_close_intervals", 0, 0, 0, 1.0, 120_000.0, 3),
+    (15, 1, "ip_block_access", 0, 0, 0, 3.0, None, 2),
+    (16, 1, "ip_access", 1, 0, 0, 2.0, None, 3),
+    (17, 1, "critical_close_intervals", 1, 0, 0, 1.0, 300_000.0, 5),
+    (18, 1, "critical_close_intervals", 1, 0, 0, 1.0, 1_800_000.0, 2),
+    (19, 1, "critical_min_interval", 1, 0, 0, 600_000.0, None, 4),
+    (20, 1, "bookings_by_buyer", 1, 1, 0, 1.0, None, 3),
+    (21, 1, "unpaid_by_contact_phone", 1, 1, 0, 1.0, None, 4),
+    (22, 1, "unknown to maintenance", 2, 0, 0, 0.0, None, 50),
+    (23, 4, "ip_access", 2, 0, 0, 1.0, None, 50),
+]
+
+MAINTENANCE_SCHEMA = "rule_name string, metric string, cmp string"
+MAINTENANCE = [
+    ("ip_access", "ip_access", ">="), ("critical_access", "critical_access", ">="),
+    ("user_agent", "user_agent_distinct", ">="), ("critical_min_interval", "critical_min_interval", "<"),
+    ("critical_close_intervals", "critical_close_intervals", ">="), ("cookie", "cookie_distinct", ">="),
+    ("route", "route_distinct", ">="), ("ip_block_access", "ip_block_access", ">="),
+    ("bookings_by_buyer", "bookings_by_buyer", ">="), ("unpaid_by_buyer", "unpaid_by_buyer", ">="),
+    ("unpaid_by_contact_phone", "unpaid_by_contact_phone", ">="), ("never used", "ip_access", ">"),
 ]
 
 
 def close_gaps(rule_type: int) -> list[int]:
     """The gaps that the default rules of a tier count close intervals by."""
-    return sorted({int(r[8]) for r in SCORE_RULES if r[3] == "critical_close_intervals" and r[4] == rule_type})
+    return sorted({int(r[7]) for r in SCORE_RULES if r[2] == "critical_close_intervals" and r[3] == rule_type})
+
+
+def flows(spark: SparkSession) -> DataFrame:
+    return values(spark, FLOWS, FLOW_SCHEMA)
 
 
-FLOW_SCHEMA = "flow_id int, flow_name string, status int, crawler_threshold double, occ_threshold double"
-FLOWS = [(1, "default", 0, 20.0, 5.0), (2, "strict", 0, 4.0, 100.0), (3, "retired", 1, 1.0, 1.0)]
+def strategies(spark: SparkSession) -> DataFrame:
+    return values(spark, STRATEGIES, STRATEGY_SCHEMA)
 
 
 def score_rules(spark: SparkSession) -> DataFrame:
-    return _df(spark, SCORE_RULES, SCORE_RULE_SCHEMA)
+    return values(spark, SCORE_RULES, SCORE_RULE_SCHEMA)
 
 
-def flows(spark: SparkSession) -> DataFrame:
-    return _df(spark, FLOWS, FLOW_SCHEMA)
+def maintenance(spark: SparkSession) -> DataFrame:
+    return values(spark, MAINTENANCE, MAINTENANCE_SCHEMA)
