@@ -101,11 +101,11 @@ def test_late_event_dropped_by_watermark(spark):
 
     def run():
         src = spark.readStream.format("parquet").schema(schema).load(os.path.join(base, "in", "*"))
-        out = SM.stream_ip_metrics(src, window="1 hour", slide="1 hour", watermark="10 minutes")
+        out = SM.stream_panes(src, window="1 hour", slide="1 hour", watermark="10 minutes")
         q = (out.writeStream.format("parquet").option("path", sink).outputMode("append")
              .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
         q.awaitTermination()
-        return {r.ip for r in spark.read.parquet(sink).collect()}
+        return {r.key for r in spark.read.parquet(sink).where("scope = 'ip'").collect()}
     run()
     write([{**late[0], "ip": "9.9.9.9"}], "c")                          # arrives 12 h late
     ips = run()

@@ -8,6 +8,8 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tollgate.streaming import storage
+
 # Fixed value: blacklist time-to-live in seconds.
 BLACKLIST_TTL_S = 3600
 
@@ -56,6 +58,7 @@ def rank_latest(records: DataFrame, key: str = "key", exp: str = "key_exp_time")
 # ---- hour-partitioned parquet (IO14-IO16) --------------------------------------
 
 HOUR_PARTS = ["y", "m", "d", "h"]
+RECORDS = "key_exp_time long, key string, value string, y int, m int, d int, h int, run_id string"
 
 
 def write_hourly(df: DataFrame, path: str, written_at: Column, run_id: str) -> None:
@@ -72,12 +75,14 @@ def write_hourly(df: DataFrame, path: str, written_at: Column, run_id: str) -> N
 
 def read_hours(spark: SparkSession, path: str, hours: list[str]) -> DataFrame:
     """IO16: the records written in the given hours (``yyyy-MM-dd HH``); literal predicates on the
-    partition columns prune directories, missing hours are simply empty."""
+    partition columns prune directories, missing hours (and a missing table) are simply empty."""
     wanted = F.lit(False)
     for hour in hours:
         y, m, d = hour[:10].split("-")
         wanted = wanted | ((F.col("y") == int(y)) & (F.col("m") == int(m)) & (F.col("d") == int(d))
                            & (F.col("h") == int(hour[11:13])))
+    if not storage.exists(spark, path):                   # nothing was ever written
+        return spark.createDataFrame([], RECORDS).filter(wanted)
     return spark.read.parquet(path).filter(wanted)
 
 

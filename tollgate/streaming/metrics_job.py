@@ -1,13 +1,18 @@
-"""Streaming metrics job (W1-W4, A1-A8, B1-B4): record lines -> metrics -> scores -> blacklist.
+"""Streaming metrics job (W1-W4, A1-A8, B1-B4): record lines -> panes -> metrics -> scores -> blacklist.
 
-Every metric of a window is computed by one chain of three aggregates whose state rows never
-grow: a row is first reduced to ``(pane, key, kind, value)`` with a count, panes (as wide as the
-greatest common divisor of window and slide) are then put into their windows, and the values
-of each window and key are counted. A value that rotates (cookies of a bot) makes more
-state rows, spread by value, instead of a longer one. Only the distinct *seconds* of critical
-hits are listed, at most one per second of the window.
+The job is two queries on one stream of rows:
 
-Event time with a watermark: rows later than the watermark are dropped.
+* *rows*: each batch of lines is parsed and flagged with the critical pages of that moment. Rows that are later
+  than the watermark go to a side output and are counted, all others are handed over. Both queries
+  take the same watermark of event time, so the second one drops nothing.
+* *panes*: rows are aggregated in the state store into ``(pane, key, kind, value)`` with a count; panes are as wide
+  as the greatest common divisor of window and slide. State holds the open panes only, and a row of it never grows: a
+  value that rotates (cookies of a bot) makes more rows, spread by value. Closed panes are appended to a table,
+  and the windows that they complete are computed from it by the batch operator (``sliding.py``): no
+  row, value or critical second is copied into its windows.
+
+A window is complete once a pane at or after its end has closed. The pane table keeps what open windows still
+need; handed-over rows are deleted once they were read, and emptied folders with them, so no listing grows.
 """
 
 from __future__ import annotations
@@ -16,7 +21,6 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +28,11 @@ from tollgate.functions.codec import from_record_line
 from tollgate.functions.text import ip_block, is_ipv4_shape, iso_to_ts, route
 from tollgate.operators.blacklist import hours_to_restore, rank_latest, read_hours, to_blacklist_records, write_hourly
 from tollgate.operators.filters import unexpired
-from tollgate.operators.metrics import METRIC_NAMES, pane_ms, to_long
-from tollgate.operators.scoring import blacklist_decisions, evaluate_rules, flow_scores, rule_gaps
+from tollgate.operators.metrics import to_long
+from tollgate.operators.scoring import RuleBook, blacklist_decisions, evaluate_rules, flow_scores
+from tollgate.operators.sliding import duration_ms, pane_ms, windows_of
 from tollgate.operators.tags import flag_critical
+from tollgate.streaming import storage
 from tollgate.streaming.sources import METRICS_TRIGGER
 
 
@@ -39,11 +45,15 @@ def prepare(records: DataFrame, *, ts_col="ts", ip_col="remote_addr", critical_c
         route(F.coalesce(F.col(dep_col), F.lit("")), F.coalesce(F.col(arr_col), F.lit(""))).alias("rt"))
 
 
-def stream_key_metrics(p: DataFrame, *, window: str = "5 minutes", slide: str = "5 seconds",
-                       watermark: str = "1 minute", gap_ms: int | list[int] = 5000) -> DataFrame:
-    """Input: ``prepare``d rows. Output (append mode): one row per closed window and key.
+PANE_ROWS = "pane_start long, pane_end long, scope string, key string, kind string, value string, n long"
+HOUR_MS = 3_600_000
+
+
+def stream_panes(p: DataFrame, *, window: str = "5 minutes", slide: str = "5 seconds", watermark: str = "1 minute") -> DataFrame:
+    """Input: ``prepare``d rows. Output (append mode): the closed panes, one row per (pane, scope, key, kind, value).
 
-    ``scope`` is ``ip`` (all metrics) or ``block`` (A1: accesses of a /16 block, in access_count).
+    ``scope`` is ``ip`` or ``block`` (A1: a /16 block, accesses only). Kinds are ``ua``, ``sid``, ``rt`` and ``hit``,
+    whose value is the time of a critical hit or empty.
     """
     pane = f"{pane_ms(window, slide)} milliseconds"
     ip, second = F.col("ip"), F.when(F.col("crit"), F.unix_millis("ts").cast("string")).otherwise("")
@@ -55,35 +65,22 @@ def stream_key_metrics(p: DataFrame, *, window: str = "5 minutes", slide: str =
     rows = p.withWatermark("ts", watermark).select("ts", F.explode(each).alias("x")).select("ts", "x.*")
     by = ["scope", "key", "kind", "value"]
     panes = rows.groupBy(F.window("ts", pane).alias("pane"), *by).agg(F.count(F.lit(1)).alias("n"))
-    values = panes.groupBy(F.window(F.window_time("pane"), window, slide).alias("w"), *by).agg(F.sum("n").alias("n"))
-    hit = F.col("kind") == "hit"
-    critical = hit & (F.col("value") != "")
-    found = values.groupBy("w", "scope", "key").agg(
-        F.sum(F.when(hit, F.col("n"))).cast("bigint").alias("access_count"),
-        F.coalesce(F.sum(F.when(critical, F.col("n"))), F.lit(0)).cast("bigint").alias("critical_count"),
-        *[F.count_if(F.col("kind") == k).cast("bigint").alias(c) for k, c in
-          (("ua", "user_agent_count"), ("sid", "cookie_count"), ("rt", "route_count"))],
-        F.array_sort(F.collect_list(F.when(critical, F.struct(F.col("value").cast("bigint").alias("t"), F.col("n"))))).alias("hits"))
-    hits = F.col("hits")
-    times = F.transform(hits, lambda h: h["t"])
-    gaps = F.zip_with(F.slice(times, 2, F.size(times)), F.slice(times, 1, F.greatest(F.size(times) - 1, F.lit(0))), lambda a, b: a - b)
-    repeats = F.col("critical_count") - F.size(hits)
-    min_iv = (F.when(F.col("critical_count") == 1, F.lit(-1)).when(repeats > 0, F.lit(0))
-              .when(F.col("critical_count") > 0, F.array_min(gaps))).cast("bigint")
-    wanted = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
-
-    def closer_than(g: int):
-        return repeats * F.lit(int(g > 0)) + F.size(F.filter(gaps, lambda x: x < g))
-    close = [F.when(F.col("critical_count") > 0, closer_than(g)).cast("bigint").alias(c) for c, g in wanted.items()]
-    return found.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "scope", "key",
-                        "access_count", "critical_count", "user_agent_count", "cookie_count", "route_count",
-                        min_iv.alias("min_interval_ms"), *close)
-
-
-def stream_ip_metrics(p: DataFrame, **how) -> DataFrame:
-    """The per-IP rows of ``stream_key_metrics``, wide, like ``metrics.ip_metrics``."""
-    m = stream_key_metrics(p, **how).filter("scope = 'ip'").drop("scope")
-    return m.withColumnRenamed("key", "ip")
+    return panes.select(F.unix_millis("pane.start").alias("pane_start"), F.unix_millis("pane.end").alias("pane_end"), *by, "n")
+
+
+def window_metrics(panes: DataFrame, *, window: str = "5 minutes", slide: str = "5 seconds",
+                   gap_ms: int | list[int] = 5000) -> DataFrame:
+    """All windows that hold one of the ``panes``: one row per window, scope and key, wide."""
+    gaps = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
+    key = F.struct("scope", "key").alias("ip")
+    critical = F.col("value") != ""
+    hits = panes.where("kind = 'hit'").select(
+        key, F.when(critical, F.col("value").cast("bigint")).otherwise(F.col("pane_start")).alias("t"), "n",
+        F.when(critical, F.col("n")).otherwise(F.lit(0)).alias("c"))
+    values = panes.where("kind <> 'hit'").select(key, F.col("pane_start").alias("t"), "kind", F.col("value").alias("v"))
+    m = windows_of(hits, values, window, slide, gaps)
+    return m.select("window_start", "window_end", F.col("ip.scope").alias("scope"), F.col("ip.key").alias("key"),
+                    *[c for c in m.columns if c not in ("window_start", "window_end", "ip")])
 
 
 def metrics_to_long(m: DataFrame) -> DataFrame:
@@ -101,74 +98,156 @@ class Rules:
     """What the job reads anew in every batch."""
 
     critical_pages: DataFrame
-    score_rules: DataFrame
-    flows: DataFrame
+    book: RuleBook
+
+
+def _split_late(spark: SparkSession, rows: DataFrame, counts_dir: str, batch_id: int, pane: int, delay: int) -> tuple[DataFrame, int | None]:
+    """``rows`` with ``is_late``, and the latest event time before this batch.
+
+    A row is late if its pane has closed: the watermark is the latest time of earlier batches less the delay.
+    """
+    before = storage.batch_path(counts_dir, batch_id - 1)
+    latest = spark.read.parquet(before).first()["latest"] if batch_id and storage.exists(spark, before) else None
+    t = F.unix_millis("ts")
+    ends = t - F.pmod(t, F.lit(pane)) + pane
+    return rows.withColumn("is_late", F.lit(False) if latest is None else ends <= latest - delay), latest
+
+
+def _drop_emptied(spark: SparkSession, path: str, group: int) -> None:
+    """Remove the folders of earlier groups of batches whose files were all read and deleted."""
+    for name in storage.folders(spark, path):
+        if name.startswith("batch_group=") and storage.number_of(name) < group - 1 and not storage.has_files(spark, f"{path}/{name}"):
+            storage.delete(spark, f"{path}/{name}")
+
 
+def _prepare_batch(out_dir: str, loader: Callable[[SparkSession], Rules], pane: int, delay: int):
+    rows_dir, late_dir, counts_dir = (os.path.join(out_dir, d) for d in ("rows", "late", "counts"))
 
-def _prepare_batch(path: str, loader: Callable[[SparkSession], Rules]):
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        part = f"{path}/batch_group={batch_id // 10_000}/batch_id={batch_id}"
-        try:                                              # a committed batch that is run again adds nothing
-            spark.read.parquet(part)
-            return
-        except AnalysisException:
-            pass
+        if storage.exists(spark, storage.batch_path(rows_dir, batch_id)):
+            return                                        # a committed batch that is run again adds nothing
         rec = from_record_line(batch).withColumn("ts", iso_to_ts(F.col("time_iso8601")))
         rec = flag_critical(rec, loader(spark).critical_pages, "request")
         rows = prepare(rec, ua_col="http_user_agent", dep_col="dep_city", arr_col="arr_city").filter("ts is not null")
-        (rows.withColumn("batch_group", F.lit(batch_id // 10_000)).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_group", "batch_id").parquet(path))
+        rows, before = _split_late(spark, rows, counts_dir, batch_id, pane, delay)
+        rows = rows.withColumns({"batch_group": F.lit(batch_id // storage.GROUP), "batch_id": F.lit(batch_id)}).persist()
+        try:
+            count = rows.agg(F.count_if(~F.col("is_late")).alias("on_time"), F.count_if("is_late").alias("late"),
+                             F.greatest(F.unix_millis(F.max("ts")), F.lit(before).cast("bigint")).alias("latest"))
+            for df, path in ((count.withColumns({"batch_group": F.lit(batch_id // storage.GROUP), "batch_id": F.lit(batch_id)}), counts_dir),
+                             (rows.filter("is_late").drop("is_late"), late_dir), (rows.filter("NOT is_late").drop("is_late"), rows_dir)):
+                (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_group", "batch_id").parquet(path))
+        finally:
+            rows.unpersist()
+        if batch_id % storage.GROUP == 0:
+            _drop_emptied(spark, rows_dir, batch_id // storage.GROUP)
     return handle
 
 
-def _score_batch(out_dir: str, loader: Callable[[SparkSession], Rules], rule_type: int):
+def late_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Rows on time and late per batch; together they are the rows read with a valid time."""
+    return spark.read.parquet(os.path.join(out_dir, "counts")).select("batch_id", "on_time", "late")
+
+
+def _frontier(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Up to where panes had closed before this batch."""
+    before = f"{path}/batch_id={batch_id - 1}"
+    return spark.read.parquet(before).first()["upto"] if batch_id and storage.exists(spark, before) else None
+
+
+def close_windows(spark: SparkSession, batch: DataFrame, batch_id: int, out_dir: str, *, window: str, slide: str,
+                  gap_ms: int | list[int]) -> tuple[DataFrame | None, int | None]:
+    """Append the closed panes of a batch; give the windows they complete, from the pane table, and up to where panes have closed.
+
+    Everything is written by batch id, so a batch that is run again finds the same state and writes the same.
+    """
+    panes_dir, marks = os.path.join(out_dir, "panes"), os.path.join(out_dir, "frontier")
+    width = duration_ms(window)
+    hour = F.floor(F.col("pane_start") / HOUR_MS)
+    before = _frontier(spark, marks, batch_id)
+    newest = batch.agg(F.max("pane_end")).first()[0]
+    upto = newest if before is None or (newest is not None and newest > before) else before
+    done = None
+    if newest is not None:
+        (batch.withColumns({"pane_hour": hour, "batch_id": F.lit(batch_id)}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("pane_hour", "batch_id").parquet(panes_dir))
+        known = spark.read.parquet(panes_dir).where(F.col("batch_id") <= batch_id)
+        if before is not None:                            # panes of windows that end after the frontier
+            known = known.where((F.col("pane_hour") >= (before - width) // HOUR_MS) & (F.col("pane_start") >= before - width))
+        ends = F.unix_millis("window_end")
+        done = window_metrics(known, window=window, slide=slide, gap_ms=gap_ms)
+        done = done.where((ends <= upto) & (F.lit(True) if before is None else ends > before))
+    return done, upto
+
+
+def _forget(spark: SparkSession, out_dir: str, batch_id: int, upto: int | None, width: int) -> None:
+    """Drop panes that no open window holds, and frontiers before the last."""
+    panes_dir = os.path.join(out_dir, "panes")
+    for name in storage.folders(spark, panes_dir) if upto is not None else []:
+        if name.startswith("pane_hour=") and storage.number_of(name) < (upto - 2 * width) // HOUR_MS - 1:
+            storage.delete(spark, f"{panes_dir}/{name}")
+    storage.delete(spark, os.path.join(out_dir, "frontier", f"batch_id={batch_id - 2}"))
+
+
+def _score_batch(out_dir: str, loader: Callable[[SparkSession], Rules], rule_type: int, window: str, slide: str, gap_ms: list[int]):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rules = loader(batch.sparkSession)
-        batch = batch.persist()                           # closed windows: read for the table and for the scores
+        spark = batch.sparkSession
+        batch = batch.persist()
         try:
-            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(os.path.join(out_dir, "metrics")))
-            scores = flow_scores(evaluate_rules(metrics_to_long(batch), rules.score_rules, rules.flows, rule_type))
-            records = to_blacklist_records(blacklist_decisions(scores, rules.flows), keep=["window_end"])
-            write_hourly(records, os.path.join(out_dir, "blacklist"), F.col("window_end"), f"stream-{batch_id}")
+            done, upto = close_windows(spark, batch, batch_id, out_dir, window=window, slide=slide, gap_ms=gap_ms)
         finally:
             batch.unpersist()
+        if done is not None:
+            metrics = os.path.join(out_dir, "metrics")
+            (done.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(metrics))
+            part = f"{metrics}/batch_id={batch_id}"
+            if storage.exists(spark, part):
+                closed = spark.read.parquet(part)
+                scores = flow_scores(evaluate_rules(metrics_to_long(closed), loader(spark).book, rule_type))
+                records = to_blacklist_records(blacklist_decisions(scores), keep=["window_end"])
+                write_hourly(records, os.path.join(out_dir, "blacklist"), F.col("window_end"), f"stream-{batch_id}")
+        spark.createDataFrame([(upto,)], "upto long").coalesce(1).write.mode("overwrite").parquet(
+            os.path.join(out_dir, "frontier", f"batch_id={batch_id}"))
+        _forget(spark, out_dir, batch_id, upto, duration_ms(window))
     return handle
 
 
+ROWS = "ts timestamp, ip string, crit boolean, ua string, sid string, rt string, batch_group int, batch_id int"
+
+
 def start_metrics(lines: DataFrame, out_dir: str, checkpoint: str, loader: Callable[[SparkSession], Rules], *,
                   window: str = "5 minutes", slide: str = "5 seconds", watermark: str = "1 minute",
                   rule_type: int = 0, trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """Start the job on record lines; returns its two queries.
 
-    The first flags critical pages with the rules of the batch and writes the rows; the second
-    aggregates the written rows and scores each closed window with the rules of its batch. The
+    The first flags critical pages with the rules of the batch and hands the rows on; the second
+    closes panes, and scores each closed window with the rules of its batch. The
     gaps that close intervals are counted by are those of the rules at the start.
     """
     spark = lines.sparkSession
     rows_dir = os.path.join(out_dir, "rows")
     trigger = trigger or {"processingTime": METRICS_TRIGGER}
-    first = (lines.writeStream.foreachBatch(_prepare_batch(rows_dir, loader))
+    first = (lines.writeStream.foreachBatch(_prepare_batch(out_dir, loader, pane_ms(window, slide), duration_ms(watermark)))
              .option("checkpointLocation", os.path.join(checkpoint, "rows")).trigger(**trigger).start())
-    schema = "ts timestamp, ip string, crit boolean, ua string, sid string, rt string, batch_group int, batch_id int"
-    source = spark.readStream.schema(schema)
+    # files are deleted once the batch that read them is committed
+    source = spark.readStream.schema(ROWS).option("cleanSource", "delete")
     if max_files_per_trigger:
         source = source.option("maxFilesPerTrigger", max_files_per_trigger)
     if trigger.get("availableNow"):
         first.awaitTermination()
-    rules = loader(spark)
-    metrics = stream_key_metrics(source.parquet(rows_dir), window=window, slide=slide, watermark=watermark,
-                                 gap_ms=rule_gaps(rules.score_rules, rules.flows, rule_type))
-    second = (metrics.writeStream.outputMode("append").foreachBatch(_score_batch(out_dir, loader, rule_type))
+    panes = stream_panes(source.parquet(rows_dir), window=window, slide=slide, watermark=watermark)
+    handler = _score_batch(out_dir, loader, rule_type, window, slide, loader(spark).book.gaps(rule_type))
+    second = (panes.writeStream.outputMode("append").foreachBatch(handler)
               .option("checkpointLocation", os.path.join(checkpoint, "scores")).trigger(**trigger).start())
     return first, second
 
 
 def blacklisted_ips(spark: SparkSession, path: str, now_ms: int) -> DataFrame:
     """The keys whose latest record, of those written in the current and previous hour, still
-    lives; given to the pre-process job as (more) black IPs, it tags their requests."""
+    lives; given to the pre-process job as (more) black IPs, it tags their requests. No table yet: none."""
     records = rank_latest(read_hours(spark, path, hours_to_restore(now_ms)))
     return unexpired(records, F.lit(now_ms)).select(F.col("key").alias("ip_name")).distinct()
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +24,13 @@ from tollgate.functions.codec import to_record_line
 from tollgate.functions.text import iso_to_ts
 from tollgate.operators.metrics import link_counts
 from tollgate.plans.preprocess import Dimensions, parse_complete_lines, process_messages, structured
+from tollgate.streaming.keyed_table import KeyedTable
+from tollgate.streaming.metrics_job import blacklisted_ips
 from tollgate.streaming.sources import PREPROCESS_TRIGGER, with_topic
 
 # Fixed value: monitor records live for 1800 s.
 MONITOR_TTL_S = 1800
+MONITOR_COMPACT = 100      # batches between compactions of the monitor table
 
 
 def _write(df: DataFrame, path: str, batch_id: int, *parts: str) -> None:
@@ -49,16 +53,22 @@ def monitor_records(msgs: DataFrame, batch_time_ms: int) -> DataFrame:
 
 
 def make_batch_handler(out_dir: str, dims_loader: Callable[[SparkSession], Dimensions],
-                       kafka_servers: str | None = None, console: bool = False):
+                       kafka_servers: str | None = None, console: bool = False, blacklist: str | None = None,
+                       clock_ms: Callable[[], int] = lambda: int(time.time() * 1000)):
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         dims = dims_loader(spark)                       # G5: fresh dimensions per batch
+        now_ms = clock_ms()                             # driver clock, like current_timestamp()
+        if blacklist:                                   # B6: what the metrics job has blacklisted by now
+            dims = replace(dims, black_ips=dims.black_ips.toDF("ip_name").union(blacklisted_ips(spark, blacklist, now_ms)))
         parsed = parse_complete_lines(batch).persist()
         ok = parsed.filter("is_valid_number")
         done = process_messages(ok, dims).persist()     # parsed once for records, rejects and Kafka
         try:
-            now_ms = int(time.time() * 1000)            # driver clock, like current_timestamp()
-            _write(monitor_records(ok, now_ms), os.path.join(out_dir, "monitor"), batch_id)
+            monitor = KeyedTable(spark, os.path.join(out_dir, "monitor"))
+            monitor.put(monitor_records(ok, now_ms).withColumnRenamed("json", "value"), f"batch-{batch_id}")
+            if batch_id % MONITOR_COMPACT == MONITOR_COMPACT - 1:
+                monitor.compact(now_ms)                 # expired records go
             rejects = parsed.filter(~F.col("is_valid_number")).select("value").unionByName(
                 done.filter("parse_failed").select("value"))
             _write(rejects, os.path.join(out_dir, "rejects"), batch_id)
@@ -82,15 +92,12 @@ def make_batch_handler(out_dir: str, dims_loader: Callable[[SparkSession], Dimen
 def start_preprocess(lines: DataFrame, out_dir: str, checkpoint: str,
                      dims_loader: Callable[[SparkSession], Dimensions] = Dimensions.defaults,
                      trigger: dict | None = None, kafka_servers: str | None = None,
-                     console: bool = False):
+                     console: bool = False, blacklist: str | None = None,
+                     clock_ms: Callable[[], int] = lambda: int(time.time() * 1000)):
     """Start the job; ``trigger`` defaults to the 3 s processing-time interval;
-    ``console`` prints a banner with the batch time and row count (IO13)."""
-    handler = make_batch_handler(out_dir, dims_loader, kafka_servers, console)
+    ``console`` prints a banner with the batch time and row count (IO13). ``blacklist`` is the
+    blacklist table of the metrics job: IPs on it are tagged from the next batch on (B6)."""
+    handler = make_batch_handler(out_dir, dims_loader, kafka_servers, console, blacklist, clock_ms)
     w = lines.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": PREPROCESS_TRIGGER}))
     return w.start()
-
-
-def live_monitor(monitor: DataFrame, now_ms) -> DataFrame:
-    """IO12 live view: monitor records whose TTL has not run out."""
-    return monitor.filter(F.col("expires_at") > now_ms)
