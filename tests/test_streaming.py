@@ -382,3 +382,33 @@ def test_restore_inserts_into_the_live_store(spark):
         restore_into(spark, store, os.path.join(base, "bl"), now, run)
         assert sorted(map(tuple, store.live(now).collect())) == [("a", "new", now + 50_000), ("b", "live already", now + 9_000)]
     assert store.read().count() == 2
+
+
+def test_kafka_options(spark):
+    """No connector here: the options that reach the reader (start, resume by checkpoint, rate cap)."""
+    from tollgate.streaming.sources import MAX_RECORDS_PER_PARTITION_PER_S, kafka_lines
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def option(self, key, value):
+            seen[key] = value
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, column):
+            return column
+
+    class Session:
+        readStream = Reader()
+    kafka_lines(Session(), "host:1", "logs", partitions=4, trigger="3 seconds")
+    assert seen == {"format": "kafka", "kafka.bootstrap.servers": "host:1", "subscribe": "logs", "startingOffsets": "latest",
+                    "maxOffsetsPerTrigger": str(MAX_RECORDS_PER_PARTITION_PER_S * 4 * 3)}
+    seen.clear()
+    kafka_lines(Session(), "host:1", "logs", starting_offsets="earliest")
+    assert "maxOffsetsPerTrigger" not in seen and seen["startingOffsets"] == "earliest"

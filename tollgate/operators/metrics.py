@@ -114,28 +114,32 @@ def interval_metrics(hits: DataFrame, key: Column, *, ts_col: str = "ts", window
     """
     t = F.unix_millis(F.col(ts_col))
     wanted = {f"close_interval_count_{g}": g for g in gap_ms} if isinstance(gap_ms, list) else {"close_interval_count": gap_ms}
+    one_chunk = window is not None and CHUNK_MS % duration_ms(window) == 0
+    by = [*WIN, "key"] if one_chunk else [*WIN, "key", "_chunk"]
     # 1) collapse equal timestamps map-side: (key, t, hits)
-    per_t = (_with_window(hits.select(F.col(ts_col).alias("_ts"), key.alias("key"), t.alias("_t")), F.col("_ts"), window, None)
-             .groupBy(*WIN, "key", F.floor(F.col("_t") / CHUNK_MS).alias("_chunk"), "_t").agg(F.count(F.lit(1)).alias("_n")))
+    rows = _with_window(hits.select(F.col(ts_col).alias("_ts"), key.alias("key"), t.alias("_t")), F.col("_ts"), window, None)
+    per_t = rows.withColumn("_chunk", F.floor(F.col("_t") / CHUNK_MS)).groupBy(*by, "_t").agg(F.count(F.lit(1)).alias("_n"))
     # 2) one partial per chunk
-    w = Window.partitionBy(*WIN, "key", "_chunk").orderBy("_t")
+    w = Window.partitionBy(*by).orderBy("_t")
     gaps = per_t.withColumn("_gap", F.col("_t") - F.lag("_t").over(w))
-    parts = gaps.groupBy(*WIN, "key", "_chunk").agg(
+    parts = gaps.groupBy(*by).agg(
         F.sum("_n").alias("_hits"), F.min("_t").alias("_first"), F.max("_t").alias("_last"),
         F.min(F.least(F.when(F.col("_n") > 1, F.lit(0)), F.col("_gap"))).alias("_least"),
         *[(F.sum((F.col("_n") - 1) * F.lit(1 if 0 < g else 0))
            + F.count_if(F.col("_gap") < g)).cast("bigint").alias(c) for c, g in wanted.items()])
+    single = F.when(F.col("_hits") == 1, F.lit(-1))
+    if one_chunk:
+        return parts.select(*WIN, "key", single.otherwise(F.col("_least")).cast("bigint").alias("min_interval_ms"), *wanted)
     # 3) merged in the order of chunks; a key has one entry per chunk of the window
     agg = parts.groupBy(*WIN, "key").agg(
         F.sum("_hits").alias("_hits"), F.min("_least").alias("_least"), *[F.sum(c).alias(c) for c in wanted],
         F.sort_array(F.collect_list(F.struct("_chunk", "_first", "_last"))).alias("_ends"))
     agg = agg.withColumn("_between", F.transform(F.slice("_ends", F.lit(2), F.size("_ends")),
                                                  lambda x, i: x["_first"] - F.element_at("_ends", i + 1)["_last"]))
-    min_iv = F.when(F.col("_hits") == 1, F.lit(-1)).otherwise(F.least("_least", F.array_min("_between")))
 
     def closer_than(g: int) -> Column:
         return F.size(F.filter("_between", lambda x: x < g))
-    return agg.select(*WIN, "key", min_iv.cast("bigint").alias("min_interval_ms"),
+    return agg.select(*WIN, "key", single.otherwise(F.least("_least", F.array_min("_between"))).cast("bigint").alias("min_interval_ms"),
                       *[(F.col(c) + closer_than(g)).cast("bigint").alias(c) for c, g in wanted.items()])
 
 

@@ -313,6 +313,27 @@ SELECT doc_id, len(regexp_extract_all(text, {sql_str(PHONE_PATTERN)})) AS phone_
 FROM documents"""
 
 
+# Identity numbers of 18 and 15 digits, with check letter, twice, and too short ones.
+_ID_TEXT = """CASE c_custkey % 5 WHEN 0 THEN 'id=' || lpad(c_custkey::VARCHAR, 18, '3') || ';'
+    WHEN 1 THEN 'card ' || lpad(c_custkey::VARCHAR, 17, '4') || 'X, ' || lpad(c_custkey::VARCHAR, 17, '5') || 'x'
+    WHEN 2 THEN lpad(c_custkey::VARCHAR, 15, '6') || ' ' || lpad(c_custkey::VARCHAR, 15, '7')
+    WHEN 3 THEN 'short ' || lpad(c_custkey::VARCHAR, 14, '8') ELSE 'none' END"""
+REDACT_IDENTITY = f"""
+SELECT c_custkey, {redact_sql("text", ID_CARD_PATTERN)} AS redacted_text
+FROM (SELECT c_custkey, {_ID_TEXT} AS text FROM customer)"""
+
+# What is empty is written as NULL and read as that text.
+RECORD_ROUND_TRIP = f"""
+SELECT event_id, url, flight_type, behavior_type, travel_type, high_freq_ip,
+       {", ".join(f"coalesce(nullif({c}, ''), 'NULL') AS {c}" for c in ("session_id", "user_id", "core_dep_city", "core_arr_city", "core_flight_date"))},
+       q_dep_city, q_adult_num, q_travel_type, b_dep_city, b_flight_type
+FROM ({PREPROCESSED}) WHERE behavior_type IN ('Query', 'Book')"""
+
+XML_TRAVEL_TYPES = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'OneWay' WHEN o_orderkey % 4 = 1 THEN 'RoundTrip' ELSE 'Unknown' END AS travel_type
+FROM orders"""
+
+
 # ---- step 6 oracles ----------------------------------------------------------
 
 BOOKINGS = """

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.functions.text import format_batch_time
 from tollgate.plans import oracle as O
 from tollgate.sources import dimensions as dim
 from tollgate.sources.requests import load_requests
@@ -29,7 +30,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _fmt(c: str) -> F.Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss").alias(c)
+    return format_batch_time(F.col(c)).alias(c)
 
 
 def tagged_requests(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -184,6 +185,54 @@ def redact_documents(spark: SparkSession, base_dir: str) -> DataFrame:
                     redact_phone(F.col("text")).alias("redacted_text"))
 
 
+@register("redact_identity_cards", O.REDACT_IDENTITY)
+def redact_identity_cards(spark: SparkSession, base_dir: str) -> DataFrame:
+    """P7 over a text with identity numbers of every form for each customer."""
+    from tollgate.functions.redact import redact_id_card
+    from tollgate.sources.tables import read_table
+    c = read_table(spark, base_dir, "customer").select("c_custkey")
+    key = F.col("c_custkey").cast("string")
+
+    def number(digits, fill):
+        return F.lpad(key, digits, fill)
+    k = F.col("c_custkey") % 5
+    text = (F.when(k == 0, F.concat(F.lit("id="), number(18, "3"), F.lit(";")))
+            .when(k == 1, F.concat(F.lit("card "), number(17, "4"), F.lit("X, "), number(17, "5"), F.lit("x")))
+            .when(k == 2, F.concat(number(15, "6"), F.lit(" "), number(15, "7")))
+            .when(k == 3, F.concat(F.lit("short "), number(14, "8"))).otherwise(F.lit("none")))
+    return c.select("c_custkey", redact_id_card(text).alias("redacted_text"))
+
+
+@register("record_round_trip", O.RECORD_ROUND_TRIP)
+def record_round_trip(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Query and booking records written as nineteen-field lines and read back."""
+    from tollgate.functions.codec import from_record_line, to_record_line
+    from tollgate.operators.filters import by_behavior
+    from tollgate.plans.preprocess import structured
+    rec = by_behavior(structured(_preprocessed(spark, base_dir)), "Query", "Book")
+    rec = rec.withColumn("source_data", F.col("event_id").cast("string"))
+    back = from_record_line(rec.select(to_record_line(rec).alias("value")))
+    q, b = F.col("query_data"), F.col("book_data")
+    return back.select(F.col("source_data").cast("bigint").alias("event_id"), F.col("request").alias("url"), "flight_type", "behavior_type",
+                       "travel_type", "high_freq_ip", "session_id", "user_id",
+                       *[F.col(c).alias(f"core_{c}") for c in ("dep_city", "arr_city", "flight_date")],
+                       q["dep_city"].alias("q_dep_city"), q["adult_num"].alias("q_adult_num"), q["travel_type"].alias("q_travel_type"),
+                       F.array_join(b["dep_city"], ",").alias("b_dep_city"), b["flight_type"].alias("b_flight_type"))
+
+
+@register("xml_travel_types", O.XML_TRAVEL_TYPES)
+def xml_travel_types(spark: SparkSession, base_dir: str) -> DataFrame:
+    """G6 over an XML booking for each order; one in four is malformed, one names no known type."""
+    from tollgate.operators.tags import xml_travel_type
+    from tollgate.sources.tables import read_table
+    o = read_table(spark, base_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey") % 4
+    seg = F.when(k == 0, F.lit("S")).when(k == 1, F.lit("R")).otherwise(F.lit("Q"))
+    xml = F.concat(F.lit("<page><SEGMENT><SEGTYPE>"), seg, F.lit("</SEGTYPE></SEGMENT>"), F.when(k == 3, F.lit("<open>")).otherwise(F.lit("")),
+                   F.lit("</page>"))
+    return o.select("o_orderkey", xml_travel_type(xml).alias("travel_type"))
+
+
 # ---- step 6: booking-side catalogue (bookings, payments, cancellations, unpaid) ----
 
 def _booking_metrics(window):

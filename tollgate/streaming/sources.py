@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tollgate.operators.metrics import duration_ms
 
@@ -38,14 +37,6 @@ def file_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None
     return r.load(path)
 
 
-def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("parquet").schema(schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
-
-
 def with_topic(df: DataFrame, behavior_col: str = "behavior_type") -> DataFrame:
     """IO11 routing: Query -> processedQuery, Book -> processedBook, Other nowhere."""
     topic = (F.when(F.col(behavior_col) == "Query", F.lit("processedQuery"))
