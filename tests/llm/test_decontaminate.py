@@ -71,9 +71,9 @@ def test_edges(spark, make_docs):
     docs = make_docs([(1, f"x {item.upper()} y"), (2, None), (3, ""), (None, item), (5, "short"), (6, "w " * 80_000 + item), (1, f"x {item.upper()} y")])
     got = D.find_items(docs, bench).collect()
     assert sorted(((r.doc_id, r.item_id) for r in got), key=repr) == sorted(
-        [(d, k) for d in (1, 1, None, 6) for k in (1, 1, None)], key=repr)
+        [(5, 3), *[(d, k) for d in (1, 1, None, 6) for k in (1, 1, None)]], key=repr)
     assert {r.distance for r in got} == {0}
-    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [2, 3, 5]
+    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench).collect()) == [2, 3]
     none = spark.createDataFrame([], kind)
     assert D.find_items(docs, none).count() == 0 and D.drop_contaminated(docs, none).count() == docs.count()
     assert D.find_items(make_docs([]), bench).count() == 0 and D.drop_contaminated(make_docs([]), bench).count() == 0
@@ -81,6 +81,18 @@ def test_edges(spark, make_docs):
     assert D.drop_contaminated(odd, bench).collect() == odd.collect()
 
 
+@pytest.mark.parametrize("block_chars", [1 << 20, 12])
+def test_short_items_are_found_as_whole_words(spark, make_docs, block_chars):
+    bench = spark.createDataFrame([(1, "What is  9 x 11?"), (2, "cat"), (3, "a"), (4, "?!"), (5, " ")], "item_id long, text string")
+    texts = ["Q: what is 9 x 11? Ninety-nine", "what is 9 x 12?", "concatenate", "the cat, sat", "CAT", "a", "banana", "wow?!", "?x!", "xwhat is 9 x 11?"]
+    got = {(r.doc_id, r.item_id, r.distance) for r in D.find_items(make_docs(texts), bench, block_chars=block_chars).collect()}
+    assert got == {(0, 1, 0), (3, 2, 0), (4, 2, 0), (5, 3, 0), (7, 4, 0)}
+    left = D.drop_contaminated(make_docs(texts), bench, block_chars=block_chars)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2, 6, 8, 9]
+    if block_chars == 12:                                   # one stage of Python per plan, whatever the number of blocks
+        assert left._jdf.queryExecution().toString().count("MapInArrow") <= 1
+
+
 def test_a_tenth_of_the_characters_may_be_edited(spark, make_docs):
     """The expected budget is fixed here: n // 10 edits, also for short items and those of 24 to 400 characters."""
     rng = random.Random(17)
@@ -102,4 +114,4 @@ def test_a_tenth_of_the_characters_may_be_edited(spark, make_docs):
     got = {(r.doc_id, r.item_id, r.distance) for r in D.find_items(make_docs(rows), bench).collect()}
     assert got == want
     assert {(k, d) for _, k, d in got} >= {(k, len(item) // 10) for k, item in enumerate(items)}
-    assert [D.budget(n) for n in range(5000)] == [n // 10 for n in range(5000)]
+    assert [D.budget(n) for n in range(5000)] == [0 if n < 20 else n // 10 for n in range(5000)]    # short items: exactly

@@ -45,3 +45,36 @@ def test_predictions_do_not_depend_on_language_or_source(make_docs):
     a = langid.predict(make_docs(rows), model, ["doc_id"]).orderBy("doc_id").collect()
     b = langid.predict(make_docs([(i, t, "xx", "yy") for i, t, _ in rows]), model, ["doc_id"]).orderBy("doc_id").collect()
     assert a == b
+
+
+def test_und_means_no_letter(make_docs):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 8)]
+    model = langid.learn(make_docs(rows), F.lit(True))
+    odd = ["² ½ Ⅷ", "٣٤", "_-_", "٪", "́", "½ x", "ª", "ʰ", "好"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(make_docs(odd), model, ["doc_id"]).collect()}
+    assert [got[i] == "und" for i in range(len(odd))] == [True] * 5 + [False] * 4
+
+
+def test_decoding_by_brute_force(make_docs):
+    """Bits, losses and scores computed again from the counts, code and calibration that were learned."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de"),
+                                                        ("le chat et le chien", "fr")] * 6)]
+    model = langid.learn(make_docs(rows), F.lit(True))
+    assert model.languages == ["de", "en", "fr"] and model.code.shape[0] == 3
+    for text in ("the dog and", "die katze", "chien", "xyz", "der chat the"):
+        grams = langid.trigrams(text)
+        margin = [sum(float(model.odds[g][b]) for g in grams) / len(grams) for b in range(model.code.shape[1])]
+        loss = [sum(float(model.weight[b]) * float(np.logaddexp(0, -model.code[k][b] * (model.slope[b] * margin[b] + model.offset[b])))
+                    for b in range(len(margin))) for k in range(3)]
+        lang, score, ambiguous = langid.decide(model, text)
+        assert lang == model.languages[int(np.argmin(loss))]
+        assert score == pytest.approx(1 / sum(np.exp(min(loss) - x) for x in loss), rel=1e-4) and ambiguous == (score < langid.SURE)
+
+
+def test_empty_table_and_clashing_columns(spark, make_docs):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 8)]
+    model = langid.learn(make_docs(rows), F.lit(True))
+    assert langid.predict(make_docs([]), model, ["doc_id"]).count() == 0
+    odd = make_docs(rows).selectExpr("*", "'x' AS score", "1 AS lang_pred", "2 AS ambiguous")
+    a, b = (sorted(map(tuple, langid.predict(d, model, ["doc_id"]).collect())) for d in (odd, make_docs(rows)))
+    assert a == b

@@ -9,25 +9,29 @@ often by chance, so the pieces of an item are halved into a binary tree: if j ne
 at most j - 1 edits, so does one of the halves, with its own number of pieces. From some intact piece up
 all nodes are thus within their budgets, and a hit ends at the first node that is not.
 
-Items are a stated query set: they are taken in blocks of ``BLOCK_CHARS`` characters, each block
-goes to the tasks and passes over all documents, so memory does not depend on their number.
+An item shorter than ``MIN_ITEM`` characters occurs where it stands unchanged, as whole words.
 
-Defined results: null items and items shorter than ``MIN_ITEM`` characters (of which a match
-would say nothing) are ignored; null and empty texts contain nothing; repeated items and rows
-are reported each; an empty benchmark leaves all documents; other columns pass through.
+Items are a stated query set: they are taken in blocks of ``BLOCK_CHARS`` characters, one after the other. A block
+goes to the tasks and passes over all documents, and what it finds (or leaves) is written before the next one
+is read, so the driver and a task hold one block at a time, whatever their number.
+
+Defined results: null and empty items are ignored; null and empty texts contain nothing; texts of any
+length are searched whole; repeated items and rows are reported each, of equally near occurrences the first; an empty
+benchmark leaves all documents, an empty table gives no rows; other columns pass through.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ship
+from tollgate.llm.common import ship, write_table
 
 ERROR_RATE = 0.1
 MIN_ITEM = 20
@@ -39,7 +43,13 @@ def normal(text: str) -> str:
 
 
 def budget(n: int, error_rate: float = ERROR_RATE) -> int:
-    return int(error_rate * n)
+    return int(error_rate * n) if n >= MIN_ITEM else 0
+
+
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether ``text[start:end]`` begins and ends where words do."""
+    return not ((start > 0 and text[start - 1].isalnum() and text[start].isalnum())
+                or (end < len(text) and text[end - 1].isalnum() and text[end].isalnum()))
 
 
 def letters(pattern: str) -> dict[str, int]:
@@ -123,6 +133,8 @@ class ItemIndex:
             for k, at, piece in where:
                 _, item, edits, _ = self.items[k]
                 start = last + 1 - size - at
+                if len(item) < MIN_ITEM and not stands_alone(text, start, last + 1):
+                    continue
                 if not self.may_begin(k, piece, text, start):
                     continue
                 near[k].append((max(0, start - edits), min(len(text), start + len(item) + edits)))
@@ -145,17 +157,17 @@ class ItemIndex:
                 yield item_id, *best
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int):
-    """Lists of (item id, normal text), each of about ``block_chars`` characters."""
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """Number of blocks, and the blocks one by one: lists of (item id, normal text) of about ``block_chars`` characters."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
         .filter("text is not null")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // block_chars))
-    for b in range(n):
+
+    def block(b: int) -> list[tuple[int, str]]:
         part = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == b).collect() if chars else []
-        items = [(r.id, t) for r in part if len(t := normal(r.text)) >= MIN_ITEM]
-        if items:
-            yield sorted(items, key=lambda x: (x[0] is None, x))
+        return sorted([(r.id, t) for r in part if (t := normal(r.text))], key=lambda x: (x[0] is None, x))
+    return n, (items for items in map(block, range(n)) if items)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -179,17 +191,18 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = "doc_id long, item_id long, distance int, end long"
-    found = None
-    for items in item_blocks(benchmark, item_id, item_text, block_chars):
+    n, blocks = item_blocks(benchmark, item_id, item_text, block_chars)
+    found = []
+    for items in blocks:
         block = texts.mapInArrow(search(items), kind)
-        found = block if found is None else found.union(block)
-    return found if found is not None else docs.sparkSession.createDataFrame([], kind)
+        found.append(block if n == 1 else write_table(block, "found-items"))
+    return reduce(DataFrame.union, found) if found else docs.sparkSession.createDataFrame([], kind)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
                       item_text: str = "text", error_rate: float = ERROR_RATE,
                       block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents that contain no item, as they came; without a shuffle."""
+    """The documents that contain no item, as they came; without a shuffle. Several blocks write what each one leaves."""
     place = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def keep(items):
@@ -201,8 +214,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
                 yield batch.filter(pa.array(clean, pa.bool_()))
         return run
 
-    for items in item_blocks(benchmark, item_id, item_text, block_chars):
-        docs = docs.mapInArrow(keep(items), docs.schema)
+    n, blocks = item_blocks(benchmark, item_id, item_text, block_chars)
+    for items in blocks:
+        left = docs.mapInArrow(keep(items), docs.schema)
+        docs = left if n == 1 else write_table(left, "uncontaminated")
     return docs
 
 

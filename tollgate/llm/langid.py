@@ -20,7 +20,6 @@ rows count as often as they come; other columns are ignored or pass through.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import product
 
@@ -38,7 +37,6 @@ UNKNOWN = "und"
 EXHAUSTIVE = 6             # languages up to which every partition into two is a bit
 CHUNK = 1 << 16
 
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[[c for c in range(128) if not chr(c).isalpha()]] = 32
 
@@ -93,7 +91,7 @@ def losses(model: Model, text: str) -> np.ndarray:
 
 def decide(model: Model, text: str | None) -> tuple[str, float, bool]:
     """(language, score, ambiguous) of one text."""
-    if not model.languages or text is None or not _LETTER.search(text):
+    if not model.languages or text is None or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
     loss = losses(model, text)
     share = np.exp(loss.min() - loss)
