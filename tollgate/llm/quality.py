@@ -3,22 +3,25 @@
 Two logistic classifiers tell clean documents from those to reject (low quality or toxic). The
 text view sees what the text is made of: words, word beginnings, endings that are no letters,
 and ratios of the whole text. The metadata view sees source, language, their pair, and sizes; it
-never sees words. Both start from labelled documents. In each round every view scores a pool of unlabelled
-documents, and those of which it is most certain join, with its verdict, the training rows of the
-*other* view. A view is calibrated on labelled rows kept back from training, and is only as
-certain as it was right there, so a weak view exchanges little or nothing. At the end a logistic
-combination of both calibrated views, fitted on the rows kept back, scores every whole text.
-
-Bounds: ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` unlabelled documents, drawn by the hash of their
-ids, are read as hashed features for fitting (their ids are joined as a broadcast of that size);
-a model is at most ``FEATURES`` numbers a view. Everything is scored.
-
-Defined results: a null or empty text has no words and is scored by its ratios and metadata;
-null source or language is a value of its own; a label row is "reject" if quality is 0 or
+never sees words. Both start from labelled documents. In each round every view scores *all* documents that are not
+among the labelled rows, and those of which it is certain are, with its verdict, evidence for the *other*
+view: over the whole table the other view's features are counted by verdict, and a feature that labelled
+rows do not settle gets its log odds from these counts as weight. A view is calibrated on labelled rows
+kept back from training, and is only as certain as it was right there, so a weak view exchanges
+little or nothing. At the end a logistic combination of both calibrated views, fitted on the rows kept back,
+scores every whole text.
+
+Bounds: ``LABELLED_ROWS`` labelled documents, drawn by the hash of their ids, are read on the driver as hashed
+features for fitting (their ids are joined as a broadcast of that size). Unlabelled documents are not drawn at all:
+their features are written once, each round reads them and sends two counts per feature, at most ``FEATURES`` numbers a
+view and verdict, as a model has.
+
+Defined results: a null or empty text has no words and is scored by its ratios and metadata; a text of any length
+counts whole; null source or language is a value of its own; a label row is "reject" if quality is 0 or
 toxic is 1, "clean" if quality is 1, else it is no label; if an id has several, one "reject" decides (of
-rows that share an id the least text is read for fitting); without
-labels of both kinds every document scores 1 and is kept; repeated rows get the same score;
-other columns pass through.
+rows that share an id the least text is read for fitting); of equally drawn labels the lower id comes first; without
+labels of both kinds every document scores 1 and is kept; an empty table gives no rows; repeated rows get the same
+score; other columns pass through.
 """
 
 from __future__ import annotations
@@ -29,16 +32,17 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ship
+from tollgate.llm.common import ship, write_table
 
 LABELLED_ROWS = 8000
-POOL_ROWS = 4000
 ROUNDS = 3
 CERTAIN = 0.98             # calibrated probability from which a pseudo-label is exchanged
-EXCHANGE = 300             # pseudo-labels of each kind per view and round
+STRONG = 1.0               # log odds from which pseudo-labels count as evidence for a feature
+MOST = 4.0                 # and at most this much
 FEATURES = 1 << 18
 KEEP_FROM = 0.4            # score from which a document is kept
 MIN_ROWS = 4               # training documents a feature must be in
@@ -119,28 +123,50 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     return theta
 
 
-def fit(rows: list[np.ndarray], clean: np.ndarray) -> View:
-    """Logistic regression over the features that differ significantly between both kinds."""
+def significant(c1: np.ndarray, c0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Features in enough rows whose share differs between both kinds."""
+    share = (c1 + c0) / (n1 + n0)
+    deviation = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
+    return (c1 + c0 >= MIN_ROWS) & (np.abs(c1 / n1 - c0 / n0) >= MIN_Z * deviation)
+
+
+def evidence(counts: np.ndarray | None) -> np.ndarray:
+    """Log odds of the features by pseudo-labels; 0 where they say little."""
+    if counts is None or not counts[:, FEATURES].all():
+        return np.zeros(FEATURES)
+    (c0, c1), (n0, n1) = counts[:, :FEATURES], counts[:, FEATURES]
+    odds = np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1))
+    return np.where(significant(c1, c0, n1, n0) & (np.abs(odds) >= STRONG), np.clip(odds, -MOST, MOST), 0.0)
+
+
+def fit(rows: list[np.ndarray], clean: np.ndarray, counts: np.ndarray | None = None) -> View:
+    """Logistic regression over the features that differ significantly between both kinds of labelled rows.
+
+    All other features have the weights that the pseudo-labels give them (``counts``), as far as these help with the labelled rows.
+    """
     n1, n0 = clean.sum(), (~clean).sum()
     c1, c0 = np.zeros(FEATURES, np.int32), np.zeros(FEATURES, np.int32)
     for row, kind in zip(rows, clean):                     # features of a row are distinct
         (c1 if kind else c0)[row] += 1
-    share = (c1 + c0) / len(rows)
-    deviation = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    use = (c1 + c0 >= MIN_ROWS) & (np.abs(c1 / n1 - c0 / n0) >= MIN_Z * deviation)
+    use = significant(c1, c0, n1, n0)
+    view, y = View(), clean.astype(float)
+    given = evidence(counts) * ~use
+    told = np.array([given[r].sum() for r in rows])
+    scale = np.abs(told).max() or 1.0
+    trust = min(1.0, max(0.0, logistic(np.stack([told / scale, np.ones(len(told))], 1), y)[0] / scale)) if told.any() else 1.0
+    given, told = given * trust, told * trust
     rows = [r[use[r]] for r in rows]
     flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    view, y = View(), clean.astype(float)
     w, square, bias, bias_square = np.zeros(FEATURES), np.full(FEATURES, 1e-8), 0.0, 1e-8
     for _ in range(300):                                   # Adagrad on the whole set
-        z = np.bincount(of, w[flat], len(rows)) + bias
+        z = np.bincount(of, w[flat], len(rows)) + told + bias
         err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
         grad = np.bincount(flat, err[of], FEATURES) + RIDGE * w
         square += grad ** 2
         bias_square += err.sum() ** 2
         w -= 0.3 * grad / np.sqrt(square)
         bias -= 0.3 * err.sum() / np.sqrt(bias_square)
-    view.weights, view.bias = w.astype(np.float32), float(bias)
+    view.weights, view.bias = (w + given).astype(np.float32), float(bias)
     return view
 
 
@@ -151,41 +177,49 @@ def calibrate(view: View, rows: list[np.ndarray], clean: np.ndarray) -> None:
     view.slope = max(0.0, slope) / scale
 
 
-def most_certain(view: View, rows: list[np.ndarray], free: np.ndarray) -> list[tuple[int, bool]]:
-    """(row, clean) of the rows whose verdict is certain, the surest of each kind first."""
-    p = 1 / (1 + np.exp(-np.clip([view.logit(rows[i]) for i in free], -50, 50)))
-    found = []
-    for clean, q in ((True, p), (False, 1 - p)):
-        order = np.argsort(-q, kind="stable")[:EXCHANGE]
-        found += [(int(free[k]), clean) for k in order if q[k] >= CERTAIN]
-    return found
+def certain(view: View, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """1 for rows that the view is certain are clean, 0 for those to reject, -1 for the others; rows are runs of ``flat``."""
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    raw = np.bincount(of, view.weights[flat], len(lengths)) + view.bias
+    limit = np.log(CERTAIN / (1 - CERTAIN))
+    logit = view.slope * raw + view.offset
+    return np.where(logit >= limit, 1, np.where(logit <= -limit, 0, -1))
+
 
+def tally(views: list[View], rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """[view, kind, feature]: rows that hold a view's feature, by the certain verdict of the other view; at ``FEATURES`` all rows."""
+    counts = np.zeros((2, 2, FEATURES + 1), np.int64)
+    verdicts = [certain(v, *r) for v, r in zip(views, rows)]
+    for k, (flat, lengths) in enumerate(rows):
+        told = verdicts[1 - k]
+        of_feature = np.repeat(told, lengths)
+        for kind in (0, 1):
+            counts[k, kind, :FEATURES] += np.bincount(flat[of_feature == kind], minlength=FEATURES)
+            counts[k, kind, FEATURES] += int((told == kind).sum())
+    return counts
 
-def co_train(text: list[np.ndarray], metadata: list[np.ndarray], clean: np.ndarray,
-             pool_text: list[np.ndarray], pool_metadata: list[np.ndarray], rounds: int = ROUNDS) -> Model | None:
-    """Model from labelled rows (a fourth of them kept back) and a pool of unlabelled ones."""
+
+def co_train(text: list[np.ndarray], metadata: list[np.ndarray], clean: np.ndarray, exchange, rounds: int = ROUNDS) -> Model | None:
+    """Model from labelled rows (a fourth of them kept back) and the pseudo-labels of all others.
+
+    ``exchange(views)`` gives the ``tally`` of the unlabelled rows.
+    """
     back = np.arange(len(clean)) % 4 == 3
     learn = ~back
     if not (clean[learn].any() and (~clean[learn]).any() and clean[back].any() and (~clean[back]).any()):
         return None
-    views, pools = ([text, metadata], [pool_text, pool_metadata])
-    given: list[dict[int, bool]] = [{}, {}]                # pseudo-labels that each view received
     pick = lambda rows, mask: [r for r, m in zip(rows, mask) if m]
+    counts: list[np.ndarray | None] = [None, None]
     for r in range(rounds + 1):
         fitted = []
-        for rows, pool, more in zip(views, pools, given):
-            view = fit(pick(rows, learn) + [pool[i] for i in more],
-                       np.concatenate((clean[learn], np.array(list(more.values()), bool))))
+        for rows, more in zip((text, metadata), counts):
+            view = fit(pick(rows, learn), clean[learn], more)
             calibrate(view, pick(rows, back), clean[back])
             fitted.append(view)
         if r == rounds:
             break
-        before = [len(g) for g in given]
-        for k in (0, 1):
-            free = np.array([i for i in range(len(pool_text)) if i not in given[1 - k]], np.int64)
-            if len(free):
-                given[1 - k].update(most_certain(fitted[k], pools[k], free))
-        if before == [len(g) for g in given]:
+        before, counts = counts, list(exchange(fitted))
+        if all(a is not None and np.array_equal(a, b) for a, b in zip(before, counts)):
             break
     logits = np.array([[v.logit(r) for v, r in zip(fitted, pair)] + [1.0]
                        for pair in zip(pick(text, back), pick(metadata, back))])
@@ -211,36 +245,67 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col
                        F.col(lang_col).cast("string").alias("lang"), F.length(text).cast("long").alias("size"))
 
 
+def _features(batch: pa.RecordBatch) -> list[pa.Array]:
+    """Hashed features of rows with text, source, lang and size."""
+    rows = batch.to_pylist()
+    return [pa.array([text_features(r["text"]) for r in rows], pa.list_(pa.int32())),
+            pa.array([metadata_features(r["source"], r["lang"], r["size"]) for r in rows], pa.list_(pa.int32()))]
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    return column.flatten().to_numpy(), column.value_lengths().to_numpy()
+
+
+def exchange_over(features: DataFrame):
+    """``exchange`` of ``co_train`` over a table of features: counted in tasks, added up in Spark."""
+    slots = 2 * 2 * (FEATURES + 1)
+
+    def run(views: list[View]) -> np.ndarray:
+        def count(batches):
+            counts = np.zeros((2, 2, FEATURES + 1), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    counts += tally(views, [_flat(batch.column(0)), _flat(batch.column(1))])
+            seen = np.flatnonzero(counts.reshape(-1))
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts.reshape(-1)[seen], pa.int64())], ["slot", "n"])
+
+        got = features.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()   # at most ``slots`` rows
+        counts = np.zeros(slots, np.int64)
+        counts[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+        return counts.reshape(2, 2, FEATURES + 1)
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-          lang_col: str = "lang", labelled_rows: int = LABELLED_ROWS, pool_rows: int = POOL_ROWS,
-          rounds: int = ROUNDS) -> Model | None:
+          lang_col: str = "lang", labelled_rows: int = LABELLED_ROWS, rounds: int = ROUNDS) -> Model | None:
     """Co-trained model, or None if there are not both kinds of labels."""
     known = labels_of(labels)
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).filter("doc_id is not null")
-    draw = F.xxhash64("doc_id")
-    labelled = known.join(ids, "doc_id", "left_semi").orderBy(draw, "doc_id").limit(labelled_rows)
-    pool = (ids.join(known, "doc_id", "left_anti").distinct().orderBy(draw, "doc_id").limit(pool_rows)
-            .select("doc_id", F.lit(-1).alias("clean")))
-    drawn = labelled.union(pool)                            # at most labelled_rows + pool_rows rows of two numbers
+    drawn = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
 
     def read(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([text_features(r["text"]) for r in rows], pa.list_(pa.int32())),
-                 pa.array([metadata_features(r["source"], r["lang"], r["size"]) for r in rows], pa.list_(pa.int32()))],
-                ["doc_id", "clean", "text", "metadata"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *_features(batch)], ["doc_id", "clean", "text", "metadata"])
 
-    got = (_rows(docs, id_col, text_col, source_col, lang_col).join(F.broadcast(drawn), "doc_id")
+    rows = _rows(docs, id_col, text_col, source_col, lang_col)
+    got = (rows.join(F.broadcast(drawn), "doc_id")          # at most labelled_rows rows of two numbers
            .groupBy("doc_id", "clean").agg(F.min(F.struct("text", "source", "lang", "size")).alias("r"))   # ids may repeat
            .select("doc_id", "clean", "r.*")
            .mapInArrow(read, "doc_id long, clean int, text array<int>, metadata array<int>").toArrow())
     text, metadata = (lists_of(got.column(c)) for c in ("text", "metadata"))
-    order = sorted((zlib.crc32(str(i).encode()), i, k) for k, i in enumerate(got.column("doc_id").to_pylist()))
-    clean = got.column("clean").to_numpy()
-    own, free = ([k for *_, k in order if (clean[k] >= 0) == labelled] for labelled in (True, False))
-    return co_train([text[k] for k in own], [metadata[k] for k in own], clean[own] == 1,
-                    [text[k] for k in free], [metadata[k] for k in free], rounds)
+    own = [k for *_, k in sorted((zlib.crc32(str(i).encode()), i, k) for k, i in enumerate(got.column("doc_id").to_pylist()))]
+    clean = got.column("clean").to_numpy()[own] == 1
+    if clean.all() or not clean.any():
+        return None
+    labelled = pa.array(sorted(got.column("doc_id").to_pylist()), pa.int64())
+
+    def others(batches):
+        for batch in batches:
+            left = batch.filter(pc.invert(pc.fill_null(pc.is_in(batch.column(0), value_set=labelled), False)))
+            yield pa.RecordBatch.from_arrays(_features(left), ["text", "metadata"])
+
+    features = write_table(rows.mapInArrow(others, "text array<int>, metadata array<int>"), "quality-features")
+    return co_train([text[k] for k in own], [metadata[k] for k in own], clean, exchange_over(features), rounds)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
