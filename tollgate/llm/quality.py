@@ -5,8 +5,8 @@ text view sees what the text is made of: words, word beginnings, endings that ar
 and ratios of the whole text. The metadata view sees source, language, their pair, and sizes; it
 never sees words. Both start from labelled documents. In each round every view scores *all* documents that are not
 among the labelled rows, and those of which it is certain are, with its verdict, evidence for the *other*
-view: over the whole table the other view's features are counted by verdict, and a feature that labelled
-rows do not settle gets its log odds from these counts as weight. A view is calibrated on labelled rows
+view: over the whole table the other view's features are counted by verdict, and a feature that too few
+labelled rows hold to settle gets its log odds from these counts as weight. A view is calibrated on labelled rows
 kept back from training, and is only as certain as it was right there, so a weak view exchanges
 little or nothing. At the end a logistic combination of both calibrated views, fitted on the rows kept back,
 scores every whole text.
@@ -46,6 +46,7 @@ MOST = 4.0                 # and at most this much
 FEATURES = 1 << 18
 KEEP_FROM = 0.4            # score from which a document is kept
 MIN_ROWS = 4               # training documents a feature must be in
+SETTLED = 30               # labelled documents from which pseudo-labels add nothing to a feature
 MIN_Z = 3.0                # standard deviations its share must differ by
 RIDGE = 0.05
 
@@ -142,7 +143,7 @@ def evidence(counts: np.ndarray | None) -> np.ndarray:
 def fit(rows: list[np.ndarray], clean: np.ndarray, counts: np.ndarray | None = None) -> View:
     """Logistic regression over the features that differ significantly between both kinds of labelled rows.
 
-    All other features have the weights that the pseudo-labels give them (``counts``), as far as these help with the labelled rows.
+    Features that too few labelled rows hold to settle have the weights that the pseudo-labels give them (``counts``).
     """
     n1, n0 = clean.sum(), (~clean).sum()
     c1, c0 = np.zeros(FEATURES, np.int32), np.zeros(FEATURES, np.int32)
@@ -150,11 +151,8 @@ def fit(rows: list[np.ndarray], clean: np.ndarray, counts: np.ndarray | None = N
         (c1 if kind else c0)[row] += 1
     use = significant(c1, c0, n1, n0)
     view, y = View(), clean.astype(float)
-    given = evidence(counts) * ~use
+    given = evidence(counts) * (~use & (c1 + c0 < SETTLED))
     told = np.array([given[r].sum() for r in rows])
-    scale = np.abs(told).max() or 1.0
-    trust = min(1.0, max(0.0, logistic(np.stack([told / scale, np.ones(len(told))], 1), y)[0] / scale)) if told.any() else 1.0
-    given, told = given * trust, told * trust
     rows = [r[use[r]] for r in rows]
     flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     w, square, bias, bias_square = np.zeros(FEATURES), np.full(FEATURES, 1e-8), 0.0, 1e-8
