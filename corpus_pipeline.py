@@ -18,22 +18,32 @@ from tollgate.sources.tables import read_table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps, as they came. Null and empty texts are judged by their metadata; texts
+    of any length count whole; repeated rows share a verdict; without labels of both kinds, or without documents, all stay."""
     return quality.keep_clean(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents without later copies of repeated line runs, ``n_chars`` brought up to date. The copy in the
+    smallest id (null first) stays, then the first in its text; null texts stay null; a text may become empty."""
     return lines.without_repeats(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-equal ones, that with the smallest id. Null, empty and blank texts are one
+    group; of rows that share the id one stays; a text of any length has one fingerprint; no documents give none."""
     return simhash.keep_one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in whose whole text no test item occurs within its edit budget, as they came, repeated rows
+    too. Null and empty texts and an empty benchmark leave all."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row per document and epoch. Null is a source of its own; documents without words are in no
+    block; equal hashes go by id; no documents give no mix."""
     return mixing.mix(docs)
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +38,17 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_by_worker(name: str, key: object, make: Callable[[], object]):
+    """What a Python worker keeps from task to task under ``name``: made anew where ``key`` differs from the last one's.
+
+    Task code comes by value, with globals of its own for every task, so it is kept in a module of the process.
+    """
+    place = sys.modules.setdefault("_tollgate_worker", types.ModuleType("_tollgate_worker")).__dict__
+    if name not in place or place[name][0] != key:
+        place[name] = key, make()
+    return place[name][1]
+
+
 def dealt_anew(per_key: DataFrame) -> DataFrame:
     """An aggregate per key, to be joined to the rows it was made of, in partitions of its own.
 

@@ -14,7 +14,7 @@ as long as the next prefix, so ranks cost what repeats, not what the corpus hold
 lines with h <= q < 2h is named by two overlapping ranks.
 
 Defined results: a null text has no lines and stays null; an empty text is one empty line;
-lines are cut at line feeds; a null id is the smallest; rows equal in id and text are the same
+lines are cut at line feeds, and texts and lines of any length count whole; a null id is the smallest; rows equal in id and text are the same
 document and keep the same lines; a text all of whose lines went is empty; an empty table
 stays empty; other columns pass through, ``n_chars`` (if there) is brought up to date.
 """

@@ -10,12 +10,13 @@ there; no pair within ``max_bits`` can be missed.
 
 Equal fingerprints are one fingerprint with many documents throughout, so a group of copies of
 any size costs one row. Anchors that are home to many different fingerprints are compared in
-blocks of bounded size which return a spanning forest instead of all pairs.
+blocks which return a spanning forest instead of all pairs; blocks are sized by the anchor's home fingerprints, with 17
+replicated ones reckoned for each of them (the mean over all anchors, not counted anchor by anchor).
 
 Defined results: a null or empty text, or one of white space only, has fingerprint zero and is
 linked like any other; with fewer words than a shingle the whole sequence is the shingle; rows
 with a null id take part, and a component whose ids are all null has a null id; repeated rows
-share a fingerprint; other columns are ignored.
+share a fingerprint; texts of any length are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

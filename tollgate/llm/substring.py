@@ -17,8 +17,8 @@ home.
 
 Defined results: a null text has no words; fewer words than a window are never removed; a null
 id counts as the smallest; documents with equal ids do not repeat each other, nor does a
-repeated row; within one document nothing is removed for the document's own sake; other
-columns are ignored.
+repeated row; within one document nothing is removed for the document's own sake; texts of any length
+are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ another one has moved as far, both up to ``DRIFT`` units.
 Defined results: null and empty texts have no anchors and are alike to each other only
 (likeness 1, else 0); any other text without a closed syncmer is its own anchor; equal texts have equal
 fingerprints; in the order of documents null ids come first, equal ids are ordered by their
-texts' hashes, and a single document is its own next one; other columns are ignored.
+texts' hashes, and a single document is its own next one; texts of any length are read whole; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations

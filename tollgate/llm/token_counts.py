@@ -15,7 +15,8 @@ steps are compiled into deterministic transducers, and their cascade counts the
   bears on: the places at which a token could have begun that is not yet complete, with the last token before each
   and the tokens counted there. Reading a byte completes the one token whose neighbour fits, and its
   annotation is one more than the count where that token began. States are built when first reached and
-  interned; at ``STATES`` states a task starts anew, as automata built on demand do, at no cost but time.
+  interned; at ``STATES`` states a worker starts anew, as automata built on demand do, at no cost but time.
+  A Python worker keeps what it has built from task to task.
 
 The vocabulary is read on the driver and shipped as it is: its size is fixed, and its file need not be seen by executors.
 Long texts are read in segments: after a cut the word transducer is in its first state, so a segment
@@ -28,6 +29,7 @@ gives no rows; texts of any length are counted whole; only the id and the text c
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import ship
+from tollgate.llm.common import kept_by_worker, ship
 
 # ---- words ------------------------------------------------------------------------------------
 
@@ -259,6 +261,8 @@ class Tokenizer:
         self.vocabulary, self.merges, self.specials = vocabulary, merges, specials
         self.class_from = np.flatnonzero(np.diff(classes, prepend=255))
         self.class_of = classes[self.class_from]           # shipped as runs
+        parts = (*vocabulary, *merges, *specials)
+        self.key = hashlib.sha256(repr((parts, self.class_from.tolist(), self.class_of.tolist())).encode()).hexdigest()
 
     def open(self) -> Tokenizer:
         """Set up what a task works with."""
@@ -348,7 +352,7 @@ _SCHEMA = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", p
 
 def _counter(tokenizer: Tokenizer):
     def count(batches):
-        work = tokenizer.open()
+        work = kept_by_worker("token_counts", tokenizer.key, tokenizer.open)
         for batch in batches:
             ids, n_bytes, n_tokens, group, at, size = batch.column(0), [], [], [], [], 0
             for k, scalar in enumerate(batch.column(1)):

@@ -10,8 +10,9 @@ ranges it wants.
 Defined results: a null payload is an empty one; a null id gives a record without an id (read
 back as null); records below ``REVISIT_MIN_BYTES`` are always responses; every copy of the row
 with the largest id of its group is a response; a group whose ids are all null has no record to
-refer to and stays responses; an empty table writes no package and reads back no rows; other
-columns of the input are ignored.
+refer to and stays responses; of records with equal payloads and ids the tie changes nothing, as all of them are
+responses; a payload of any length is one record, written and read whole; an empty table writes no package and reads
+back no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
