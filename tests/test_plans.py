@@ -55,3 +55,19 @@ def test_large_rule_tables_are_joined_not_collected(spark, monkeypatch):
     rules = spark.range(50).selectExpr("concat('/p', id) AS expression")
     p = plan_of(flag_critical(spark.range(9).selectExpr("concat('/p', id) AS url"), rules), "extended")
     assert "RLIKE" in p.upper() and "/p49" not in p
+
+
+def test_queries_are_built_with_few_jobs(spark):
+    """Three to read and join the rule tables, one per table opened; none per rule or metric."""
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    QUERIES["funnel_by_class"](spark, SF_SMALL)
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 6
+
+
+def test_both_crawler_types_are_scored_once(spark):
+    """The scoring plan below the two joins of blacklisted keys is the same, so its shuffle is reused."""
+    df = QUERIES["user_class_counts"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan") <= 10

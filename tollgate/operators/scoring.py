@@ -19,13 +19,13 @@ def flows_with_strategy(flows: DataFrame, strategies: DataFrame, status: int = 0
     """Flows of a status joined to their strategy (thresholds) on the flow id.
     A flow without a strategy has no thresholds and is left out."""
     return flows.filter(F.col("status") == status).select("flow_id", "flow_name").join(
-        strategies.select("flow_id", "crawler_threshold", "occ_threshold"), "flow_id")
+        strategies.select("flow_id", "crawler_threshold", "occ_threshold").hint("merge"), "flow_id")
 
 
 def rules_with_maintenance(rules: DataFrame, maintenance: DataFrame) -> DataFrame:
     """Rules joined on the rule name to the maintenance table that says which metric a rule
     reads and how it compares. Rules unknown there are left out."""
-    return rules.join(maintenance.select("rule_name", "metric", "cmp"), "rule_name").select(
+    return rules.join(maintenance.select("rule_name", "metric", "cmp").hint("merge"), "rule_name").select(
         "rule_id", "flow_id", "rule_name", "metric", "rule_type", "crawler_type", "status", "arg0", "arg1", "score", "cmp")
 
 
@@ -34,7 +34,7 @@ def nested_flows(flows: DataFrame, strategies: DataFrame, rules: DataFrame, main
     own = rules_with_maintenance(rules.filter(F.col("status") == 0), maintenance).groupBy("flow_id").agg(
         F.sort_array(F.collect_list(F.struct("rule_id", "rule_name", "metric", "rule_type", "crawler_type",
                                              "arg0", "arg1", "score", "cmp"))).alias("rules"))
-    out = flows_with_strategy(flows, strategies, status).join(own, "flow_id", "left")
+    out = flows_with_strategy(flows, strategies, status).join(own.hint("merge"), "flow_id", "left")
     return out.withColumn("rules", F.coalesce("rules", F.array().cast(own.schema["rules"].dataType)))
 
 
@@ -50,7 +50,8 @@ class RuleBook:
 
     @classmethod
     def load(cls, flows: DataFrame, strategies: DataFrame, rules: DataFrame, maintenance: DataFrame) -> RuleBook:
-        return cls(nested_flows(flows, strategies, rules, maintenance))
+        """From the four tables; each is configuration and one partition, so that one job joins and reads them all."""
+        return cls(nested_flows(*[t.coalesce(1) for t in (flows, strategies, rules, maintenance)]))
 
     @classmethod
     def defaults(cls, spark: SparkSession) -> RuleBook:

@@ -329,6 +329,22 @@ SELECT event_id, url, flight_type, behavior_type, travel_type, high_freq_ip,
        q_dep_city, q_adult_num, q_travel_type, b_dep_city, b_flight_type
 FROM ({PREPROCESSED}) WHERE behavior_type IN ('Query', 'Book')"""
 
+# Complete lines with a number (the rules by which lines are damaged), as records of queries and bookings.
+STREAM_RECORDS = f"""
+SELECT url AS request, flight_type, behavior_type, travel_type, high_freq_ip, session_id, user_id, core_dep_city AS dep_city,
+       core_arr_city AS arr_city, core_flight_date AS flight_date, count(*) AS records
+FROM ({PREPROCESSED})
+WHERE behavior_type IN ('Query', 'Book') AND NOT (event_id % 97 = 13 OR event_id % 89 = 7 OR event_id % 83 = 5)
+GROUP BY ALL"""
+
+
+def stream_metrics_sql(window_ms: int, slide_ms: int, pane_ms: int, gap_ms: int) -> str:
+    """The windows that end where the last closed pane ends, or before."""
+    ends = f"(epoch_ms(ts) // {pane_ms} + 1) * {pane_ms}"
+    upto = with_requests(f"SELECT max({ends}) FROM requests WHERE {ends} <= (SELECT max(epoch_ms(ts)) FROM requests)")
+    return f"SELECT * FROM ({metrics_sql(window_ms, slide_ms, gap_ms)}) WHERE epoch_ms(CAST(window_end AS TIMESTAMP)) <= ({upto})"
+
+
 XML_TRAVEL_TYPES = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'OneWay' WHEN o_orderkey % 4 = 1 THEN 'RoundTrip' ELSE 'Unknown' END AS travel_type
 FROM orders"""

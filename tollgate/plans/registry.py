@@ -4,6 +4,7 @@ tables, no sampling) and has, where SQL can express it, a DuckDB twin."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,26 @@ def tagged_requests(spark: SparkSession, base_dir: str) -> DataFrame:
     return flag_critical(load_requests(spark, base_dir), dim.critical_page_rules(spark))
 
 
+class Tables:
+    """The derived tables of one query: each is opened once while the query is built."""
+
+    def __init__(self, spark: SparkSession, base_dir: str):
+        self.spark, self.base_dir = spark, base_dir
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        return load_requests(self.spark, self.base_dir)
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        return flag_critical(self.requests, dim.critical_page_rules(self.spark))
+
+    @cached_property
+    def bookings(self) -> DataFrame:
+        from tollgate.sources.bookings import bookings
+        return bookings(self.spark, self.base_dir)
+
+
 # ---- step 1: requests -> critical flag -> top IPs (P14, F3, A2, A3, N4) -------
 
 TOP_N = 20
@@ -268,32 +289,31 @@ register("unpaid_bookings_total", O.unpaid_sql(None))(_unpaid(None))
 RESTORE_NOW = "2024-01-20 00:00:00"
 
 
-def metrics_long(spark: SparkSession, base_dir: str, gaps: list[int], metrics: set[str] | None = None,
-                 window: str = "1 day") -> DataFrame:
+def metrics_long(tables: Tables, gaps: list[int], metrics: set[str] | None = None, window: str = "1 day") -> DataFrame:
     """Metrics of one tier in long form: per-IP (A2-A8), per block (A1) and the
     booking-side catalogue; close intervals are counted by ``gaps`` (the arg1 of the tier's rules).
     ``metrics`` limits the output to the named metrics, and only what they need
     is computed (Catalyst prunes the unused aggregates and branches)."""
     from tollgate.operators.catalogue import (CATALOGUE_MEASURES, booking_metrics, catalogue_long,
                                               unpaid_bookings)
-    from tollgate.sources.bookings import booking_events, bookings
+    from tollgate.sources.bookings import booking_events
 
     def want(m):
         return metrics is None or m in metrics
     parts = []
     ip_names = {v for v in M.METRIC_NAMES.values() if want(v)}
     if ip_names:
-        wide = M.ip_metrics(tagged_requests(spark, base_dir), window=window, gap_ms=gaps)
+        wide = M.ip_metrics(tables.tagged, window=window, gap_ms=gaps)
         parts.append(M.to_long(wide, only=ip_names))
     if want("ip_block_access"):
-        parts.append(M.ip_block_counts(load_requests(spark, base_dir), window=window).select(
+        parts.append(M.ip_block_counts(tables.requests, window=window).select(
             *M.WIN, F.lit("ip_block_access").alias("metric"), F.col("ip_block").alias("key"),
             F.col("access_count").alias("value")))
     cat = {(m, k) for m in CATALOGUE_MEASURES for k in ("ip_block", "buyer", "contact_name",
                                                          "contact_phone", "passenger", "contact")
            if want(f"{m}_by_{k}")}
     if cat:
-        ev = booking_events(bookings(spark, base_dir))
+        ev = booking_events(tables.bookings)
         measures = tuple(sorted({m for m, _ in cat}))
         kinds = {k for _, k in cat}
         bm = booking_metrics(ev, window, kinds) if set(measures) - {"unpaid"} else None
@@ -308,16 +328,16 @@ def metrics_long(spark: SparkSession, base_dir: str, gaps: list[int], metrics: s
     return out
 
 
-def _flow_scores(spark, base_dir, window="1 day", rule_type=2, crawler_type=None):
+def _flow_scores(tables: Tables, window="1 day", rule_type=2, crawler_type=None):
     """Scores of one tier. With a crawler type only its rules, and only the metrics they name, run."""
-    book = RuleBook.defaults(spark)
-    long = metrics_long(spark, base_dir, book.gaps(rule_type), book.metrics(rule_type, crawler_type), window)
+    book = RuleBook.defaults(tables.spark)
+    long = metrics_long(tables, book.gaps(rule_type), book.metrics(rule_type, crawler_type), window)
     return flow_scores(evaluate_rules(long, book, rule_type, crawler_type))
 
 
 def _scores_query(window, rule_type):
     def run(spark: SparkSession, base_dir: str) -> DataFrame:
-        s = _flow_scores(spark, base_dir, window, rule_type)
+        s = _flow_scores(Tables(spark, base_dir), window, rule_type)
         return s.select(_fmt("window_start"), _fmt("window_end"), "flow_id", "flow_name",
                         "crawler_type", "key", "score", "hit_rules")
     return run
@@ -330,7 +350,7 @@ register("flow_scores_5m", O.FLOW_SCORES_TIER[0])(_scores_query("5 minutes", 0))
 
 def _blacklist(spark, base_dir, keep=()):
     from tollgate.operators.blacklist import to_blacklist_records
-    return to_blacklist_records(blacklist_decisions(_flow_scores(spark, base_dir)), keep=keep)
+    return to_blacklist_records(blacklist_decisions(_flow_scores(Tables(spark, base_dir))), keep=keep)
 
 
 @register("blacklist_daily", O.BLACKLIST)
@@ -365,7 +385,7 @@ def blacklist_restore_hours(spark: SparkSession, base_dir: str) -> DataFrame:
 @register("metric_histogram_daily", O.HISTOGRAM)
 def metric_histogram_daily(spark: SparkSession, base_dir: str) -> DataFrame:
     from tollgate.operators.scoring import metric_histogram
-    h = metric_histogram(metrics_long(spark, base_dir, RuleBook.defaults(spark).gaps(2)))
+    h = metric_histogram(metrics_long(Tables(spark, base_dir), RuleBook.defaults(spark).gaps(2)))
     return h.select(_fmt("window_start"), _fmt("window_end"), "metric", "value", "key_count")
 
 
@@ -383,15 +403,14 @@ def classified_requests(spark: SparkSession, base_dir: str, sets: str = "scraper
     """
     from tollgate.operators.dashboards import agent_buyers, classify_users
     from tollgate.operators.tags import tag_travel_type
-    from tollgate.sources.bookings import bookings
+    tables = Tables(spark, base_dir)
     wanted = [k for k, name in enumerate(("scraper", "hoarding")) if name in sets]
     black = None
     if wanted:
-        scores = _flow_scores(spark, base_dir, crawler_type=wanted[0] if len(wanted) == 1 else None)
+        scores = _flow_scores(tables, crawler_type=wanted[0] if len(wanted) == 1 else None)
         black = blacklist_decisions(scores)
-    req = tag_travel_type(load_requests(spark, base_dir))
-    return classify_users(req, black, {0, 1} & set(wanted),
-                          agent_buyers(bookings(spark, base_dir), AGENT_MIN_BUYERS) if "agent" in sets else None)
+    return classify_users(tag_travel_type(tables.requests), black, {0, 1} & set(wanted),
+                          agent_buyers(tables.bookings, AGENT_MIN_BUYERS) if "agent" in sets else None)
 
 
 def _dash(name, fn_name, *args, sets="", select=None):
@@ -434,10 +453,10 @@ def _features(spark: SparkSession, base_dir: str) -> DataFrame:
     """Daily metric vectors with the rule verdict, written once: both models read them many times."""
     from tollgate.operators.detectors import feature_frame
     from tollgate.plans.jobs import materialise
-    gaps = RuleBook.defaults(spark).gaps(2)
-    wide = M.ip_metrics(tagged_requests(spark, base_dir), window="1 day", gap_ms=gaps)
+    tables, gaps = Tables(spark, base_dir), RuleBook.defaults(spark).gaps(2)
+    wide = M.ip_metrics(tables.tagged, window="1 day", gap_ms=gaps)
     wide = wide.withColumnRenamed(f"close_interval_count_{gaps[0]}", "close_interval_count")
-    dec = blacklist_decisions(_flow_scores(spark, base_dir, crawler_type=0))
+    dec = blacklist_decisions(_flow_scores(tables, crawler_type=0))
     return materialise(spark, feature_frame(wide, dec), "detector-features")
 
 
@@ -489,3 +508,51 @@ def link_stats_hourly(spark: SparkSession, base_dir: str) -> DataFrame:
     s = M.link_counts(load_requests(spark, base_dir), window="1 hour")
     return s.select(_fmt("window_start"), _fmt("window_end"), "server_addr", "request_count",
                     "active_user_num")
+
+
+# ---- streaming jobs over the same tables: stream == batch (W1-W6, IO1, IO11, IO13) ---------------
+
+def _streamed_requests(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The derived access log as a stream of the events table's files."""
+    from tollgate.sources.requests import requests_from_events
+    base = base_dir.rstrip("/")
+    schema = spark.read.parquet(f"{base}/events.parquet").schema
+    return requests_from_events(spark.readStream.schema(schema).parquet(f"{base}/{{events}}.parquet"))   # a pattern: one file or a folder
+
+
+@register("stream_preprocess_records", O.STREAM_RECORDS)
+def stream_preprocess_records(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Raw lines through the streaming pre-process job; the records it has written, equal ones counted."""
+    import uuid
+
+    from tollgate.session import scratch_path
+    from tollgate.sources.requests import raw_lines
+    from tollgate.streaming.preprocess_job import start_preprocess
+    base = scratch_path(spark, f"stream-records-{uuid.uuid4().hex}")
+    lines = raw_lines(_streamed_requests(spark, base_dir)).select("value")
+    start_preprocess(lines, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    keys = ["request", "flight_type", "behavior_type", "travel_type", "high_freq_ip", "session_id", "user_id", "dep_city", "arr_city",
+            "flight_date"]
+    return spark.read.parquet(f"{base}/out/records").groupBy(*keys).agg(F.count(F.lit(1)).alias("records"))
+
+
+STREAM_WINDOW, STREAM_SLIDE, STREAM_TIER, STREAM_GAP = "1 hour", "10 minutes", 1, 300_000
+
+
+@register("stream_ip_metrics_1h_10m", O.stream_metrics_sql(HOUR_MS, 600_000, 600_000, STREAM_GAP))
+def stream_ip_metrics_1h_10m(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Requests through the streaming metrics job; the closed windows of IPs that it has written."""
+    import uuid
+
+    from tollgate.session import scratch_path
+    from tollgate.streaming import metrics_job as job
+    base = scratch_path(spark, f"stream-metrics-{uuid.uuid4().hex}")
+    rows = job.prepare(flag_critical(_streamed_requests(spark, base_dir), dim.critical_page_rules(spark)))
+
+    def loader(s: SparkSession) -> job.Rules:
+        return job.Rules(dim.critical_page_rules(s), RuleBook.defaults(s))
+    job.start_scores(rows, f"{base}/out", f"{base}/checkpoint", loader, window=STREAM_WINDOW, slide=STREAM_SLIDE, watermark="0 seconds",
+                     rule_type=STREAM_TIER, trigger={"availableNow": True}).awaitTermination()
+    m = spark.read.parquet(f"{base}/out/metrics").filter("scope = 'ip'")
+    return m.select(_fmt("window_start"), _fmt("window_end"), F.col("key").alias("ip"),
+                    *[F.col(f"{c}_{STREAM_GAP}" if c == "close_interval_count" else c).alias(c) for c in M.WIDE_METRICS])

@@ -238,13 +238,20 @@ def start_metrics(lines: DataFrame, out_dir: str, checkpoint: str, loader: Calla
         source = source.option("maxFilesPerTrigger", max_files_per_trigger)
     if trigger.get("availableNow"):
         first.awaitTermination()
-    panes = stream_panes(source.parquet(rows_dir), window=window, slide=slide, watermark=watermark)
-    handler = _score_batch(out_dir, loader, rule_type, window, slide, loader(spark).book.gaps(rule_type))
-    second = (panes.writeStream.outputMode("append").foreachBatch(handler)
-              .option("checkpointLocation", os.path.join(checkpoint, "scores")).trigger(**trigger).start())
+    second = start_scores(source.parquet(rows_dir), out_dir, os.path.join(checkpoint, "scores"), loader, window=window, slide=slide,
+                          watermark=watermark, rule_type=rule_type, trigger=trigger)
     return first, second
 
 
+def start_scores(rows: DataFrame, out_dir: str, checkpoint: str, loader: Callable[[SparkSession], Rules], *, window: str = "5 minutes",
+                 slide: str = "5 seconds", watermark: str = "1 minute", rule_type: int = 0, trigger: dict | None = None):
+    """The second query on a stream of ``prepare``d rows: panes, closed windows (``metrics``), scores, ``blacklist``."""
+    panes = stream_panes(rows, window=window, slide=slide, watermark=watermark)
+    handler = _score_batch(out_dir, loader, rule_type, window, slide, loader(rows.sparkSession).book.gaps(rule_type))
+    return (panes.writeStream.outputMode("append").foreachBatch(handler).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": METRICS_TRIGGER})).start())
+
+
 def blacklisted_ips(spark: SparkSession, path: str, now_ms: int) -> DataFrame:
     """The keys whose latest record, of those written in the current and previous hour, still
     lives; given to the pre-process job as (more) black IPs, it tags their requests. No table yet: none."""
