@@ -45,6 +45,7 @@ FIRST = 1024
 TAIL_GROUPS = 32
 FREQUENT = 1 << 18
 EVIDENCE = 10
+DENSE = 1 << 13            # words whose contexts a task counts in an array
 WORD_BYTES = 64
 FIRST_SWEEPS = 8
 SWEEPS = 2
@@ -226,21 +227,26 @@ def count_contexts(ranks: DataFrame, classes: Classes, movable: int) -> DataFram
         def out(keys: list[np.ndarray]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(list(map(pa.array, np.unique(np.concatenate(keys), return_counts=True))), ["key", "n"])
 
+        dense = np.zeros(2 * CLASSES * DENSE, np.int64)    # of the most frequent words; the others' keys are sorted
         for batch in batches:
             ids = laid_out(batch.column(0), np.append(np.arange(own), np.full(TAIL_GROUPS, own)), int(own))
             now = laid_out(batch.column(0), numbers, classes.end)
             before = np.append(np.int64(classes.end), now[:-1])
             table += np.bincount(before * CLASSES + now, minlength=CLASSES ** 2)
             at = np.flatnonzero(ids < movable)             # never an end token, so a token follows
-            held += [2 * ids[at] * CLASSES + before[at], (2 * ids[at] + 1) * CLASSES + now[at + 1]]
-            size += 2 * len(at)
+            for keys in (2 * ids[at] * CLASSES + before[at], (2 * ids[at] + 1) * CLASSES + now[at + 1]):
+                often = keys < len(dense)
+                dense += np.bincount(keys[often], minlength=len(dense))
+                held.append(keys[~often])
+                size += len(held[-1])
             if size > 1 << 21:
                 yield out(held)
                 held, size = [], 0
         if size:
             yield out(held)
-        seen = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(-1 - seen), pa.array(table[seen])], ["key", "n"])
+        for sign, counts in ((0, dense), (-1, table)):
+            seen = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(seen if sign == 0 else -1 - seen), pa.array(counts[seen])], ["key", "n"])
 
     return write_table(ranks.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "contexts")
 
