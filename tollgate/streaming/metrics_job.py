@@ -171,7 +171,9 @@ def close_windows(spark: SparkSession, batch: DataFrame, batch_id: int, out_dir:
     upto = newest if before is None or (newest is not None and newest > before) else before
     done = None
     if newest is not None:
-        (batch.withColumns({"pane_hour": hour, "batch_id": F.lit(batch_id)}).write.mode("overwrite")
+        # a backfill closes panes of many hours at once: a few files each
+        (batch.withColumns({"pane_hour": hour, "batch_id": F.lit(batch_id)})
+         .repartition("pane_hour", F.pmod(F.hash("key", "value"), F.lit(4))).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("pane_hour", "batch_id").parquet(panes_dir))
         known = spark.read.parquet(panes_dir).where(F.col("batch_id") <= batch_id)
         if before is not None:                            # panes of windows that end after the frontier
