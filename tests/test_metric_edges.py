@@ -63,6 +63,41 @@ def test_metrics_invariant_under_reorder(spark):
     assert sorted(map(tuple, la.collect())) == sorted(map(tuple, lb.collect()))
 
 
+def test_gap_metrics_share_the_counts_aggregation(spark):
+    """No join or second grouping over a task's sorted hits: their memory adds up in one task."""
+    from test_plans import plan_of
+    rows = [(ip, f"2024-01-01 {t}", True, "u", "s", "A", "B") for ip, t in [
+        ("1.1.1.1", "00:00:00"), ("1.1.1.1", "00:00:00"), ("1.1.1.1", "00:00:07"), ("1.1.1.1", "01:00:00"),
+        (None, "00:00:01"), (None, "00:00:02")]] + [("2.2.2.2", "2024-01-01 00:00:05", False, "u", "s", "A", "B"),
+                                                    ("3.3.3.3", None, True, "u", "s", "A", "B")]
+    df = spark.createDataFrame(rows, "remote_addr string, ts string, is_critical boolean, user_agent string, "
+                                     "session_id string, dep string, arr string").withColumn("ts", F.to_timestamp("ts"))
+    m = M.ip_metrics(df, window="1 hour", gap_ms=[5_000, 600_000])
+    got = {(r.ip, r.hour): tuple(r)[3:-1] for r in m.withColumn("hour", F.hour("window_start")).collect()}
+    assert got == {("1.1.1.1", 0): (3, 3, 1, 1, 1, 0, 1, 2), ("1.1.1.1", 1): (1, 1, 1, 1, 1, -1, 0, 0),
+                   (None, 0): (2, 2, 1, 1, 1, None, None, None), ("2.2.2.2", 0): (1, 0, 1, 1, 1, None, None, None)}
+    whole = {r.ip: tuple(r)[3:] for r in M.ip_metrics(df, gap_ms=5_000).collect()}
+    assert whole == {"1.1.1.1": (4, 4, 1, 1, 1, 0, 1), None: (2, 2, 1, 1, 1, None, None), "2.2.2.2": (1, 0, 1, 1, 1, None, None),
+                     "3.3.3.3": (1, 1, 1, 1, 1, -1, 0)}
+    for window in ("1 hour", None):
+        p = plan_of(M.ip_metrics(df, window=window, gap_ms=5_000))
+        assert "Join" not in p
+    ordered = plan_of(M.interval_metrics(df, F.col("remote_addr"), window="1 hour"), "simple")
+    assert "Aggregate" not in ordered[:ordered.rindex("Window")]
+
+
+def test_booking_metrics_group_only_the_events_they_count(spark):
+    from tollgate.operators.catalogue import booking_metrics
+    ev = spark.createDataFrame([(1, "b1", "book"), (1, "b1", "pay"), (2, "b2", "cancel"), (3, None, "book")],
+                               "order_key long, buyer_id string, step string").selectExpr(
+        "*", "timestamp'2024-01-01 00:00:00' AS ts", "'10.1' AS ip_block", "'n' AS contact_name", "'p' AS contact_phone", "'P1' AS passenger")
+    full = booking_metrics(ev, "1 hour", {"buyer"})
+    some = booking_metrics(ev, "1 hour", {"buyer"}, ("bookings", "unpaid"))
+    assert some.columns == full.columns[:-2]
+    assert {(r.key, r.bookings) for r in some.collect()} == {(r.key, r.bookings) for r in full.where("bookings > 0").collect()} == {
+        ("b1", 1), (None, 1)}
+
+
 def java_split_count(s: str, sep: str = "#CS#") -> int:
     t = s
     while t and ord(t[0]) <= 32:
