@@ -32,6 +32,7 @@ from tollgate.operators.metrics import to_long
 from tollgate.operators.scoring import RuleBook, blacklist_decisions, evaluate_rules, flow_scores
 from tollgate.operators.sliding import duration_ms, pane_ms, windows_of
 from tollgate.operators.tags import flag_critical
+from tollgate.session import COUNT_STATE
 from tollgate.streaming import storage
 from tollgate.streaming.sources import METRICS_TRIGGER
 
@@ -247,11 +248,22 @@ def start_metrics(lines: DataFrame, out_dir: str, checkpoint: str, loader: Calla
 
 def start_scores(rows: DataFrame, out_dir: str, checkpoint: str, loader: Callable[[SparkSession], Rules], *, window: str = "5 minutes",
                  slide: str = "5 seconds", watermark: str = "1 minute", rule_type: int = 0, trigger: dict | None = None):
-    """The second query on a stream of ``prepare``d rows: panes, closed windows (``metrics``), scores, ``blacklist``."""
+    """The second query on a stream of ``prepare``d rows: panes, closed windows (``metrics``), scores, ``blacklist``.
+
+    Its progress does not count all state rows, unless the session asks for it (``COUNT_STATE``).
+    """
+    spark = rows.sparkSession
     panes = stream_panes(rows, window=window, slide=slide, watermark=watermark)
-    handler = _score_batch(out_dir, loader, rule_type, window, slide, loader(rows.sparkSession).book.gaps(rule_type))
-    return (panes.writeStream.outputMode("append").foreachBatch(handler).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": METRICS_TRIGGER})).start())
+    handler = _score_batch(out_dir, loader, rule_type, window, slide, loader(spark).book.gaps(rule_type))
+    query = (panes.writeStream.outputMode("append").foreachBatch(handler).option("checkpointLocation", checkpoint)
+             .trigger(**(trigger or {"processingTime": METRICS_TRIGGER})))
+    own = spark.conf.get(COUNT_STATE, None)
+    spark.conf.set(COUNT_STATE, own or "false")
+    try:
+        return query.start()                              # takes a copy of the session's settings
+    finally:
+        if own is None:
+            spark.conf.unset(COUNT_STATE)
 
 
 def blacklisted_ips(spark: SparkSession, path: str, now_ms: int) -> DataFrame:
